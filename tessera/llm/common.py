@@ -69,4 +69,5 @@ def components(edges: DataFrame, name: str, rounds: int = 40) -> DataFrame:
         last = now
     else:
         raise RuntimeError(f"components: no fixed point after {rounds} rounds")
-    return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+    # every edge now leads to its component's smallest node, which has none of its own
+    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -20,6 +20,25 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_crc(token_file(table(spark, sf_dir, "documents"), vocabulary_file("word_bpe_49k.json")))
 
 
+def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_rules import quality
+
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "depleted"]
+    return quality(table(spark, sf_dir, "documents")).select(*names)
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import digest, scan
+
+    return digest(scan(table(spark, sf_dir, "documents")))
+
+
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import ngram_classes
+
+    return ngram_classes(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -33,5 +52,5 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), vocabulary_file("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_file, op6_packing, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op2_token_file, op3_line_frequency, op4_licenses, op5_ngram_jaccard, op6_packing, op9_bpe)}
 ORACLE_SQL: dict[str, str] = {}
