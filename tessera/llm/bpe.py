@@ -102,9 +102,9 @@ class WordBpe:
         order = np.argsort(word, kind="stable")
         return sym[order], np.bincount(word, minlength=len(words))
 
-    def encode_pieces(self, parts: list[bytes]) -> list:
+    def encode_pieces(self, parts: list[str]) -> list:
         """Ids of each piece; a piece is text between white space."""
-        tokens = [self.pre_tokens(p.decode("utf-8")) for p in parts]
+        tokens = [self.pre_tokens(p) for p in parts]
         words = list({w for t in tokens for w in t if isinstance(w, bytes)})
         ids, n = self.merge(words) if words else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         cut = np.concatenate([[0], np.cumsum(n)]).tolist()
@@ -117,7 +117,7 @@ class WordBpe:
 
     def encode(self, text: str) -> list[int]:
         """One text; the library's ids with add_special_tokens=False, no truncation and no padding."""
-        return [x for ids in self.encode_pieces(pieces.space_cuts(text)) for x in ids]
+        return [x for ids in self.encode_pieces(pieces.space_cuts([text])[0].as_py()) for x in ids]
 
     def decode(self, ids) -> str:
         """As the library decodes with special tokens where the file names no decoder: the entries joined by blanks."""
@@ -142,7 +142,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
         for pdf in batches:
             texts = pdf["t"].tolist()
             for lo, hi in pieces.text_chunks(texts):
-                ids, lens = store.ids_of([pieces.space_cuts(t) if t else [] for t in texts[lo:hi]])
+                ids, lens = store.ids_of(pieces.space_cuts(texts[lo:hi]))
                 cut = [0, *np.cumsum(lens).tolist()]
                 raw, strings = ids.astype("<u4").tobytes(), list(map(names.__getitem__, ids.tolist()))
                 decoded = [b" ".join(strings[a:b]) for a, b in zip(cut, cut[1:])]

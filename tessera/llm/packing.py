@@ -120,7 +120,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, s
         for pdf in batches:
             texts, names = pdf["t"].tolist(), pdf["d"].tolist()
             for lo, hi in pieces.text_chunks(texts, 1_000_000):
-                new, lens = store.ids_of([pieces.blank_cuts(t) if t else [] for t in texts[lo:hi]])
+                new, lens = store.ids_of(pieces.blank_cuts(texts[lo:hi]))
                 ids = np.concatenate([ids, np.insert(new, np.cumsum(lens), end_id)])
                 parts += [(d, 0, n + 1, n + 1) for d, n in zip(names[lo:hi], lens.tolist())]
                 if len(ids) >= stream and (out := flush(False)) is not None:

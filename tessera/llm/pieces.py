@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-import re
 import unicodedata
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: A blank that is not directly before a visible character: such texts are encoded whole.
-_LOOSE = re.compile(r" (?=\s|$)")
+#: White space in any reading of it.
+_WS = r"[\t\n\v\f\r \x{1c}-\x{1f}\x{85}\p{Z}]"
+#: A blank not directly before a visible character, or white space before a line end: such texts are encoded whole.
+_LOOSE = rf" ({_WS}|\z)|[\t\v\f\r \x{{1c}}-\x{{1f}}\x{{85}}\p{{Z}}]\n|\x{{0}}"
+#: A full stop or comma between a letter and white space, which no pre-token spans.
+_STOP = r"([a-z])([.,])([ \n]|\z)"
 
 
 class PieceStore:
@@ -20,11 +25,11 @@ class PieceStore:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.index: dict[str, int] = {}
         self.flat, self.n_flat = np.zeros(1 << 16, np.uint32), 0
         self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
-    def _put(self, pieces: list[bytes], ids: list) -> None:
+    def _put(self, pieces: list[str], ids: list) -> None:
         lens = np.fromiter(map(len, ids), np.int64, len(ids))
         joined = np.fromiter(chain.from_iterable(ids), np.uint32, int(lens.sum()))
         n, total = len(self.index), int(lens.sum())
@@ -38,37 +43,53 @@ class PieceStore:
         self.n_flat += total
         self.index.update(zip(pieces, range(n, n + len(pieces))))
 
-    def ids_of(self, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    def ids_of(self, cut: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents' pieces one after another, and the number of ids of each document."""
         if len(self.index) > self.max_pieces:
             self.clear()
-        index = self.index
-        flat = list(chain.from_iterable(docs))
-        new = list(set(flat).difference(index))
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            self._put(part, self.encode_new(part))
-        at = np.fromiter(map(index.__getitem__, flat), np.int64, len(flat))
+        coded = cut.flatten().dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        known = np.fromiter(map(self.index.get, names, repeat(-1)), np.int64, len(names))
+        missing = np.flatnonzero(known < 0)
+        for i in range(0, len(missing), 20_000):
+            part = missing[i : i + 20_000]
+            known[part] = len(self.index) + np.arange(len(part))
+            new = [names[k] for k in part.tolist()]
+            self._put(new, self.encode_new(new))
+        at = known[coded.indices.to_numpy()]
         lens = self.length[at]
         ends = np.cumsum(lens)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.flat[np.arange(total) + np.repeat(self.start[at] - (ends - lens), lens)] if total else np.zeros(0, np.uint32)
-        per = np.fromiter(map(len, docs), np.int64, len(docs))
-        bounds = np.concatenate([[0], ends])[np.cumsum(per)] if len(docs) else np.zeros(0, np.int64)
-        return ids, np.diff(np.concatenate([[0], bounds]))
+        bounds = np.concatenate([[0], ends])[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+        return ids, np.diff(bounds)
 
 
-def blank_cuts(text: str) -> list[bytes]:
-    """Cut before each blank that stands before a visible character; the byte-level pre-tokenizer always cuts there."""
-    if _LOOSE.search(text):
-        return [text.encode("utf-8", "surrogatepass")]
-    first, *rest = text.encode("utf-8").split(b" ")
-    return [first, *[b" " + p for p in rest]] if first else [b" " + p for p in rest]
+def _as_array(texts: list) -> pa.Array:
+    return pc.fill_null(pa.array(texts, pa.string()), "")
 
 
-def space_cuts(text: str) -> list[bytes]:
-    """Cut at ASCII white space, which the word-end tokenizer drops; no merge or normal form crosses it."""
-    return text.encode("utf-8").split()
+def blank_cuts(texts: list) -> pa.ListArray:
+    """Cut before each blank that stands before a visible character, before line ends, and between a word and its full stop
+    or comma: the byte-level pre-tokenizer always cuts there. Texts with other white space stay whole."""
+    t = _as_array(texts)
+    marked = pc.replace_substring_regex(t, _STOP, "\\1\x00\\2\\3")
+    marked = pc.replace_substring(pc.replace_substring_regex(marked, r"(\n+)", "\x00\\1"), " ", "\x00 ")
+    loose = pc.match_substring_regex(t, _LOOSE)
+    if not pc.any(loose).as_py():
+        return pc.split_pattern(marked, "\x00")
+    # one pass for both: in whole texts the mark is a character that is not cut at
+    whole = loose.to_pylist()
+    return pa.array([[x] if w else m.split("\x00") for x, m, w in zip(t.to_pylist(), marked.to_pylist(), whole)], pa.list_(pa.string()))
+
+
+def space_cuts(texts: list) -> pa.ListArray:
+    """Cut at ASCII white space, which the word-end tokenizer drops, and between a word and its full stop or comma; no merge
+    or normal form crosses these. Capitals A-Z go first, unless the text may name an added token in capitals."""
+    t = _as_array(texts)
+    if not pc.any(pc.match_substring(t, "<|")).as_py():
+        t = pc.ascii_lower(t)
+    return pc.ascii_split_whitespace(pc.replace_substring_regex(t, _STOP, "\\1 \\2\\3"))
 
 
 def byte_chars() -> list[str]:
@@ -95,26 +116,23 @@ def library_store(path: str) -> PieceStore:
         model, lower, lead = tok.model, tok.normalizer is not None, "\u0120"
         as_chars = {b: c for b, c in enumerate(byte_chars())}
 
-        def encode_new(pieces: list[bytes]) -> list:
+        def encode_new(pieces: list[str]) -> list:
             """A piece of letters alone (with a blank before it) is one pre-token and goes to the library's model straight."""
             out, hard = [], []
             for k, p in enumerate(pieces):
-                blank = not lower and p[:1] == b" "
+                blank = not lower and p[:1] == " "
                 w = p[1:] if blank else p
-                if w.isalpha():  # bytes: ASCII letters only
-                    w = (w.lower() if lower else w).decode("ascii")
-                else:
-                    t = w.decode("utf-8")
-                    if lower:
-                        t = t.lower() if t.isalpha() and "\u03a3" not in t and unicodedata.is_normalized("NFC", t) else ""
-                    if not t.isalpha():
-                        hard.append(k)
-                        out.append(None)
-                        continue
-                    w = t.encode("utf-8").decode("latin-1").translate(as_chars)
+                if lower:
+                    w = w.lower() if w.isalpha() and "\u03a3" not in w and unicodedata.is_normalized("NFC", w) else ""
+                if not w.isalpha():
+                    hard.append(k)
+                    out.append(())
+                    continue
+                if not w.isascii():
+                    w = w.encode("utf-8").decode("latin-1").translate(as_chars)
                 out.append([x.id for x in model.tokenize(lead + w if blank else w)])
             if hard:
-                for k, e in zip(hard, tok.encode_batch_fast([pieces[k].decode("utf-8") for k in hard], add_special_tokens=False), strict=True):
+                for k, e in zip(hard, tok.encode_batch_fast([pieces[k] for k in hard], add_special_tokens=False), strict=True):
                     out[k] = e.ids
             return out
 
@@ -122,7 +140,7 @@ def library_store(path: str) -> PieceStore:
     return _STORES["library", path]
 
 
-def text_chunks(texts: list, most_chars: int = 4_000_000):
+def text_chunks(texts: list, most_chars: int = 6_000_000):
     """Slices of the rows with a bounded number of characters each (a longer single text stands alone)."""
     lo = size = 0
     for k, t in enumerate(texts):

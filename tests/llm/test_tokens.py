@@ -33,8 +33,8 @@ def test_pieces_equal_library(name, cut):
 
     from tessera.llm import pieces
 
-    texts = [*filter(None, AWKWARD), "a \n b", " x", "x ", "a b  c", *sample()[1][:60]]
-    ids, lens = pieces.library_store(name).ids_of([getattr(pieces, cut)(t) for t in texts])
+    texts = [*filter(None, AWKWARD), "a \n b", " x", "x ", "a b  c", "end.\n\nNext, one.\n two\n", "a\t\n\nb", "a\r\nb.", "x.\n\n", "Mr., (a), b.). c", "don't. we'll, 5. a5, nul\x00l x.", "<|ENDOFTEXT|> A", "nb\u00a0sp \u00a0x", *sample()[1][:60]]
+    ids, lens = pieces.library_store(name).ids_of(getattr(pieces, cut)(texts))
     tok, at = tokenizers.Tokenizer.from_file(name), 0
     for t, n in zip(texts, lens):
         assert ids[at : at + n].tolist() == tok.encode(t, add_special_tokens=False).ids, t[:60]
