@@ -117,29 +117,34 @@ def open_block(book: Codebook, payload: bytes) -> tuple[np.ndarray, np.ndarray,
     return doc_ids, lens.astype(np.int64), book.decode(payload[at + 4 * runs :], offsets, n_tokens, step)
 
 
-def token_rows(docs: DataFrame, tokenizer: str, end_id: int, cut: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids): ids of whole texts by the tokenizers library and end_id, little-endian unsigned 32-bit.
+def width(vocabulary: int) -> np.dtype:
+    """Of ids between the steps: 16 bits where the vocabulary allows it."""
+    return np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
+
+
+def token_rows(docs: DataFrame, tokenizer: str, end_id: int, cut: str, vocabulary: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids): ids of whole texts by the tokenizers library and end_id, little-endian, of width(vocabulary).
 
     A null text counts as empty; a null doc_id stays null; repeated rows stay.
     """
 
     def run(batches):
-        store, cuts = pieces.library_store(tokenizer), getattr(pieces, cut)
+        store, cuts, kind = pieces.library_store(tokenizer), getattr(pieces, cut), width(vocabulary)
         for pdf in batches:
             texts = pdf["t"].tolist()
             for lo, hi in pieces.text_chunks(texts):
-                ids, lens = store.ids_of([cuts(t) if t else [] for t in texts[lo:hi]])
+                ids, lens = store.ids_of(cuts(texts[lo:hi]))
                 ends = np.cumsum(lens)
-                ids = np.insert(ids, ends, end_id).astype("<u4")
+                ids = np.insert(ids, ends, end_id).astype(kind)
                 ends += np.arange(1, len(lens) + 1)
-                raw, b = ids.tobytes(), [0, *(4 * ends).tolist()]
+                raw, b = ids.tobytes(), [0, *(kind.itemsize * ends).tolist()]
                 yield pd.DataFrame({"doc_id": pdf["d"].iloc[lo:hi].values, "n_tokens": lens + 1, "ids": [raw[x:y] for x, y in zip(b, b[1:])]})
 
     rows = docs.select(id_in(id_col).alias("d"), F.col(text_col).cast("string").alias("t")).mapInPandas(run, "doc_id long, n_tokens long, ids binary")
     return rows.withColumn("doc_id", id_out("doc_id"))
 
 
-def write_dataset(tokens: DataFrame, vocabulary: int, limit: int = 16, block_tokens: int = 1 << 16, step: int = 256, shard_bytes: int = 64 << 20) -> str:
+def write_dataset(tokens: DataFrame, vocabulary: int, limit: int = 16, block_tokens: int = 1 << 17, step: int = 128, shard_bytes: int = 32 << 20) -> str:
     """Code rows (doc_id, n_tokens, ids) in ascending doc_id order (nulls first, ties in any order); returns the folder."""
     spark = tokens.sparkSession
 
@@ -147,7 +152,7 @@ def write_dataset(tokens: DataFrame, vocabulary: int, limit: int = 16, block_tok
         total = np.zeros(vocabulary, np.int64)
         for pdf in batches:
             for i in range(0, len(pdf), 512):
-                total += np.bincount(np.frombuffer(b"".join(pdf["ids"].iloc[i : i + 512]), "<u4"), minlength=vocabulary)
+                total += np.bincount(np.frombuffer(b"".join(pdf["ids"].iloc[i : i + 512]), width(vocabulary)), minlength=vocabulary)
         used = np.flatnonzero(total)
         yield pd.DataFrame({"id": used, "n": total[used]})
 
@@ -163,19 +168,19 @@ def write_dataset(tokens: DataFrame, vocabulary: int, limit: int = 16, block_tok
     def shard(batches):
         from pyspark import TaskContext
 
-        book, k, first = Codebook(lengths), TaskContext.get().partitionId(), 0
+        book, k, first, kind = Codebook(lengths), TaskContext.get().partitionId(), 0, width(vocabulary)
         docs, lens, raw, size, block = [], [], [], 0, 0
 
         def close():
-            ids = np.frombuffer(b"".join(raw), "<u4").astype(np.int64)
+            ids = np.frombuffer(b"".join(raw), kind).astype(np.int64)
             return pd.DataFrame({"shard": [k], "block": [block], "first": [first], "n_tokens": [len(ids)], "payload": [pack_block(book, np.array(docs, np.int64), np.array(lens, np.int64), ids, step)]})
 
         for pdf in batches:
             for d, x in zip(pdf["doc_id"].tolist(), pdf["ids"]):
                 docs.append(int(d))
-                lens.append(len(x) // 4)
+                lens.append(len(x) // kind.itemsize)
                 raw.append(x)
-                size += len(x) // 4
+                size += lens[-1]
                 if size >= block_tokens:
                     yield close()
                     first, block = first + size, block + 1
@@ -183,7 +188,7 @@ def write_dataset(tokens: DataFrame, vocabulary: int, limit: int = 16, block_tok
         if docs:
             yield close()
 
-    shards = max(1, -(-int(n.sum()) * 4 // shard_bytes))
+    shards = max(1, -(-int(n.sum()) * width(vocabulary).itemsize // shard_bytes))
     ordered = tokens.select(id_in("doc_id").alias("doc_id"), "ids").repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id")
     # Arrow batches by rows: ids of some hundred documents at a time, not of ten thousand
     ordered.mapInPandas(shard, "shard long, block long, first long, n_tokens long, payload binary").write.option("compression", "none").parquet(f"{folder}/blocks")
@@ -221,7 +226,7 @@ def token_file(docs: DataFrame, tokenizer: str, end_id: int = 2, vocabulary: int
 
     No rows: an empty dataset. Null text: the end id alone. Null doc_id: first, in the order null documents arrive.
     """
-    tokens = staged(token_rows(docs, tokenizer, end_id, cut), "ids")
+    tokens = staged(token_rows(docs, tokenizer, end_id, cut, vocabulary), "ids")
     return read_dataset(docs.sparkSession, write_dataset(tokens, vocabulary), vocabulary)
 
 
