@@ -14,6 +14,12 @@ def vocabulary_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pq_dedup import near_copies
+
+    return near_copies(table(spark, sf_dir, "embeddings"))
+
+
 def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .huffman import token_file, with_crc
 
@@ -52,5 +58,5 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), vocabulary_file("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_file, op3_line_frequency, op4_licenses, op5_ngram_jaccard, op6_packing, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op1_pq_dedup, op2_token_file, op3_line_frequency, op4_licenses, op5_ngram_jaccard, op6_packing, op9_bpe)}
 ORACLE_SQL: dict[str, str] = {}
