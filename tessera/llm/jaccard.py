@@ -37,7 +37,7 @@ def shingle_sets(texts: list, n: int = 4) -> list[np.ndarray]:
     if len(_WORDS) > 1_000_000:
         _WORDS.clear()
     t = pc.fill_null(pa.array(texts, pa.string()), "")
-    words = pc.split_pattern_regex(pc.ascii_lower(t), r"[\x20\x09-\x0D]+")
+    words = pc.ascii_split_whitespace(pc.ascii_lower(t))  # blank and \x09-\x0D
     coded = words.flatten().dictionary_encode()
     names = coded.dictionary.cast(pa.binary()).to_pylist()
     for w in names:
@@ -160,15 +160,16 @@ def trie_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, in
     return out
 
 
-def _sets(docs: DataFrame, n: int, num: int, den: int, what: str, common=None, chosen: DataFrame | None = None):
-    """One pass over the texts. what: digests (rid, n_shingles, digest), prefixes (rid, size, token) or sets (rid, tokens)."""
+def _by_order(s: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending hashes parted into those not in the ascending array common, and those in it."""
+    if not len(common) or not len(s):
+        return s, s[:0]
+    again = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
+    return s[~again], s[again]
 
-    def order(s: np.ndarray) -> np.ndarray:
-        """Hash order, but n-grams known to be repeated last."""
-        if common is None or not len(s):
-            return s
-        again = common.value[np.minimum(np.searchsorted(common.value, s), len(common.value) - 1)] == s if len(common.value) else np.zeros(len(s), bool)
-        return np.concatenate([s[~again], s[again]])
+
+def _passes(rows: DataFrame, n: int, num: int, den: int, what: str, common=None) -> DataFrame:
+    """One pass over texts (rid, t). what: digests (with the lowest hashes of each set), prefixes or sets."""
 
     def run(batches):
         import hashlib
@@ -176,42 +177,73 @@ def _sets(docs: DataFrame, n: int, num: int, den: int, what: str, common=None, c
         from .pieces import text_chunks
 
         for pdf in batches:
-            texts, rid = pdf["t"].tolist(), pdf["r"].to_numpy()
+            texts, rid = pdf["t"].tolist(), pdf["rid"].to_numpy()
             for lo, hi in text_chunks(texts):
                 sets, own = shingle_sets(texts[lo:hi], n), rid[lo:hi]
                 if what == "digests":
-                    yield pd.DataFrame({"doc_id": own, "n_shingles": [len(s) for s in sets], "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]})
+                    low = [s[: 2 * prefix_length(len(s), num, den)].tobytes() for s in sets]
+                    yield pd.DataFrame({"doc_id": own, "n_shingles": [len(s) for s in sets], "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], "low": low})
                 elif what == "prefixes":
-                    parts = [order(s)[: prefix_length(len(s), num, den)] for s in sets]
-                    yield pd.DataFrame({"rid": np.repeat(own, [len(p) for p in parts]), "token": np.concatenate([*parts, np.zeros(0, np.uint64)]).view(np.int64)})
+                    parts = [np.concatenate(_by_order(s, common.value))[: prefix_length(len(s), num, den)] for s in sets]
+                    yield _tokens(own, parts)
                 else:
                     yield pd.DataFrame({"rid": own, "tokens": [s.tobytes() for s in sets]})
 
-    schema = {"digests": "doc_id long, n_shingles long, digest binary", "prefixes": "rid long, token long", "sets": "rid long, tokens binary"}[what]
-    return docs.select(F.col("rid").alias("r"), F.col("t")).mapInPandas(run, schema)
+    schema = {"digests": "doc_id long, n_shingles long, digest binary, low binary", "prefixes": "rid long, token long", "sets": "rid long, tokens binary"}[what]
+    return rows.select("rid", "t").mapInPandas(run, schema)
+
+
+def _tokens(rid, parts: list[np.ndarray]) -> pd.DataFrame:
+    return pd.DataFrame({"rid": np.repeat(np.asarray(rid, np.int64), [len(p) for p in parts]), "token": np.concatenate([*parts, np.zeros(0, np.uint64)]).view(np.int64)})
+
 
+def _low_prefixes(reps: DataFrame, num: int, den: int, common=None) -> DataFrame:
+    """Prefixes from the lowest hashes alone: in hash order without ``common``; with it, in the final order where they
+    suffice, and for the other sets a row with no token."""
 
-def ngram_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = 1_000_000, known: int = 4_000_000, small: int = 2_000_000) -> DataFrame:
+    def run(batches):
+        for pdf in batches:
+            for i in range(0, len(pdf), 2000):
+                part = pdf.iloc[i : i + 2000]
+                rid, parts, lacking = part["rid"].to_numpy(), [], []
+                for r, size, low in zip(rid, part["n_shingles"].tolist(), part["low"]):
+                    p, s = prefix_length(size, num, den), np.frombuffer(low, np.uint64)
+                    if common is not None:
+                        first, last = _by_order(s, common.value)
+                        if len(first) < p and len(s) < size:
+                            lacking.append(r)
+                            first, last = s[:0], s[:0]
+                        s = np.concatenate([first, last])
+                    parts.append(s[:p])
+                out = _tokens(rid, parts)
+                out["token"] = out["token"].astype("Int64")
+                yield pd.concat([out, pd.DataFrame({"rid": lacking, "token": pd.array([None] * len(lacking), "Int64")})]) if lacking else out
+
+    return reps.select("rid", "n_shingles", "low").mapInPandas(run, "rid long, token long")
+
+
+def ngram_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = 1_000_000, known: int = 1 << 18, small: int = 1_000_000) -> DataFrame:
     """(doc_id, n_shingles, component_id): smallest doc_id reachable by links, itself included; exact.
 
     No words: n_shingles 0 and a component of its own (null text counts as empty). Null ids: a component of their own
     with a null id. Repeated ids: rows of one document; they stay, and their texts' classes are one component.
-    ``known`` bounds the table of repeated n-grams that every task gets (8 bytes each); it only orders n-grams, so
-    links never depend on it. ``small`` bounds the id list that is broadcast to pick documents of blocks.
+    ``known`` bounds the table of often repeated n-grams that every task gets (8 bytes each); it only orders n-grams,
+    so links never depend on it. ``small`` bounds the id lists that are broadcast to pick documents.
     """
     spark = docs.sparkSession
     texts = docs.select(id_in(id_col).alias("rid"), F.col(text_col).cast("string").alias("t"))
-    digests = staged(_sets(texts, n, num, den, "digests"), "digests")
+    digests = staged(_passes(texts, n, num, den, "digests"), "digests")
     real = digests.where(F.col("digest").isNotNull() & (F.col("doc_id") != NULL_ID))
-    classes = staged(real.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), "classes")
-    copies = real.join(classes.where("rows > 1"), "digest").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    classes = real.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")).where("rows > 1")
+    copies = staged(real.select("doc_id", "digest").join(classes, "digest").where("doc_id <> rep").select("doc_id", "digest", "rep"), "copies")
 
-    # a representative's other rows with the same id (repeated ids) give their prefixes too, which does no harm
-    reps = _among(texts, classes.select(F.col("rep").alias("rid")), small)
-    seen = staged(_sets(reps, n, num, den, "prefixes").groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
-    top = seen.orderBy(F.desc("n"), "token").limit(known).select("token").toPandas()["token"].to_numpy(np.int64) if seen.count() > known else seen.select("token").toPandas()["token"].to_numpy(np.int64)
+    reps = _pick(real, copies.select("doc_id", "digest"), ["doc_id", "digest"], "left_anti", small).select(F.col("doc_id").alias("rid"), "n_shingles", "low")
+    seen = staged(_low_prefixes(reps, num, den).groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
+    top = seen.orderBy(F.desc("n"), "token").limit(known).select("token").toPandas()["token"].to_numpy(np.int64)
     common = spark.sparkContext.broadcast(np.sort(top.view(np.uint64)))
-    prefixes = staged(_sets(reps, n, num, den, "prefixes", common), "prefixes")
+    partly = staged(_low_prefixes(reps, num, den, common), "prefixes")
+    rest = _pick(texts, partly.where("token is null").select("rid"), ["rid"], "left_semi", small)
+    prefixes = partly.where("token is not null").unionByName(staged(_passes(rest, n, num, den, "prefixes", common), "more-prefixes"))
     heads = prefixes.groupBy("token").agg(F.min("rid").alias("head"), F.count("*").alias("n")).where("n > 1")
     stars = prefixes.join(heads, "token").where("rid <> head").select(F.col("rid").alias("a"), F.col("head").alias("b")).distinct()
     blocks = staged(components(stars, "blocks").select(F.col("node").alias("rid"), F.col("component").alias("block")), "members")
@@ -219,14 +251,14 @@ def ngram_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id
     size = real.groupBy(F.col("doc_id").alias("rid")).agg(F.max("n_shingles").alias("size"))
     weights = blocks.join(size, "rid").groupBy("block").agg(F.sum("size").alias("weight"))
     chunks = F.greatest(F.lit(1), F.ceil(F.col("weight") / chunk_tokens)).cast("int")
-    placed = staged(blocks.join(weights, "block").select("rid", "block", chunks.alias("chunks"), F.pmod(F.xxhash64("rid"), chunks).cast("int").alias("c")), "placed")
+    placed = staged(blocks.join(weights, "block").select("rid", "block", "weight", chunks.alias("chunks"), F.pmod(F.xxhash64("rid"), chunks).cast("int").alias("c")), "placed")
     # a chunk meets itself and every other of its block
     meets = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda k: F.struct(F.least("c", k).alias("i"), F.greatest("c", k).alias("j")))
-    sets = _sets(_among(texts, blocks.select("rid"), small), n, num, den, "sets").distinct()
+    sets = _passes(_pick(texts, blocks.select("rid"), ["rid"], "left_semi", small), n, num, den, "sets").distinct()
     tasks = sets.join(placed, "rid").select("rid", "tokens", "block", "chunks", F.explode(meets).alias("m")).select("rid", "tokens", "block", "chunks", "m.i", "m.j")
-
     # blocks of one chunk share tasks, so that a task has about chunk_tokens n-grams either way
-    buckets = max(1, int(weights.where(F.col("weight") <= chunk_tokens).agg(F.sum("weight")).first()[0] or 0) // chunk_tokens)
+    light = placed.where("chunks = 1").select("block", "weight").distinct().agg(F.sum("weight")).first()[0] or 0
+    buckets = max(1, int(light) // chunk_tokens)
     task = F.when(F.col("chunks") == 1, F.struct(F.lit(None).cast("long").alias("block"), F.pmod(F.xxhash64("block"), F.lit(buckets)).cast("int").alias("i"), F.lit(0).alias("j"))).otherwise(F.struct("block", "i", "j"))
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -239,12 +271,12 @@ def ngram_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id
         return pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
     links = tasks.select(task.alias("task"), "rid", "tokens", "block").groupBy("task").applyInPandas(link, "a long, b long")
-    found = components(links.unionByName(copies), "links")
-    out = digests.join(found, digests["doc_id"] == found["node"], "left")
+    found = components(links.unionByName(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))), "links")
+    out = digests.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left")
     return out.select(F.nullif("doc_id", F.lit(NULL_ID)).alias("doc_id"), "n_shingles", F.nullif(F.coalesce("component", "doc_id"), F.lit(NULL_ID)).alias("component_id"))
 
 
-def _among(texts: DataFrame, ids: DataFrame, small: int) -> DataFrame:
-    """Rows whose rid is in ids: by broadcast up to ``small`` ids (8 bytes each), by a shuffle beyond."""
-    ids = ids.distinct()
-    return texts.join(F.broadcast(ids) if ids.count() <= small else ids, "rid", "left_semi")
+def _pick(rows: DataFrame, keys: DataFrame, on: list[str], how: str, small: int) -> DataFrame:
+    """Semi or anti join with a staged key list: by broadcast up to ``small`` keys, by a shuffle beyond."""
+    keys = keys.distinct()
+    return rows.join(F.broadcast(keys) if keys.count() <= small else keys, on, how)
