@@ -71,3 +71,9 @@ def components(edges: DataFrame, name: str, rounds: int = 40) -> DataFrame:
         raise RuntimeError(f"components: no fixed point after {rounds} rounds")
     # every edge now leads to its component's smallest node, which has none of its own
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def pick(rows: DataFrame, keys: DataFrame, on: list[str], how: str, small: int = 1_000_000) -> DataFrame:
+    """Semi or anti join with a staged key list: by broadcast up to ``small`` keys, by a shuffle beyond."""
+    keys = keys.distinct()
+    return rows.join(F.broadcast(keys) if keys.count() <= small else keys, on, how)

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, components, id_in, staged
+from .common import NULL_ID, components, id_in, pick, staged
 
 _WORDS: dict[bytes, int] = {}
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
@@ -198,7 +198,7 @@ def _tokens(rid, parts: list[np.ndarray]) -> pd.DataFrame:
 
 
 def _low_prefixes(reps: DataFrame, num: int, den: int, common=None) -> DataFrame:
-    """Prefixes from the lowest hashes alone: in hash order without ``common``; with it, in the final order where they
+    """Without ``common``, the lowest hashes of each set; with it, prefixes from them in the final order where they
     suffice, and for the other sets a row with no token."""
 
     def run(batches):
@@ -213,8 +213,8 @@ def _low_prefixes(reps: DataFrame, num: int, den: int, common=None) -> DataFrame
                         if len(first) < p and len(s) < size:
                             lacking.append(r)
                             first, last = s[:0], s[:0]
-                        s = np.concatenate([first, last])
-                    parts.append(s[:p])
+                        s = np.concatenate([first, last])[:p]
+                    parts.append(s)
                 out = _tokens(rid, parts)
                 out["token"] = out["token"].astype("Int64")
                 yield pd.concat([out, pd.DataFrame({"rid": lacking, "token": pd.array([None] * len(lacking), "Int64")})]) if lacking else out
@@ -222,7 +222,7 @@ def _low_prefixes(reps: DataFrame, num: int, den: int, common=None) -> DataFrame
     return reps.select("rid", "n_shingles", "low").mapInPandas(run, "rid long, token long")
 
 
-def ngram_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = 1_000_000, known: int = 1 << 18, small: int = 1_000_000) -> DataFrame:
+def ngram_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = 1_000_000, known: int = 1 << 21, small: int = 1_000_000) -> DataFrame:
     """(doc_id, n_shingles, component_id): smallest doc_id reachable by links, itself included; exact.
 
     No words: n_shingles 0 and a component of its own (null text counts as empty). Null ids: a component of their own
@@ -237,12 +237,15 @@ def ngram_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id
     classes = real.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")).where("rows > 1")
     copies = staged(real.select("doc_id", "digest").join(classes, "digest").where("doc_id <> rep").select("doc_id", "digest", "rep"), "copies")
 
-    reps = _pick(real, copies.select("doc_id", "digest"), ["doc_id", "digest"], "left_anti", small).select(F.col("doc_id").alias("rid"), "n_shingles", "low")
+    reps = pick(real, copies.select("doc_id", "digest"), ["doc_id", "digest"], "left_anti", small).select(F.col("doc_id").alias("rid"), "n_shingles", "low")
     seen = staged(_low_prefixes(reps, num, den).groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
-    top = seen.orderBy(F.desc("n"), "token").limit(known).select("token").toPandas()["token"].to_numpy(np.int64)
+    # the least count of which the table holds all; counts are at most a few thousand numbers for the driver
+    sizes = seen.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count("*").alias("tokens")).orderBy(F.desc("n")).toPandas()
+    least = next((n for n, total in zip(sizes["n"][::-1], sizes["tokens"].cumsum()[::-1]) if total <= known), 1001)
+    top = seen.where(F.col("n") >= int(least)).select("token").toPandas()["token"].to_numpy(np.int64)
     common = spark.sparkContext.broadcast(np.sort(top.view(np.uint64)))
     partly = staged(_low_prefixes(reps, num, den, common), "prefixes")
-    rest = _pick(texts, partly.where("token is null").select("rid"), ["rid"], "left_semi", small)
+    rest = pick(texts, partly.where("token is null").select("rid"), ["rid"], "left_semi", small)
     prefixes = partly.where("token is not null").unionByName(staged(_passes(rest, n, num, den, "prefixes", common), "more-prefixes"))
     heads = prefixes.groupBy("token").agg(F.min("rid").alias("head"), F.count("*").alias("n")).where("n > 1")
     stars = prefixes.join(heads, "token").where("rid <> head").select(F.col("rid").alias("a"), F.col("head").alias("b")).distinct()
@@ -254,7 +257,7 @@ def ngram_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id
     placed = staged(blocks.join(weights, "block").select("rid", "block", "weight", chunks.alias("chunks"), F.pmod(F.xxhash64("rid"), chunks).cast("int").alias("c")), "placed")
     # a chunk meets itself and every other of its block
     meets = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda k: F.struct(F.least("c", k).alias("i"), F.greatest("c", k).alias("j")))
-    sets = _passes(_pick(texts, blocks.select("rid"), ["rid"], "left_semi", small), n, num, den, "sets").distinct()
+    sets = _passes(pick(texts, blocks.select("rid"), ["rid"], "left_semi", small), n, num, den, "sets").distinct()
     tasks = sets.join(placed, "rid").select("rid", "tokens", "block", "chunks", F.explode(meets).alias("m")).select("rid", "tokens", "block", "chunks", "m.i", "m.j")
     # blocks of one chunk share tasks, so that a task has about chunk_tokens n-grams either way
     light = placed.where("chunks = 1").select("block", "weight").distinct().agg(F.sum("weight")).first()[0] or 0
@@ -274,9 +277,3 @@ def ngram_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id
     found = components(links.unionByName(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))), "links")
     out = digests.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left")
     return out.select(F.nullif("doc_id", F.lit(NULL_ID)).alias("doc_id"), "n_shingles", F.nullif(F.coalesce("component", "doc_id"), F.lit(NULL_ID)).alias("component_id"))
-
-
-def _pick(rows: DataFrame, keys: DataFrame, on: list[str], how: str, small: int) -> DataFrame:
-    """Semi or anti join with a staged key list: by broadcast up to ``small`` keys, by a shuffle beyond."""
-    keys = keys.distinct()
-    return rows.join(F.broadcast(keys) if keys.count() <= small else keys, on, how)

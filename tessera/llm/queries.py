@@ -42,7 +42,7 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import ngram_classes
 
-    return ngram_classes(table(spark, sf_dir, "documents"))
+    return ngram_classes(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +52,14 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: documents labelled of high quality; background: all documents."""
+    from .lm_scores import cross_entropy_difference
+
+    target = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), target)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import toxicity
 
@@ -64,5 +72,13 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), vocabulary_file("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pq_dedup, op2_token_file, op3_line_frequency, op4_licenses, op5_ngram_jaccard, op6_packing, op8_toxicity, op9_bpe)}
+def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .preferences import by_opening, gather, preference_rows
+
+    rows = preference_rows(by_opening(gather(table(spark, sf_dir, "conversations"))))
+    spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["length"])), ",")
+    return rows.withColumns({"chosen_spans": spans("chosen_spans"), "rejected_spans": spans("rejected_spans")})
+
+
+QUERIES = {f.__name__: f for f in (op1_pq_dedup, op2_token_file, op3_line_frequency, op4_licenses, op5_ngram_jaccard, op6_packing, op7_cross_entropy, op8_toxicity, op9_bpe, op10_preferences)}
 ORACLE_SQL: dict[str, str] = {}
