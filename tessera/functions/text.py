@@ -44,7 +44,7 @@ def clean_post(text) -> Column:
 
 
 #: Company suffix patterns, taken off the end in this order, once each.
-SUFFIXES = [r",?\s+inc\.?$", r",?\s+incorporated$", r",?\s+corp\.?$", r",?\s+corporation$", r",?\s+ltd\.?$", r",?\s+limited$", r",?\s+llc\.?$", r",?\s+l\.l\.c\.?$", r",?\s+holdings?$", r",?\s+company$"]
+SUFFIXES = [r",?\s+inc\.?$", r",?\s+incorporated$", r",?\s+corp\.?$", r",?\s+corporation$", r",?\s+llc$", r",?\s+ltd\.?$", r",?\s+limited$", r",?\s+co\.?$", r",?\s+company$", r",?\s+holdings?$"]
 
 
 def company_name(name) -> Column:

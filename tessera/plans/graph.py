@@ -1 +1,102 @@
-"""To come."""
+"""Interaction graph bound to events: a user answers, mentions or shares others."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tessera.operators import graph as G
+
+from .registry import query, table
+
+E0 = """i AS (SELECT user_id AS src, (user_id * 7 + CAST(props->>'$.k' AS BIGINT) % 10) % 151 AS dst, CASE event_type WHEN 'click' THEN 'reply' WHEN 'purchase' THEN 'retweet' ELSE 'mention' END AS kind FROM events),
+ e AS (SELECT src, dst, sum(CASE kind WHEN 'retweet' THEN 2 ELSE 1 END)::BIGINT AS weight FROM i WHERE src <> dst GROUP BY 1, 2 HAVING sum(CASE kind WHEN 'retweet' THEN 2 ELSE 1 END) >= 13)"""
+WITH = f"WITH RECURSIVE {E0}"
+
+
+def edges(spark, d) -> DataFrame:
+    k = F.get_json_object("props", "$.k").cast("long")
+    kind = F.when(F.col("event_type") == "click", "reply").when(F.col("event_type") == "purchase", "retweet").otherwise("mention")
+    i = table(spark, d, "events").select(F.col("user_id").alias("src"), ((F.col("user_id") * 7 + k % 10) % 151).alias("dst"), kind.alias("kind"))
+    return G.build_edges(i, 13)
+
+
+@query("GRF-01 GRF-09", f"{WITH} SELECT * FROM e")
+def build_edges(spark, d):
+    return edges(spark, d)
+
+
+@query("GRF-02 GRF-03", WITH + """, b AS (SELECT src AS node, 1 AS o, 0 AS i, weight FROM e UNION ALL SELECT dst, 0, 1, weight FROM e), g AS (SELECT node, sum(o)::BIGINT AS out_degree, sum(i)::BIGINT AS in_degree, sum(weight)::BIGINT AS strength FROM b GROUP BY 1)
+ SELECT *, in_degree::DOUBLE / (count(*) OVER () - 1) AS in_centrality, out_degree::DOUBLE / (count(*) OVER () - 1) AS out_centrality FROM g""")
+def degree_stats(spark, d):
+    return G.degrees(edges(spark, d))
+
+
+@query("GRF-05", WITH + """, b AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e), r AS (SELECT src AS node, src AS c FROM b UNION SELECT b.dst, r.c FROM r JOIN b ON b.src = r.node) SELECT node, min(c) AS component FROM r GROUP BY 1""")
+def wcc(spark, d):
+    return G.components(edges(spark, d))
+
+
+@query("GRF-06", WITH + """, r AS (SELECT 1::BIGINT AS node, 0 AS level WHERE EXISTS (SELECT 1 FROM e WHERE src = 1 OR dst = 1) UNION SELECT e.dst, r.level + 1 FROM r JOIN e ON e.src = r.node WHERE r.level < 3) SELECT node, min(level)::INT AS level FROM r GROUP BY 1""")
+def bfs_reach(spark, d):
+    return G.reach(edges(spark, d), 1).select(F.col("node").cast("long").alias("node"), "level")
+
+
+@query("GRF-08", WITH + """, b AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e), r AS (SELECT src AS node, src AS c FROM b UNION SELECT b.dst, r.c FROM r JOIN b ON b.src = r.node), w AS (SELECT node, min(c) AS component FROM r GROUP BY 1),
+ s AS (SELECT (SELECT count(*) FROM w) AS nodes, (SELECT count(*) FROM e) AS edges, (SELECT count(DISTINCT component) FROM w) AS components) SELECT *, edges::DOUBLE / (nodes * (nodes - 1)) AS density, edges * 2::DOUBLE / nodes AS average_degree FROM s""")
+def network_stats(spark, d):
+    return G.stats(edges(spark, d))
+
+
+@query("GRF-08", WITH + """, u AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM e), s AS (SELECT a AS x, b AS y FROM u UNION ALL SELECT b, a FROM u), dg AS (SELECT x AS node, count(*) AS deg FROM s GROUP BY 1), t AS (SELECT p.x AS node, count(*) AS t FROM s p JOIN s q ON q.x = p.x AND p.y < q.y JOIN u ON u.a = p.y AND u.b = q.y GROUP BY 1)
+ SELECT dg.node, coalesce(t, 0) AS triangles, coalesce(coalesce(t, 0) * 2::DOUBLE / nullif(deg * (deg - 1), 0), 0.0) AS clustering FROM dg LEFT JOIN t ON t.node = dg.node""")
+def clustering(spark, d):
+    return G.clustering(edges(spark, d))
+
+
+@query("GRF-10", f"{WITH} SELECT dst, weight FROM e WHERE src = 1 ORDER BY weight DESC, dst LIMIT 10")
+def ego_top(spark, d):
+    return G.ego(edges(spark, d), 1)
+
+
+@query("GRF-11", f"{WITH} SELECT src, dst, weight, 'forward' AS direction FROM e UNION ALL SELECT dst, src, weight, 'reverse' FROM e")
+def dual_edges(spark, d):
+    return G.dual(edges(spark, d))
+
+
+@query("GRF-12 SET-06", """WITH m AS (SELECT l_suppkey AS src, l_partkey % 20 AS dst, l_orderkey * 10 + l_linenumber AS ord, l_returnflag || l_linestatus AS note, l_returnflag AS tag, row_number() OVER (PARTITION BY l_suppkey, l_partkey % 20 ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity) AS k FROM lineitem)
+ SELECT src, dst, count(*) AS mention_count, string_agg(CASE WHEN k = 1 THEN note ELSE '[Mention ' || k || '] ' || note END, ' ' ORDER BY k) AS summary, array_to_string(list_sort(list(DISTINCT tag)), ',') AS tags FROM m GROUP BY 1, 2""")
+def edge_merge(spark, d):
+    m = table(spark, d, "lineitem").select(
+        F.col("l_suppkey").alias("src"), (F.col("l_partkey") % 20).alias("dst"), F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity").alias("ord"), F.concat("l_returnflag", "l_linestatus").alias("note"), F.col("l_returnflag").alias("tag"),
+    )
+    return G.merge_edges(m, ["src", "dst"], "ord", "note", "tag")
+
+
+@query("GRF-13", """WITH m AS (SELECT l_partkey AS node, l_orderkey * 10 + l_linenumber AS id, l_discount AS score, l_returnflag AS flag FROM lineitem), b AS (SELECT *, row_number() OVER (PARTITION BY node ORDER BY score DESC, id, flag) AS r FROM (SELECT DISTINCT * FROM m)) SELECT node, score FROM b WHERE r = 1 AND node NOT IN (SELECT p_partkey FROM part WHERE p_size > 25)""")
+def promote_nodes(spark, d):
+    m = table(spark, d, "lineitem").select(F.col("l_partkey").alias("node"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_discount").alias("score"))
+    return G.promote(m, table(spark, d, "part").where("p_size > 25").select(F.col("p_partkey").alias("node")), "node", "score", "id").select("node", "score")
+
+
+@query("GRF-15", WITH + """, x AS (SELECT src AS node, dst AS partner, 1 AS o, 0 AS i, weight FROM e UNION ALL SELECT dst, src, 0, 1, weight FROM e), p AS (SELECT node, partner, sum(weight)::BIGINT AS w, sum(o)::BIGINT AS o, sum(i)::BIGINT AS i FROM x GROUP BY 1, 2)
+ SELECT node, sum(o)::BIGINT AS out_degree, sum(i)::BIGINT AS in_degree, count(*) AS partners, first(partner ORDER BY w DESC, partner) AS top_partner, sum(w)::BIGINT AS total FROM p GROUP BY 1""")
+def entity_graph_stats(spark, d):
+    return G.entity_stats(edges(spark, d))
+
+
+@query("GRF-03")
+def pagerank(spark, d):
+    return G.pagerank(edges(spark, d))
+
+
+@query("GRF-04 WIN-28")
+def influencers(spark, d):
+    e = edges(spark, d)
+    rows = G.degrees(e).select("node", F.col("in_centrality").alias("in_degree"), F.col("out_centrality").alias("out_degree")).join(G.pagerank(e), "node").join(G.small_metrics(e).select("node", "betweenness", "eigenvector"), "node")
+    return G.influencers(rows, list(G.BLEND), 20)
+
+
+@query("GRF-03 GRF-05 GRF-07")
+def small_graph_metrics(spark, d):
+    return G.small_metrics(edges(spark, d))
