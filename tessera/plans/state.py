@@ -1 +1,134 @@
-"""To come."""
+"""Upserts, parameters and ingest bound to orders, events and literal tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.functions.text import valid_email
+from tessera.operators import state as U
+
+from .registry import query, table
+
+
+@query("UPS-01 SNK-02", """WITH a AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate AS changed FROM orders WHERE o_orderkey % 3 > 0), b AS (SELECT o_orderkey, o_custkey + 1 AS o_custkey, o_totalprice * 2 AS o_totalprice, o_orderdate + INTERVAL 1 DAY AS changed FROM orders WHERE o_orderkey % 2 = 0)
+ SELECT o_orderkey, o_custkey, o_totalprice, changed FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY changed DESC, o_custkey DESC) AS r FROM (SELECT * FROM a UNION ALL SELECT * FROM b)) WHERE r = 1""")
+def upsert_latest(spark, d):
+    o = table(spark, d, "orders")
+    a = o.where("o_orderkey % 3 > 0").select("o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderdate").alias("changed"))
+    b = o.where("o_orderkey % 2 = 0").select("o_orderkey", (F.col("o_custkey") + 1).alias("o_custkey"), (F.col("o_totalprice") * 2).alias("o_totalprice"), (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("changed"))
+    return U.upsert(a, b, ["o_orderkey"], ["changed", "o_custkey"])
+
+
+@query("SNK-03 SNK-01", "SELECT c_custkey, c_name FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, 'new' FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 2 <> 0")
+def insert_absent(spark, d):
+    c = table(spark, d, "customer")
+    return U.insert_absent(c.where("c_custkey % 2 = 0").select("c_custkey", "c_name"), c.where("c_custkey % 3 = 0").select("c_custkey", F.lit("new").alias("c_name")), ["c_custkey"])
+
+
+@query("SNK-04 SNK-09", "SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'F' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE NOT (o_totalprice < 50000)")
+def update_and_delete(spark, d):
+    rows = U.delete_where(table(spark, d, "orders"), F.col("o_totalprice") < 50000)
+    return U.update_where(rows, F.col("o_orderkey") % 10 == 0, {"o_orderstatus": F.lit("F")}).select("o_orderkey", "o_orderstatus")
+
+
+@query("SNK-05", "SELECT event_id, user_id, CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1 THEN -1.0::DOUBLE ELSE value END AS value FROM events")
+def update_latest(spark, d):
+    return U.update_latest(table(spark, d, "events"), ["user_id"], "ts", {"value": F.lit(-1.0)}).select("event_id", "user_id", "value")
+
+
+@query("UPS-02", "SELECT user_id, event_type, count(*) AS failure_count, min(ts) AS created_at, max(ts) AS updated_at FROM events WHERE event_type = 'error' GROUP BY 1, 2")
+def counter_upsert(spark, d):
+    return U.counters(table(spark, d, "events").where("event_type = 'error'"), ["user_id", "event_type"], "ts")
+
+
+@query("UPS-08", "WITH s AS (SELECT user_id, max(ts) AS last FROM events WHERE event_type = 'purchase' GROUP BY 1) SELECT e.event_id, CASE WHEN last > ts THEN 'resolved' ELSE 'active' END AS state FROM events e LEFT JOIN s ON s.user_id = e.user_id WHERE event_type = 'error'")
+def alert_resolution(spark, d):
+    e = table(spark, d, "events")
+    return U.resolve_on_success(e.where("event_type = 'error'"), e.where("event_type = 'purchase'"), "user_id", "ts").select("event_id", "state")
+
+
+@query("UPS-04", "SELECT l_suppkey, l_returnflag, count(*) AS event_count, min(l_shipdate) AS first_seen, max(l_shipdate) AS last_seen FROM lineitem GROUP BY 1, 2")
+def bucket_agg(spark, d):
+    return U.buckets(table(spark, d, "lineitem"), ["l_suppkey", "l_returnflag"], "l_shipdate")
+
+
+@query("UPS-05", "SELECT user_id, event_type AS state FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
+def status_latest(spark, d):
+    from tessera.operators.relational import latest_each
+
+    return latest_each(table(spark, d, "events").select("user_id", F.col("event_type").alias("state"), "ts", "event_id"), ["user_id"], ["ts", "event_id"]).select("user_id", "state")
+
+
+DEFAULTS = [("risk.threshold", "0.6"), ("risk.window", "30"), ("chunk.size", "2000"), ("chunk.overlap", "200")]
+STORED = [("risk.threshold", "0.8"), ("chunk.size", "1500"), ("other.key", "1")]
+vals = lambda rows: ", ".join("(" + ", ".join("NULL" if x is None else f"'{x}'" for x in r) + ")" for r in rows)
+
+
+@query("UPS-07 JSN-06", f"WITH a(param_key, value) AS (VALUES {vals(DEFAULTS)}), b(param_key, v) AS (VALUES {vals(STORED)}) SELECT a.param_key, coalesce(v, value) AS value, CASE WHEN v IS NULL THEN 'default' ELSE 'stored' END AS source, a.param_key LIKE 'risk.%' AS in_risk, substring(a.param_key, 6) AS rest FROM a LEFT JOIN b ON b.param_key = a.param_key")
+def param_overlay(spark, d):
+    rows = U.overlay(spark.createDataFrame(DEFAULTS, "param_key string, value string"), spark.createDataFrame(STORED, "param_key string, value string"), "param_key", "value")
+    inside, rest = U.in_namespace(F.col("param_key"), "risk")
+    return rows.select("param_key", "value", "source", inside.alias("in_risk"), rest.alias("rest"))
+
+
+PARAMS = [("a", "integer", "7", "1", "9"), ("b", "integer", "x", None, None), ("c", "float", "1.5", "2", None), ("d", "boolean", "Yes", None, None), ("e", "string", "blue", None, None), ("f", "integer", "70", "1", "9"), ("g", "float", None, None, None), ("h", "string", "green", None, None)]
+
+
+@query("JSN-04 JSN-05", f"""WITH p(k, kind, v, lo, hi) AS (VALUES {vals(PARAMS)}) SELECT k, CASE WHEN kind = 'integer' THEN TRY_CAST(v AS BIGINT) END AS as_long, CASE WHEN kind IN ('float', 'integer') THEN TRY_CAST(v AS DOUBLE) END AS as_double, CASE WHEN kind = 'boolean' THEN lower(v) IN ('true', '1', 'yes') END AS as_bool, CASE WHEN kind = 'string' THEN v END AS as_text,
+ CASE WHEN v IS NULL THEN 'missing' WHEN (kind IN ('integer', 'float') AND TRY_CAST(v AS DOUBLE) IS NULL) OR (kind = 'integer' AND TRY_CAST(v AS BIGINT) IS NULL) THEN 'type' WHEN TRY_CAST(v AS DOUBLE) < CAST(lo AS DOUBLE) THEN 'below minimum' WHEN TRY_CAST(v AS DOUBLE) > CAST(hi AS DOUBLE) THEN 'above maximum' WHEN kind = 'string' AND v NOT IN ('blue', 'red') THEN 'not allowed' ELSE 'ok' END AS verdict FROM p""")
+def typed_params(spark, d):
+    p = spark.createDataFrame(PARAMS, "k string, kind string, v string, lo string, hi string")
+    kind, v = F.col("kind"), F.col("v")
+    allowed = F.when(kind == "string", F.array(F.lit("blue"), F.lit("red")))
+    t = U.typed(kind, v)
+    return p.select("k", *[t[n].alias(n) for n in ("as_long", "as_double", "as_bool", "as_text")], U.validated(kind, v, F.col("lo").cast("double"), F.col("hi").cast("double"), allowed).alias("verdict"))
+
+
+@query("UPS-09", f"""WITH a(param_key, value) AS (VALUES {vals(DEFAULTS)}), b(param_key, v) AS (VALUES {vals(STORED)}) SELECT a.param_key, 'control' AS arm, value FROM a UNION ALL SELECT a.param_key, 'treatment', coalesce(v, value) FROM a LEFT JOIN b ON b.param_key = a.param_key""")
+def experiment_arms(spark, d):
+    return U.feedback(spark.createDataFrame(DEFAULTS, "param_key string, value string"), spark.createDataFrame(STORED, "param_key string, value string"), "param_key", "value")
+
+
+@query("UPS-09", "SELECT p_type, p_partkey, 'v1.' || row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) AS version, row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) = count(*) OVER (PARTITION BY p_type) AS is_active FROM part")
+def parameter_versions(spark, d):
+    return U.versions(table(spark, d, "part").select("p_type", "p_partkey"), ["p_type"], "p_partkey")
+
+
+@query("UPS-06")
+def parameter_snapshot(spark, d):
+    return U.snapshot(spark.createDataFrame(DEFAULTS, "param_key string, value string"), "param_key", "value")
+
+
+@query("SRC-05", "SELECT DISTINCT s.s_suppkey, p.p_partkey FROM supplier s JOIN part p ON p.p_partkey < 40 AND (contains(lower(s.s_name), lpad(CAST(p.p_partkey AS STRING), 3, '0')) OR contains(lpad(CAST(p.p_partkey AS STRING), 3, '0'), lower(s.s_name)))")
+def tsv_sample_match(spark, d):
+    from tessera.operators.relational import contained
+
+    targets = table(spark, d, "part").where("p_partkey < 40").select("p_partkey", F.lpad(F.col("p_partkey").cast("string"), 3, "0").alias("t"))
+    return table(spark, d, "supplier").join(targets, contained(F.lower("s_name"), F.col("t"))).select("s_suppkey", "p_partkey").distinct()
+
+
+@query("SRC-14", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'failed' WHEN o_custkey % 3 > 0 THEN 'success' ELSE 'no_data' END AS status, datediff('second', o_orderdate, o_orderdate + INTERVAL 90 SECOND) AS duration_seconds FROM orders")
+def extraction_log(spark, d):
+    cols = U.log_row(F.col("o_orderdate"), F.col("o_orderdate") + F.expr("INTERVAL 90 SECOND"), F.col("o_custkey") % 3, F.col("o_orderstatus") == "P")
+    return table(spark, d, "orders").select("o_orderkey", *cols)
+
+
+@query("STM-04 STM-05", "SELECT time_bucket(INTERVAL 300 SECOND, ts) AS start, count(*) AS failures, count(*) >= 3 AS tripped FROM events WHERE event_type = 'error' GROUP BY 1")
+def failure_windows(spark, d):
+    return U.failure_windows(table(spark, d, "events"), "ts", F.col("event_type") == "error")
+
+
+@query("AGG-32 MLV-11", """WITH a AS (SELECT l_returnflag AS name, sum(l_quantity) AS v FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1), b AS (SELECT l_returnflag AS name, sum(l_quantity) AS v FROM lineitem WHERE l_linestatus = 'F' AND l_returnflag <> 'N' GROUP BY 1), c AS (SELECT coalesce(a.name, b.name) AS name, a.v AS before, b.v AS after, (b.v - a.v) * 100.0::DOUBLE / a.v AS change_pct FROM a FULL JOIN b ON b.name = a.name)
+ SELECT *, CASE WHEN change_pct > 5 THEN 'better' WHEN change_pct < -5 THEN 'worse' ELSE 'same' END AS verdict FROM c""")
+def compare_runs(spark, d):
+    li = table(spark, d, "lineitem")
+    run = lambda c: li.where(c).groupBy(F.col("l_returnflag").alias("name")).agg(F.sum("l_quantity").alias("v"))
+    return U.compare_runs(run("l_linestatus = 'O'"), run("l_linestatus = 'F' AND l_returnflag <> 'N'"), "name", "v")
+
+
+@query("STR-25 STR-27", "WITH e AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN ' A@B.com ' WHEN 1 THEN 'no mail' WHEN 2 THEN 'x@y' ELSE c_name || '@mail.org' END AS e, CASE c_custkey % 3 WHEN 0 THEN 'y' WHEN 1 THEN 'FALSE' ELSE 'maybe' END AS f FROM customer) SELECT c_custkey, regexp_full_match(lower(trim(e)), '[^\\s@]+@[^\\s@]+\\.[^\\s@]+') AS valid, CASE WHEN lower(f) IN ('yes', 'y', 'true', '1') THEN 'Yes' WHEN lower(f) IN ('no', 'n', 'false', '0', '') THEN 'No' END AS replied FROM e")
+def yes_no_repair(spark, d):
+    k = F.col("c_custkey")
+    e = F.when(k % 4 == 0, " A@B.com ").when(k % 4 == 1, "no mail").when(k % 4 == 2, "x@y").otherwise(F.concat("c_name", F.lit("@mail.org")))
+    f = F.when(k % 3 == 0, "y").when(k % 3 == 1, "FALSE").otherwise("maybe")
+    return table(spark, d, "customer").select("c_custkey", valid_email(F.lower(F.trim(e))).alias("valid"), U.yes_no(f).alias("replied"))
