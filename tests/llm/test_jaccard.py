@@ -50,12 +50,12 @@ def corpus(seed=1, n=160):
     return docs
 
 
-@pytest.mark.parametrize("chunk,known", [(1_000_000, 4_000_000), (300, 40)])
-def test_equals_brute_force(spark, chunk, known):
+@pytest.mark.parametrize("chunk,bits", [(1_000_000, 27), (300, 12)])
+def test_equals_brute_force(spark, chunk, bits):
     rows = [(7 * k + 3, t) for k, t in enumerate(corpus())] + [(5000, ""), (5001, None), (5002, " \n"), (5003, "One two"), (5004, "one  TWO"), (5005, "one two three"), (5006, "É a b c"), (5007, "é a b c")]
     want = classes(rows)
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_shingles", F.lit("clash")).repartition(5)
-    got = jaccard.ngram_classes(df, n=4, num=85, chunk_tokens=chunk, known=known).collect()
+    got = jaccard.ngram_classes(df, n=4, num=85, chunk_tokens=chunk, table_bits=bits).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
     assert len({v[1] for v in want.values()}) < len(want) - 20
 
