@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pieces
-from .common import id_in, id_out
+from .common import id_in, id_out, small_batches
 
 
 class WordBpe:
@@ -136,6 +136,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
 
     Null text: empty, no ids. Null or repeated doc_ids stay. Whole texts; a long one is one row's work.
     """
+    small_batches(docs.sparkSession)
 
     def run(batches):
         _, store, names = _store(tokenizer)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,13 @@ def id_out(column: str):
     return F.nullif(F.col(column), F.lit(NULL_ID)).alias(column)
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Texts go to Python workers in batches of at most so many rows, so that a batch stays a few megabytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, str(rows))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; one is made only where the session names none, as in tests."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -42,10 +51,32 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def components(edges: DataFrame, name: str, rounds: int = 40) -> DataFrame:
+def _union_find(batches):
+    """(node, component) of all edges (u, v) of one partition."""
+    parts = [pdf[["u", "v"]].to_numpy(np.int64) for pdf in batches]
+    if not parts:
+        return
+    both = np.concatenate(parts)
+    names, ends = np.unique(both, return_inverse=True)
+    ends = ends.reshape(both.shape)
+    low = np.arange(len(names))
+    while True:  # least labels of neighbours, then of labels, until nothing moves
+        new = low.copy()
+        np.minimum.at(new, ends[:, 0], low[ends[:, 1]])
+        np.minimum.at(new, ends[:, 1], low[ends[:, 0]])
+        np.minimum.at(new, low[ends[:, 0]], low[ends[:, 1]])
+        np.minimum.at(new, low[ends[:, 1]], low[ends[:, 0]])
+        new = new[new]
+        if (new == low).all():
+            break
+        low = new
+    yield pd.DataFrame({"node": names, "component": names[low]})
+
+
+def components(edges: DataFrame, name: str, rounds: int = 40, small: int = 200_000) -> DataFrame:
     """Connected components of edges(a long, b long): rows (node, component) with the smallest node reachable.
 
-    Alternates large-star and small-star steps, each an aggregation and a join of rows no more than the edges;
+    Up to ``small`` edges (counted first; 16 bytes each) one task labels them. Beyond, alternates large-star and small-star steps, each an aggregation and a join of rows no more than the edges;
     no neighbour list is collected. Each round is staged, so a lost executor costs one round at most.
     """
     e = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{name}-edges")
@@ -54,6 +85,8 @@ def components(edges: DataFrame, name: str, rounds: int = 40) -> DataFrame:
         return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
     last = digest(e)
+    if last[0] <= small:
+        return staged(e.coalesce(1).mapInPandas(_union_find, "node long, component long"), f"{name}-labels")
     for k in range(rounds):
         if not last[0]:
             break

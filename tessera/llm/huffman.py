@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import pieces
-from .common import NULL_ID, id_in, id_out, shared_dir, staged
+from .common import NULL_ID, id_in, id_out, shared_dir, small_batches, staged
 
 MAGIC = b"TSH1"
 
@@ -127,6 +127,7 @@ def token_rows(docs: DataFrame, tokenizer: str, end_id: int, cut: str, vocabular
 
     A null text counts as empty; a null doc_id stays null; repeated rows stay.
     """
+    small_batches(docs.sparkSession)
 
     def run(batches):
         store, cuts, kind = pieces.library_store(tokenizer), getattr(pieces, cut), width(vocabulary)
@@ -157,7 +158,7 @@ def write_dataset(tokens: DataFrame, vocabulary: int, limit: int = 16, block_tok
         yield pd.DataFrame({"id": used, "n": total[used]})
 
     # at most one row per id of the vocabulary reaches the driver
-    counts = tokens.select("ids").mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    counts = tokens.select("ids").mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     n = np.zeros(vocabulary, np.int64)
     n[counts["id"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
     lengths = code_lengths(n, limit)
@@ -197,11 +198,11 @@ def write_dataset(tokens: DataFrame, vocabulary: int, limit: int = 16, block_tok
 
 def read_dataset(spark: SparkSession, folder: str, vocabulary: int) -> DataFrame:
     """(doc_id, start, n_tokens, ids) from the files alone; start counts the ids of all documents before."""
-    bits = spark.read.parquet(f"{folder}/codebook").toPandas()  # one row per id of the vocabulary at most
+    bits = spark.read.parquet(f"{folder}/codebook").toArrow().to_pandas()  # one row per id of the vocabulary at most
     lengths = np.zeros(vocabulary, np.uint8)
     lengths[bits["id"].to_numpy(np.int64)] = bits["n_bits"].to_numpy(np.int64)
     blocks = spark.read.parquet(f"{folder}/blocks")
-    totals = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n")).orderBy("shard").toPandas()  # one row per output file
+    totals = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n")).orderBy("shard").toArrow().to_pandas()  # one row per output file
     base = dict(zip(totals["shard"].tolist(), (totals["n"].cumsum() - totals["n"]).tolist(), strict=True))
 
     def run(batches):

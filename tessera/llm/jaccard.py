@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, components, id_in, pick, staged
+from .common import NULL_ID, components, id_in, pick, small_batches, staged
 
 _WORDS: dict[bytes, int] = {}
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
@@ -34,7 +34,7 @@ def shingle_sets(texts: list, n: int = 4) -> list[np.ndarray]:
     import pyarrow.compute as pc
     import xxhash
 
-    if len(_WORDS) > 1_000_000:
+    if len(_WORDS) > 250_000:
         _WORDS.clear()
     t = pc.fill_null(pa.array(texts, pa.string()), "")
     words = pc.ascii_split_whitespace(pc.ascii_lower(t))  # blank and \x09-\x0D
@@ -160,16 +160,59 @@ def trie_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, in
     return out
 
 
-def _by_order(s: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending hashes parted into those not in the ascending array common, and those in it."""
-    if not len(common) or not len(s):
-        return s, s[:0]
-    again = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
-    return s[~again], s[again]
+def _place(s: np.ndarray, bits: int) -> np.ndarray:
+    return ((s * _ODD[0]) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _repeated_table(tokens: DataFrame, bits: int) -> np.ndarray:
+    """A table of 2 ** bits bits with those of the tokens set, made in slices: the driver gets the slices, never the tokens."""
+    low = max(bits - 7, 3)
+
+    def places(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"p": _place(pdf["token"].to_numpy(np.int64).view(np.uint64), bits)})
+
+    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
+        on = np.zeros(1 << low, np.uint8)
+        on[pdf["p"].to_numpy() & ((1 << low) - 1)] = 1
+        return pd.DataFrame({"slice": [int(pdf["p"].iloc[0]) >> low], "table": [np.packbits(on, bitorder="little").tobytes()]})
+
+    marks = tokens.select("token").mapInPandas(places, "p long").groupBy(F.shiftright("p", low)).applyInPandas(mark, "slice long, table binary")
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    for r in marks.toLocalIterator():
+        own = np.frombuffer(r["table"], np.uint8)
+        out[r["slice"] * len(own) : (r["slice"] + 1) * len(own)] = own
+    return out
+
+
+def _tables(seen: DataFrame, table_bits: int) -> list[np.ndarray]:
+    """Bit tables of n-grams (token, n) by how often they are repeated; where one would fill up, its least count rises."""
+    sizes = seen.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count("*").alias("tokens")).orderBy(F.desc("n")).toArrow().to_pandas()
+    out = []
+    for count, bits in zip((2, 8, 64, 512), (table_bits, table_bits - 2, table_bits - 4, table_bits - 6)):
+        least = next((n for n, total in zip(sizes["n"][::-1], sizes["tokens"].cumsum()[::-1]) if n >= count and total <= (1 << bits) // 8), 1001)
+        out.append(_repeated_table(seen.where(F.col("n") >= int(least)), bits))
+    return out
+
+
+def _levels(s: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
+    """How many of the tables, each of more often repeated n-grams than the one before, have each hash."""
+    level = np.zeros(len(s), np.int8)
+    for t in tables:
+        at = _place(s, (8 * len(t)).bit_length() - 1)
+        level += ((t[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(np.int8)
+    return level
+
+
+def _by_order(s: np.ndarray, tables: list[np.ndarray]) -> tuple[np.ndarray, int]:
+    """Ascending hashes in the global order, rare ones first, and how many are in no table."""
+    level = _levels(s, tables)
+    return s[np.argsort(level, kind="stable")], int((level == 0).sum())
 
 
 def _passes(rows: DataFrame, n: int, num: int, den: int, what: str, common=None) -> DataFrame:
-    """One pass over texts (rid, t). what: digests (with the lowest hashes of each set), prefixes or sets."""
+    """One pass over texts (rid, t). what: digests (with the lowest hashes of each set), the rest of the hashes, prefixes or
+    whole sets."""
 
     def run(batches):
         import hashlib
@@ -183,13 +226,15 @@ def _passes(rows: DataFrame, n: int, num: int, den: int, what: str, common=None)
                 if what == "digests":
                     low = [s[: 2 * prefix_length(len(s), num, den)].tobytes() for s in sets]
                     yield pd.DataFrame({"doc_id": own, "n_shingles": [len(s) for s in sets], "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], "low": low})
+                elif what == "rest":
+                    yield _tokens(own, [s[2 * prefix_length(len(s), num, den) :] for s in sets])
                 elif what == "prefixes":
-                    parts = [np.concatenate(_by_order(s, common.value))[: prefix_length(len(s), num, den)] for s in sets]
+                    parts = [_by_order(s, common.value)[0][: prefix_length(len(s), num, den)] for s in sets]
                     yield _tokens(own, parts)
                 else:
                     yield pd.DataFrame({"rid": own, "tokens": [s.tobytes() for s in sets]})
 
-    schema = {"digests": "doc_id long, n_shingles long, digest binary, low binary", "prefixes": "rid long, token long", "sets": "rid long, tokens binary"}[what]
+    schema = {"digests": "doc_id long, n_shingles long, digest binary, low binary", "rest": "rid long, token long", "prefixes": "rid long, token long", "sets": "rid long, tokens binary"}[what]
     return rows.select("rid", "t").mapInPandas(run, schema)
 
 
@@ -209,11 +254,12 @@ def _low_prefixes(reps: DataFrame, num: int, den: int, common=None) -> DataFrame
                 for r, size, low in zip(rid, part["n_shingles"].tolist(), part["low"]):
                     p, s = prefix_length(size, num, den), np.frombuffer(low, np.uint64)
                     if common is not None:
-                        first, last = _by_order(s, common.value)
-                        if len(first) < p and len(s) < size:
+                        whole = len(s) == size
+                        s, rare = _by_order(s, common.value)
+                        if rare < p and not whole:
                             lacking.append(r)
-                            first, last = s[:0], s[:0]
-                        s = np.concatenate([first, last])[:p]
+                            s = s[:0]
+                        s = s[:p]
                     parts.append(s)
                 out = _tokens(rid, parts)
                 out["token"] = out["token"].astype("Int64")
@@ -222,14 +268,15 @@ def _low_prefixes(reps: DataFrame, num: int, den: int, common=None) -> DataFrame
     return reps.select("rid", "n_shingles", "low").mapInPandas(run, "rid long, token long")
 
 
-def ngram_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = 1_000_000, known: int = 1 << 21, small: int = 1_000_000) -> DataFrame:
+def ngram_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = 1_000_000, table_bits: int = 27, small: int = 1_000_000) -> DataFrame:
     """(doc_id, n_shingles, component_id): smallest doc_id reachable by links, itself included; exact.
 
     No words: n_shingles 0 and a component of its own (null text counts as empty). Null ids: a component of their own
     with a null id. Repeated ids: rows of one document; they stay, and their texts' classes are one component.
-    ``known`` bounds the table of often repeated n-grams that every task gets (8 bytes each); it only orders n-grams,
-    so links never depend on it. ``small`` bounds the id lists that are broadcast to pick documents.
+    ``table_bits`` is the size of the largest bit table of repeated n-grams that every task gets (16 MB, 22 with the
+    smaller ones); they only order n-grams and may mark others too, so links never depend on them. ``small`` bounds the id lists that are broadcast to pick documents.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     texts = docs.select(id_in(id_col).alias("rid"), F.col(text_col).cast("string").alias("t"))
     digests = staged(_passes(texts, n, num, den, "digests"), "digests")
@@ -238,12 +285,13 @@ def ngram_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id
     copies = staged(real.select("doc_id", "digest").join(classes, "digest").where("doc_id <> rep").select("doc_id", "digest", "rep"), "copies")
 
     reps = pick(real, copies.select("doc_id", "digest"), ["doc_id", "digest"], "left_anti", small).select(F.col("doc_id").alias("rid"), "n_shingles", "low")
-    seen = staged(_low_prefixes(reps, num, den).groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
-    # the least count of which the table holds all; counts are at most a few thousand numbers for the driver
-    sizes = seen.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count("*").alias("tokens")).orderBy(F.desc("n")).toPandas()
-    least = next((n for n, total in zip(sizes["n"][::-1], sizes["tokens"].cumsum()[::-1]) if total <= known), 1001)
-    top = seen.where(F.col("n") >= int(least)).select("token").toPandas()["token"].to_numpy(np.int64)
-    common = spark.sparkContext.broadcast(np.sort(top.view(np.uint64)))
+    repeats = lambda rows, name: staged(rows.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), name)
+    tables = _tables(repeats(_low_prefixes(reps, num, den), "repeated"), table_bits)
+    # sets whose lowest hashes are mostly repeated reach for higher ones, so among these sets the higher ones count too
+    short = staged(_low_prefixes(reps, num, den, spark.sparkContext.broadcast(tables)).where("token is null").select("rid").distinct(), "short")
+    more = repeats(_passes(pick(texts, short, ["rid"], "left_semi", small), n, num, den, "rest"), "repeated-more")
+    tables = [a | b for a, b in zip(tables, _tables(more, table_bits), strict=True)]
+    common = spark.sparkContext.broadcast(tables)
     partly = staged(_low_prefixes(reps, num, den, common), "prefixes")
     rest = pick(texts, partly.where("token is null").select("rid"), ["rid"], "left_semi", small)
     prefixes = partly.where("token is not null").unionByName(staged(_passes(rest, n, num, den, "prefixes", common), "more-prefixes"))
@@ -257,7 +305,7 @@ def ngram_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id
     placed = staged(blocks.join(weights, "block").select("rid", "block", "weight", chunks.alias("chunks"), F.pmod(F.xxhash64("rid"), chunks).cast("int").alias("c")), "placed")
     # a chunk meets itself and every other of its block
     meets = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda k: F.struct(F.least("c", k).alias("i"), F.greatest("c", k).alias("j")))
-    sets = _passes(pick(texts, blocks.select("rid"), ["rid"], "left_semi", small), n, num, den, "sets").distinct()
+    sets = _passes(pick(texts, blocks.select("rid"), ["rid"], "left_semi", small), n, num, den, "sets")
     tasks = sets.join(placed, "rid").select("rid", "tokens", "block", "chunks", F.explode(meets).alias("m")).select("rid", "tokens", "block", "chunks", "m.i", "m.j")
     # blocks of one chunk share tasks, so that a task has about chunk_tokens n-grams either way
     light = placed.where("chunks = 1").select("block", "weight").distinct().agg(F.sum("weight")).first()[0] or 0

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_in, id_out, staged
+from .common import id_in, id_out, small_batches, staged
 from .pieces import text_chunks
 
 
@@ -26,7 +26,8 @@ def _coded(texts: list):
 
 
 def vocabulary(texts: DataFrame, size: int) -> list[str]:
-    """The most frequent words of all documents, at most ``size``; ties by word. Counts are summed over the whole corpus."""
+    """The frequent words of all documents, at most ``size``: those from the least sixteenth of a power of two on that leaves
+    so few. Counts are summed over the whole corpus; the driver gets the sizes of count classes, then the words."""
 
     def count(batches):
         total: Counter = Counter()
@@ -42,7 +43,13 @@ def vocabulary(texts: DataFrame, size: int) -> list[str]:
             yield pd.DataFrame({"w": list(total), "n": list(total.values())})
 
     counts = texts.select("t").mapInPandas(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    return [r["w"] for r in counts.orderBy(F.desc("n"), "w").limit(size).select("w").collect()]
+    counts = staged(counts.where("n > 0").withColumn("class", F.floor(F.log2("n") * 16).cast("int")), "word-counts")
+    total, least = 0, None
+    for r in sorted(counts.groupBy("class").agg(F.count("*").alias("words")).collect(), reverse=True):
+        if total + r["words"] > size:
+            break
+        total, least = total + r["words"], r["class"]
+    return [] if least is None else sorted(counts.where(F.col("class") >= least).select("w").toArrow().to_pandas()["w"])
 
 
 def _bucket(left: np.ndarray, right: np.ndarray, bits: int) -> np.ndarray:
@@ -70,11 +77,12 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary_size
     """One row per document: doc_id, n_words, in_target, target_loss, background_loss, loss_difference (mean nats a word).
 
     ``target`` holds the ids of the target documents; the background is all documents. Both models have the same words
-    (the ``vocabulary_size`` most frequent, one id for all others, one for a document's beginning) and the same 2 **
+    (the most frequent ones, at most ``vocabulary_size``; one id for all others, one for a document's beginning) and the same 2 **
     pair_bits pair counters, so their tables have a fixed size and their difference is not moved by unknown words.
     Lower differences are more like the target. No words (null, empty): 0 words and losses 0. An empty target leaves
     its model with the smoothing alone. Null ids are never in the target; repeated rows are scored each.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     ids = staged(target.select(F.col(target.columns[0]).cast("long").alias("d")).where("d is not null").distinct(), "target").withColumn("hit", F.lit(True))
     texts = docs.select(id_in(id_col).alias("d"), F.col(text_col).cast("string").alias("t"))
@@ -125,7 +133,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary_size
 
     sums = coded.mapInPandas(count, "what int, k long, background long, target long").groupBy("what", "k").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
     # at most 2 ** pair_bits + vocabulary_size rows, however many documents there are
-    got = sums.select("what", F.col("k").cast("int").alias("k"), F.col("background").cast("double").alias("b"), F.col("target").cast("double").alias("t")).toPandas()
+    got = sums.select("what", F.col("k").cast("int").alias("k"), F.col("background").cast("double").alias("b"), F.col("target").cast("double").alias("t")).toArrow().to_pandas()
     tables = {}
     for name in "bt":
         words, pairs = np.zeros(size), np.zeros(1 << pair_bits, np.float32)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pieces
-from .common import id_in, id_out
+from .common import id_in, id_out, small_batches
 
 
 def best_cuts(places: np.ndarray, penalties: np.ndarray, window: int) -> np.ndarray:
@@ -71,6 +71,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, s
     carries its last window on. Null text: the end id alone. Null doc_ids and repeated rows are documents like others.
     sequence_id is partition << 32 | number; the columns are doc_id, start, length, ids, doc_tokens, sequence_id, offset.
     """
+    small_batches(docs.sparkSession)
     if order_by:
         docs = docs.repartitionByRange(order_by).sortWithinPartitions(order_by)
 

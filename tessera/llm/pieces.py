@@ -140,7 +140,17 @@ def library_store(path: str) -> PieceStore:
     return _STORES["library", path]
 
 
-def text_chunks(texts: list, most_chars: int = 6_000_000):
+def tidy() -> None:
+    """Give memory that Arrow and the C library keep for later back; Python workers live as long as their executor."""
+    import ctypes
+    import sys
+
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def text_chunks(texts: list, most_chars: int = 3_000_000):
     """Slices of the rows with a bounded number of characters each (a longer single text stands alone)."""
     lo = size = 0
     for k, t in enumerate(texts):
@@ -151,3 +161,4 @@ def text_chunks(texts: list, most_chars: int = 6_000_000):
         size += n
     if lo < len(texts):
         yield lo, len(texts)
+    tidy()

@@ -118,7 +118,7 @@ def near_copies(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_
     n = good.count()
     found = None
     if n:
-        sample = good.orderBy(F.xxhash64("rep"), "rep", "k1").limit(fit_rows).select("e").toPandas()["e"]
+        sample = good.orderBy(F.xxhash64("rep"), "rep", "k1").limit(fit_rows).select("e").toArrow().to_pandas()["e"]
         dims = sample.map(len)
         dim = int(dims.mode()[0])
         q = Quantiser(_unit(np.stack(sample[dims == dim].to_list())), int(np.clip(n // rows_a_list, 1, most_lists)), m, codes)

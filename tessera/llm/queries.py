@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracle
 from .common import table
 
 
@@ -81,4 +82,4 @@ def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_pq_dedup, op2_token_file, op3_line_frequency, op4_licenses, op5_ngram_jaccard, op6_packing, op7_cross_entropy, op8_toxicity, op9_bpe, op10_preferences)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = dict(oracle.SQL)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_in, id_out, staged
+from .common import id_in, id_out, small_batches, staged
 from .pieces import text_chunks
 
 SPANS = (3, 4, 5)
@@ -35,7 +35,7 @@ def _words(texts: list):
 class Counts:
     """Counts of selected features in texts; the features of known words are kept, up to most_words of them."""
 
-    def __init__(self, names: list[str], most_words: int = 400_000):
+    def __init__(self, names: list[str], most_words: int = 150_000):
         self.index, self.most_words, self.known = {f: k for k, f in enumerate(names)}, most_words, {}
 
     def __call__(self, texts: list) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -207,6 +207,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, n_feature
     the rate of such examples. Null ids are never held out. Without labels of both classes every score is the rate of
     toxic labels (0 without labels). Repeated rows are scored each.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     rows, names, prior = fit(docs, labels, fit_rows, n_features, id_col, text_col, label_col)
     shared_names = spark.sparkContext.broadcast(names)
@@ -224,7 +225,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, n_feature
     for r in vectors.select(F.explode("terms").alias("f")).groupBy("f").agg(F.count("*").alias("n")).collect():  # a row per feature
         df[r["f"]] = r["n"]
     idf = np.log((1 + vectors.count()) / (1 + df)) + 1
-    examples = rows.select("d", "y", "t").toPandas().sort_values("d")  # at most fit_rows
+    examples = rows.select("d", "y", "t").toArrow().to_pandas().sort_values("d")  # at most fit_rows
     own = Counts(names)
     got = [own([t])[0] for t in examples["t"]] if names else [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(examples)
     shared = spark.sparkContext.broadcast(Model(names, idf, got, examples["y"].to_numpy(np.int64), examples["d"].to_numpy(np.int64), prior, k))

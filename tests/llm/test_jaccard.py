@@ -95,7 +95,8 @@ def test_awkward(spark, awkward):
     assert jaccard.ngram_classes(awkward.limit(0)).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("small", [0, 10_000])
+def test_components(spark, small):
     rng = np.random.default_rng(4)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (260, 2))] + [(1000 + k, 1001 + k) for k in range(60)] + [(2000, 2000 + k) for k in range(50)]
     low = {x: x for e in edges for x in e}
@@ -107,6 +108,6 @@ def test_components(spark):
             low[a] = low[b] = m
         if not moved:
             break
-    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), "t", small=small).collect()}
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: c for x, c in low.items() if x in linked}
