@@ -43,10 +43,22 @@ def shared_dir(spark: SparkSession) -> str:
     return conf
 
 
+def own_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_dir(spark)}/tessera-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application staged; results that are not yet written need it until then."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(own_dir(spark))
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write df once into the shared folder and read it back: lineage ends there and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
+    path = f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

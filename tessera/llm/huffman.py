@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import pieces
-from .common import NULL_ID, id_in, id_out, shared_dir, small_batches, staged
+from .common import id_in, id_out, NULL_ID, own_dir, small_batches, staged
 
 MAGIC = b"TSH1"
 
@@ -162,7 +162,7 @@ def write_dataset(tokens: DataFrame, vocabulary: int, limit: int = 16, block_tok
     n = np.zeros(vocabulary, np.int64)
     n[counts["id"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
     lengths = code_lengths(n, limit)
-    folder = f"{shared_dir(spark)}/tessera/ids-{uuid.uuid4().hex}"
+    folder = f"{own_dir(spark)}/ids-{uuid.uuid4().hex}"
     used = np.flatnonzero(lengths)
     spark.createDataFrame(pd.DataFrame({"id": used, "n_bits": lengths[used].astype(np.int64)}), "id long, n_bits long").coalesce(1).write.parquet(f"{folder}/codebook")
 

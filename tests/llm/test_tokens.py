@@ -139,3 +139,15 @@ def test_pack(spark, awkward, stream):
         assert b"".join(r["ids"] for r in own) == np.array(ids, "<u4").tobytes()
         assert {r["doc_tokens"] for r in own} == {len(ids)}
     assert packing.pack(awkward.limit(0), BYTE).count() == 0
+
+
+def test_release(spark, awkward):
+    from pathlib import Path
+
+    from tessera.llm import common
+
+    df = common.staged(awkward, "rows")
+    here = Path(common.own_dir(spark).removeprefix("file://"))
+    assert df.count() == awkward.count() and list(here.glob("rows-*"))
+    common.release(spark)
+    assert not here.exists()
