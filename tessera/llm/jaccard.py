@@ -34,7 +34,7 @@ def shingle_sets(texts: list, n: int = 4) -> list[np.ndarray]:
     import pyarrow.compute as pc
     import xxhash
 
-    if len(_WORDS) > 250_000:
+    if len(_WORDS) > 150_000:
         _WORDS.clear()
     t = pc.fill_null(pa.array(texts, pa.string()), "")
     words = pc.ascii_split_whitespace(pc.ascii_lower(t))  # blank and \x09-\x0D
@@ -73,45 +73,55 @@ def prefix_length(size: int, num: int, den: int) -> int:
 
 
 class SetTrie:
-    """A radix tree of ascending token sequences. Node: tokens seq[lo_doc][begin:end], documents lo..hi, children, least and
-    greatest set size below."""
+    """A radix tree of ascending token sequences, in arrays by levels (parents first, siblings together).
+
+    A node has the documents lo..hi in sorted order, the label between the depths begin and end (a slice of ``labels``
+    from ``at``), its children, and the least and greatest set size below.
+    """
 
     def __init__(self, seqs: list[np.ndarray]):
         self.order = sorted(range(len(seqs)), key=lambda k: seqs[k].tobytes())  # big-endian, so bytes sort as tokens
-        self.seqs = [seqs[k] for k in self.order]
-        self.size = np.array([len(s) for s in self.seqs])
+        self.seqs = [seqs[k].astype(np.int64) for k in self.order]
         n = len(seqs)
-        shared = [0] * (n + 1)  # common prefix with the sequence before
+        self.size = np.array([len(s) for s in self.seqs])
+        shared = np.zeros(n + 1, np.int64)  # common prefix with the sequence before
         for k in range(1, n):
             a, b = self.seqs[k - 1], self.seqs[k]
             m = min(len(a), len(b))
             d = np.flatnonzero(a[:m] != b[:m])
-            shared[k] = int(d[0]) if len(d) else m
-        self.nodes: list = []
-        self.root = self._build(0, n, 0, shared)
-
-    def _build(self, lo: int, hi: int, begin: int, shared: list[int]) -> int:
-        """Iterative: a range of sequences shares all tokens up to the least common prefix inside it."""
-        self.nodes.append(None)
-        work = [(0, lo, hi, begin)]
-        while work:
-            at, lo, hi, begin = work.pop()
-            end = len(self.seqs[lo]) if hi - lo == 1 else min(shared[lo + 1 : hi])
-            children, k = [], lo
-            if hi - lo > 1:
-                cuts = [lo, *[i for i in range(lo + 1, hi) if shared[i] == end], hi]
-                for a, b in zip(cuts, cuts[1:]):
-                    children.append(len(self.nodes))
-                    self.nodes.append(None)
-                    work.append((children[-1], a, b, end))
-            self.nodes[at] = (lo, hi, begin, end, children, int(self.size[lo:hi].min()), int(self.size[lo:hi].max()))
-        return 0
+            shared[k] = d[0] if len(d) else m
+        nodes, first, labels, level = [], [], [], [(0, n, 0)]
+        while level:
+            below = []
+            base = len(nodes) + len(level)
+            for lo, hi, begin in level:
+                end = len(self.seqs[lo]) if hi - lo == 1 else int(shared[lo + 1 : hi].min())
+                nodes.append((lo, hi, end, self.size[lo:hi].min(), self.size[lo:hi].max()))
+                labels.append(self.seqs[lo][begin:end])
+                cuts = [lo, *(np.flatnonzero(shared[lo + 1 : hi] == end) + lo + 1).tolist(), hi] if hi - lo > 1 else []
+                first.append((base + len(below), max(0, len(cuts) - 1)))
+                below += [(a, b, end) for a, b in zip(cuts, cuts[1:])]
+            level = below
+        self.lo, self.hi, self.end, self.least, self.most = (np.array(x, np.int64) for x in zip(*nodes))
+        self.child, self.children = (np.array(x, np.int64) for x in zip(*first))
+        self.length = np.array([len(x) for x in labels], np.int64)
+        self.labels = np.concatenate([*labels, np.zeros(1, np.int64)])
+        self.at = np.cumsum(self.length) - self.length
+        self.last = np.array([x[-1] if len(x) else -1 for x in labels], np.int64)
+
+
+def _spread(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """All positions of the slices, one after another."""
+    ends = np.cumsum(length)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - length), length)
 
 
 def trie_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
     """Pairs (i, j) that link and together connect all sets that links connect: a spanning forest of the exact join.
 
-    Two sets link when den * |a & b| >= num * |a | b|.
+    Two sets link when den * |a & b| >= num * |a | b|. A probing set goes down the tree level by level; the overlap of
+    a path is counted once for all sets below it. Subtrees end where remaining lengths rule links out, where only
+    earlier probes are left, or where all sets are connected with the probe already.
     """
     n = len(sets)
     if n < 2:
@@ -122,41 +132,43 @@ def trie_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, in
     rank[np.argsort(-times, kind="stable")] = np.arange(len(names))  # frequent first: the tree then shares long paths
     code = rank[code]
     cut = np.cumsum([0, *[len(s) for s in sets]])
-    seqs = [np.sort(code[a:b]).astype(">u4") for a, b in zip(cut, cut[1:])]
-    tree = SetTrie(seqs)
-    nodes, size = tree.nodes, tree.size
-    comp = np.arange(n)
-    member = np.zeros(len(names), bool)
-    out = []
+    t = SetTrie([np.sort(code[a:b]).astype(">u4") for a, b in zip(cut, cut[1:])])
+    comp, member, out = np.arange(n), np.zeros(len(names) + 1, np.int64), []
     for x in range(n):
-        own = tree.seqs[x]
+        own = t.seqs[x]
         nx = len(own)
         if not nx:
             continue
-        member[own] = True
-        work = [(0, 0)]
-        while work:
-            at, shared = work.pop()
-            lo, hi, begin, end, children, least, most = nodes[at]
-            if hi <= x + 1 or (comp[lo:hi] == comp[x]).all():
-                continue  # earlier sets probed this one already; connected sets need no second link
-            if den * min(nx, most) < num * max(nx, least) or not most:
-                continue
-            label = tree.seqs[lo][begin:end]
-            hit = shared + int(member[label].sum())
-            # of x, the tokens up to this node's last that the path lacks; of the sets below, those of the path that x lacks
-            passed = int(np.searchsorted(own, label[-1], side="right")) if len(label) else shared
-            bound = hit + min(nx - passed, most - end)
-            # |x & y| <= bound for every y below; a link needs (num + den) * |x & y| >= num * (|x| + |y|)
-            if (num + den) * bound < num * (nx + least):
-                continue
-            if children:
-                work.extend((c, hit) for c in children)
-                continue
-            if comp[lo] != comp[x] and den * hit >= num * (nx + int(size[lo]) - hit):
-                out.append((tree.order[x], tree.order[lo]))
-                comp[comp == comp[lo]] = comp[x]
-        member[own] = False
+        member[own] = 1
+        mine = np.concatenate([[0], np.cumsum(comp == comp[x])])
+        f, shared = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        while len(f):
+            lo, hi, most, least = t.lo[f], t.hi[f], t.most[f], t.least[f]
+            good = (hi > x + 1) & (mine[hi] - mine[lo] < hi - lo) & (most > 0) & (den * np.minimum(nx, most) >= num * np.maximum(nx, least))
+            f, shared = f[good], shared[good]
+            if not len(f):
+                break
+            length = t.length[f]
+            seen = np.concatenate([[0], np.cumsum(member[t.labels[_spread(t.at[f], length)]])])
+            ends = np.cumsum(length)
+            hit = shared + seen[ends] - seen[ends - length]
+            passed = np.where(length > 0, np.searchsorted(own, t.last[f], side="right"), shared)
+            # at most so many common tokens for every set below; a link needs (num + den) * |x & y| >= num * (|x| + |y|)
+            bound = hit + np.minimum(nx - passed, t.most[f] - t.end[f])
+            good = (num + den) * bound >= num * (nx + t.least[f])
+            f, hit = f[good], hit[good]
+            leaf = t.children[f] == 0
+            ends = f[leaf]
+            linked = t.lo[ends][den * hit[leaf] >= num * (nx + t.most[ends] - hit[leaf])]
+            for y in linked.tolist():
+                if comp[y] != comp[x]:
+                    out.append((t.order[x], t.order[y]))
+                    comp[comp == comp[y]] = comp[x]
+                    mine = np.concatenate([[0], np.cumsum(comp == comp[x])])
+            f, hit = f[~leaf], hit[~leaf]
+            shared = np.repeat(hit, t.children[f])
+            f = _spread(t.child[f], t.children[f])
+        member[own] = 0
     return out
 
 
@@ -164,34 +176,34 @@ def _place(s: np.ndarray, bits: int) -> np.ndarray:
     return ((s * _ODD[0]) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _repeated_table(tokens: DataFrame, bits: int) -> np.ndarray:
-    """A table of 2 ** bits bits with those of the tokens set, made in slices: the driver gets the slices, never the tokens."""
-    low = max(bits - 7, 3)
+def _tables(seen: DataFrame, table_bits: int) -> list[np.ndarray]:
+    """Bit tables of n-grams (token, n) by how often they are repeated; where one would fill up, its least count rises.
+
+    They are made in slices, one job for all: the driver gets the slices, never the n-grams.
+    """
+    sizes = seen.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count("*").alias("tokens")).orderBy(F.desc("n")).toArrow().to_pandas()
+    all_bits = [table_bits, table_bits - 2, table_bits - 4, table_bits - 6]
+    totals = list(zip(sizes["n"][::-1].tolist(), sizes["tokens"].cumsum()[::-1].tolist()))
+    least = [next((n for n, total in totals if n >= count and total <= (1 << bits) // 8), 1 << 62) for count, bits in zip((2, 8, 64, 512), all_bits)]
 
     def places(batches):
         for pdf in batches:
-            yield pd.DataFrame({"p": _place(pdf["token"].to_numpy(np.int64).view(np.uint64), bits)})
+            s, n = pdf["token"].to_numpy(np.int64).view(np.uint64), pdf["n"].to_numpy()
+            for k, (bits, low) in enumerate(zip(all_bits, least)):
+                p = _place(s[n >= low], bits)
+                yield pd.DataFrame({"level": np.full(len(p), k), "slice": p >> max(bits - 7, 3), "p": p & ((1 << max(bits - 7, 3)) - 1)})
 
     def mark(pdf: pd.DataFrame) -> pd.DataFrame:
-        on = np.zeros(1 << low, np.uint8)
-        on[pdf["p"].to_numpy() & ((1 << low) - 1)] = 1
-        return pd.DataFrame({"slice": [int(pdf["p"].iloc[0]) >> low], "table": [np.packbits(on, bitorder="little").tobytes()]})
-
-    marks = tokens.select("token").mapInPandas(places, "p long").groupBy(F.shiftright("p", low)).applyInPandas(mark, "slice long, table binary")
-    out = np.zeros(1 << (bits - 3), np.uint8)
-    for r in marks.toLocalIterator():
+        k = int(pdf["level"].iloc[0])
+        on = np.zeros(1 << max(all_bits[k] - 7, 3), np.uint8)
+        on[pdf["p"].to_numpy()] = 1
+        return pd.DataFrame({"level": [k], "slice": [pdf["slice"].iloc[0]], "table": [np.packbits(on, bitorder="little").tobytes()]})
+
+    out = [np.zeros(1 << (bits - 3), np.uint8) for bits in all_bits]
+    marks = seen.select("token", "n").mapInPandas(places, "level long, slice long, p long").groupBy("level", "slice").applyInPandas(mark, "level long, slice long, table binary")
+    for r in marks.collect():  # at most 2 ** table_bits bits and a third more
         own = np.frombuffer(r["table"], np.uint8)
-        out[r["slice"] * len(own) : (r["slice"] + 1) * len(own)] = own
-    return out
-
-
-def _tables(seen: DataFrame, table_bits: int) -> list[np.ndarray]:
-    """Bit tables of n-grams (token, n) by how often they are repeated; where one would fill up, its least count rises."""
-    sizes = seen.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count("*").alias("tokens")).orderBy(F.desc("n")).toArrow().to_pandas()
-    out = []
-    for count, bits in zip((2, 8, 64, 512), (table_bits, table_bits - 2, table_bits - 4, table_bits - 6)):
-        least = next((n for n, total in zip(sizes["n"][::-1], sizes["tokens"].cumsum()[::-1]) if n >= count and total <= (1 << bits) // 8), 1001)
-        out.append(_repeated_table(seen.where(F.col("n") >= int(least)), bits))
+        out[r["level"]][r["slice"] * len(own) : (r["slice"] + 1) * len(own)] = own
     return out
 
 
@@ -221,7 +233,7 @@ def _passes(rows: DataFrame, n: int, num: int, den: int, what: str, common=None)
 
         for pdf in batches:
             texts, rid = pdf["t"].tolist(), pdf["rid"].to_numpy()
-            for lo, hi in text_chunks(texts):
+            for lo, hi in text_chunks(texts, 1_500_000):
                 sets, own = shingle_sets(texts[lo:hi], n), rid[lo:hi]
                 if what == "digests":
                     low = [s[: 2 * prefix_length(len(s), num, den)].tobytes() for s in sets]
@@ -233,6 +245,7 @@ def _passes(rows: DataFrame, n: int, num: int, den: int, what: str, common=None)
                     yield _tokens(own, parts)
                 else:
                     yield pd.DataFrame({"rid": own, "tokens": [s.tobytes() for s in sets]})
+        _WORDS.clear()  # the worker lives on
 
     schema = {"digests": "doc_id long, n_shingles long, digest binary, low binary", "rest": "rid long, token long", "prefixes": "rid long, token long", "sets": "rid long, tokens binary"}[what]
     return rows.select("rid", "t").mapInPandas(run, schema)
@@ -248,8 +261,8 @@ def _low_prefixes(reps: DataFrame, num: int, den: int, common=None) -> DataFrame
 
     def run(batches):
         for pdf in batches:
-            for i in range(0, len(pdf), 2000):
-                part = pdf.iloc[i : i + 2000]
+            for i in range(0, len(pdf), 500):
+                part = pdf.iloc[i : i + 500]
                 rid, parts, lacking = part["rid"].to_numpy(), [], []
                 for r, size, low in zip(rid, part["n_shingles"].tolist(), part["low"]):
                     p, s = prefix_length(size, num, den), np.frombuffer(low, np.uint64)
@@ -268,7 +281,7 @@ def _low_prefixes(reps: DataFrame, num: int, den: int, common=None) -> DataFrame
     return reps.select("rid", "n_shingles", "low").mapInPandas(run, "rid long, token long")
 
 
-def ngram_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = 1_000_000, table_bits: int = 27, small: int = 1_000_000) -> DataFrame:
+def ngram_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = 250_000, table_bits: int = 27, small: int = 1_000_000) -> DataFrame:
     """(doc_id, n_shingles, component_id): smallest doc_id reachable by links, itself included; exact.
 
     No words: n_shingles 0 and a component of its own (null text counts as empty). Null ids: a component of their own
