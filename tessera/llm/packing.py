@@ -120,7 +120,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, s
 
         for pdf in batches:
             texts, names = pdf["t"].tolist(), pdf["d"].tolist()
-            for lo, hi in pieces.text_chunks(texts, 1_000_000):
+            for lo, hi in pieces.text_chunks(texts):
                 new, lens = store.ids_of(pieces.blank_cuts(texts[lo:hi]))
                 ids = np.concatenate([ids, np.insert(new, np.cumsum(lens), end_id)])
                 parts += [(d, 0, n + 1, n + 1) for d, n in zip(names[lo:hi], lens.tolist())]
@@ -139,12 +139,11 @@ _ENDS: dict[str, np.ndarray] = {}
 def _sentence_ends(tokenizer: str) -> np.ndarray:
     """For each id, whether its string closes a sentence or a line."""
     if tokenizer not in _ENDS:
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(tokenizer)
+        vocabulary = pieces.library_store(tokenizer).vocabulary()
         line = pieces.byte_chars()[10]
-        out = np.zeros(tok.get_vocab_size() + 1, bool)
-        for t, k in tok.get_vocab().items():
+        out = np.zeros(max(vocabulary.values()) + 2, bool)
+        for t, k in vocabulary.items():
             out[k] = t[-1:] in (".", "!", "?", line) or line in t
         _ENDS[tokenizer] = out
+        pieces.tidy()
     return _ENDS[tokenizer]

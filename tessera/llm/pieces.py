@@ -20,8 +20,8 @@ _STOP = r"([a-z])([.,])([ \n]|\z)"
 class PieceStore:
     """Grows one flat array of ids; a piece's ids are a slice of it. Emptied when max_pieces is passed."""
 
-    def __init__(self, encode_new, max_pieces: int = 700_000):
-        self.encode_new, self.max_pieces = encode_new, max_pieces
+    def __init__(self, encode_new, max_pieces: int = 450_000):
+        self.encode_new, self.max_pieces, self.vocabulary = encode_new, max_pieces, dict
         self.clear()
 
     def clear(self) -> None:
@@ -137,6 +137,7 @@ def library_store(path: str) -> PieceStore:
             return out
 
         _STORES["library", path] = PieceStore(encode_new)
+        _STORES["library", path].vocabulary = tok.get_vocab
     return _STORES["library", path]
 
 
