@@ -1,4 +1,4 @@
-"""Cross-entropy difference of a target and a background bigram model over one vocabulary."""
+"""Cross-entropy difference of a target and a background bigram model that count every word and every word pair."""
 
 from __future__ import annotations
 
@@ -12,6 +12,15 @@ from pyspark.sql import functions as F
 from .common import id_in, id_out, small_batches, staged
 from .pieces import text_chunks
 
+#: Keys that stand for a document's beginning, for all words outside a limited vocabulary, and for no left word (counts of single words).
+BEGIN, OTHER, SINGLE = 0, 1, 2
+#: Bytes of a word's key. That no two words of the corpus share one is checked when they are counted; if two do, all are dealt anew.
+KEY_BYTES = 7
+#: Characters of a part: within it, each word and pair is counted and looked up once.
+PART_CHARS = 16_000_000
+#: Words and pairs of parts that are summed at once.
+GROUP_ROWS = 4_000_000
+
 
 def _coded(texts: list):
     """Distinct lower-case words of a batch, every document's words as indices into them, and where its words end."""
@@ -52,105 +61,185 @@ def vocabulary(texts: DataFrame, size: int) -> list[str]:
     return [] if least is None else sorted(counts.where(F.col("class") >= least).select("w").toArrow().to_pandas()["w"])
 
 
-def _bucket(left: np.ndarray, right: np.ndarray, bits: int) -> np.ndarray:
-    x = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
-    return ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+def _keys(words: list, seed: int) -> np.ndarray:
+    raw = pd.util.hash_array(np.array(words, object), hash_key=f"tessera-{seed:08d}", categorize=False)
+    return (raw % np.uint64((1 << 8 * KEY_BYTES) - 3) + np.uint64(3)).astype(np.int64)
 
 
-class Bigrams:
-    """Word counts and hashed word-pair counts of one model. A pair's probability leans on its word's by ``lean`` counts:
+def _pack(values: np.ndarray, width: int) -> bytes:
+    """Whole numbers in zstd, each of their ``width`` bytes in a row of its own."""
+    import pyarrow as pa
+
+    plane = np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return pa.Codec("zstd", 1).compress(plane.tobytes(), asbytes=True)
 
-    p(w | v) = (c(v, w) + lean * p(w)) / (c(v) + lean), with p(w) = (c(w) + 1/2) / (N + V / 2).
-    """
 
-    def __init__(self, words: np.ndarray, pairs: np.ndarray, lean: float = 4.0):
-        self.words, self.pairs, self.lean = words.astype(np.float64), pairs.astype(np.float32), lean
-        self.single = (self.words + 0.5) / (self.words.sum() + 0.5 * len(words))
+def _unpack(raw: bytes, n: int, width: int) -> np.ndarray:
+    import pyarrow as pa
 
-    def losses(self, left: np.ndarray, right: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-        """Nats of each right word after its left one."""
-        seen = np.minimum(self.pairs[bucket], self.words[left])  # words of other pairs in the bucket never make more than c(v)
-        return -np.log((seen + self.lean * self.single[right]) / (self.words[left] + self.lean))
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(pa.Codec("zstd").decompress(raw, n * width), np.uint8).reshape(width, n).T
+    return out.reshape(-1).view("<i8")
+
+
+def _digest(row: dict, groups: int):
+    """Of one part: the words of each document, the number of each place's pair, the words of each pair, and keys, group and
+    order of all that is counted, the pairs first and then the words with the beginning as the last one."""
+    keys, right = np.append(np.frombuffer(row["keys"], np.int64), BEGIN), np.frombuffer(row["ids"], "<u4").astype(np.int64)
+    lens, begin = np.frombuffer(row["lens"], np.int64), len(keys) - 1
+    left = np.concatenate([[begin], right[:-1]]) if len(right) else right.copy()
+    left[(np.cumsum(lens) - lens)[lens > 0]] = begin
+    both, pair = np.unique(left * (begin + 1) + right, return_inverse=True)
+    left, right = both // (begin + 1), both % (begin + 1)
+    l, r = np.concatenate([keys[left], np.full(begin + 1, SINGLE)]), np.concatenate([keys[right], keys])
+    mixed = (l.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ r.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+    group = ((mixed >> np.uint64(32)) % np.uint64(groups)).astype(np.int64)
+    return lens, pair, left, right, l, r, group, np.lexsort((l, group))
+
+
+def _parts(texts: DataFrame, seed: int, names: list[str] | None) -> DataFrame:
+    """Texts(d, t, hit) in parts, one a row: ids, hits and numbers of words of its documents, their words as numbers, and each
+    number's word and key."""
+    shared = None if names is None else texts.sparkSession.sparkContext.broadcast(names)
+
+    def part(k: int, d: list, hit: list, texts: list, known):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        words, at, bounds = _coded(texts)
+        words = words.to_pylist()
+        if "" in words:  # it stands at no place
+            gone = words.index("")
+            words, at = words[:gone] + words[gone + 1 :], at - (at > gone)
+        keys = _keys(words, seed)
+        if known is not None:
+            outside = ~pc.is_in(pa.array(words, pa.string()), value_set=known).to_numpy(zero_copy_only=False)
+            keys[outside] = OTHER
+            words = ["" if x else w for w, x in zip(words, outside)]
+        row = {"part": k, "n": len(at), "d": np.array(d, np.int64).tobytes(), "hit": np.array(hit, bool).tobytes(), "lens": np.diff(bounds).astype(np.int64).tobytes(), "ids": at.astype("<u4").tobytes(), "keys": keys.tobytes(), "words": "\n".join(words).encode()}
+        return pa.RecordBatch.from_pylist([row], pa.schema([(c, pa.int64() if c in ("part", "n") else pa.binary()) for c in row]))
 
+    def encode(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        known = None if shared is None else pa.array(shared.value, pa.string())
+        k, d, hit, t, chars = TaskContext.get().partitionId() << 32, [], [], [], 0
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            for lo, hi in text_chunks(columns[1]):
+                more = sum(len(x or "") for x in columns[1][lo:hi])
+                if d and chars + more > PART_CHARS:
+                    yield part(k, d, hit, t, known)
+                    k, d, hit, t, chars = k + 1, [], [], [], 0
+                chars += more
+                for held, c in zip((d, hit, t), (columns[0], columns[2], columns[1])):
+                    held += c[lo:hi]
+        if d:
+            yield part(k, d, hit, t, known)
+
+    return texts.select("d", "t", "hit").mapInArrow(encode, "part long, n long, d binary, hit binary, lens binary, ids binary, keys binary, words binary")
+
+
+def _counted(parts: DataFrame, groups: int) -> DataFrame:
+    """For each part and group the corpus's counts of the part's words and pairs of the group, in their order, and for each group
+    its distinct words, their counts and the words that share a key."""
+    import pyarrow as pa
 
-def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary_size: int = 1 << 16, pair_bits: int = 20, id_col: str = "doc_id", text_col: str = "text", small: int = 2_000_000) -> DataFrame:
+    sent = pa.schema([("group", pa.int64()), ("part", pa.int64()), ("n", pa.int64()), *[(c, pa.binary()) for c in ("l", "r", "b", "t", "words")]])
+
+    def own(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                lens, pair, left, right, l, r, group, order = _digest(row, groups)
+                hit, n, begin = np.frombuffer(row["hit"], bool), len(left), len(l) - len(left) - 1
+                words, at = np.array([*(row["words"].decode().split("\n") if begin else []), ""], object), np.frombuffer(row["ids"], "<u4").astype(np.int64)
+                counts = []
+                for mine, docs in ((slice(None), lens > 0), (np.repeat(hit, lens), hit & (lens > 0))):
+                    c = np.concatenate([np.bincount(pair[mine], minlength=n), np.bincount(at[mine], minlength=begin + 1)])
+                    c[-1] = docs.sum()
+                    counts.append(c)
+                ends = np.searchsorted(group[order], np.arange(groups + 1))
+                out = []
+                for g in np.flatnonzero(np.diff(ends)):
+                    o = order[ends[g] : ends[g + 1]]
+                    text = pa.compress("\n".join(words[o[o >= n] - n]).encode(), "zstd", asbytes=True) if (o >= n).any() else b""
+                    size = sum(len(w.encode()) + 1 for w in words[o[o >= n] - n]) - 1
+                    out.append({"group": int(g), "part": row["part"], "n": len(o), "l": _pack(l[o], KEY_BYTES), "r": _pack(r[o], KEY_BYTES), "b": _pack(counts[0][o], 5), "t": _pack(counts[1][o], 5), "words": size.to_bytes(8, "little") + text if text else b""})
+                yield pa.RecordBatch.from_pylist(out, sent)
+
+    def total(table):
+        rows = table.to_pylist()
+        sizes = [x["n"] for x in rows]
+        l, r = (np.concatenate([_unpack(x[c], x["n"], KEY_BYTES) for x in rows]) for c in "lr")
+        order = np.lexsort((r, l))
+        new = np.concatenate([[True], (l[order][1:] != l[order][:-1]) | (r[order][1:] != r[order][:-1])])
+        same = np.empty(len(l), np.int64)
+        same[order] = np.cumsum(new) - 1
+        first = order[new]
+        single = l == SINGLE
+        text = np.array([w for x in rows if x["words"] for w in pa.decompress(x["words"][8:], int.from_bytes(x["words"][:8], "little"), "zstd", asbytes=True).decode().split("\n")], object)
+        place = np.cumsum(single) - 1
+        clashes = int((text != text[place[first[same[single]]]]).sum()) if len(text) else 0
+        out = {"part": [x["part"] for x in rows], "group": [x["group"] for x in rows], "n": sizes}
+        sums = {}
+        ends = np.cumsum([0, *sizes])
+        for c in "bt":
+            n = np.bincount(same, np.concatenate([_unpack(x[c], x["n"], 5) for x in rows]), minlength=len(first)).astype(np.int64)
+            sums[c] = int(n[single[first]].sum())
+            n = n[same]
+            out[c] = [_pack(n[x:y], 6) for x, y in zip(ends, ends[1:])]
+        rest = [None] * (len(rows) - 1)
+        return pa.table({**out, "words": pa.array([int(single[first].sum()), *rest], pa.int64()), "all_b": pa.array([sums["b"], *rest], pa.int64()), "all_t": pa.array([sums["t"], *rest], pa.int64()), "clashes": pa.array([clashes, *rest], pa.int64())})
+
+    rows = parts.mapInArrow(own, "group long, part long, n long, l binary, r binary, b binary, t binary, words binary")
+    return rows.groupBy("group").applyInArrow(total, "part long, group long, n long, b binary, t binary, words long, all_b long, all_t long, clashes long")
+
+
+def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary_size: int | None = None, id_col: str = "doc_id", text_col: str = "text", small: int = 2_000_000, lean: float = 4.0) -> DataFrame:
     """One row per document: doc_id, n_words, in_target, target_loss, background_loss, loss_difference (mean nats a word).
 
-    ``target`` holds the ids of the target documents; the background is all documents. Both models have the same words
-    (the most frequent ones, at most ``vocabulary_size``; one id for all others, one for a document's beginning) and the same 2 **
-    pair_bits pair counters, so their tables have a fixed size and their difference is not moved by unknown words.
+    ``target`` holds the ids of the target documents; the background is all documents. Every word and every pair of
+    neighbours (a document's beginning counts as a word) is counted exactly; the counts stay in tables that grow with the
+    corpus. A pair's probability leans on its word's by ``lean`` counts:
+    p(w | v) = (c(v, w) + lean * p(w)) / (c(v) + lean), with p(w) = (c(w) + 1/2) / (N + V / 2).
+    Both models have the same V words, so their difference is not moved by unknown words. A given ``vocabulary_size``
+    makes one word of all but the most frequent ones; without it no word is dropped.
     Lower differences are more like the target. No words (null, empty): 0 words and losses 0. An empty target leaves
     its model with the smoothing alone. Null ids are never in the target; repeated rows are scored each.
     """
     small_batches(docs.sparkSession)
-    spark = docs.sparkSession
     ids = staged(target.select(F.col(target.columns[0]).cast("long").alias("d")).where("d is not null").distinct(), "target").withColumn("hit", F.lit(True))
     texts = docs.select(id_in(id_col).alias("d"), F.col(text_col).cast("string").alias("t"))
-    names = vocabulary(texts, vocabulary_size - 2)
-    shared = spark.sparkContext.broadcast(names)
-    size = len(names) + 2
-    other, begin = size - 2, size - 1
-
-    def encode(batches):
-        index = {w: k for k, w in enumerate(shared.value)}
-        for pdf in batches:
-            t = pdf["t"].tolist()
-            for lo, hi in text_chunks(t):
-                words, at, bounds = _coded(t[lo:hi])
-                code = np.fromiter((index.get(w, other) for w in words.to_pylist()), np.int64, len(words))
-                raw, b = code[at].astype("<u2" if size <= 1 << 16 else "<u4").tobytes(), bounds.tolist()
-                w = 2 if size <= 1 << 16 else 4
-                yield pd.DataFrame({"d": pdf["d"].iloc[lo:hi].values, "ids": [raw[w * x : w * y] for x, y in zip(b, b[1:])]})
-
-    kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-    coded = staged(texts.mapInPandas(encode, "d long, ids binary"), "word-ids")
-    coded = coded.join(F.broadcast(ids) if ids.count() <= small else ids, "d", "left").select("d", "ids", F.coalesce("hit", F.lit(False)).alias("hit"))
-
-    def steps(part: pd.DataFrame):
-        """Of some documents: every word with the one before it, and the words of each document."""
-        lens = np.array([len(x) // kind.itemsize for x in part["ids"]], np.int64)
-        right = np.frombuffer(b"".join(part["ids"]), kind).astype(np.int64)
-        left = np.concatenate([[begin], right[:-1]]) if len(right) else right
-        starts = (np.cumsum(lens) - lens)[lens > 0]
-        left[starts] = begin
-        return left, right, _bucket(left, right, pair_bits), lens
-
-    def count(batches):
-        words, pairs = np.zeros((2, size), np.int64), np.zeros((2, 1 << pair_bits), np.int64)
-        for pdf in batches:
-            for i in range(0, len(pdf), 2000):
-                part = pdf.iloc[i : i + 2000]
-                left, right, bucket, lens = steps(part)
-                hit = np.repeat(part["hit"].to_numpy(bool), lens)
-                # c(v) counts a word wherever another follows, c(w) every place; both are taken as c here, with the beginning's
-                for k, own in enumerate((slice(None), hit)):
-                    words[k] += np.bincount(right[own], minlength=size)
-                    words[k][begin] += int((left[own] == begin).sum())
-                    pairs[k] += np.bincount(bucket[own], minlength=1 << pair_bits)
-        for what, table in ((0, words), (1, pairs)):
-            some = np.flatnonzero(table[0])
-            yield pd.DataFrame({"what": what, "k": some, "background": table[0][some], "target": table[1][some]})
-
-    sums = coded.mapInPandas(count, "what int, k long, background long, target long").groupBy("what", "k").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-    # at most 2 ** pair_bits + vocabulary_size rows, however many documents there are
-    got = sums.select("what", F.col("k").cast("int").alias("k"), F.col("background").cast("double").alias("b"), F.col("target").cast("double").alias("t")).toArrow().to_pandas()
-    tables = {}
-    for name in "bt":
-        words, pairs = np.zeros(size), np.zeros(1 << pair_bits, np.float32)
-        for what, table in ((0, words), (1, pairs)):
-            own = got[got["what"] == what]
-            table[own["k"].to_numpy()] = own[name].to_numpy()
-        tables[name] = Bigrams(words, pairs)
-    del got
-    models = spark.sparkContext.broadcast((tables["t"], tables["b"]))
-
-    def score(batches):
-        for pdf in batches:
-            for i in range(0, len(pdf), 2000):
-                part = pdf.iloc[i : i + 2000]
-                left, right, bucket, lens = steps(part)
-                doc = np.repeat(np.arange(len(part)), lens)
-                t, b = (np.bincount(doc, m.losses(left, right, bucket), minlength=len(part)) / np.maximum(lens, 1) for m in models.value)
-                yield pd.DataFrame({"doc_id": part["d"].values, "n_words": lens, "in_target": part["hit"].values, "target_loss": t, "background_loss": b, "loss_difference": t - b})
-
-    return coded.mapInPandas(score, "doc_id long, n_words long, in_target boolean, target_loss double, background_loss double, loss_difference double").withColumn("doc_id", id_out("doc_id"))
+    names = None if vocabulary_size is None else vocabulary(texts, vocabulary_size - 2)
+    texts = texts.join(F.broadcast(ids) if ids.count() <= small else ids, "d", "left").select("d", "t", F.coalesce("hit", F.lit(False)).alias("hit"))
+    for seed in range(8):
+        parts = staged(_parts(texts, seed, names), "word-ids")
+        groups = max(24, -(-(parts.agg(F.sum("n")).first()[0] or 0) // (2 * GROUP_ROWS)))  # a part has about half as many words and pairs as places
+        counts = staged(_counted(parts, groups), "word-counts")
+        n_words, n_background, n_target, clashes = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "all_b", "all_t", "clashes")]).first()
+        if not clashes:
+            break
+    else:
+        raise RuntimeError("cross_entropy_difference: words share a key under every seed")
+    n_words = n_words if names is None else len(names) + 2
+
+    def score(own, counts):
+        import pyarrow as pa
+
+        row, rows = own.to_pylist()[0], sorted(counts.to_pylist(), key=lambda x: x["group"])
+        lens, pair, left, right, l, r, group, order = _digest(row, groups)
+        doc, out = np.repeat(np.arange(len(lens)), lens), {}
+        for name, total in (("t", n_target), ("b", n_background)):
+            n = np.empty(len(order))
+            n[order] = np.concatenate([_unpack(x[name], x["n"], 6) for x in rows])
+            both, word = n[: len(left)], n[len(left) :]
+            loss = -np.log((both + lean * (word[right] + 0.5) / (total + 0.5 * n_words)) / (word[left] + lean)) if len(left) else both
+            out[name] = np.bincount(doc, loss[pair], minlength=len(lens)) / np.maximum(lens, 1)
+        return pa.table({"doc_id": np.frombuffer(row["d"], np.int64), "n_words": lens, "in_target": pa.array(np.frombuffer(row["hit"], bool)), "target_loss": out["t"], "background_loss": out["b"], "loss_difference": out["t"] - out["b"]})
+
+    schema = "doc_id long, n_words long, in_target boolean, target_loss double, background_loss double, loss_difference double"
+    own = parts.select("part", "d", "hit", "lens", "ids", "keys")
+    scored = own.groupBy("part").cogroup(counts.select("part", "group", "n", "b", "t").groupBy("part")).applyInArrow(score, schema)
+    return scored.withColumn("doc_id", id_out("doc_id"))

@@ -81,3 +81,27 @@ def test_preferences_equal_brute_force(spark):
             assert whole == "".join(map(show, turns))
             assert [whole[s["start"] : s["start"] + s["length"]] for s in r[f"{side}_spans"]] == [t + "<|end|>" for role, t in turns[n:] if role == "assistant"]
     assert preferences.preference_rows(preferences.by_opening(preferences.gather(df.limit(0)))).count() == 0
+
+
+def test_losses_of_all_words_equal_brute_force(spark):
+    """More words and pairs than fixed tables held: every one is counted by itself, in both models and over parts."""
+    rng = np.random.default_rng(3)
+    docs = [(d, " ".join(f"w{int(x)}" for x in rng.integers(0, 90_000, 2_000))) for d in range(120)] + [(500, "rare words rare words"), (501, "words rare words rare")]
+    target = set(range(0, 120, 3)) | {500}
+    seqs = {d: [None, *t.split()] for d, t in docs}
+
+    def model(ids):
+        uni, bi = Counter(), Counter()
+        for d in ids:
+            uni.update(seqs[d][1:])
+            uni[None] += 1
+            bi.update(zip(seqs[d], seqs[d][1:]))
+        total, n = sum(uni.values()), len({w for s in seqs.values() for w in s})
+        return lambda a, b: -math.log((bi[a, b] + 4 * (uni[b] + 0.5) / (total + n / 2)) / (uni[a] + 4))
+
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows = {r["doc_id"]: r for r in lm_scores.cross_entropy_difference(df, spark.createDataFrame([(x,) for x in target], "doc_id long")).collect()}
+    assert len({w for s in seqs.values() for w in s}) > 1 << 16
+    for name, m in (("target_loss", model(target)), ("background_loss", model(seqs))):
+        for d, s in seqs.items():
+            assert math.isclose(rows[d][name], sum(m(a, b) for a, b in zip(s, s[1:])) / (len(s) - 1), rel_tol=1e-9), (name, d)
