@@ -68,26 +68,45 @@ def depleted_keys(docs: DataFrame, id_col: str = "doc_id", host_col: str = "sour
     """Keys of documents of which less than ``min_left`` of the word characters is left without their host's frequent lines.
 
     A line (lower case, runs of white space as one blank, digits as 0) is frequent in a host when more than ``max_docs``
-    distinct documents have it. Copies count as one document: where over half of a document is lines that so many
-    rows have, it stands for its class, named by the least hash of those lines. So a group of copies alone makes
-    no line frequent, and one document of it can stay.
+    distinct documents have it. Documents with the same set of lines are one, and so are near copies: documents that
+    differ from the lines most of their fellows have by lines changed or left out, at most a quarter of them. What has lines of
+    its own beside all of the shared ones (a menu and an own line) is a document of its own, however little that is.
     """
     norm = lambda x: F.regexp_replace(F.regexp_replace(F.lower(F.trim(x)), r"\s+", " "), "[0-9]", "0")
     rows = F.array_distinct(F.transform(lines_of(F.col(text_col).cast("string")), lambda x: F.struct(F.xxhash64(norm(x)).alias("h"), F.length(x).alias("n"))))
+    names = F.array_sort(F.array_distinct(F.col("r.h")))
     lines = (
         docs.select(_key(id_col, host_col, text_col).alias("k"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), rows.alias("r"))
-        .select("k", "host", F.aggregate("r", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("all"), F.explode("r").alias("r"))
-        .select("k", "host", "all", "r.h", "r.n")
+        .select("k", "host", F.aggregate("r", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("all"), F.xxhash64(names).alias("set"), F.size(names).alias("lines"), F.explode("r").alias("r"))
+        .select("k", "host", "all", "set", "lines", "r.h", "r.n")
     )
-    often = lines.groupBy("host", "h").agg(F.count("*").alias("docs")).where(F.col("docs") > max_docs).select("host", "h")
-    shared = staged(lines.join(often, ["host", "h"]), "shared-lines")
-    classes = shared.groupBy("k").agg((2 * F.sum("n") > F.first("all")).alias("copy"), F.min("h").alias("least"))
-    classes = classes.select("k", F.when(F.col("copy"), F.col("least")).otherwise(F.col("k")).alias("c"))
-    frequent = shared.join(classes, "k").select("host", "h", "c").distinct().groupBy("host", "h").agg(F.count("*").alias("docs")).where(F.col("docs") > max_docs).select("host", "h")
+    # lines of over half of any max_docs + 1 documents are among these
+    often = lines.groupBy("host", "h").agg(F.count("*").alias("docs")).where(F.col("docs") > max_docs // 2).select("host", "h")
+    shared = staged(lines.join(often, ["host", "h"]).distinct(), "shared-lines")
+    one = shared.join(shared.groupBy("host", "set").agg(F.min("k").alias("k")), ["host", "set", "k"])
+    frequent = one.select("host", "h", "set").join(_near_copies(one), ["host", "set"], "left").select("host", "h", F.coalesce("copy_of", "set").alias("c"))
+    frequent = frequent.distinct().groupBy("host", "h").agg(F.count("*").alias("docs")).where(F.col("docs") > max_docs).select("host", "h")
     left = shared.join(frequent, ["host", "h"]).groupBy("k").agg((F.first("all") - F.sum("n")).alias("left"), F.first("all").alias("all"))
     return staged(left.where(F.col("left") < min_left * F.col("all")).select("k"), "depleted")
 
 
+def _near_copies(one: DataFrame, anchors: int = 3) -> DataFrame:
+    """(host, set, copy_of) of the documents (host, set, lines, all, h, n) that are copies with changed or missing lines.
+
+    Documents over half of which is shared lines are held against those that have one of their least lines as one of the
+    least, too: the lines of over half of these are the original. A copy has no more lines beside the original's than
+    it lacks of them, and lacks a quarter at most.
+    """
+    mostly = one.groupBy("host", "set").agg((2 * F.sum("n") > F.first("all")).alias("mostly"), F.first("lines").alias("lines"), F.slice(F.array_sort(F.collect_set("h")), 1, anchors).alias("least")).where("mostly")
+    seat = staged(mostly.select("host", "set", "lines", F.explode("least").alias("a")), "anchors")
+    rows = seat.join(one.select("host", "set", "h").distinct(), ["host", "set"])
+    size = seat.groupBy("host", "a").agg(F.count("*").alias("members"))
+    core = staged(rows.groupBy("host", "a", "h").agg(F.count("*").alias("have")).join(size, ["host", "a"]).where("2 * have > members").select("host", "a", "h"), "originals")
+    held = rows.join(core, ["host", "a", "h"]).groupBy("host", "set", "a").agg(F.first("lines").alias("lines"), F.count("*").alias("held"))
+    held = held.join(core.groupBy("host", "a").agg(F.count("*").alias("size")), ["host", "a"])
+    return held.where("lines - held <= size - held AND 4 * (size - held) <= size").groupBy("host", "set").agg(F.min("a").alias("copy_of"))
+
+
 def quality(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", max_docs: int = 20, min_left: float = 0.25, broadcast_rows: int = 500_000) -> DataFrame:
     """The rows of docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, depleted and kept.
 

@@ -44,6 +44,19 @@ def test_line_frequency(spark):
     assert all(r["kept"] for k, r in got.items() if k < 40 or 200 <= k < 400)
 
 
+def test_menu_documents_are_distinct(spark):
+    """Different documents that are mostly one shared menu count one by one; copies with changed lines do not, however many."""
+    letters = lambda k: "".join("abcdefghij"[int(c)] for c in str(k))
+    own = lambda k, n: " ".join(f"w{letters(k)}x{letters(j)}" for j in range(10, 10 + n))
+    rows = [(k, "menus", "Home Contact " + "nav " * 100 + "\n" + "Imprint Privacy " + "foot " * 60 + "\n" + own(1000 + k, 15)) for k in range(100)]
+    rows += [(200 + k, "long", "\n".join([*("menu " * 5 + letters(j) * 3 for j in range(12)), own(3000 + k, 5)])) for k in range(30)]
+    rows += [(1000 + k, "copies", "\n".join(own(5000 + k, 20) if j == k % 5 else own(2000 + j, 20) for j in range(5))) for k in range(300)]
+    rows += [(2000 + k, "copies", "\n".join(own(2000 + j, 20) for j in range(5))) for k in range(30)]
+    rows += [(3000, "twice", own(7000, 60) + "\n" + "nav " * 20)] * 30
+    got = {r["doc_id"]: r["depleted"] for r in line_rules.quality(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
+    assert {k for k, gone in got.items() if gone} == {*range(100), *range(200, 230)}
+
+
 def places(text):
     w = [x for x in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({i: i + 32 for i in range(65, 91)})) if x]
     found = [(i, label) for label, p in licenses.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
