@@ -61,80 +61,98 @@ def base_counts(text: Column) -> dict[str, Column]:
 
 
 def _key(id_col: str, host_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.col(id_col), F.col(host_col).cast("string"), F.col(text_col).cast("string"))
+    return F.xxhash64(F.col(id_col).cast("string"), F.col(host_col).cast("string"), F.col(text_col).cast("string"))
 
 
-def depleted_keys(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", max_docs: int = 20, min_left: float = 0.25) -> DataFrame:
-    """Keys of documents of which less than ``min_left`` of the word characters is left without their host's frequent lines.
+def _host(host_col: str) -> Column:
+    return F.coalesce(F.col(host_col).cast("string"), F.lit(""))
 
-    A line (lower case, runs of white space as one blank, digits as 0) is frequent in a host when more than ``max_docs``
-    distinct documents have it. Documents with the same set of lines are one, and so are near copies: documents that
-    differ from the lines most of their fellows have by lines changed or left out, at most a quarter of them. What has lines of
-    its own beside all of the shared ones (a menu and an own line) is a document of its own, however little that is.
-    """
-    norm = lambda x: F.regexp_replace(F.regexp_replace(F.lower(F.trim(x)), r"\s+", " "), "[0-9]", "0")
-    rows = F.array_distinct(F.transform(lines_of(F.col(text_col).cast("string")), lambda x: F.struct(F.xxhash64(norm(x)).alias("h"), F.length(x).alias("n"))))
-    names = F.array_sort(F.array_distinct(F.col("r.h")))
-    lines = (
-        docs.select(_key(id_col, host_col, text_col).alias("k"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), rows.alias("r"))
-        .select("k", "host", F.aggregate("r", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("all"), F.xxhash64(names).alias("set"), F.size(names).alias("lines"), F.explode("r").alias("r"))
-        .select("k", "host", "all", "set", "lines", "r.h", "r.n")
-    )
-    # lines of over half of any max_docs + 1 documents are among these
-    often = lines.groupBy("host", "h").agg(F.count("*").alias("docs")).where(F.col("docs") > max_docs // 2).select("host", "h")
-    shared = staged(lines.join(often, ["host", "h"]).distinct(), "shared-lines")
-    one = shared.join(shared.groupBy("host", "set").agg(F.min("k").alias("k")), ["host", "set", "k"])
-    frequent = one.select("host", "h", "set").join(_near_copies(one), ["host", "set"], "left").select("host", "h", F.coalesce("copy_of", "set").alias("c"))
-    frequent = frequent.distinct().groupBy("host", "h").agg(F.count("*").alias("docs")).where(F.col("docs") > max_docs).select("host", "h")
-    left = shared.join(frequent, ["host", "h"]).groupBy("k").agg((F.first("all") - F.sum("n")).alias("left"), F.first("all").alias("all"))
-    return staged(left.where(F.col("left") < min_left * F.col("all")).select("k"), "depleted")
-
-
-def _near_copies(one: DataFrame, anchors: int = 3) -> DataFrame:
-    """(host, set, copy_of) of the documents (host, set, lines, all, h, n) that are copies with changed or missing lines.
-
-    Documents over half of which is shared lines are held against those that have one of their least lines as one of the
-    least, too: the lines of over half of these are the original. A copy has no more lines beside the original's than
-    it lacks of them, and lacks a quarter at most.
+
+def normal(text: Column) -> Column:
+    """Lower case, runs of white space within a line as one blank, digits as 0; lines stay lines."""
+    return F.regexp_replace(F.regexp_replace(F.lower(text), r"[\x20\x09\x0B-\x0D]+", " "), "[0-9]", "0")
+
+
+def normal_lines(text: Column) -> Column:
+    """(h, n) of the distinct normalised lines that hold a word: their hash and length."""
+    lines = F.filter(F.transform(F.split(normal(F.coalesce(text.cast("string"), F.lit(""))), "\n"), lambda x: F.trim(x)), lambda x: F.length(x) > 0)
+    return F.transform(F.array_distinct(lines), lambda x: F.struct(F.xxhash64(x).alias("h"), F.length(x).alias("n")))
+
+
+def frequent_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_docs: int = 20) -> DataFrame:
+    """(host, h) of the lines that more than ``max_docs`` distinct documents of a host have.
+
+    Documents of a host with the same set of normalised lines are one document, so copies count once; any other two are
+    distinct. Counting is by (host, line, document) first, so a line that a third of all rows holds is spread over all tasks and
+    reaches its host's count as one row a task.
     """
-    mostly = one.groupBy("host", "set").agg((2 * F.sum("n") > F.first("all")).alias("mostly"), F.first("lines").alias("lines"), F.slice(F.array_sort(F.collect_set("h")), 1, anchors).alias("least")).where("mostly")
-    seat = staged(mostly.select("host", "set", "lines", F.explode("least").alias("a")), "anchors")
-    rows = seat.join(one.select("host", "set", "h").distinct(), ["host", "set"])
-    size = seat.groupBy("host", "a").agg(F.count("*").alias("members"))
-    core = staged(rows.groupBy("host", "a", "h").agg(F.count("*").alias("have")).join(size, ["host", "a"]).where("2 * have > members").select("host", "a", "h"), "originals")
-    held = rows.join(core, ["host", "a", "h"]).groupBy("host", "set", "a").agg(F.first("lines").alias("lines"), F.count("*").alias("held"))
-    held = held.join(core.groupBy("host", "a").agg(F.count("*").alias("size")), ["host", "a"])
-    return held.where("lines - held <= size - held AND 4 * (size - held) <= size").groupBy("host", "set").agg(F.min("a").alias("copy_of"))
+    sets = docs.select(_host(host_col).alias("host"), normal_lines(F.col(text_col)).alias("r"))
+    # what each line needs of its document is made before the explode, so no row carries the whole document
+    lines = sets.select("host", F.xxhash64(F.array_sort(F.col("r.h"))).alias("set"), F.col("r.h").alias("hs")).select("host", "set", F.explode("hs").alias("h"))
+    return staged(lines.groupBy("host", "h").agg(F.countDistinct("set").alias("docs")).where(F.col("docs") > max_docs).select("host", "h"), "frequent-lines")
+
+
+def _with_frequent(lines: DataFrame, frequent: DataFrame, broadcast_rows: int, parts: int = 16) -> DataFrame:
+    """lines(host, h, k, ...) that are frequent: a broadcast join up to ``broadcast_rows`` frequent lines (24 bytes each), a join
+    dealt by (host, h, part) beyond, so that no line's rows land in one task."""
+    if frequent.count() <= broadcast_rows:
+        return lines.join(F.broadcast(frequent), ["host", "h"])
+    dealt = frequent.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return lines.withColumn("_part", F.pmod("k", F.lit(parts)).cast("int")).join(dealt, ["host", "h", "_part"]).drop("_part")
+
+
+def removed(docs: DataFrame, frequent: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", broadcast_rows: int = 500_000) -> DataFrame:
+    """(k, n_frequent, frequent_chars, all_chars) of the documents with a frequent line: its distinct normalised lines."""
+    r = docs.select(_key(id_col, host_col, text_col).alias("k"), _host(host_col).alias("host"), normal_lines(F.col(text_col)).alias("r"))
+    lines = r.select("k", "host", F.aggregate("r", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("all"), "r")
+    lines = lines.select("k", "host", "all", F.explode("r").alias("r")).select("k", "host", "all", "r.h", "r.n")
+    # equal rows have one key; each of its lines counts once
+    hits = _with_frequent(lines, frequent, broadcast_rows).groupBy("k", "h").agg(F.first("n").alias("n"), F.first("all").alias("all"))
+    return hits.groupBy("k").agg(F.count("*").alias("n_frequent"), F.sum("n").alias("frequent_chars"), F.first("all").alias("all_chars"))
+
+
+NEW = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "depleted", "kept"]
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", max_docs: int = 20, min_left: float = 0.25, broadcast_rows: int = 500_000) -> DataFrame:
+def quality(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", max_docs: int = 20, min_left: float = 0.25, broadcast_rows: int = 500_000, counts: bool = False) -> DataFrame:
     """The rows of docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, depleted and kept.
 
-    Null text counts as empty (no words, base_failed); null hosts are one host; repeated rows are one document;
-    columns of docs with those names give way. The depleted keys (8 bytes each) are broadcast up to
-    ``broadcast_rows`` of them and joined by a shuffle beyond.
+    Depleted: of its distinct normalised lines' characters, less than ``min_left`` is left without its host's frequent
+    lines (see frequent_lines). With ``counts`` also n_frequent_lines, left_chars and line_chars. Null and empty text: no
+    words, base_failed, not depleted. Null hosts are one host. Repeated rows are one document in the counts and get a
+    row each. Columns of docs with those names give way; other columns stay. An empty table gives an empty table.
+    What is known of documents with frequent lines is broadcast up to ``broadcast_rows`` of them, and joined by a shuffle
+    beyond.
     """
-    new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "depleted", "kept"]
-    gone = depleted_keys(docs, id_col, host_col, text_col, max_docs, min_left)
-    gone = gone.withColumn("depleted", F.lit(True))
-    if gone.count() <= broadcast_rows:
-        gone = F.broadcast(gone)
-    own = docs.drop(*new)
-    base = own.select("*", _key(id_col, host_col, text_col).alias("k"), *[c.alias(n) for n, c in base_counts(F.col(text_col)).items()])
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return (
-        base.select(*own.columns, "k", "_w.n_words", "word_chars", "n_symbols", "n_dup_lines", "_w.n_repeat_words")
-        .join(gone, "k", "left").withColumn("base_failed", failed).withColumn("depleted", F.coalesce("depleted", F.lit(False)))
-        .withColumn("kept", ~F.col("base_failed") & ~F.col("depleted")).drop("k").select(*own.columns, *new)
-    )
-
-
-def without_frequent_lines(docs: DataFrame, frequent: DataFrame, text_col: str = "text") -> DataFrame:
-    """Texts without the lines whose hash is in frequent(h), for callers that clean and do not only reject.
-
-    frequent must be small enough for one array (the caller's check); lines without a word stay.
+    gone = removed(docs, frequent_lines(docs, host_col, text_col, max_docs), id_col, host_col, text_col, broadcast_rows)
+    gone = gone.withColumn("_gone", F.col("all_chars") - F.col("frequent_chars") < min_left * F.col("all_chars"))
+    extra = ["n_frequent_lines", "left_chars", "line_chars"] if counts else []
+    gone = staged(gone if counts else gone.where("_gone").select("k", "_gone"), "depleted")
+    gone = F.broadcast(gone) if gone.count() <= broadcast_rows else gone
+    own = docs.drop(*NEW, *extra)
+    base = own.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(own.columns)], _key(id_col, host_col, text_col).alias("k"), *[c.alias(n) for n, c in base_counts(F.col(text_col)).items()])
+    if counts:
+        base = base.withColumn("line_chars", F.aggregate(normal_lines(F.col(f"c{own.columns.index(text_col)}")), F.lit(0).cast("long"), lambda a, x: a + x["n"]))
+    failed = (F.col("_w.n_words") < 50) | (100 * F.col("_w.n_repeat_words") > 50 * F.col("_w.n_words"))
+    out = base.join(gone, "k", "left").withColumn("base_failed", failed).withColumn("depleted", F.coalesce("_gone", F.lit(False))).withColumn("kept", ~F.col("base_failed") & ~F.col("depleted"))
+    if counts:
+        out = out.withColumn("n_frequent_lines", F.coalesce("n_frequent", F.lit(0).cast("long"))).withColumn("left_chars", F.col("line_chars") - F.coalesce("frequent_chars", F.lit(0).cast("long")))
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(own.columns)], "_w.n_words", "word_chars", "n_symbols", "n_dup_lines", "_w.n_repeat_words", "base_failed", "depleted", "kept", *extra)
+
+
+def without_frequent_lines(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", max_docs: int = 20, broadcast_rows: int = 500_000) -> DataFrame:
+    """docs with the frequent lines of their host taken out of their texts, for callers that clean and do not only reject.
+
+    Every place of a frequent line goes; lines without a word and the order of lines stay; null texts stay null. Texts without
+    a frequent line pass as they are. Repeated rows are cleaned each.
     """
-    norm = lambda x: F.regexp_replace(F.regexp_replace(F.lower(F.trim(x)), r"\s+", " "), "[0-9]", "0")
-    bad = frequent.agg(F.collect_set("h").alias("_bad"))
-    keep = F.filter(F.split(F.col(text_col), "\n"), lambda x: ~F.array_contains("_bad", F.xxhash64(norm(x))) | ~x.rlike(r"[^\x20\x09-\x0D]"))
-    return docs.join(F.broadcast(bad)).withColumn(text_col, F.array_join(keep, "\n")).drop("_bad")
+    frequent = frequent_lines(docs, host_col, text_col, max_docs)
+    key = docs.withColumn("_k", _key(id_col, host_col, text_col)).withColumn("_host", _host(host_col))
+    each = key.select(F.col("_k").alias("k"), F.col("_host").alias("host"), F.col(text_col).cast("string").alias("_t")).distinct()
+    lines = each.select("k", "host", F.split("_t", "\n").alias("x")).select("k", "host", F.posexplode("x").alias("pos", "line")).withColumn("h", F.xxhash64(F.trim(normal(F.col("line")))))
+    bad = _with_frequent(lines.where(F.trim(normal(F.col("line"))) != ""), frequent, broadcast_rows)
+    touched = staged(bad.groupBy("k").agg(F.array_sort(F.collect_set("pos")).alias("bad")), "touched")  # places in one document
+    rest = touched.join(each, "k").select("k", F.split("_t", "\n").alias("x")).select("k", F.posexplode("x").alias("pos", "line"))
+    rest = rest.join(touched.select("k", F.explode("bad").alias("pos")), ["k", "pos"], "left_anti").groupBy("k").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), "\n").alias("_clean"))
+    cleaned = touched.select(F.col("k").alias("_k")).join(rest.withColumnRenamed("k", "_k"), "_k", "left").select("_k", F.coalesce("_clean", F.lit("")).alias("_clean"))
+    return key.join(cleaned, "_k", "left").withColumn(text_col, F.coalesce("_clean", F.col(text_col).cast("string"))).select(*docs.columns)

@@ -8,16 +8,15 @@ OP1 = """WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[])
  r AS (SELECT a AS x, a AS c FROM l UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.x), k AS (SELECT x, min(c) AS c FROM r GROUP BY 1), n AS (SELECT a, count(*) AS n FROM l GROUP BY 1)
  SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(k.c, e.vec_id) AS component_id, coalesce(k.c, e.vec_id) = e.vec_id AS kept FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN k ON k.x = e.vec_id"""
 
-#: Base counts by positions of three-word windows; lines, classes of copies and depletion by joins.
+#: Base counts by positions of three-word windows; a host's lines counted by distinct documents, a document being its set of lines.
 OP3 = r"""WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t FROM documents), w AS (SELECT doc_id, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d),
  g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM w), h AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM g), p AS (SELECT doc_id, count(*) AS r FROM (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS i FROM h WHERE n > 1) GROUP BY 1),
  l AS (SELECT doc_id, host, unnest(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) AS x FROM d), dup AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n FROM l GROUP BY 1),
- f AS (SELECT DISTINCT doc_id, host, regexp_replace(regexp_replace(lower(trim(x)), '\s+', ' ', 'g'), '[0-9]', '0', 'g') AS x, length(x) AS n FROM l), a AS (SELECT doc_id, sum(n) AS total FROM f GROUP BY 1), o AS (SELECT host, x FROM f GROUP BY 1, 2 HAVING count(*) > 20),
- s AS (SELECT f.* FROM f JOIN o ON o.host = f.host AND o.x = f.x), c AS (SELECT s.doc_id, CASE WHEN 2 * sum(s.n) > any_value(total) THEN 'line ' || min(md5(s.host || chr(10) || s.x)) ELSE 'doc ' || s.doc_id END AS c FROM s JOIN a ON a.doc_id = s.doc_id GROUP BY s.doc_id),
- q AS (SELECT host, x FROM s JOIN c ON c.doc_id = s.doc_id GROUP BY 1, 2 HAVING count(DISTINCT c) > 20), k AS (SELECT s.doc_id, any_value(total) - sum(s.n) AS rest, any_value(total) AS total FROM s JOIN q ON q.host = s.host AND q.x = s.x JOIN a ON a.doc_id = s.doc_id GROUP BY 1),
- b AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(r, 0)::BIGINT AS n_repeat_words, coalesce(k.rest < 0.25 * k.total, false) AS depleted
- FROM d JOIN w ON w.doc_id = d.doc_id LEFT JOIN dup ON dup.doc_id = d.doc_id LEFT JOIN p ON p.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id)
- SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT depleted AS kept FROM b"""
+ f AS (SELECT DISTINCT doc_id, host, trim(regexp_replace(regexp_replace(lower(x), '[\x20\x09\x0B-\x0D]+', ' ', 'g'), '[0-9]', '0', 'g')) AS x FROM l), a AS (SELECT doc_id, sum(length(x))::BIGINT AS line_chars, list_sort(list(x)) AS doc FROM f GROUP BY 1),
+ q AS (SELECT host, x FROM f JOIN a ON a.doc_id = f.doc_id GROUP BY 1, 2 HAVING count(DISTINCT doc) > 20), k AS (SELECT f.doc_id, count(*) AS n, sum(length(f.x))::BIGINT AS chars FROM f JOIN q ON q.host = f.host AND q.x = f.x GROUP BY 1),
+ b AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(r, 0)::BIGINT AS n_repeat_words, coalesce(k.n, 0) AS n_frequent_lines, coalesce(line_chars, 0) - coalesce(k.chars, 0) AS left_chars, coalesce(line_chars, 0) AS line_chars
+ FROM d JOIN w ON w.doc_id = d.doc_id LEFT JOIN dup ON dup.doc_id = d.doc_id LEFT JOIN p ON p.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN a ON a.doc_id = d.doc_id), c AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, left_chars < 0.25 * line_chars AS depleted FROM b)
+ SELECT *, NOT base_failed AND NOT depleted AS kept FROM c"""
 
 #: Shared shingles counted by an equi-join on shingles of more than one document.
 OP5 = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),

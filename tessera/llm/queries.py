@@ -30,8 +30,8 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_rules import quality
 
-    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "depleted"]
-    return quality(table(spark, sf_dir, "documents")).select(*names)
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "depleted", "n_frequent_lines", "left_chars", "line_chars"]
+    return quality(table(spark, sf_dir, "documents"), counts=True).select(*names)
 
 
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

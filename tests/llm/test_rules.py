@@ -29,32 +29,72 @@ def test_base_counts(spark, awkward):
     assert line_rules.quality(awkward.limit(0)).count() == 0
 
 
+def letters(k):
+    return "".join("abcdefghij"[int(c)] for c in str(k))
+
+
+def own(k, n=60):
+    return " ".join(f"w{letters(k)}x{letters(j)}" for j in range(10, 10 + n))
+
+
+def depletion(rows, max_docs=20, min_left=0.25):
+    """Brute force: (n_frequent_lines, left_chars, line_chars, depleted) of each (host, text)."""
+    def lines(text):
+        low = [re.sub("[0-9]", "0", re.sub("[ \t\x0b\x0c\r]+", " ", x.lower())).strip(" ") for x in (text or "").split("\n")]
+        return frozenset(x for x in low if x)
+
+    holders = {}
+    for host, text in rows:
+        for x in lines(text):
+            holders.setdefault((host or "", x), set()).add(lines(text))
+    out = []
+    for host, text in rows:
+        all_ = lines(text)
+        hit = [x for x in all_ if len(holders[host or "", x]) > max_docs]
+        total = sum(map(len, all_))
+        left = total - sum(map(len, hit))
+        out.append((len(hit), left, total, left < min_left * total))
+    return out
+
+
 def test_line_frequency(spark):
-    """A menu line in many different documents counts; copies of one document do not; nearly only menu is depleted."""
-    letters = lambda k: "".join("abcdefghij"[int(c)] for c in str(k))
-    own = lambda k: " ".join(f"w{letters(k)}x{letters(j)}" for j in range(60))
+    """Distinct documents are counted: different pages with one menu, near copies too; copies of whole line sets are one document."""
     menu = "Home  Contact Imprint 2024 " + "nav " * 40
     rows = [(k, "h", own(k) + "\n" + menu) for k in range(40)]
     rows += [(100 + k, "h", "tiny tail\n" + menu.lower().replace("2024", "2025")) for k in range(3)]
     rows += [(200 + k, "h", "\n".join(own(1000 + j) for j in range(5))) for k in range(60)]  # exact copies
-    rows += [(300 + k, "h", "\n".join(own(2000 + j) if j != k % 5 else own(5000 + k) for j in range(5))) for k in range(60)]  # near copies
+    rows += [(300 + k, "near", "\n".join(own(2000 + j) if j != k % 5 else own(5000 + k) for j in range(5))) for k in range(60)]
     rows += [(400, "other", "tiny tail\n" + menu), (401, None, None), (402, None, "\n")]
-    got = {r["doc_id"]: r for r in line_rules.quality(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
-    assert {k for k, r in got.items() if r["depleted"]} == {100, 101, 102}
-    assert all(r["kept"] for k, r in got.items() if k < 40 or 200 <= k < 400)
-
-
-def test_menu_documents_are_distinct(spark):
-    """Different documents that are mostly one shared menu count one by one; copies with changed lines do not, however many."""
-    letters = lambda k: "".join("abcdefghij"[int(c)] for c in str(k))
-    own = lambda k, n: " ".join(f"w{letters(k)}x{letters(j)}" for j in range(10, 10 + n))
-    rows = [(k, "menus", "Home Contact " + "nav " * 100 + "\n" + "Imprint Privacy " + "foot " * 60 + "\n" + own(1000 + k, 15)) for k in range(100)]
-    rows += [(200 + k, "long", "\n".join([*("menu " * 5 + letters(j) * 3 for j in range(12)), own(3000 + k, 5)])) for k in range(30)]
-    rows += [(1000 + k, "copies", "\n".join(own(5000 + k, 20) if j == k % 5 else own(2000 + j, 20) for j in range(5))) for k in range(300)]
-    rows += [(2000 + k, "copies", "\n".join(own(2000 + j, 20) for j in range(5))) for k in range(30)]
-    rows += [(3000, "twice", own(7000, 60) + "\n" + "nav " * 20)] * 30
-    got = {r["doc_id"]: r["depleted"] for r in line_rules.quality(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
-    assert {k for k, gone in got.items() if gone} == {*range(100), *range(200, 230)}
+    rows += [(1000 + k, "twelve", "\n".join([*("menu " * 5 + letters(j) * 3 for j in range(10)), own(8000 + k, 2), own(9000 + k, 2)])) for k in range(500)]
+    rows += [(2000, "twice", own(7000, 60) + "\n" + "nav " * 20)] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    for limit in (500_000, 0):  # both ways of the join
+        got = line_rules.quality(docs, counts=True, broadcast_rows=limit).collect()
+        want = depletion([(r["source"], r["text"]) for r in got])
+        assert [(r["n_frequent_lines"], r["left_chars"], r["line_chars"], r["depleted"]) for r in got] == want
+        assert {r["doc_id"] for r in got if r["depleted"]} == {100, 101, 102, *range(300, 360), *range(1000, 1500)}
+        assert all(r["kept"] for r in got if r["doc_id"] < 40 or 200 <= r["doc_id"] < 300 or r["doc_id"] == 2000)
+    lean = line_rules.quality(docs).groupBy("doc_id").agg(F.max("depleted").alias("x")).where("x").collect()
+    assert {r["doc_id"] for r in lean} == {100, 101, 102, *range(300, 360), *range(1000, 1500)}
+
+
+def test_frequent_lines_removed(spark):
+    menu = "Home  Contact 2024"
+    rows = [(k, "h", f"{menu}\n{own(k)}\n \n{menu.lower()}\nend {letters(k)}") for k in range(30)] + [(50, "o", menu), (51, "h", None), (52, "h", menu), (53, "h", "")] + [(54, "h", "x\n" + menu)] * 2
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, source string, text string, k long")
+    got = line_rules.without_frequent_lines(docs)
+    assert got.columns == docs.columns
+    want = [(k, f"{own(k)}\n \nend {letters(k)}") for k in range(30)] + [(50, menu), (51, None), (52, ""), (53, ""), (54, "x"), (54, "x")]
+    assert sorted((r["doc_id"], r["text"]) for r in got.collect() if r["text"] is not None) == sorted(x for x in want if x[1] is not None)
+
+
+def test_long_text(spark):
+    """Ten megabytes in one row, in many lines and in one."""
+    lines = "\n".join(f"line {letters(k)} of many words here" for k in range(300_000))
+    docs = spark.createDataFrame([(1, "h", lines), (2, "h", "w " * 2_000_000)], "doc_id long, source string, text string")
+    got = {r["doc_id"]: r for r in line_rules.quality(docs).drop("text").collect()}
+    assert got[1]["n_words"] == 1_800_000 and got[1]["n_dup_lines"] == 0 and got[2]["n_repeat_words"] == 2_000_000
+    assert not got[1]["depleted"] and not got[2]["kept"]
 
 
 def places(text):
