@@ -5,11 +5,11 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.numeric import cosine
 from tessera.functions.text import company_name, core_name, spelling
+from tessera.sources.staging import cut
 
 #: Words that are no name of a filing company.
 GENERIC = ["company", "the company", "corporation", "the corporation", "we", "us", "our", "issuer", "registrant", "the issuer"]
@@ -93,25 +93,56 @@ def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x.lower(), y.lower()).ratio() if x and y else 0.0 for x, y in zip(a, b)])
 
 
-def fuzzy_best(names: DataFrame, known: DataFrame, name: str, entity: str, group: str | None = None, least: float = 0.85) -> DataFrame:
-    """For every name the most similar known entity of its group, from ``least`` on; ties to the smaller entity.
+def _bigrams(text: Column) -> Column:
+    """Pairs of neighbouring characters, each numbered by how often it stood before, so that equal ones match one to one."""
+    grams = F.when(F.length(text) >= 2, F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.substring(text, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
+    return F.transform(grams, lambda g, i: F.concat(g, F.size(F.filter(F.slice(grams, F.lit(1), i), lambda x: x == g)).cast("string")))
+
+
+def _least_shared(m: Column, n: Column, least: float) -> Column:
+    """How many bigrams names of m and n characters share at least where their ratio reaches ``least``.
 
-    Names are compared where their normal forms share a first word, or where their lengths allow the similarity and
-    they share a last word: blocking keys, so no cross join. Names that share neither are not compared.
+    Of m + n characters u = m + n - 2 * matched stand alone. Every one of them in the first name breaks two of its m - 1
+    bigrams, every one in the second one.
     """
-    def keyed(df: DataFrame) -> DataFrame:
-        n = F.split(company_name(name), " ")
-        keys = F.array_distinct(F.array(F.concat(F.lit("f "), F.element_at(n, 1)), F.concat(F.lit("l "), F.element_at(n, -1))))
-        return df.withColumn("_n", company_name(name)).withColumn("_k", F.explode(keys))
+    u = m + n - 2 * F.ceil(F.lit(least) * (m + n) / 2.0)
+    return F.ceil((m + n - 3 * u) / 2.0 - 1.0)
 
-    on = ["_k"] + ([group] if group else [])
-    cols = [F.col("_k"), *([F.col(group)] if group else []), F.col("_n").alias("_m"), F.col(entity)]
-    pairs = keyed(names).join(keyed(known).select(*cols), on)
-    # with lengths m <= n the ratio is at most 2 m / (m + n)
-    m, n = F.least(F.length("_n"), F.length("_m")), F.greatest(F.length("_n"), F.length("_m"))
-    pairs = pairs.where(2.0 * m >= least * (m + n)).select(name, "_n", "_m", entity).distinct()
-    scored = pairs.withColumn("ratio", name_ratio("_n", "_m")).where(F.col("ratio") >= least)
-    return scored.groupBy(name).agg(F.max_by(F.struct(entity, "ratio"), F.struct("ratio", (-F.col(entity)).alias("e"))).alias("r")).select(name, "r.*")
+
+def fuzzy_best(names: DataFrame, known: DataFrame, name: str, entity: str, group: str | None = None, least: float = 0.85) -> DataFrame:
+    """For every name the most similar known entity of its group, from ``least`` (above 0.8) on; ties to the smaller entity.
+
+    No qualifying pair is left out: names whose ratio reaches ``least`` share so many bigrams that the rarest ones of each, as
+    many as may miss and one more, have one in common. Pairs are joined by those, each at the first common one only, cut by
+    length and by shared bigrams, and then compared. Equal normal forms are compared once; null and empty names match none.
+    """
+    if least <= 0.8:
+        raise ValueError("fuzzy_best: least must be above 0.8, below which similar names need not share a bigram")
+    own = [F.col(group)] if group else []
+    gs = [group] if group else []
+    forms = lambda df: df.select(company_name(name).alias("_n"), *own).where("_n <> ''").distinct()
+    left, right = forms(names), forms(known)
+    spelled = cut(left.unionByName(right).select("_n").distinct().select("_n", F.length("_n").alias("_m"), _bigrams(F.col("_n")).alias("_g")))
+    rank = cut(spelled.select(F.explode("_g").alias("g")).groupBy("g").agg(F.count("*").alias("df")))
+    # the least partner a name of m characters can have has m * least / (2 - least); fewest shared bigrams are asked for there
+    low = F.ceil(F.col("_m") * F.lit(least / (2.0 - least)))
+    head = F.col("_m") - 1 - F.greatest(F.floor((1.5 * least - 1.0) * (F.col("_m") + low) - 1.0), F.lit(1)) + 1
+    ordered = spelled.select("_n", "_m", F.explode("_g").alias("g")).join(rank, "g").groupBy("_n", "_m").agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("x"))
+    ordered = cut(ordered.select("_n", "_m", F.transform("x", lambda v: v["g"]).alias("_g"), F.greatest(head, F.lit(1)).cast("int").alias("_h")))
+
+    def side(df: DataFrame, mark: str) -> DataFrame:
+        x = df.join(ordered, "_n").select(*[F.col(c).alias(f"{c}{mark}") for c in ("_n", "_m", "_g")], F.slice("_g", F.lit(1), "_h").alias(f"_p{mark}"), *own)
+        return x.select("*", F.explode(f"_p{mark}").alias("_k"))
+
+    m, n = F.col("_m1"), F.col("_m2")
+    near = (F.element_at(F.array_intersect("_p1", "_p2"), 1) == F.col("_k")) & (2.0 * F.least(m, n) >= least * (m + n))
+    pairs = side(left, "1").join(side(right, "2"), ["_k", *gs]).where(near).where(F.size(F.array_intersect("_g1", "_g2")) >= _least_shared(m, n, least))
+    pairs = pairs.where("_n1 <> _n2").select(F.col("_n1").alias("_a"), F.col("_n2").alias("_b"), *gs)
+    scored = pairs.withColumn("ratio", name_ratio("_a", "_b")).where(F.col("ratio") >= least)
+    same = left.join(right, ["_n", *gs], "left_semi").select(F.col("_n").alias("_a"), F.col("_n").alias("_b"), *gs, F.lit(1.0).alias("ratio"))
+    ids = known.select(company_name(name).alias("_b"), *own, F.col(entity)).groupBy("_b", *gs).agg(F.min(entity).alias(entity))
+    best = scored.unionByName(same).join(ids, ["_b", *gs]).groupBy("_a", *gs).agg(F.max_by(F.struct(entity, "ratio"), F.struct("ratio", (-F.col(entity)).alias("e"))).alias("r"))
+    return names.select(name, *own).distinct().withColumn("_a", company_name(name)).join(best, ["_a", *gs]).select(name, *gs, "r.*")
 
 
 def resolve(names: DataFrame, variants: DataFrame, known: DataFrame, name: str, entity: str) -> DataFrame:
@@ -138,10 +169,13 @@ def same_entity(a: str, b: str, full: bool = True, least: float = 0.85) -> bool:
     return bool(bare(short)) and ((len(parts) > 1 and bare(short) == "".join(p[0] for p in parts)) or bare(short) in bare(long))
 
 
-def greedy_groups(rows: DataFrame, keys: list[str], text: str, score: str) -> DataFrame:
+def greedy_groups(rows: DataFrame, keys: list[str], text: str, score: str, most_names: int = 5000) -> DataFrame:
     """(keys, text, canonical, confidence): names of a group join the first longer one they resemble. What a name joins
-    depends on the names before it, so one Python loop a (bounded) group of distinct names."""
+    depends on the names before it, so one Python loop a group (of a document) of distinct names; groups of more than
+    ``most_names`` of them, counted first, are refused."""
     cores = rows.groupBy(*keys, F.col(text).alias("_t")).agg(F.max(score).alias("_s")).withColumn("_core", core_name("_t", SUFFIX_WORDS)).withColumn("_v", spelling("_core"))
+    if not rows.groupBy(*keys).agg(F.countDistinct(text).alias("n")).where(F.col("n") > most_names).isEmpty():
+        raise ValueError(f"greedy_groups: a group has more than {most_names} names; group by document")
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", text string, canonical string, confidence double"
 
@@ -160,21 +194,6 @@ def greedy_groups(rows: DataFrame, keys: list[str], text: str, score: str) -> Da
     return cores.groupBy(*keys).applyInPandas(run, schema)
 
 
-def cosine_top(vectors: DataFrame, queries: DataFrame, key: str, vec: str, k: int) -> DataFrame:
-    """The k nearest others of each query vector by exact cosine; queries must be few (they are broadcast)."""
-    q = queries.select(F.col(key).alias("query"), F.col(vec).alias("_q"))
-    rows = vectors.join(F.broadcast(q), F.col(key) != F.col("query")).select("query", key, F.round(cosine(vec, "_q"), 6).alias("similarity"))
-    w = Window.partitionBy("query").orderBy(F.desc("similarity"), key)
-    return rows.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
-
-
-def reuse(vectors: DataFrame, key: str, vec: str, known: DataFrame, least: float = 0.8) -> DataFrame:
-    """Known keyword (smallest id) within ``least`` of each vector, else the vector's own id. Known ones are broadcast."""
-    q = known.select(F.col(key).alias("_k"), F.col(vec).alias("_v"))
-    near = vectors.join(F.broadcast(q), cosine(vec, "_v") >= least).groupBy(key).agg(F.min("_k").alias("found"))
-    return vectors.select(key).join(near, key, "left").select(key, F.coalesce("found", key).alias("keyword"), F.col("found").isNotNull().alias("reused"))
-
-
 def kmeans_topics(vectors: DataFrame, key: str, vec: str, k: int = 8, seed: int = 42) -> DataFrame:
     """(key, cluster, confidence): 1 less the distance to the centre over the greatest distance of all."""
     from pyspark.ml.clustering import KMeans

@@ -31,8 +31,9 @@ def degrees(edges: DataFrame) -> DataFrame:
     """Edges and weights in and out of every node, strength, and degrees over n - 1."""
     both = edges.select(F.col("src").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i"), "weight").union(edges.select("dst", F.lit(0), F.lit(1), "weight"))
     g = both.groupBy("node").agg(F.sum("o").alias("out_degree"), F.sum("i").alias("in_degree"), F.sum("weight").alias("strength"))
-    n = F.count("*").over(Window.partitionBy()) - 1  # nodes, one row each
-    return g.select("node", "in_degree", "out_degree", "strength", ratio("in_degree", n).alias("in_centrality"), ratio("out_degree", n).alias("out_centrality"))
+    n = g.agg((F.count("*") - 1).alias("others"))  # one row
+    g = g.join(F.broadcast(n))
+    return g.select("node", "in_degree", "out_degree", "strength", ratio("in_degree", "others").alias("in_centrality"), ratio("out_degree", "others").alias("out_centrality"))
 
 
 def pagerank(edges: DataFrame, rounds: int = 30, damping: float = 0.85) -> DataFrame:
@@ -71,18 +72,41 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
 
 
 def reach(edges: DataFrame, source, depth: int = 3) -> DataFrame:
-    """(node, level) of the nodes at most ``depth`` steps from a source, itself at level 0."""
-    seen = edges.where((F.col("src") == source) | (F.col("dst") == source)).limit(1).select(F.lit(source).alias("node"), F.lit(0).alias("level"))
+    """(node, level, path) of the nodes at most ``depth`` steps from a source, itself at level 0; of the shortest paths the least
+    by its nodes. A path holds depth + 1 nodes at most."""
+    start = F.lit(source).cast(dict(edges.dtypes)["src"])
+    seen = edges.where((F.col("src") == source) | (F.col("dst") == source)).limit(1).select(start.alias("node"), F.lit(0).alias("level"), F.array(start).alias("path"))
     front = seen
     for k in range(1, depth + 1):
-        step = front.join(edges, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
-        front = cut(step.join(seen, "node", "left_anti").select("node", F.lit(k).alias("level")))
+        step = front.join(edges, F.col("node") == F.col("src")).groupBy(F.col("dst").alias("node")).agg(F.min("path").alias("path"))
+        front = cut(step.join(seen, "node", "left_anti").select("node", F.lit(k).alias("level"), F.concat("path", F.array("node")).alias("path")))
         seen = seen.union(front)
         if front.isEmpty():
             break
     return seen
 
 
+def hub_paths(edges: DataFrame, source, depth: int = 3, least_in: int = 5, k: int = 5) -> DataFrame:
+    """(target, path, length) of the k nearest reached nodes with more than ``least_in`` edges in; ties to the smaller node."""
+    hubs = edges.groupBy(F.col("dst").alias("node")).agg(F.count("*").alias("n")).where(F.col("n") > least_in).select("node")
+    rows = reach(edges, source, depth).join(hubs, "node").orderBy("level", "node").limit(k)
+    return rows.select(F.col("node").alias("target"), "path", F.col("level").alias("length"))
+
+
+def label_propagation(edges: DataFrame, rounds: int = 10) -> DataFrame:
+    """(node, community) after a fixed number of rounds in which every node takes the label that weighs most among its
+    neighbours in either direction and itself (weight 1); ties to the smaller label. Splits over all tasks, for any size."""
+    both = edges.select("src", "dst", "weight").union(edges.select("dst", "src", "weight"))
+    both = cut(both.groupBy("src", "dst").agg(F.sum(F.col("weight").cast("double")).alias("weight")))
+    labels = nodes_of(edges).select("node", F.col("node").alias("community"))
+    own = labels.select(F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(1.0).alias("weight"))
+    near = cut(both.union(own))
+    for _ in range(rounds):
+        votes = near.join(labels, F.col("dst") == F.col("node")).groupBy("src", "community").agg(F.sum("weight").alias("w"))
+        labels = cut(votes.groupBy("src").agg(F.min_by("community", F.struct((-F.col("w")).alias("w"), "community")).alias("community")).select(F.col("src").alias("node"), "community"))
+    return labels
+
+
 def stats(edges: DataFrame) -> DataFrame:
     """One row: nodes, edges, density, average degree, components."""
     n = components(edges).agg(F.count("*").alias("nodes"), F.countDistinct("component").alias("components"))
@@ -141,31 +165,74 @@ def entity_stats(edges: DataFrame) -> DataFrame:
 
 
 def influencers(metrics: DataFrame, names: list[str], k: int) -> DataFrame:
-    """Score of metrics, each as part of its maximum, by the shares of BLEND; metrics that are absent add nothing."""
+    """Score of metrics, each as part of its maximum, by the shares of BLEND; metrics that are absent or null add nothing."""
     top = metrics.agg(*[F.max(n).alias(f"_{n}") for n in names])  # one row
     score = sum((ratio(n, f"_{n}") * BLEND[n] for n in names[1:]), ratio(names[0], f"_{names[0]}") * BLEND[names[0]])
     return metrics.join(F.broadcast(top)).select("node", F.round(score * 100.0, 2).alias("influence_score")).orderBy(F.desc("influence_score"), "node").limit(k)
 
 
-def small_metrics(edges: DataFrame, most_edges: int = 200_000) -> DataFrame:
-    """(node, betweenness, eigenvector, bridge_ends, community) of graphs of at most ``most_edges`` edges, in one task.
+#: Columns of small_metrics.
+SMALL = ["betweenness", "eigenvector", "closeness", "bridge_ends", "community"]
+
+
+def centrality(edges: DataFrame, most_nodes: int = 500) -> DataFrame:
+    """(node, pagerank, in_degree, out_degree, betweenness, eigenvector, closeness) of every node, degrees over n - 1.
+
+    The last three do not split and are null in graphs of ``most_nodes`` nodes or more (counted first); all others
+    are computed at any size.
+    """
+    edges = cut(edges)
+    rows = degrees(edges).select("node", F.col("in_centrality").alias("in_degree"), F.col("out_centrality").alias("out_degree")).join(pagerank(edges), "node")
+    if nodes_of(edges).limit(most_nodes).count() < most_nodes:
+        return rows.join(small_metrics(edges, most_nodes).select("node", *SMALL[:3]), "node")
+    return rows.select("*", *[F.lit(None).cast("double").alias(n) for n in SMALL[:3]])
+
+
+def small_metrics(edges: DataFrame, most_nodes: int = 500) -> DataFrame:
+    """(node, betweenness, eigenvector, closeness, bridge_ends, community) of graphs of fewer than ``most_nodes`` nodes.
 
-    Betweenness counts weighted shortest paths (Brandes), the eigenvector takes 100 power rounds, bridges are edges of
-    the undirected graph whose loss parts it, communities come from greedy modularity moves in node order. Larger
-    graphs are refused, as these algorithms do not split; use components and pagerank there.
+    Betweenness counts weighted shortest paths (Brandes), closeness takes weighted distances to a node over those that
+    reach it, the eigenvector 100 power rounds, bridges are edges of the undirected graph whose loss parts it,
+    communities come from greedy modularity moves in node order. They do not split, so one task takes the graph, and larger
+    ones give no rows: use centrality, components and label_propagation there.
     """
-    if edges.limit(most_edges + 1).count() > most_edges:
-        raise ValueError(f"more than {most_edges} edges")
     kind = dict(edges.dtypes)["src"]
+    schema = f"node {kind}, betweenness double, eigenvector double, closeness double, bridge_ends long, community {kind}"
+    if nodes_of(edges).limit(most_nodes).count() >= most_nodes:
+        return edges.sparkSession.createDataFrame([], schema)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         names = sorted(set(pdf["src"]) | set(pdf["dst"]))
         at = {v: i for i, v in enumerate(names)}
         e = [(at[a], at[b], float(w)) for a, b, w in zip(pdf["src"], pdf["dst"], pdf["weight"])]
-        return pd.DataFrame({"node": names, "betweenness": betweenness(len(names), e), "eigenvector": eigenvector(len(names), e), "bridge_ends": bridge_ends(len(names), e), "community": [names[c] for c in communities(len(names), e)]})
+        n = len(names)
+        return pd.DataFrame({"node": names, "betweenness": betweenness(n, e), "eigenvector": eigenvector(n, e), "closeness": closeness(n, e), "bridge_ends": bridge_ends(n, e), "community": [names[c] for c in communities(n, e)]})
 
     one = edges.select("src", "dst", F.col("weight").cast("double").alias("weight"), F.lit(0).alias("g"))
-    return one.groupBy("g").applyInPandas(run, f"node {kind}, betweenness double, eigenvector double, bridge_ends long, community {kind}")
+    return one.groupBy("g").applyInPandas(run, schema)
+
+
+def closeness(n: int, edges: list) -> list[float]:
+    """(r - 1) / total distance of the r nodes that reach a node, itself included, scaled by (r - 1) / (n - 1)."""
+    import heapq
+
+    into: list[list] = [[] for _ in range(n)]
+    for a, b, w in edges:
+        into[b].append((a, w))
+    out = []
+    for s in range(n):
+        dist, heap = {}, [(0.0, s)]
+        while heap:
+            d, v = heapq.heappop(heap)
+            if v in dist:
+                continue
+            dist[v] = d
+            for u, w in into[v]:
+                if u not in dist:
+                    heapq.heappush(heap, (d + w, u))
+        total, r = sum(dist.values()), len(dist) - 1
+        out.append(r / total * r / (n - 1) if total > 0 else 0.0)
+    return out
 
 
 def betweenness(n: int, edges: list) -> list[float]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import company_name, core_name, initials, spelling
 from tessera.operators import entity as E
+from tessera.operators import vectors as V
 
 from .registry import query, table
 
@@ -113,18 +114,26 @@ def pipeline_grades(spark, d):
     return s.select("l_suppkey", score.alias("score"), grade.alias("grade"))
 
 
+def misspelled(n: DataFrame) -> DataFrame:
+    """Names as others write them: a letter doubled, dropped or changed, or as they are."""
+    k = F.col("p_partkey") % 4
+    at = (F.col("p_partkey") % F.length("name") + 1).cast("int")
+    head, rest = F.substring("name", F.lit(1), at - 1), F.substring("name", at + 1, F.length("name"))
+    letter = F.substring("name", at, F.lit(1))
+    return n.select(F.when(k == 0, F.concat(head, letter, letter, rest)).when(k == 1, F.concat(head, rest)).when(k == 2, F.concat(head, F.lit("q"), rest)).otherwise(F.col("name")).alias("name"))
+
+
 @query("JON-07 STR-05")
 def fuzzy_resolve(spark, d):
     n = named(spark, d)
-    known = n.where("p_partkey < 64").select("name", F.col("p_partkey").alias("entity"))
-    return E.fuzzy_best(n.where("p_partkey >= 64").select("name").distinct(), known, "name", "entity")
+    return E.fuzzy_best(misspelled(n).distinct(), n.select("name", F.col("p_partkey").alias("entity")), "name", "entity")
 
 
 @query("UPS-03 GRF-14")
 def resolve_cascade(spark, d):
     n = named(spark, d)
-    known = n.where("p_partkey < 64").select("name", F.col("p_partkey").alias("entity"))
-    return E.resolve(n.select("name").union(table(spark, d, "supplier").select(F.col("s_name"))), known, known, "name", "entity")
+    known = n.select("name", F.col("p_partkey").alias("entity"))
+    return E.resolve(misspelled(n).union(table(spark, d, "supplier").select(F.col("s_name"))), known, known, "name", "entity")
 
 
 @query("MLV-05 STR-06")
@@ -138,13 +147,12 @@ DOT = "list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBL
 @query("MLV-01 JON-09", f"SELECT query, vec_id, similarity, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY similarity DESC, vec_id) AS place FROM (SELECT b.vec_id AS query, a.vec_id, round({DOT}, 6) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE b.vec_id % 50 = 0)) WHERE place <= 5")
 def cosine_topk(spark, d):
     e = table(spark, d, "embeddings")
-    return E.cosine_top(e, e.where("vec_id % 50 = 0"), "vec_id", "embedding", 5)
+    return V.cosine_top(e, e.where("vec_id % 50 = 0"), "vec_id", "embedding", 5)
 
 
-@query("MLV-02", f"WITH n AS (SELECT a.vec_id, min(b.vec_id) AS found FROM embeddings a JOIN embeddings b ON b.vec_id % 20 = 0 AND {DOT} >= 0.8 GROUP BY 1) SELECT e.vec_id, coalesce(found, e.vec_id) AS keyword, found IS NOT NULL AS reused FROM embeddings e LEFT JOIN n ON n.vec_id = e.vec_id")
+@query("MLV-02", f"WITH n AS (SELECT a.vec_id, min(b.vec_id) AS found FROM embeddings a JOIN embeddings b ON b.vec_id < a.vec_id AND {DOT} >= 0.8 GROUP BY 1) SELECT e.vec_id, coalesce(found, e.vec_id) AS keyword, found IS NOT NULL AS reused FROM embeddings e LEFT JOIN n ON n.vec_id = e.vec_id")
 def keyword_reuse(spark, d):
-    e = table(spark, d, "embeddings")
-    return E.reuse(e, "vec_id", "embedding", e.where("vec_id % 20 = 0"))
+    return V.reuse(table(spark, d, "embeddings"), "vec_id", "embedding")
 
 
 @query("MLV-03")

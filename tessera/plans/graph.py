@@ -9,16 +9,19 @@ from tessera.operators import graph as G
 
 from .registry import query, table
 
-E0 = """i AS (SELECT user_id AS src, (user_id * 7 + CAST(props->>'$.k' AS BIGINT) % 10) % 151 AS dst, CASE event_type WHEN 'click' THEN 'reply' WHEN 'purchase' THEN 'retweet' ELSE 'mention' END AS kind FROM events),
- e AS (SELECT src, dst, sum(CASE kind WHEN 'retweet' THEN 2 ELSE 1 END)::BIGINT AS weight FROM i WHERE src <> dst GROUP BY 1, 2 HAVING sum(CASE kind WHEN 'retweet' THEN 2 ELSE 1 END) >= 13)"""
+E0 = """people AS (SELECT max(user_id) + 1 AS users FROM events), i AS (SELECT user_id AS src, (user_id * 7 + CAST(props->>'$.k' AS BIGINT) % 10) % users AS dst, CASE event_type WHEN 'click' THEN 'reply' WHEN 'purchase' THEN 'retweet' ELSE 'mention' END AS kind FROM events, people),
+ e AS (SELECT src, dst, sum(CASE kind WHEN 'retweet' THEN 2 ELSE 1 END)::BIGINT AS weight FROM i WHERE src <> dst GROUP BY 1, 2 HAVING sum(CASE kind WHEN 'retweet' THEN 2 ELSE 1 END) >= 3)"""
 WITH = f"WITH RECURSIVE {E0}"
 
 
 def edges(spark, d) -> DataFrame:
+    """Each user answers, mentions or shares up to ten others; the graph grows with the users."""
     k = F.get_json_object("props", "$.k").cast("long")
     kind = F.when(F.col("event_type") == "click", "reply").when(F.col("event_type") == "purchase", "retweet").otherwise("mention")
-    i = table(spark, d, "events").select(F.col("user_id").alias("src"), ((F.col("user_id") * 7 + k % 10) % 151).alias("dst"), kind.alias("kind"))
-    return G.build_edges(i, 13)
+    e = table(spark, d, "events")
+    users = e.agg((F.max("user_id") + 1).alias("users"))  # one row
+    i = e.join(F.broadcast(users)).select(F.col("user_id").alias("src"), ((F.col("user_id") * 7 + k % 10) % F.col("users")).alias("dst"), kind.alias("kind"))
+    return G.build_edges(i)
 
 
 @query("GRF-01 GRF-09", f"{WITH} SELECT * FROM e")
@@ -37,9 +40,24 @@ def wcc(spark, d):
     return G.components(edges(spark, d))
 
 
-@query("GRF-06", WITH + """, r AS (SELECT 1::BIGINT AS node, 0 AS level WHERE EXISTS (SELECT 1 FROM e WHERE src = 1 OR dst = 1) UNION SELECT e.dst, r.level + 1 FROM r JOIN e ON e.src = r.node WHERE r.level < 3) SELECT node, min(level)::INT AS level FROM r GROUP BY 1""")
+REACH = WITH + """, r AS (SELECT 1::BIGINT AS node, 0 AS level, [1::BIGINT] AS path WHERE EXISTS (SELECT 1 FROM e WHERE src = 1 OR dst = 1) UNION ALL SELECT e.dst, r.level + 1, list_append(path, e.dst) FROM r JOIN e ON e.src = r.node WHERE r.level < 3),
+ s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY level, path) AS n FROM r) WHERE n = 1)"""
+
+
+@query("GRF-06", REACH + " SELECT node, level, array_to_string(path, '>') AS path FROM s")
 def bfs_reach(spark, d):
-    return G.reach(edges(spark, d), 1).select(F.col("node").cast("long").alias("node"), "level")
+    return G.reach(edges(spark, d), 1).select("node", "level", F.array_join("path", ">").alias("path"))
+
+
+@query("GRF-06", REACH + ", h AS (SELECT dst FROM e GROUP BY 1 HAVING count(*) > 5) SELECT node AS target, array_to_string(path, '>') AS path, level AS length FROM s WHERE node IN (SELECT dst FROM h) ORDER BY level, node LIMIT 5")
+def hub_paths(spark, d):
+    return G.hub_paths(edges(spark, d), 1).select("target", F.array_join("path", ">").alias("path"), "length")
+
+
+@query("GRF-05", WITH + """, y AS (SELECT src, dst, sum(weight)::DOUBLE AS w FROM (SELECT src, dst, weight FROM e UNION ALL SELECT dst, src, weight FROM e) GROUP BY 1, 2), v AS (SELECT DISTINCT src AS node FROM y), z AS (SELECT * FROM y UNION ALL SELECT node, node, 1.0 FROM v),
+ l AS (SELECT 0 AS k, node, node AS community FROM v UNION ALL SELECT k, node, community FROM (SELECT k + 1 AS k, src AS node, community, row_number() OVER (PARTITION BY src ORDER BY sum(w) DESC, community) AS n FROM z JOIN l ON l.node = z.dst WHERE k < 10 GROUP BY k, src, community) WHERE n = 1) SELECT node, community FROM l WHERE k = 10""")
+def label_communities(spark, d):
+    return G.label_propagation(edges(spark, d))
 
 
 @query("GRF-08", WITH + """, b AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e), r AS (SELECT src AS node, src AS c FROM b UNION SELECT b.dst, r.c FROM r JOIN b ON b.src = r.node), w AS (SELECT node, min(c) AS component FROM r GROUP BY 1),
@@ -85,18 +103,23 @@ def entity_graph_stats(spark, d):
     return G.entity_stats(edges(spark, d))
 
 
-@query("GRF-03")
+@query("GRF-03", WITH + """, v AS (SELECT src AS node FROM e UNION SELECT dst FROM e), c AS (SELECT count(*)::DOUBLE AS n FROM v), o AS (SELECT src, sum(weight)::DOUBLE AS t FROM e GROUP BY 1), p AS (SELECT e.src, e.dst, e.weight / o.t AS p FROM e JOIN o ON o.src = e.src),
+ r AS (SELECT 0 AS k, node, 1.0::DOUBLE / n AS r FROM v, c UNION ALL SELECT k, node, r FROM (SELECT any_value(x.k) + 1 AS k, v.node, 0.15::DOUBLE / any_value(c.n) + 0.85::DOUBLE * (coalesce(sum(CASE WHEN p.dst = v.node THEN x.r * p.p END), 0) + any_value(x.lost) / any_value(c.n)) AS r
+ FROM (SELECT r.*, sum(CASE WHEN o.src IS NULL THEN r.r ELSE 0 END) OVER () AS lost FROM r LEFT JOIN o ON o.src = r.node WHERE k < 30) x LEFT JOIN p ON p.src = x.node JOIN v ON v.node = p.dst OR v.node = x.node JOIN c ON true GROUP BY v.node)) SELECT node, round(r, 9) AS pagerank FROM r WHERE k = 30""")
 def pagerank(spark, d):
-    return G.pagerank(edges(spark, d))
+    return G.pagerank(edges(spark, d)).select("node", F.round("pagerank", 9).alias("pagerank"))
 
 
 @query("GRF-04 WIN-28")
 def influencers(spark, d):
-    e = edges(spark, d)
-    rows = G.degrees(e).select("node", F.col("in_centrality").alias("in_degree"), F.col("out_centrality").alias("out_degree")).join(G.pagerank(e), "node").join(G.small_metrics(e).select("node", "betweenness", "eigenvector"), "node")
-    return G.influencers(rows, list(G.BLEND), 20)
+    return G.influencers(G.centrality(edges(spark, d)), list(G.BLEND), 20)
+
+
+@query("GRF-03")
+def centrality(spark, d):
+    return G.centrality(edges(spark, d))
 
 
-@query("GRF-03 GRF-05 GRF-07")
+@query("GRF-05 GRF-07")
 def small_graph_metrics(spark, d):
     return G.small_metrics(edges(spark, d))

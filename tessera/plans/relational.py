@@ -79,10 +79,9 @@ def left_join_enrich(spark, d):
     return rows.select("doc_id", "lang", "quality", state.alias("state"))
 
 
-@query("JON-01 STR-23", """SELECT o.o_orderkey, upper(c.c_mktsegment) AS segment, left(n.n_name, 5) AS nation, o.o_totalprice FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE o.o_totalprice > 400000""")
+@query("JON-01 STR-23", """SELECT o.o_orderkey, upper(c.c_mktsegment) AS segment, left(n.n_name, 5) AS nation, o.o_totalprice FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 def three_way_export(spark, d):
-    o = table(spark, d, "orders").where("o_totalprice > 400000")
-    rows = o.join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     return rows.select("o_orderkey", F.upper("c_mktsegment").alias("segment"), F.left("n_name", F.lit(5)).alias("nation"), "o_totalprice")
 
 

@@ -10,7 +10,6 @@ from tessera import plans
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SLOW = {"pagerank", "influencers"}  # a loop of jobs each; covered in test_graph.py
 
 
 @pytest.fixture(scope="module")
@@ -47,7 +46,7 @@ def test_equals_sql(spark, duck, name):
     assert rows_of(df.columns, df.collect()) == rows_of(want.columns, want.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(plans.QUERIES) - set(plans.ORACLE) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(plans.QUERIES) - set(plans.ORACLE)))
 def test_runs(spark, name):
     df = plans.QUERIES[name](spark, DATA)
     assert df.count() > 0 and len(set(df.columns)) == len(df.columns)
