@@ -52,24 +52,48 @@ HIGHLIGHTS = {
 }
 #: Patterns of entities in filings and in posts.
 FILING_ENTITIES = {"money": r"\$[0-9,]+(?:\.[0-9]+)?(?:\s*(?:billion|million|thousand))?", "percentage": r"[0-9]+(?:\.[0-9]+)?%", "year": r"(?:19|20)[0-9][0-9]"}
-POST_ENTITIES = {"phase": r"[Pp]hase (?:I{1,3}|IV|[1-4])[ab]?", "fda": r"FDA (?:approval|clearance|approved|cleared)", "drug": r"[A-Z]{2,}-[0-9]+", "ticker": r"\$[A-Z]{1,5}", "percent": r"[+-]?[0-9]+(?:\.[0-9]+)?%", "hashtag": r"#[A-Za-z0-9_]+", "mention": r"@[A-Za-z0-9_]+"}
+POST_ENTITIES = {
+    "phase": r"[Pp]hase (?:I{1,3}|IV|[1-4])[ab]?",
+    "fda": r"FDA (?:approval|clearance|approved|cleared)|FDA-(?:approved|cleared)|Fast Track Designation|Breakthrough Therapy Designation",
+    "drug": r"(?i:drug|therapy|treatment|compound)(?: [A-Z][A-Za-z0-9]+)+|[A-Z]{2,}-[0-9]+|\b[A-Z][a-z]+mab\b",
+    "company": r"Moderna|Pfizer|BioNTech|Novavax|Gilead|Regeneron|Vertex|Biogen|Amgen|Genentech",
+    "ticker": r"\$[A-Z]+",
+    "price": r"\$[0-9]+\.?[0-9]*[KMB]?",
+    "percent": r"[+-]?[0-9]+(?:\.[0-9]+)?%",
+    "hashtag": r"#[A-Za-z0-9_]+",
+    "mention": r"@[A-Za-z0-9_]+",
+}
+#: Patterns of cited patents (lists after Nos., application publications, single numbers) and papers.
+PATENT_LIST = r"(?i)U\.S\..*?Pat(?:ent)?.*?Nos?\.?\s*([0-9,;\s]+)"
+PATENT_NUMBER = r"([0-9]{1,2},[0-9]{3},[0-9]{3})"
+PATENT_APPLICATION = r"(?i)U\.S\..*?Patent.*?Application.*?Publication.*?No\.?\s*([0-9/]+)"
+PATENT_SINGLE = r"(?i)Patent\s+No\.\s*([0-9]{1,3}(?:,[0-9]{3})*)"
+PAPERS = [
+    r"([A-Z][a-z]+(?:\s+(?:and|&)\s+[A-Z][a-z]+)*\s+et\s+al\.?,?\s*[0-9]{4})",
+    r"([A-Z][a-z]+(?:\s+(?:and|&)\s+[A-Z][a-z]+)*\s+et\s+al\.?\s*\([0-9]{4}\))",
+    r"([A-Z][a-z]+\s+and\s+[A-Z][a-z]+,?\s+[0-9]{4})",
+    r"([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*\s+[0-9]{4};[0-9]+:[0-9]+(?:-[0-9]+)?)",
+]
+NOT_PAPERS = ["example", "table", "figure", "section", "chapter", "claim", "embodiment", "step", "stage", "phase"]
 
 
 def lower(text) -> Column:
     return F.lower(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 
 
-def risk_score(text, words: list[str]) -> Column:
-    """0 to 100: 20 a critical phrase, 5 an occurrence of a word (30 a word at most), 3 a negative word."""
-    t = lower(text)
-    own = reduce(lambda a, b: a + b, [F.least(occurrences(t, w) * 5, F.lit(30)) for w in words])
-    return F.least(keyword_hits(t, CRITICAL) * 20 + own + keyword_hits(t, NEGATIVE) * 3, F.lit(100)).cast("double")
+def keyword_points(t: Column, words: list[str], each: int = 5, most: int = 30) -> Column:
+    """Points of words in a lower-cased text: ``each`` an occurrence, at most ``most`` a word. Only words that occur are counted."""
+    return reduce(lambda a, b: a + b, [F.when(F.contains(t, F.lit(w)), F.least(occurrences(t, w) * each, F.lit(most))).otherwise(0) for w in words])
 
 
 def risk_scores(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """One row per document and category."""
-    found = F.array(*[F.struct(F.lit(c).alias("category"), risk_score(text, w).alias("score")) for c, w in CATEGORIES.items()])
-    return rows.select(*keys, F.explode(found).alias("r")).select(*keys, "r.category", "r.score")
+    """One row per document and category, 0 to 100: 20 a critical phrase, 5 an occurrence of a category's word (30 a word at
+    most), 3 a negative word. The text is lowered and searched for phrases once, not once a category."""
+    t = F.col("_t")
+    rows = rows.select(*keys, lower(text).alias("_t"))
+    rows = rows.select(*keys, "_t", (keyword_hits(t, CRITICAL) * 20 + keyword_hits(t, NEGATIVE) * 3).alias("_all"))
+    found = F.array(*[F.struct(F.lit(c).alias("category"), F.least(F.col("_all") + keyword_points(t, w), F.lit(100)).cast("double").alias("score")) for c, w in CATEGORIES.items()])
+    return rows.select(*keys, found.alias("_r")).select(*keys, F.explode("_r").alias("r")).select(*keys, "r.category", "r.score")
 
 
 def pattern_scores(rows: DataFrame, patterns: DataFrame, key: str, text: str) -> DataFrame:
@@ -112,18 +136,27 @@ def chunk_risk(chunks: DataFrame, key: str, pos: str, text: str, weights=(0.33,
     return g.select(key, tier.alias("tier"), F.col("top").alias("max_score"), (F.col("mean") * weights[0] + F.col("top") * weights[1] + (F.col("last") - F.col("first")) * weights[2]).alias("score"))
 
 
+def around(t: Column, word: str, n: int = 100) -> Column:
+    """All stretches of a word with up to n characters of its line on either side, as the pattern .{0,n}word.{0,n} finds them.
+
+    What is further than n characters and a word from the word is first cut out (a line break stands for it, which no stretch
+    crosses; a word more, as words may overlap), so the pattern never walks along the rest of the text.
+    """
+    far = n + len(word)
+    near = F.transform(F.split(t, word), lambda x: F.when(F.length(x) > 2 * far, F.concat(F.left(x, F.lit(far)), F.lit("\n"), F.right(x, F.lit(far)))).otherwise(x))
+    found = F.regexp_extract_all(F.array_join(near, word), F.lit(f".{{0,{n}}}{word}.{{0,{n}}}"), 0)
+    return F.when(F.contains(t, F.lit(word)), found).otherwise(F.array().cast("array<string>"))
+
+
 def theme_mentions(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     """Per document and theme: how many stretches of up to 100 characters around a word, and their tone."""
-    t = lower(text)
-    parts = []
-    for theme, words in THEMES.items():
-        # the expensive pattern runs only where the word occurs
-        found = F.flatten(F.array(*[F.when(F.contains(t, F.lit(w)), F.regexp_extract_all(t, F.lit(f".{{0,100}}{w}.{{0,100}}"), 0)).otherwise(F.array().cast("array<string>")) for w in words]))
-        parts.append(F.struct(F.lit(theme).alias("theme"), found.alias("m")))
-    out = rows.select(*keys, F.explode(F.array(*parts)).alias("x")).where(F.size("x.m") > 0)
-    whole = F.array_join("x.m", " ")
-    down, up = keyword_hits(whole, TONE_DOWN), keyword_hits(whole, TONE_UP)
-    return out.select(*keys, F.col("x.theme").alias("theme"), F.size("x.m").cast("long").alias("mention_count"), F.when(down > up, -0.5).when(up > down, 0.5).otherwise(0.0).alias("sentiment"))
+    rows = rows.select(*keys, lower(text).alias("_t"))
+    parts = [F.struct(F.lit(theme).alias("theme"), F.flatten(F.array(*[around(F.col("_t"), w) for w in words])).alias("m")) for theme, words in THEMES.items()]
+    held = F.filter(F.array(*parts), lambda x: F.size(x["m"]) > 0)
+    out = rows.select(*keys, held.alias("_x")).select(*keys, F.explode("_x").alias("x"))
+    out = out.select(*keys, F.col("x.theme").alias("theme"), F.size("x.m").cast("long").alias("mention_count"), F.array_join("x.m", " ").alias("_w"))
+    down, up = keyword_hits("_w", TONE_DOWN), keyword_hits("_w", TONE_UP)
+    return out.select(*keys, "theme", "mention_count", F.when(down > up, -0.5).when(up > down, 0.5).otherwise(0.0).alias("sentiment"))
 
 
 def environment(mentions: DataFrame, industry: str, company: str) -> DataFrame:
@@ -290,19 +323,22 @@ def heading_chunks(rows: DataFrame, key: str, text: str, heading: str, most: int
 
 
 def patent_citations(text, most: int = 50) -> Column:
-    """US numbers of cited patents: in lists after Nos., then after Patent No.; each once, the first ``most``."""
+    """US numbers of cited patents: in lists after Nos., application publications, then after Patent No.; each once, the first
+    ``most``."""
     t = F.coalesce(F.col(text), F.lit(""))
-    listed = F.flatten(F.transform(F.regexp_extract_all(t, F.lit(r"(?i)U\.S\.[^0-9]*?Pat(?:ent)?[^0-9]*?Nos?\.?\s*([0-9,;\s]+)"), 1), lambda m: F.regexp_extract_all(m, F.lit(r"([0-9]{1,2},[0-9]{3},[0-9]{3})"), 1)))
-    single = F.regexp_extract_all(t, F.lit(r"(?i)Patent\s+No\.\s*([0-9]{1,3}(?:,[0-9]{3})*)"), 1)
-    digits = F.transform(F.concat(listed, single), lambda x: F.replace(x, F.lit(","), F.lit("")))
-    return F.slice(F.array_distinct(F.transform(F.filter(digits, lambda x: F.length(x) >= 6), lambda x: F.concat(F.lit("US"), x))), 1, most)
+    every = lambda p: F.when(t.rlike(r"(?i)u\.s\."), F.regexp_extract_all(t, F.lit(p), 1)).otherwise(F.array().cast("array<string>"))
+    listed = F.flatten(F.transform(every(PATENT_LIST), lambda m: F.regexp_extract_all(m, F.lit(PATENT_NUMBER), 1)))
+    numbers = F.concat(listed, every(PATENT_APPLICATION), F.regexp_extract_all(t, F.lit(PATENT_SINGLE), 1))
+    digits = F.filter(F.transform(numbers, lambda x: F.regexp_replace(x, "[^0-9]", "")), lambda x: F.length(x) >= 6)
+    return F.slice(F.array_distinct(F.transform(digits, lambda x: F.concat(F.lit("US"), x))), 1, most)
 
 
 def paper_citations(text, most: int = 100) -> Column:
+    """Cited papers: authors et al. with a year, two authors and a year, journal year;volume:pages. Names of parts of a text are
+    none. A title after an author's name has no year in what is kept of it, so that form adds nothing."""
     t = F.coalesce(F.col(text), F.lit(""))
-    skip = ["example", "table", "figure", "section", "chapter", "claim", "embodiment", "step", "stage", "phase"]
-    found = F.concat(*[F.regexp_extract_all(t, F.lit(p), 1) for p in (r"([A-Z][a-z]+ et al\.?,? ?[0-9]{4})", r"([A-Z][a-z]+ et al\.? ?\([0-9]{4}\))", r"([A-Z][a-z]+ and [A-Z][a-z]+,? [0-9]{4})")])
-    good = F.filter(F.transform(found, collapse), lambda x: (F.length(x) >= 8) & ~any_keyword(x, skip))
+    found = F.concat(*[F.regexp_extract_all(t, F.lit(p), 1) for p in PAPERS])
+    good = F.filter(F.transform(found, collapse), lambda x: (F.length(x) >= 8) & ~any_keyword(x, NOT_PAPERS))
     return F.slice(F.array_distinct(good), 1, most)
 
 

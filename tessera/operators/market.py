@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import normal_cdf, ratio
+from tessera.sources.staging import cut
 
 
 def bars(trades: DataFrame, symbol: str, time: str, price: str, volume: str, order: list[str]) -> DataFrame:
@@ -156,9 +157,19 @@ def risk_reward(entry: Column, target: Column, stop: Column) -> Column:
     return ratio(F.abs(target - entry), F.abs(entry - stop))
 
 
+def last_rows(ind: DataFrame) -> DataFrame:
+    """Each symbol's last row with what patterns and events look back to: all window functions in one pass."""
+    back = {"close_6": _back("close", 6), "rsi_6": _back("rsi_14", 6), "p50": _back("sma_50", 1), "p200": _back("sma_200", 1), "recent": F.collect_list("atr_14").over(_w(20))}
+    return latest(ind.withColumns(back))
+
+
 def patterns(ind: DataFrame, surge: float = 1.5) -> DataFrame:
     """(symbol, name, confidence, risk_reward, bullish, strength) at each symbol's last row."""
-    rows = latest(ind.withColumns({"close_6": _back("close", 6), "rsi_6": _back("rsi_14", 6)}))
+    return patterns_at(last_rows(ind), surge)
+
+
+def patterns_at(rows: DataFrame, surge: float = 1.5) -> DataFrame:
+    """Patterns of last_rows."""
     rsi, close, vr = F.col("rsi_14"), F.col("close"), F.col("volume_ratio")
     sure = F.least(50.0 + F.when(vr > 2.0, 20.0).when(vr > 1.5, 10.0).otherwise(0.0) + F.when((rsi > 60) | (rsi < 40), 10.0).otherwise(0.0) + F.when(F.col("macd_histogram") > 0, 10.0).otherwise(0.0), F.lit(100.0))
     narrow = F.try_divide(F.col("width"), F.col("sma_20")) * 100.0
@@ -194,8 +205,11 @@ def crosses(ind: DataFrame) -> DataFrame:
 
 def events(ind: DataFrame) -> DataFrame:
     """(symbol, event, significance, price_impact) at each symbol's last row."""
-    rows = ind.withColumns({"p50": _back("sma_50", 1), "p200": _back("sma_200", 1), "recent": F.collect_list("atr_14").over(_w(20))})
-    rows = latest(rows)
+    return events_at(last_rows(ind))
+
+
+def events_at(rows: DataFrame) -> DataFrame:
+    """Events of last_rows."""
     share = F.size(F.filter("recent", lambda x: x < F.col("atr_14"))) / 20.0 * 100.0
 
     def one(name, when, size, impact):
@@ -223,8 +237,9 @@ def _split(up: Column, down: Column) -> tuple[Column, Column]:
 
 def composite(ind: DataFrame, flow: DataFrame) -> DataFrame:
     """Bullish and bearish score of each symbol from indicators, the three surest patterns, events and option flow
-    (symbol, sentiment), with the direction their difference gives. Sources without rows count 50 each."""
-    now = latest(ind)
+    (symbol, sentiment), with the direction their difference gives. Sources without rows count 50 each. The last rows, one a
+    symbol, are made once and kept for all four."""
+    now = cut(last_rows(ind))
     pts = lambda c, p: F.when(c, p).otherwise(0.0)
     rsi, close = F.col("rsi_14"), F.col("close")
     macd, over50, over200 = F.coalesce(F.col("macd_histogram") > 0, F.lit(False)), F.coalesce(close > F.col("sma_50"), F.lit(False)), F.coalesce(close > F.col("sma_200"), F.lit(False))
@@ -234,10 +249,10 @@ def composite(ind: DataFrame, flow: DataFrame) -> DataFrame:
     tech = now.select("symbol", t_up.alias("technical_up"), t_down.alias("technical_down"))
 
     first = Window.partitionBy("symbol").orderBy(F.desc("confidence"), "name")
-    p = patterns(ind).withColumn("r", F.row_number().over(first)).where("r <= 3")
+    p = patterns_at(now).withColumn("r", F.row_number().over(first)).where("r <= 3")
     cf = F.col("confidence").cast("decimal(18,4)")
     p = p.groupBy("symbol").agg(F.sum(F.when(F.col("bullish"), cf).otherwise(0)).cast("double").alias("u"), F.sum(F.when(F.col("bullish"), F.lit(0)).otherwise(cf)).cast("double").alias("d"))
-    ev = events(ind)
+    ev = events_at(now)
     sg = F.round("significance", 4).cast("decimal(18,4)")
     ev = ev.groupBy("symbol").agg(F.sum(F.when(F.col("price_impact") > 0, sg).otherwise(0)).cast("double").alias("eu"), F.sum(F.when(F.col("price_impact") < 0, sg).otherwise(0)).cast("double").alias("ed"))
     rows = tech.join(p, "symbol", "left").join(ev, "symbol", "left").join(flow, "symbol", "left")
@@ -327,4 +342,4 @@ def daily_return(b: DataFrame) -> DataFrame:
     return numbered(b).select("symbol", "day", F.try_divide((F.col("close") - F.col("prev")) * 100.0, F.col("prev")).alias("change_pct"), ((F.col("high") + F.col("low") + F.col("close")) / 3.0 * F.col("volume")).alias("money_flow"))
 
 
-__all__ = ["SIGNAL_WEIGHTS", "averages", "bars", "bollinger", "composite", "crosses", "daily_return", "events", "folds", "freshness", "greeks", "indicators", "liquidity", "microstructure", "obv", "option_flags", "patterns", "pivots", "risk_reward", "session_of", "since_watermark", "smart_money", "stochastic", "volatility", "volume_ratio", "vwap"]
+__all__ = ["SIGNAL_WEIGHTS", "averages", "bars", "bollinger", "composite", "crosses", "daily_return", "events", "folds", "freshness", "greeks", "indicators", "last_rows", "liquidity", "microstructure", "obv", "option_flags", "patterns", "pivots", "risk_reward", "session_of", "since_watermark", "smart_money", "stochastic", "volatility", "volume_ratio", "vwap"]

@@ -33,7 +33,7 @@ RISK = " UNION ALL ".join(f"SELECT doc_id, industry, company, period, '{c}' AS c
 SCORES = f"WITH {VIEW}, l AS (SELECT *, lower(text) AS t FROM filings), r AS ({RISK})"
 
 
-@query("MTH-13", SCORES + " SELECT doc_id, category, score FROM r")
+@query("MTH-13 STR-08", SCORES + " SELECT doc_id, category, score FROM r")
 def risk_scores(spark, d):
     return T.risk_scores(filings(spark, d), ["doc_id"], "text")
 
@@ -155,7 +155,7 @@ def money_values(spark, d):
 
 
 PENT = " UNION ALL ".join(f"SELECT doc_id, '{k}' AS kind, unnest(regexp_extract_all(text, '{p}')) AS entity FROM posts" for k, p in T.POST_ENTITIES.items())
-POST_TEXT = "CASE doc_id % 3 WHEN 0 THEN 'Phase III for ABC-12 $XYZ up 5% #news @you ' WHEN 1 THEN 'FDA approval by biotech ' ELSE '' END || text"
+POST_TEXT = "CASE doc_id % 3 WHEN 0 THEN 'Phase III for ABC-12 $XYZ up 5% #news @you at $12.5M with Pfizer ' WHEN 1 THEN 'FDA approval by biotech, FDA-cleared Zetamab and therapy Nova Plus under Fast Track Designation ' ELSE '' END || text"
 
 
 @query("STR-13", f"WITH posts AS (SELECT doc_id, {POST_TEXT} AS text FROM documents), e AS ({PENT}) SELECT doc_id, kind, entity, count(*) AS n FROM e GROUP BY 1, 2, 3")
@@ -186,9 +186,15 @@ def industry_category(spark, d):
     return filings(spark, d).select("doc_id", T.industry("text").alias("category"))
 
 
-@query("STR-20", f"""WITH {VIEW} SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '(?i)Patent\\s+No\\.\\s*([0-9]{{1,3}}(?:,[0-9]{{3}})*)', 1), lambda x: 'US' || replace(x, ',', '')), ',') AS patents, array_to_string(list_distinct(list_filter(regexp_extract_all(text, '([A-Z][a-z]+ et al\\.?,? ?[0-9]{{4}})', 1), lambda x: length(x) >= 8)), ',') AS papers FROM filings""")
+CITED = """text || CASE doc_id % 3 WHEN 0 THEN ' U.S. Pat. Nos. 5,123,456; 6,234,567 and U.S. Patent Application Publication No. 2010/0123456.' WHEN 1 THEN ' Smith and Jones, 2001; Nature Reviews 2019;562:203-210; Lee and Kim et al. (2011).' ELSE '' END"""
+
+
+@query("STR-20", f"""WITH {VIEW}, c AS (SELECT doc_id, {CITED} AS t FROM filings), n AS (SELECT doc_id, t, list_concat(list_concat(flatten(list_transform(regexp_extract_all(t, '{T.PATENT_LIST}', 1), lambda m: regexp_extract_all(m, '{T.PATENT_NUMBER}', 1))), regexp_extract_all(t, '{T.PATENT_APPLICATION}', 1)), regexp_extract_all(t, '{T.PATENT_SINGLE}', 1)) AS n,
+ {' || '.join(f"regexp_extract_all(t, '{p}', 1)" for p in T.PAPERS)} AS p FROM c) SELECT doc_id, array_to_string(list_sort(list_distinct(list_transform(list_filter(list_transform(n, lambda x: regexp_replace(x, '[^0-9]', '', 'g')), lambda x: length(x) >= 6), lambda x: 'US' || x))), ',') AS patents,
+ array_to_string(list_sort(list_distinct(list_filter(list_transform(p, lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: length(x) >= 8 AND {hits('lower(x)', T.NOT_PAPERS)} = 0))), ',') AS papers FROM n""")
 def citations(spark, d):
-    return filings(spark, d).select("doc_id", F.array_join(T.patent_citations("text"), ",").alias("patents"), F.array_join(T.paper_citations("text"), ",").alias("papers"))
+    rows = filings(spark, d).select("doc_id", F.expr(CITED).alias("t"))
+    return rows.select("doc_id", F.array_join(F.array_sort(T.patent_citations("t")), ",").alias("patents"), F.array_join(F.array_sort(T.paper_citations("t")), ",").alias("papers"))
 
 
 @query("STR-34", f"WITH {VIEW}, c AS (SELECT doc_id, 'Item ' || CAST(doc_id % 9 + 1 AS STRING) || '.01 and ITEM 2.02 ' || text AS t FROM filings) SELECT doc_id, array_to_string(list_filter([{', '.join(repr(i) for i in T.ITEMS)}], lambda x: contains(t, 'Item ' || x) OR contains(upper(t), 'ITEM ' || x)), ',') AS items FROM c")

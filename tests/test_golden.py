@@ -206,3 +206,27 @@ def test_repartition_changes_nothing(spark):
     a = sorted(map(tuple, market.folds(bars_of(spark, "/root/testdata/sf0.001")).collect()), key=repr)
     b = sorted(map(tuple, market.folds(bars_of(spark, "/root/testdata/sf0.001").repartition(7)).collect()), key=repr)
     assert a == b and "bars" in QUERIES
+
+
+def test_around_equals_pattern(spark):
+    """Cutting far text out changes no stretch: words near one another, at line ends, overlapping, in long and empty lines."""
+    import random
+    import re
+
+    rng = random.Random(1)
+    word = "sanctions"
+    pieces = ["x" * 99, "x" * 100, "x" * 101, "y" * 250, "\n", " ", "", "anctions", word, word, "z" * 40, "ä" * 120]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 14))) for _ in range(400)]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k long, t string")
+    got = {r["k"]: r["m"] for r in rows.select("k", filings.around(F.col("t"), word).alias("m")).collect()}
+    assert got == {k: re.findall(f".{{0,100}}{word}.{{0,100}}", t) for k, t in enumerate(texts)}
+
+
+def test_citations_and_posts(spark):
+    text = "See U.S. Pat. Nos. 5,123,456; 6,234,567. U.S. Patent Application Publication No. 2010/0123456 and Patent No. 12. Smith and Jones, 2001; Nature Reviews 2019;562:203-210. Lee and Kim et al. (2011), Table and Figure, 2003. Doe et al., 1999"
+    r = spark.createDataFrame([(text,), (None,), ("",)], "t string").select(filings.patent_citations("t").alias("p"), filings.paper_citations("t").alias("q")).collect()
+    assert r[0]["p"] == ["US5123456", "US6234567", "US20100123456"]
+    assert r[0]["q"] == ["Doe et al., 1999", "Lee and Kim et al. (2011)", "Smith and Jones, 2001", "Nature Reviews 2019;562:203-210"] and r[1]["q"] == r[2]["p"] == []
+    post = "FDA-approved Zetamab, therapy Nova Plus Fast Track Designation; Pfizer $12.5M $ABC Phase IIb"
+    got = {(r["kind"], r["entity"]) for r in filings.entities(spark.createDataFrame([(1, post)], "k long, t string"), ["k"], "t", filings.POST_ENTITIES).collect()}
+    assert got == {("fda", "FDA-approved"), ("fda", "Fast Track Designation"), ("drug", "Zetamab"), ("drug", "therapy Nova Plus Fast Track Designation"), ("company", "Pfizer"), ("price", "$12.5M"), ("ticker", "$ABC"), ("phase", "Phase IIb")}
