@@ -23,7 +23,20 @@ NOTICES = {
     "cc-by-sa": "this work is licensed under a creative commons attribution sharealike international license",
     "cc-notice": "this work is licensed under a creative commons attribution international license",
 }
-SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: One-line references to public licenses, and the labels the method adds.
+REFERENCES = [
+    ("mit", "released under the mit license"),
+    ("mit", "licensed under the mit license"),
+    ("apache-2.0", "licensed under the apache license version 2 0"),
+    ("gpl-2", "licensed under the gnu general public license version 2"),
+    ("gpl-3", "licensed under the gnu general public license version 3"),
+    ("lgpl", "licensed under the gnu lesser general public license"),
+    ("bsd", "licensed under the bsd license"),
+    ("mpl-2.0", "licensed under the mozilla public license version 2 0"),
+    ("cc-by-4.0", "licensed under cc by 4 0"),
+    ("cc-by-sa-4.0", "licensed under cc by sa 4 0"),
+    ("cc-by-nc-4.0", "licensed under cc by nc 4 0"),
+]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -32,71 +45,80 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), "")
 
 
-def template_grams(spark: SparkSession, templates: dict[str, str], k: int) -> DataFrame:
-    """(template, size, grams, at, gram, h) of every template position; a template of fewer than k words is one gram.
+def _word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda x: F.xxhash64(F.lower(x)))
+
+
+def _gram_hash(hashes: Column, i, n: int) -> Column:
+    """Hash of the n words from place i on, combined from the hashes that each word has once."""
+    return F.xxhash64(F.lit(n), *[F.get(hashes, i + j) for j in range(n)])
+
+
+def template_grams(spark: SparkSession, templates: list[tuple[str, str]], k: int) -> DataFrame:
+    """(template, label, size, grams, at, gram, h) of every template position; a template of fewer than k words is one gram.
 
     Its size is fixed by the templates, so it may be broadcast.
     """
     rows = []
-    for name, text in templates.items():
+    for t, (label, text) in enumerate(templates):
         w = text.split()
         n = min(k, len(w))
-        rows += [(name, len(w), len(w) - n + 1, i, w[i : i + n]) for i in range(len(w) - n + 1)]
-    df = spark.createDataFrame(rows, "template string, size int, grams int, at int, gram array<string>")
-    return df.withColumn("h", F.xxhash64(F.array_join("gram", " ")))
+        rows += [(t, label, len(w), len(w) - n + 1, i, w[i : i + n]) for i in range(len(w) - n + 1)]
+    df = spark.createDataFrame(rows, "template int, label string, size int, grams int, at int, gram array<string>")
+    sizes = sorted({len(r[-1]) for r in rows})
+    h = F.coalesce(*[F.when(F.size("gram") == n, _gram_hash(_word_hashes(F.col("gram")), F.lit(0), n)) for n in sizes])
+    return df.withColumn("h", h)
+
+
+def known() -> list[tuple[str, str]]:
+    return [*PHRASES.items(), *NOTICES.items(), *REFERENCES]
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, k: int = 4, slack: int = 3, min_share: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, k: int = 4, slack: int = 3, min_share: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, spans, an array of (label, first, last, share) verified spans, by place.
 
-    Every k-gram position of every text is joined by hash to the broadcast template positions; hits vote for a
-    diagonal (place in text less place in template); neighbouring diagonals within ``slack`` whose hits follow one
-    another merge; a merged span counts if hits cover ``min_share`` of the template's grams, all verified word by
-    word. Templates shorter than k words are single grams and must stand whole. Null text: no words, no spans.
-    Repeated rows and null ids are rows of their own.
+    ``templates`` are (label, text in lower-case words). The hash of every k-gram position of every text is rolled up from its
+    words' hashes; positions whose hash no template has are dropped in place, the others are joined by hash to the broadcast template
+    positions and verified word by word, so an exploded row carries k words and a text takes time in proportion to its
+    length. Hits vote for a diagonal (place in text less place in template); neighbouring diagonals at most ``slack`` apart
+    merge, so the hits of a span keep the template's order but for ``slack`` words; a merged span counts if verified hits cover
+    ``min_share`` of the template's grams. Templates shorter than k words are single grams and must stand whole, each place a
+    span. Null and empty texts: no words, no spans. Repeated rows and null ids are rows of their own; other columns are not
+    read. An empty table gives an empty table.
     """
     spark = docs.sparkSession
-    templates = {**PHRASES, **NOTICES} if templates is None else templates
-    grams = template_grams(spark, templates, k)
-    short = {len(t.split()) for t in templates.values() if len(t.split()) < k}
-    starts = {n: sorted({t.split()[0] for t in templates.values() if len(t.split()) == n}) for n in short}
+    grams = template_grams(spark, known() if templates is None else templates, k)
+    by_size: dict[int, list[int]] = {}
+    for r in grams.select(F.size("gram").alias("n"), "h").distinct().collect():  # a row a template place
+        by_size.setdefault(r["n"], []).append(r["h"])
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), words_of(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("w"))
-
-    def hashed(i: Column, n: int) -> Column:
-        return F.xxhash64(F.lower(F.concat_ws(" ", *[F.get("w", i + j) for j in range(n)])))
-
-    def places(n: int) -> Column:
-        return F.when(F.size("w") >= n, F.sequence(F.lit(0), F.size("w") - n)).otherwise(F.array().cast("array<int>"))
-
-    long = F.transform(places(k), lambda i: F.struct(i.alias("pos"), hashed(i, k).alias("h")))
-
-    def few(n: int) -> Column:
-        return F.transform(F.filter(places(n), lambda i: F.lower(F.get("w", i)).isin(starts[n])), lambda i: F.struct(i.alias("pos"), hashed(i, n).alias("h")))
-
-    own = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(0).cast("long").alias("h")))  # keeps a row of every document
-    # a document's own row finds the row that no template has
-    marks = spark.createDataFrame([(None, 0, 0, 0, [], 0)], grams.schema)
-    hits = (
-        rows.withColumn("g", F.explode(F.concat(own, long, *map(few, sorted(short)))))
-        .select("rid", "doc_id", "w", "g.pos", "g.h")
-        .join(F.broadcast(grams.unionByName(marks)), "h")
-        .where((F.col("template").isNull() & (F.col("pos") == -1)) | (F.transform(F.slice("w", F.greatest(F.col("pos") + 1, F.lit(1)), F.size("gram")), lambda x: F.translate(x, UPPER, LOWER)) == F.col("gram")))
-        .select("rid", "doc_id", F.size("w").cast("long").alias("n_words"), "template", "size", "grams", "at", "pos")
-    )
+    rows = rows.select("rid", "doc_id", "w", _word_hashes(F.col("w")).alias("wh"))
+
+    def candidates(n: int) -> Column:
+        places = F.when(F.size("w") >= n, F.sequence(F.lit(0), F.size("w") - n)).otherwise(F.array().cast("array<int>"))
+        found = F.filter(places, lambda i: _gram_hash(F.col("wh"), i, n).isin(by_size[n]))
+        return F.transform(found, lambda i: F.struct(i.alias("pos"), _gram_hash(F.col("wh"), i, n).alias("h"), F.transform(F.slice("w", i + 1, n), lambda x: F.translate(x, UPPER, LOWER)).alias("gram")))
+
+    # a document's own row finds the row that no template has, so every document stays
+    own = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(0).cast("long").alias("h"), F.array().cast("array<string>").alias("gram")))
+    marks = spark.createDataFrame([(None, None, 0, 0, 0, [], 0)], grams.schema)
+    found = rows.select("rid", "doc_id", F.size("w").cast("long").alias("n_words"), F.concat(own, *[candidates(n) for n in sorted(by_size)]).alias("g"))
+    # outer: the planner would else ask first whether there is an element, by a filter that makes the word hashes anew at every place
+    hits = found.select("rid", "doc_id", "n_words", F.explode_outer("g").alias("g")).select("rid", "doc_id", "n_words", "g.pos", "g.h", "g.gram").join(F.broadcast(grams.unionByName(marks)), ["h", "gram"])
     # votes of a diagonal: the distinct template places it covers (a bounded number) and where it runs
-    votes = hits.groupBy("rid", "doc_id", "n_words", "template", "size", "grams", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
+    votes = hits.groupBy("rid", "doc_id", "n_words", "template", "label", "size", "grams", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
         F.collect_set("at").alias("covered"), F.min("pos").alias("first"), F.max("pos").alias("last")
     )
     by = Window.partitionBy("rid", "template").orderBy("diagonal")
     apart = (F.col("diagonal") - F.lag("diagonal").over(by) > slack) | F.lag("diagonal").over(by).isNull() | (F.col("size") < k)
     spans = (
         votes.withColumn("band", F.sum(apart.cast("int")).over(by))
-        .groupBy("rid", "doc_id", "n_words", "template", "size", "grams", "band")
+        .groupBy("rid", "doc_id", "n_words", "template", "label", "size", "grams", "band")
         .agg(F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
         .withColumn("share", F.try_divide("n", "grams"))
     )
     real = F.col("template").isNotNull() & (F.col("share") >= min_share)
-    span = F.when(real, F.struct(F.col("first").cast("long").alias("first"), (F.col("last") + F.least("size", F.lit(k)) - 1).cast("long").alias("last"), F.col("template").alias("label"), F.col("share").alias("share")))
+    span = F.when(real, F.struct(F.col("first").cast("long").alias("first"), (F.col("last") + F.least("size", F.lit(k)) - 1).cast("long").alias("last"), "label", F.col("share").alias("share")))
     return spans.groupBy("rid", "doc_id").agg(F.max("n_words").alias("n_words"), F.sort_array(F.collect_list(span)).alias("spans")).drop("rid")
 
 

@@ -87,8 +87,9 @@ def frequent_lines(docs: DataFrame, host_col: str = "source", text_col: str = "t
     reaches its host's count as one row a task.
     """
     sets = docs.select(_host(host_col).alias("host"), normal_lines(F.col(text_col)).alias("r"))
-    # what each line needs of its document is made before the explode, so no row carries the whole document
-    lines = sets.select("host", F.xxhash64(F.array_sort(F.col("r.h"))).alias("set"), F.col("r.h").alias("hs")).select("host", "set", F.explode("hs").alias("h"))
+    # what each line needs of its document is made before the explode, so no row carries the whole document; outer, as the planner
+    # would else normalise each text a second time to ask whether it has lines
+    lines = sets.select("host", F.xxhash64(F.array_sort(F.col("r.h"))).alias("set"), F.col("r.h").alias("hs")).select("host", "set", F.explode_outer("hs").alias("h")).where("h IS NOT NULL")
     return staged(lines.groupBy("host", "h").agg(F.countDistinct("set").alias("docs")).where(F.col("docs") > max_docs).select("host", "h"), "frequent-lines")
 
 
@@ -105,7 +106,7 @@ def removed(docs: DataFrame, frequent: DataFrame, id_col: str = "doc_id", host_c
     """(k, n_frequent, frequent_chars, all_chars) of the documents with a frequent line: its distinct normalised lines."""
     r = docs.select(_key(id_col, host_col, text_col).alias("k"), _host(host_col).alias("host"), normal_lines(F.col(text_col)).alias("r"))
     lines = r.select("k", "host", F.aggregate("r", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("all"), "r")
-    lines = lines.select("k", "host", "all", F.explode("r").alias("r")).select("k", "host", "all", "r.h", "r.n")
+    lines = lines.select("k", "host", "all", F.explode_outer("r").alias("r")).where("r IS NOT NULL").select("k", "host", "all", "r.h", "r.n")
     # equal rows have one key; each of its lines counts once
     hits = _with_frequent(lines, frequent, broadcast_rows).groupBy("k", "h").agg(F.first("n").alias("n"), F.first("all").alias("all"))
     return hits.groupBy("k").agg(F.count("*").alias("n_frequent"), F.sum("n").alias("frequent_chars"), F.first("all").alias("all_chars"))

@@ -103,6 +103,24 @@ def places(text):
     return len(w), found
 
 
+def scanned(text, k=4, slack=3):
+    """Brute force: labels and score by comparing every place with every template."""
+    w = [x for x in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({i: i + 32 for i in range(65, 91)})) if x]
+    spans = []
+    for label, t in licenses.known():
+        t = t.split()
+        n = min(k, len(t))
+        hits = [(p - a, a) for p in range(len(w) - n + 1) for a in range(len(t) - n + 1) if w[p : p + n] == t[a : a + n]]
+        bands, last = [], None
+        for d in sorted({d for d, _ in hits}):
+            if last is None or d - last > slack or len(t) < k:
+                bands.append(set())
+            bands[-1] |= {a for x, a in hits if x == d}
+            last = d
+        spans += [(label, len(b) / (len(t) - n + 1)) for b in bands if len(b) / (len(t) - n + 1) >= 0.5]
+    return ",".join(sorted({x for x, _ in spans})), max((0.5 if x in licenses.PHRASES else min(s, 1.0) for x, s in spans), default=0.0)
+
+
 def test_licenses(spark, awkward):
     mit = licenses.NOTICES["mit"]
     texts = [
@@ -120,7 +138,16 @@ def test_licenses(spark, awkward):
         assert r["base_labels"] == ",".join(sorted({x for _, x in found}))
         assert set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1
     by = {r["doc_id"]: r for r in rows}
+    assert all(tuple(r[c] for c in ("labels", "score")) == scanned(r["text"]) for r in rows)
     assert by[53]["labels"] == by[54]["labels"] == by[55]["labels"] == "mit" and by[53]["score"] == 1.0 and 0.5 < by[55]["score"] < 1
     assert by[56]["labels"] == ""
     assert licenses.scan(docs).count() == docs.count()
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_long_license_text(spark):
+    """Ten megabytes take time in proportion to the text; hits at both ends are found."""
+    text = "cc by " + "word another thing here " * 450_000 + licenses.NOTICES["isc"]
+    r = licenses.digest(licenses.scan(spark.createDataFrame([(1, text), (1, text), (2, "cc by " * 300_000)], "doc_id long, text string"))).orderBy("doc_id").collect()
+    assert [x["doc_id"] for x in r] == [1, 1, 2] and r[0]["labels"] == "cc-by,isc" and r[0]["last_word"] == 0 and r[0]["n_words"] == 1_800_002 + len(licenses.NOTICES["isc"].split())
+    assert r[2]["n_base"] == 300_000 and r[2]["last_word"] == 599_998
