@@ -93,7 +93,7 @@ def risk_scores(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     rows = rows.select(*keys, lower(text).alias("_t"))
     rows = rows.select(*keys, "_t", (keyword_hits(t, CRITICAL) * 20 + keyword_hits(t, NEGATIVE) * 3).alias("_all"))
     found = F.array(*[F.struct(F.lit(c).alias("category"), F.least(F.col("_all") + keyword_points(t, w), F.lit(100)).cast("double").alias("score")) for c, w in CATEGORIES.items()])
-    return rows.select(*keys, found.alias("_r")).select(*keys, F.explode("_r").alias("r")).select(*keys, "r.category", "r.score")
+    return rows.select(*keys, found.alias("_r")).select(*keys, F.explode_outer("_r").alias("r")).select(*keys, "r.category", "r.score")
 
 
 def pattern_scores(rows: DataFrame, patterns: DataFrame, key: str, text: str) -> DataFrame:
@@ -153,7 +153,8 @@ def theme_mentions(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     rows = rows.select(*keys, lower(text).alias("_t"))
     parts = [F.struct(F.lit(theme).alias("theme"), F.flatten(F.array(*[around(F.col("_t"), w) for w in words])).alias("m")) for theme, words in THEMES.items()]
     held = F.filter(F.array(*parts), lambda x: F.size(x["m"]) > 0)
-    out = rows.select(*keys, held.alias("_x")).select(*keys, F.explode("_x").alias("x"))
+    # outer, as the planner would else make the array a second time to ask whether it is empty
+    out = rows.select(*keys, held.alias("_x")).select(*keys, F.explode_outer("_x").alias("x")).where("x IS NOT NULL")
     out = out.select(*keys, F.col("x.theme").alias("theme"), F.size("x.m").cast("long").alias("mention_count"), F.array_join("x.m", " ").alias("_w"))
     down, up = keyword_hits("_w", TONE_DOWN), keyword_hits("_w", TONE_UP)
     return out.select(*keys, "theme", "mention_count", F.when(down > up, -0.5).when(up > down, 0.5).otherwise(0.0).alias("sentiment"))
