@@ -338,8 +338,14 @@ def since_watermark(rows: DataFrame, seen: DataFrame, key: str, time: str, overl
     return rows.join(high, key, "left").where(F.col("_high").isNull() | (F.col(time) > F.col("_high") - F.expr(f"INTERVAL {overlap}"))).drop("_high")
 
 
+def rolling_extremes(b: DataFrame, n: int = 3) -> DataFrame:
+    """Greatest and least close of the last n rows, null before the n-th."""
+    w = _w(n)
+    return numbered(b).select("symbol", "day", F.when(F.col("rn") >= n, F.max("close").over(w)).alias("high_3"), F.when(F.col("rn") >= n, F.min("close").over(w)).alias("low_3"))
+
+
 def daily_return(b: DataFrame) -> DataFrame:
     return numbered(b).select("symbol", "day", F.try_divide((F.col("close") - F.col("prev")) * 100.0, F.col("prev")).alias("change_pct"), ((F.col("high") + F.col("low") + F.col("close")) / 3.0 * F.col("volume")).alias("money_flow"))
 
 
-__all__ = ["SIGNAL_WEIGHTS", "averages", "bars", "bollinger", "composite", "crosses", "daily_return", "events", "folds", "freshness", "greeks", "indicators", "last_rows", "liquidity", "microstructure", "obv", "option_flags", "patterns", "pivots", "risk_reward", "session_of", "since_watermark", "smart_money", "stochastic", "volatility", "volume_ratio", "vwap"]
+__all__ = ["SIGNAL_WEIGHTS", "averages", "bars", "bollinger", "composite", "crosses", "daily_return", "events", "folds", "freshness", "greeks", "indicators", "last_rows", "liquidity", "microstructure", "obv", "option_flags", "patterns", "pivots", "risk_reward", "rolling_extremes", "session_of", "since_watermark", "smart_money", "stochastic", "volatility", "volume_ratio", "vwap"]

@@ -79,7 +79,7 @@ def versions(sets: DataFrame, keys: list[str], time: str) -> DataFrame:
 
 def snapshot(params: DataFrame, key: str, value: str) -> DataFrame:
     """One row: number of parameters and a hash of all, the same for the same content in any order."""
-    return params.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(key, value)).alias("content_hash"))
+    return params.agg(F.count("*").alias("n"), F.bit_xor(F.conv(F.substring(F.md5(F.concat_ws("=", F.col(key).cast("string"), F.col(value).cast("string")).cast("binary")), 1, 15), 16, 10).cast("long")).alias("content_hash"))
 
 
 def feedback(current: DataFrame, overrides: DataFrame, key: str, value: str) -> DataFrame:

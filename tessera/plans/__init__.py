@@ -6,7 +6,7 @@ import importlib
 
 from . import registry
 
-MODULES = ["relational", "social", "market", "text", "graph", "entity", "state", "campaign", "extras"]
+MODULES = ["relational", "social", "market", "text", "graph", "entity", "state", "campaign", "extras", "files"]
 for _name in MODULES:
     importlib.import_module(f"{__name__}.{_name}")
 

@@ -219,3 +219,8 @@ def high_watermark(spark, d):
     e = table(spark, d, "events")
     seen = e.where((F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")) & (F.col("user_id") % 10 > 0))
     return M.since_watermark(e, seen, "user_id", "ts", "1 DAY").select("event_id")
+
+
+@query("WIN-27", PLAIN + "SELECT symbol, day, CASE WHEN rn >= 3 THEN max(close) OVER w END AS high_3, CASE WHEN rn >= 3 THEN min(close) OVER w END AS low_3 FROM n WINDOW w AS (PARTITION BY symbol ORDER BY day ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)")
+def rolling_extremes(spark, d):
+    return M.rolling_extremes(bars_of(spark, d))

@@ -94,9 +94,9 @@ def parameter_versions(spark, d):
     return U.versions(table(spark, d, "part").select("p_type", "p_partkey"), ["p_type"], "p_partkey")
 
 
-@query("UPS-06")
+@query("UPS-06", "SELECT count(*) AS n, bit_xor(CAST('0x' || substring(md5('uno.' || p_partkey || '=' || p_name), 1, 15) AS BIGINT)) AS content_hash FROM part")
 def parameter_snapshot(spark, d):
-    return U.snapshot(spark.createDataFrame(DEFAULTS, "param_key string, value string"), "param_key", "value")
+    return U.snapshot(table(spark, d, "part").select(F.concat(F.lit("uno."), "p_partkey").alias("k"), F.col("p_name").alias("v")), "k", "v")
 
 
 @query("SRC-05", "SELECT DISTINCT s.s_suppkey, p.p_partkey FROM supplier s JOIN part p ON p.p_partkey < 40 AND (contains(lower(s.s_name), lpad(CAST(p.p_partkey AS STRING), 3, '0')) OR contains(lpad(CAST(p.p_partkey AS STRING), 3, '0'), lower(s.s_name)))")

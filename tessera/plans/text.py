@@ -213,7 +213,12 @@ def text_metrics(spark, d):
     return table(spark, d, "documents").select("doc_id", *T.text_metrics("text"))
 
 
-@query("SRC-10")
+HIDDEN = "|".join(["<!--.*?-->", *[f"<{t}\\b.*?</{t}>" for t in ("script", "style", "nav", "header", "footer", "aside")]])
+BARE = "trim(regexp_replace(regexp_replace(regexp_replace({x}, '<[^>]*>', ' ', 'gs'), '&[a-z#0-9]+;', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query("SRC-10", f"""WITH h AS (SELECT page_id, regexp_replace(html, '(?is){HIDDEN}', ' ', 'g') AS h FROM pages), p AS (SELECT page_id, h, list_filter(list_transform(regexp_extract_all(h, '(?is)<p\\b[^>]*>(.*?)</p>', 1), lambda x: {BARE.format(x='x')}), lambda x: length(x) > 50) AS ps FROM h)
+ SELECT page_id, array_to_string(list_filter(CASE WHEN len(ps) > 0 THEN ps ELSE list_filter([{BARE.format(x='h')}], lambda x: length(x) > 20) END, lambda x: NOT regexp_matches(lower(x), '^(cookie|subscribe|share this|all rights reserved)')), chr(10)) AS text FROM p""")
 def page_text(spark, d):
     return table(spark, d, "pages").select("page_id", T.page_text("html").alias("text"))
 
@@ -223,7 +228,8 @@ def sentence_chunks(spark, d):
     return T.sentence_chunks(filings(spark, d), "doc_id", "text").select("doc_id", "chunk", "start", "end", F.length("text").alias("length"))
 
 
-@query("STR-30 STR-16")
+@query("STR-30 STR-16", """WITH m AS (SELECT doc_id, list_filter(string_split(regexp_replace(coalesce(text, ''), '(?m)^([A-ZÀ-Þ])', chr(1) || '\\1', 'g'), chr(1)), lambda x: length(trim(x)) > 0) AS p FROM documents), c AS (SELECT doc_id, flatten(list_transform(p, lambda x: list_transform(range(0, length(x), 8000), lambda s: substring(x, s + 1, 8000)))) AS c FROM m)
+ SELECT doc_id, CAST(i - 1 AS INT) AS chunk, CAST(length(c[i]) AS INT) AS length FROM (SELECT doc_id, c, unnest(range(1, len(c) + 1)) AS i FROM c)""")
 def heading_chunks(spark, d):
     return T.heading_chunks(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text", "[A-ZÀ-Þ]").select("doc_id", "chunk", F.length("text").alias("length"))
 

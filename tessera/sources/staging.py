@@ -1,15 +1,33 @@
-"""Cutting lineage in loops through the session's checkpoint folder, which driver and executors share."""
+"""The folder that driver and executors share: cutting lineage in loops, and files that queries write and read back."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir. Where the session names none, a temporary folder serves a local master; a cluster must name one."""
+    sc = spark.sparkContext
+    found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="tessera-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in this application's part of the shared folder."""
+    return f"{shared_dir(spark)}/tessera-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df from reliable checkpoint files; a temporary folder is used only where the session names none."""
+    """df from reliable checkpoint files in the shared folder."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="tessera-"))
+        sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
