@@ -64,28 +64,59 @@ class Counts:
 
 
 class BlockMax:
-    """Examples in blocks; per block the postings of every term, and per term and block the greatest weight.
+    """Examples in blocks; per block the posting list of every term, and per term and block the greatest weight.
 
-    search() takes blocks by falling upper bound and stops where a block's bound is below the k-th best, so it is exact.
+    search() takes blocks by falling upper bound, a few at a time, and stops where the next one's bound is below the k-th best, so
+    it is exact. Only postings of the query's own terms are read.
     """
 
-    def __init__(self, vectors: np.ndarray, size: int = 64):
-        self.n, self.size = len(vectors), size
-        self.order = np.lexsort((vectors.sum(1), vectors.argmax(1)))  # like examples stand together, so bounds are sharp
-        v = vectors[self.order]
-        self.blocks = [np.ascontiguousarray(v[i : i + size].T) for i in range(0, self.n, size)]
-        self.greatest = np.stack([b.max(1) for b in self.blocks], 1) if self.blocks else np.zeros((vectors.shape[1], 0))
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, size: int = 64):
+        self.n, self.size, self.n_terms = len(vectors), size, max(1, n_terms)
+        # like examples stand together, by their heaviest term, so bounds are sharp
+        heavy = np.array([t[w.argmax()] if len(t) else -1 for t, w in vectors], np.int64)
+        self.order = np.lexsort((np.array([w.sum() for _, w in vectors]), heavy))
+        n_blocks = -(-self.n // size)
+        lens = np.array([len(vectors[i][0]) for i in self.order], np.int64)
+        none = [np.zeros(0)]
+        term = np.concatenate([*(vectors[i][0] for i in self.order), *none]).astype(np.int64)
+        weight = np.concatenate([*(vectors[i][1] for i in self.order), *none])
+        place = np.repeat(np.arange(self.n), lens)
+        cell = place // size * self.n_terms + term
+        by = np.lexsort((place, cell))
+        self.place, self.weight, cell = place[by].astype(np.int32), weight[by], cell[by]
+        #: Where the postings of each block and term begin; they end where the next ones begin.
+        self.start = np.searchsorted(cell, np.arange(n_blocks * self.n_terms + 1)).astype(np.int32)
+        self.greatest = np.zeros((n_blocks, self.n_terms))
+        np.maximum.at(self.greatest.reshape(-1), cell, self.weight)
+        self.greatest = np.ascontiguousarray(self.greatest.T)
+
+    def _scores(self, blocks: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of these blocks' examples with a common term, and their cosines."""
+        cell = (blocks[:, None] * self.n_terms + terms[None, :]).ravel()
+        begin = self.start[cell]
+        lens = self.start[cell + 1] - begin
+        ends = np.cumsum(lens)
+        at = np.arange(int(ends[-1])) + np.repeat(begin - (ends - lens), lens)
+        slot = np.repeat(np.repeat(np.arange(len(blocks)), len(terms)), lens) * self.size + self.place[at] % self.size
+        s = np.bincount(slot, self.weight[at] * np.repeat(np.tile(weights, len(blocks)), lens), len(blocks) * self.size)
+        some = np.flatnonzero(s > 0)
+        return blocks[some // self.size] * self.size + some % self.size, s[some]
 
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1, step: int = 8) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest examples with positive cosine (ties: the smaller number), nearest first, and their cosines."""
         bound = weights @ self.greatest[terms]
+        queue = np.argsort(-bound, kind="stable")
+        queue = queue[bound[queue] > 0]
         ids, sims, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(ids) == k and bound[b] < least - 1e-12):
-                break
-            s = weights @ self.blocks[b][terms]
-            own = self.order[b * self.size : b * self.size + len(s)]
-            good = (s > 0) & (s >= least - 1e-12) & (own != skip)
+        while len(queue):
+            if len(ids) == k:
+                queue = queue[: np.searchsorted(-bound[queue], -(least - 1e-12), side="right")]
+                if not len(queue):
+                    break
+            place, s = self._scores(queue[:step], terms, weights)
+            queue = queue[step:]
+            own = self.order[place]
+            good = (s >= least - 1e-12) & (own != skip)
             ids, sims = np.concatenate([ids, own[good]]), np.concatenate([sims, s[good]])
             best = np.lexsort((ids, -np.round(sims, 12)))[:k]
             ids, sims = ids[best], sims[best]
@@ -102,11 +133,7 @@ class Model:
         self.prior = prior
         # examples are drawn evenly from both classes; votes count as in the labelled rows
         self.worth = np.where(labels == 1, prior / max(rate, 1e-9), (1 - prior) / max(1 - rate, 1e-9)) if 0 < rate < 1 else np.ones(len(labels))
-        dense = np.zeros((len(labels), max(1, len(names))))
-        for row, (t, c) in zip(dense, counts):
-            terms, w = self.vector(t, c)
-            row[terms] = w
-        self.index = BlockMax(dense)
+        self.index = BlockMax([self.vector(t, c) for t, c in counts], len(names))
         self.steps = (np.zeros(0), np.zeros(0))
         bare = np.array([not len(t) for t, _ in counts], bool)
         self.bare = float((self.worth * labels)[bare].sum() / self.worth[bare].sum()) if bare.any() else prior
@@ -161,11 +188,12 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(id_column.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, n_features: int = 768, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, least_chi: float = 10.83, least_docs: int = 5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
     """Examples, features and class weights from labelled rows that are not held out.
 
-    At most ``fit_rows`` examples, half of either class, the first by hash of their id; features are those that tell
-    the classes apart best (chi square on document counts in the examples). Only class totals come from all labels.
+    At most ``fit_rows`` examples, half of either class, the first by hash of their id (of repeated ids the least text). Features
+    are all that ``least_docs`` examples have and that tell the classes apart with a chi square of ``least_chi`` on document counts
+    (one wrong in a thousand); their number has no limit but the examples. Only class totals come from all labels.
     """
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     known = staged(known.groupBy(F.col(id_col).cast("long").alias("d")).agg(F.max(F.col(label_col)).cast("int").alias("y")), "labels")
@@ -174,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, n_features: in
     part = lambda y: known.where(F.col("y") == y).orderBy(F.xxhash64("d"), "d").limit(fit_rows // 2)
     chosen = part(1).unionByName(part(0))
     rows = docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).cast("string").alias("t")).join(F.broadcast(chosen), "d")
-    rows = staged(rows, "examples")
+    rows = staged(rows.groupBy("d").agg(F.max("y").alias("y"), F.min("t").alias("t")), "examples")  # a row an id
 
     def occur(batches):
         seen: Counter = Counter()
@@ -196,11 +224,11 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, n_features: in
     n1, n0 = float(n.get(1, 0)), float(n.get(0, 0))
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     chi = F.try_divide((a * n0 - b * n1) ** 2 * (n1 + n0), n1 * n0 * (a + b) * (n1 + n0 - a - b) + F.lit(1e-9))
-    names = [r["f"] for r in counts.where("a + b >= 5").orderBy(chi.desc(), "f").limit(n_features).select("f").collect()] if n1 and n0 else []
+    names = sorted(r["f"] for r in counts.where((a + b >= least_docs) & (chi >= least_chi)).select("f").collect()) if n1 and n0 else []  # of fit_rows texts
     return rows, names, prior
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, n_features: int = 768, k: int = 15, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, least_chi: float = 10.83, least_docs: int = 5, k: int = 15, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, evidence (ids of its nearest examples).
 
     Inverse document frequencies are counted over all documents. Null and empty texts and texts without a feature get
@@ -209,7 +237,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, n_feature
     """
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
-    rows, names, prior = fit(docs, labels, fit_rows, n_features, id_col, text_col, label_col)
+    rows, names, prior = fit(docs, labels, fit_rows, least_chi, least_docs, id_col, text_col, label_col)
     shared_names = spark.sparkContext.broadcast(names)
 
     def count(batches):
@@ -244,7 +272,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, n_feature
                 near.append(seen[key][1])
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": scores, "evidence": near})
 
-    out = vectors.mapInPandas(score, "doc_id long, score double, evidence array<long>").withColumn("doc_id", id_out("doc_id"))
+    # the vectors are few bytes in few files; dealt anew, as many tasks score them as read the documents
+    spread = vectors.repartition(max(1, len(vectors.inputFiles())))
+    out = spread.mapInPandas(score, "doc_id long, score double, evidence array<long>").withColumn("doc_id", id_out("doc_id"))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "evidence")
 
 
