@@ -18,6 +18,8 @@ BEGIN, OTHER, SINGLE = 0, 1, 2
 KEY_BYTES = 7
 #: Characters of a part: within it, each word and pair is counted and looked up once.
 PART_CHARS = 16_000_000
+#: Places that are scored at once.
+PLACES = 1_000_000
 #: Words and pairs of parts that are summed at once.
 GROUP_ROWS = 4_000_000
 
@@ -82,6 +84,12 @@ def _unpack(raw: bytes, n: int, width: int) -> np.ndarray:
     return out.reshape(-1).view("<i8")
 
 
+def _times(keys: np.ndarray) -> np.ndarray:
+    """How often each key occurs, at each of its places."""
+    _, at, n = np.unique(keys, return_inverse=True, return_counts=True)
+    return n[at]
+
+
 def _digest(row: dict, groups: int):
     """Of one part: the words of each document, the number of each place's pair, the words of each pair, and keys, group and
     order of all that is counted, the pairs first and then the words with the beginning as the last one."""
@@ -204,7 +212,9 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary_size
     neighbours (a document's beginning counts as a word) is counted exactly; the counts stay in tables that grow with the
     corpus. A pair's probability leans on its word's by ``lean`` counts:
     p(w | v) = (c(v, w) + lean * p(w)) / (c(v) + lean), with p(w) = (c(w) + 1/2) / (N + V / 2).
-    Both models have the same V words, so their difference is not moved by unknown words. A given ``vocabulary_size``
+    Both models have the same V words, order and smoothing, so their difference is not moved by unknown words. No document
+    scores itself: its own words and pairs are taken off the counts of the models that counted it, so target documents are not
+    favoured for being known. A given ``vocabulary_size``
     makes one word of all but the most frequent ones; without it no word is dropped.
     Lower differences are more like the target. No words (null, empty): 0 words and losses 0. An empty target leaves
     its model with the smoothing alone. Null ids are never in the target; repeated rows are scored each.
@@ -230,14 +240,32 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary_size
 
         row, rows = own.to_pylist()[0], sorted(counts.to_pylist(), key=lambda x: x["group"])
         lens, pair, left, right, l, r, group, order = _digest(row, groups)
-        doc, out = np.repeat(np.arange(len(lens)), lens), {}
+        hit, out, totals = np.frombuffer(row["hit"], bool), {n: np.zeros(len(lens)) for n in "tb"}, []
         for name, total in (("t", n_target), ("b", n_background)):
-            n = np.empty(len(order))
+            n = np.empty(len(order), np.int64)
             n[order] = np.concatenate([_unpack(x[name], x["n"], 6) for x in rows])
-            both, word = n[: len(left)], n[len(left) :]
-            loss = -np.log((both + lean * (word[right] + 0.5) / (total + 0.5 * n_words)) / (word[left] + lean)) if len(left) else both
-            out[name] = np.bincount(doc, loss[pair], minlength=len(lens)) / np.maximum(lens, 1)
-        return pa.table({"doc_id": np.frombuffer(row["d"], np.int64), "n_words": lens, "in_target": pa.array(np.frombuffer(row["hit"], bool)), "target_loss": out["t"], "background_loss": out["b"], "loss_difference": out["t"] - out["b"]})
+            totals.append((name, total, n[: len(left)], n[len(left) :]))
+        # words of one key (those outside a limited vocabulary) are one word
+        code = np.unique(np.append(np.frombuffer(row["keys"], np.int64), BEGIN), return_inverse=True)[1]
+        pair_code = np.unique(code[left] * len(code) + code[right], return_inverse=True)[1]
+        ends = np.cumsum(lens)
+        first = 0
+        while first < len(lens):  # some documents at a time, so that what stands for each place stays small
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] - lens[first] + PLACES, side="right")))
+            mine, size = pair[ends[first] - lens[first] : ends[last - 1]], lens[first:last]
+            doc = np.repeat(np.arange(len(size)), size)
+            a, b = left[mine], right[mine]
+            both_own, word_own = _times(doc * len(left) + pair_code[mine]), _times(doc * len(code) + code[b])
+            left_own = np.concatenate([[1], word_own[:-1]])[: len(mine)]
+            left_own[(np.cumsum(size) - size)[size > 0]] = 1  # the beginning
+            for name, total, both, word in totals:
+                counted = hit[first:last] if name == "t" else np.ones(len(size), bool)
+                self = counted[doc].astype(np.int64)
+                p = (word[b] - self * word_own + 0.5) / (total - self * (size[doc] + 1) + 0.5 * n_words)
+                loss = -np.log((both[mine] - self * both_own + lean * p) / (word[a] - self * left_own + lean))
+                out[name][first:last] = np.bincount(doc, loss, minlength=len(size)) / np.maximum(size, 1)
+            first = last
+        return pa.table({"doc_id": np.frombuffer(row["d"], np.int64), "n_words": lens, "in_target": pa.array(hit), "target_loss": out["t"], "background_loss": out["b"], "loss_difference": out["t"] - out["b"]})
 
     schema = "doc_id long, n_words long, in_target boolean, target_loss double, background_loss double, loss_difference double"
     own = parts.select("part", "d", "hit", "lens", "ids", "keys")

@@ -2,12 +2,15 @@ import math
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import lm_scores, preferences
 
 
-def test_losses_equal_brute_force(spark):
+@pytest.mark.parametrize("places", [1_000_000, 3])
+def test_losses_equal_brute_force(spark, monkeypatch, places):
+    monkeypatch.setattr(lm_scores, "PLACES", places)
     docs = [(1, "the cat sat on the mat"), (2, "The dog sat"), (3, ""), (4, None), (5, "zebra zebra the cat"), (6, "a b c d e f g")]
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("n_words", F.lit("clash"))
     rows = {r["doc_id"]: r for r in lm_scores.cross_entropy_difference(df, spark.createDataFrame([(1,), (5,), (None,)], "doc_id long"), vocabulary_size=10).collect()}
@@ -26,14 +29,23 @@ def test_losses_equal_brute_force(spark):
         p = (uni + 0.5) / (uni.sum() + 3)
         return lambda a, b: -math.log((bi[a, b] + 4 * p[b]) / (uni[a] + 4))
 
-    for name, m in (("target_loss", model([1, 5])), ("background_loss", model(seqs))):
+    for name, ids in (("target_loss", {1, 5}), ("background_loss", set(seqs))):
         for d, s in seqs.items():
+            m = model(ids - {d})  # no document scores itself
             want = sum(m(a, b) for a, b in zip(s, s[1:])) / max(1, len(s) - 1)
             assert math.isclose(rows[d][name], want, rel_tol=1e-6, abs_tol=1e-12), (name, d)
     assert rows[5]["loss_difference"] < rows[6]["loss_difference"] and rows[3]["n_words"] == 0
     assert [r["in_target"] for _, r in sorted(rows.items())] == [True, False, False, False, True, False]
 
 
+def test_long_and_repeated(spark):
+    """A text of 10 MB is one document; a repeated row scores by its twin's words, one without a twin does not."""
+    long = " ".join(f"w{k % 50_000}" for k in range(1_600_000))
+    df = spark.createDataFrame([(1, long), (2, "only here once"), (3, "said two times"), (3, "said two times")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_words"], r["background_loss"]) for r in lm_scores.cross_entropy_difference(df, df.where("doc_id = 1").select("doc_id")).collect())
+    assert [x[:2] for x in got] == [(1, 1_600_000), (2, 3), (3, 3), (3, 3)] and got[2] == got[3] and got[3][2] < got[1][2]
+
+
 def test_awkward(spark, awkward):
     assert lm_scores.cross_entropy_difference(awkward, awkward.select("doc_id").limit(0)).count() == awkward.count()
     assert lm_scores.cross_entropy_difference(awkward.limit(0), awkward.select("doc_id")).count() == 0
@@ -97,11 +109,21 @@ def test_losses_of_all_words_equal_brute_force(spark):
             uni[None] += 1
             bi.update(zip(seqs[d], seqs[d][1:]))
         total, n = sum(uni.values()), len({w for s in seqs.values() for w in s})
-        return lambda a, b: -math.log((bi[a, b] + 4 * (uni[b] + 0.5) / (total + n / 2)) / (uni[a] + 4))
+
+        def loss(d):
+            s, out = seqs[d], 0.0
+            mine = d in ids  # no document scores itself
+            own, both = Counter(s), Counter(zip(s, s[1:]))
+            for a, b in zip(s, s[1:]):
+                p = (uni[b] - mine * own[b] + 0.5) / (total - mine * len(s) + n / 2)
+                out -= math.log((bi[a, b] - mine * both[a, b] + 4 * p) / (uni[a] - mine * own[a] + 4))
+            return out / (len(s) - 1)
+
+        return loss
 
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     rows = {r["doc_id"]: r for r in lm_scores.cross_entropy_difference(df, spark.createDataFrame([(x,) for x in target], "doc_id long")).collect()}
     assert len({w for s in seqs.values() for w in s}) > 1 << 16
-    for name, m in (("target_loss", model(target)), ("background_loss", model(seqs))):
-        for d, s in seqs.items():
-            assert math.isclose(rows[d][name], sum(m(a, b) for a, b in zip(s, s[1:])) / (len(s) - 1), rel_tol=1e-9), (name, d)
+    for name, m in (("target_loss", model(target)), ("background_loss", model(set(seqs)))):
+        for d in seqs:
+            assert math.isclose(rows[d][name], m(d), rel_tol=1e-9), (name, d)
