@@ -188,12 +188,13 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(id_column.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, least_chi: float = 10.83, least_docs: int = 5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, least_phi: float = 0.1, least_chi: float = 10.83, least_docs: int = 5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
     """Examples, features and class weights from labelled rows that are not held out.
 
     At most ``fit_rows`` examples, half of either class, the first by hash of their id (of repeated ids the least text). Features
-    are all that ``least_docs`` examples have and that tell the classes apart with a chi square of ``least_chi`` on document counts
-    (one wrong in a thousand); their number has no limit but the examples. Only class totals come from all labels.
+    are all that ``least_docs`` examples have and that go with a class, by document counts in the examples: a phi coefficient of
+    ``least_phi`` (a small effect, whatever the number of examples) and a chi square of ``least_chi`` (one wrong in a thousand).
+    Their number has no limit but the examples. Only class totals come from all labels.
     """
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     known = staged(known.groupBy(F.col(id_col).cast("long").alias("d")).agg(F.max(F.col(label_col)).cast("int").alias("y")), "labels")
@@ -224,11 +225,11 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, least_chi: flo
     n1, n0 = float(n.get(1, 0)), float(n.get(0, 0))
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     chi = F.try_divide((a * n0 - b * n1) ** 2 * (n1 + n0), n1 * n0 * (a + b) * (n1 + n0 - a - b) + F.lit(1e-9))
-    names = sorted(r["f"] for r in counts.where((a + b >= least_docs) & (chi >= least_chi)).select("f").collect()) if n1 and n0 else []  # of fit_rows texts
+    names = sorted(r["f"] for r in counts.where((a + b >= least_docs) & (chi >= max(least_chi, least_phi**2 * (n1 + n0)))).select("f").collect()) if n1 and n0 else []  # of fit_rows texts
     return rows, names, prior
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, least_chi: float = 10.83, least_docs: int = 5, k: int = 15, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, least_phi: float = 0.1, least_chi: float = 10.83, least_docs: int = 5, k: int = 15, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, evidence (ids of its nearest examples).
 
     Inverse document frequencies are counted over all documents. Null and empty texts and texts without a feature get
@@ -237,7 +238,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, least_chi
     """
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
-    rows, names, prior = fit(docs, labels, fit_rows, least_chi, least_docs, id_col, text_col, label_col)
+    rows, names, prior = fit(docs, labels, fit_rows, least_phi, least_chi, least_docs, id_col, text_col, label_col)
     shared_names = spark.sparkContext.broadcast(names)
 
     def count(batches):
@@ -250,7 +251,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, least_chi
 
     vectors = staged(docs.select(id_in(id_col).alias("d"), F.col(text_col).cast("string").alias("t")).mapInPandas(count, "doc_id long, terms array<int>, times array<int>"), "vectors")
     df = np.zeros(max(1, len(names)))
-    for r in vectors.select(F.explode("terms").alias("f")).groupBy("f").agg(F.count("*").alias("n")).collect():  # a row per feature
+
+    def occur(batches):
+        n = np.zeros(len(df), np.int64)
+        for pdf in batches:
+            n += np.bincount(np.concatenate([*pdf["terms"], np.zeros(0, np.int32)]), minlength=len(df))
+        some = np.flatnonzero(n)
+        yield pd.DataFrame({"f": some, "n": n[some]})
+
+    for r in vectors.select("terms").mapInPandas(occur, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).collect():  # a row per feature
         df[r["f"]] = r["n"]
     idf = np.log((1 + vectors.count()) / (1 + df)) + 1
     examples = rows.select("d", "y", "t").toArrow().to_pandas().sort_values("d")  # at most fit_rows

@@ -49,7 +49,7 @@ def brute(docs, labels, k=15):
         a, b = seen[1][f], seen[0][f]
         return (a * n0 - b * n1) ** 2 * (n1 + n0) / (n1 * n0 * (a + b) * (n1 + n0 - a - b) + 1e-9)
 
-    names = sorted(f for f in {*seen[0], *seen[1]} if seen[0][f] + seen[1][f] >= 5 and chi(f) >= 10.83)
+    names = sorted(f for f in {*seen[0], *seen[1]} if seen[0][f] + seen[1][f] >= 5 and chi(f) >= max(10.83, 0.01 * (n1 + n0)))
     tf = np.array([[1 + math.log(c[f]) if c[f] else 0.0 for f in names] for c in counts])
     x = tf * (np.log((1 + len(docs)) / (1 + (tf > 0).sum(0))) + 1)
     norm = np.sqrt((x * x).sum(1))
@@ -96,9 +96,9 @@ def test_repeated_ids_and_long_text(spark):
     rows = [(0, "nasty idiot clown"), *[(1, f"fine text {k}") for k in range(50)], (2, "nice words here"), (3, "word " * 2_000_000 + "idiot")]
     labels = spark.createDataFrame([(0, 1), (1, 0), (2, 0)], "doc_id long, toxic int")
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = toxicity.toxicity(docs, labels, least_docs=1, least_chi=0.0).collect()
+    got = toxicity.toxicity(docs, labels, least_docs=1, least_chi=0.0, least_phi=0.0).collect()
     assert len(got) == 53
-    kept, _, _ = toxicity.fit(docs, labels, least_docs=1, least_chi=0.0)
+    kept, _, _ = toxicity.fit(docs, labels, least_docs=1, least_chi=0.0, least_phi=0.0)
     assert kept.count() == sum(zlib.crc32(str(k).encode()) % 3 != 1 for k in range(3))
 
 
