@@ -21,7 +21,7 @@ PART_CHARS = 16_000_000
 #: Places that are scored at once.
 PLACES = 1_000_000
 #: Words and pairs of parts that are summed at once.
-GROUP_ROWS = 4_000_000
+GROUP_ROWS = 2_000_000
 
 
 def _coded(texts: list):
@@ -226,7 +226,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary_size
     texts = texts.join(F.broadcast(ids) if ids.count() <= small else ids, "d", "left").select("d", "t", F.coalesce("hit", F.lit(False)).alias("hit"))
     for seed in range(8):
         parts = staged(_parts(texts, seed, names), "word-ids")
-        groups = max(24, -(-(parts.agg(F.sum("n")).first()[0] or 0) // (2 * GROUP_ROWS)))  # a part has about half as many words and pairs as places
+        groups = max(64, -(-(parts.agg(F.sum("n")).first()[0] or 0) // (2 * GROUP_ROWS)))  # a part has about half as many words and pairs as places
         counts = staged(_counted(parts, groups), "word-counts")
         n_words, n_background, n_target, clashes = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "all_b", "all_t", "clashes")]).first()
         if not clashes:
