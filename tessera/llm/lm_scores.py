@@ -93,7 +93,7 @@ def _times(keys: np.ndarray) -> np.ndarray:
 def _digest(row: dict, groups: int):
     """Of one part: the words of each document, the number of each place's pair, the words of each pair, and keys, group and
     order of all that is counted, the pairs first and then the words with the beginning as the last one."""
-    keys, right = np.append(np.frombuffer(row["keys"], np.int64), BEGIN), np.frombuffer(row["ids"], "<u4").astype(np.int64)
+    keys, right = np.append(np.frombuffer(row["keys"], np.int64), BEGIN), _unpack(row["ids"], row["n"], 4)
     lens, begin = np.frombuffer(row["lens"], np.int64), len(keys) - 1
     left = np.concatenate([[begin], right[:-1]]) if len(right) else right.copy()
     left[(np.cumsum(lens) - lens)[lens > 0]] = begin
@@ -124,7 +124,7 @@ def _parts(texts: DataFrame, seed: int, names: list[str] | None) -> DataFrame:
             outside = ~pc.is_in(pa.array(words, pa.string()), value_set=known).to_numpy(zero_copy_only=False)
             keys[outside] = OTHER
             words = ["" if x else w for w, x in zip(words, outside)]
-        row = {"part": k, "n": len(at), "d": np.array(d, np.int64).tobytes(), "hit": np.array(hit, bool).tobytes(), "lens": np.diff(bounds).astype(np.int64).tobytes(), "ids": at.astype("<u4").tobytes(), "keys": keys.tobytes(), "words": "\n".join(words).encode()}
+        row = {"part": k, "n": len(at), "d": np.array(d, np.int64).tobytes(), "hit": np.array(hit, bool).tobytes(), "lens": np.diff(bounds).astype(np.int64).tobytes(), "ids": _pack(at, 4), "keys": keys.tobytes(), "words": "\n".join(words).encode()}
         return pa.RecordBatch.from_pylist([row], pa.schema([(c, pa.int64() if c in ("part", "n") else pa.binary()) for c in row]))
 
     def encode(batches):
@@ -162,7 +162,7 @@ def _counted(parts: DataFrame, groups: int) -> DataFrame:
                 row = batch.slice(k, 1).to_pylist()[0]
                 lens, pair, left, right, l, r, group, order = _digest(row, groups)
                 hit, n, begin = np.frombuffer(row["hit"], bool), len(left), len(l) - len(left) - 1
-                words, at = np.array([*(row["words"].decode().split("\n") if begin else []), ""], object), np.frombuffer(row["ids"], "<u4").astype(np.int64)
+                words, at = np.array([*(row["words"].decode().split("\n") if begin else []), ""], object), _unpack(row["ids"], row["n"], 4)
                 counts = []
                 for mine, docs in ((slice(None), lens > 0), (np.repeat(hit, lens), hit & (lens > 0))):
                     c = np.concatenate([np.bincount(pair[mine], minlength=n), np.bincount(at[mine], minlength=begin + 1)])
@@ -268,6 +268,6 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary_size
         return pa.table({"doc_id": np.frombuffer(row["d"], np.int64), "n_words": lens, "in_target": pa.array(hit), "target_loss": out["t"], "background_loss": out["b"], "loss_difference": out["t"] - out["b"]})
 
     schema = "doc_id long, n_words long, in_target boolean, target_loss double, background_loss double, loss_difference double"
-    own = parts.select("part", "d", "hit", "lens", "ids", "keys")
+    own = parts.select("part", "n", "d", "hit", "lens", "ids", "keys")
     scored = own.groupBy("part").cogroup(counts.select("part", "group", "n", "b", "t").groupBy("part")).applyInArrow(score, schema)
     return scored.withColumn("doc_id", id_out("doc_id"))
