@@ -27,17 +27,26 @@ def id_out(column: str):
     return F.nullif(F.col(column), F.lit(NULL_ID)).alias(column)
 
 
+#: Bytes of a Parquet row group, which each writing task holds in memory; texts are wide.
+ROW_GROUP = 32 << 20
+
+
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Texts go to Python workers in batches of at most so many rows, so that a batch stays a few megabytes."""
+    """Bounds what a task that handles texts holds: batches of at most so many rows go to Python workers, and a session that sets
+    no size of Parquet row groups writes small ones. Both settings stay with the session, as results are computed later."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows:
         spark.conf.set(key, str(rows))
+    if spark.conf.get("parquet.block.size", None) is None:
+        spark.conf.set("parquet.block.size", str(ROW_GROUP))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one is made only where the session names none, as in tests."""
+    """The folder that driver and executors share; one is made only for a local master that names none, as in tests."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", conf)
     return conf
@@ -59,7 +68,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write df once into the shared folder and read it back: lineage ends there and survives lost executors."""
     spark = df.sparkSession
     path = f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    # a writer holds a row group in memory, so they are small
+    df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -229,7 +229,7 @@ def _passes(rows: DataFrame, n: int, num: int, den: int, what: str, common=None)
     def run(batches):
         import hashlib
 
-        from .pieces import text_chunks
+        from .pieces import text_chunks, tidy
 
         for pdf in batches:
             texts, rid = pdf["t"].tolist(), pdf["rid"].to_numpy()
@@ -246,6 +246,7 @@ def _passes(rows: DataFrame, n: int, num: int, den: int, what: str, common=None)
                 else:
                     yield pd.DataFrame({"rid": own, "tokens": [s.tobytes() for s in sets]})
         _WORDS.clear()  # the worker lives on
+        tidy()
 
     schema = {"digests": "doc_id long, n_shingles long, digest binary, low binary", "rest": "rid long, token long", "prefixes": "rid long, token long", "sets": "rid long, tokens binary"}[what]
     return rows.select("rid", "t").mapInPandas(run, schema)
@@ -301,13 +302,16 @@ def ngram_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id
     repeats = lambda rows, name: staged(rows.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), name)
     tables = _tables(repeats(_low_prefixes(reps, num, den), "repeated"), table_bits)
     # sets whose lowest hashes are mostly repeated reach for higher ones, so among these sets the higher ones count too
-    short = staged(_low_prefixes(reps, num, den, spark.sparkContext.broadcast(tables)).where("token is null").select("rid").distinct(), "short")
+    first = spark.sparkContext.broadcast(tables)
+    short = staged(_low_prefixes(reps, num, den, first).where("token is null").select("rid").distinct(), "short")
+    first.unpersist()
     more = repeats(_passes(pick(texts, short, ["rid"], "left_semi", small), n, num, den, "rest"), "repeated-more")
     tables = [a | b for a, b in zip(tables, _tables(more, table_bits), strict=True)]
     common = spark.sparkContext.broadcast(tables)
     partly = staged(_low_prefixes(reps, num, den, common), "prefixes")
     rest = pick(texts, partly.where("token is null").select("rid"), ["rid"], "left_semi", small)
     prefixes = partly.where("token is not null").unionByName(staged(_passes(rest, n, num, den, "prefixes", common), "more-prefixes"))
+    common.unpersist()  # both uses are written
     heads = prefixes.groupBy("token").agg(F.min("rid").alias("head"), F.count("*").alias("n")).where("n > 1")
     stars = prefixes.join(heads, "token").where("rid <> head").select(F.col("rid").alias("a"), F.col("head").alias("b")).distinct()
     blocks = staged(components(stars, "blocks").select(F.col("node").alias("rid"), F.col("component").alias("block")), "members")
@@ -326,12 +330,15 @@ def ngram_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id
     task = F.when(F.col("chunks") == 1, F.struct(F.lit(None).cast("long").alias("block"), F.pmod(F.xxhash64("block"), F.lit(buckets)).cast("int").alias("i"), F.lit(0).alias("j"))).otherwise(F.struct("block", "i", "j"))
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        from .pieces import tidy
+
         a, b = [], []
         for _, own in pdf.groupby("block", sort=False):
             rid = own["rid"].to_numpy()
             got = trie_links([np.frombuffer(x, np.uint64) for x in own["tokens"]], num, den)
             a += [rid[i] for i, _ in got]
             b += [rid[j] for _, j in got]
+        tidy()
         return pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
     links = tasks.select(task.alias("task"), "rid", "tokens", "block").groupBy("task").applyInPandas(link, "a long, b long")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import small_batches, staged
 
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -125,6 +125,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", t
     What is known of documents with frequent lines is broadcast up to ``broadcast_rows`` of them, and joined by a shuffle
     beyond.
     """
+    small_batches(docs.sparkSession)
     gone = removed(docs, frequent_lines(docs, host_col, text_col, max_docs), id_col, host_col, text_col, broadcast_rows)
     gone = gone.withColumn("_gone", F.col("all_chars") - F.col("frequent_chars") < min_left * F.col("all_chars"))
     extra = ["n_frequent_lines", "left_chars", "line_chars"] if counts else []

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_in, id_out, small_batches, staged
-from .pieces import text_chunks
+from .pieces import text_chunks, tidy
 
 SPANS = (3, 4, 5)
 
@@ -243,6 +243,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, least_phi
 
     def count(batches):
         counts = Counts(shared_names.value)
+        yield from counted(batches, counts)
+        counts.known.clear()  # the worker lives on
+        tidy()
+
+    def counted(batches, counts):
         for pdf in batches:
             texts = pdf["t"].tolist()
             for lo, hi in text_chunks(texts):
@@ -280,6 +285,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, least_phi
                 scores.append(seen[key][0])
                 near.append(seen[key][1])
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": scores, "evidence": near})
+        del model, seen
+        tidy()
 
     # the vectors are few bytes in few files; dealt anew, as many tasks score them as read the documents
     spread = vectors.repartition(max(1, len(vectors.inputFiles())))
