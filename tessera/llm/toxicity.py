@@ -250,7 +250,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, least_phi
     def counted(batches, counts):
         for pdf in batches:
             texts = pdf["t"].tolist()
-            for lo, hi in text_chunks(texts):
+            for lo, hi in text_chunks(texts, 1_000_000):
                 got = counts(texts[lo:hi])
                 yield pd.DataFrame({"doc_id": pdf["d"].iloc[lo:hi].values, "terms": [t.astype(np.int32) for t, _ in got], "times": [c.astype(np.int32) for _, c in got]})
 
