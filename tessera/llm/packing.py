@@ -69,7 +69,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, s
     Each input partition is one stream (give order_by for a global order at the price of a shuffle), so nothing is
     shuffled and a lost task is redone alone. Within a stream the program runs over ``stream`` ids at a time and
     carries its last window on. Texts are encoded ``chunk_chars`` at a time with the ids of at most ``cache_pieces`` pieces kept: less
-    of both takes less memory and more time, and gives the same rows. Null text: the end id alone. Null doc_ids and repeated rows are documents like others.
+    of both takes less memory and more time; cuts may then lie elsewhere, as the program runs after each chunk. Null text: the end id alone. Null doc_ids and repeated rows are documents like others.
     sequence_id is partition << 32 | number; the columns are doc_id, start, length, ids, doc_tokens, sequence_id, offset.
     """
     small_batches(docs.sparkSession)
