@@ -50,7 +50,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document in sequences of at most 2048 tokens. Small chunks and a small cache, as the executors hold what
-    the stages before left; the rows are the same."""
+    the stages before left."""
     small_batches(spark, BATCH)
     rows = pack(docs, vocabulary_file("byte_bpe_50k.json"), chunk_chars=1_000_000, cache_pieces=150_000)
     return rows.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
