@@ -48,7 +48,7 @@ class PieceStore:
         if len(self.index) > self.max_pieces:
             self.clear()
         coded = cut.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # far faster than to_pylist for strings
         known = np.fromiter(map(self.index.get, names, repeat(-1)), np.int64, len(names))
         missing = np.flatnonzero(known < 0)
         for i in range(0, len(missing), 20_000):
