@@ -73,6 +73,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Delete the staged table that df reads, once what was made of it is written too."""
+    files = df.inputFiles()
+    if files and f"/{own_dir(df.sparkSession).rpartition('/')[2]}/" in files[0]:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _union_find(batches):
     """(node, component) of all edges (u, v) of one partition."""
     parts = [pdf[["u", "v"]].to_numpy(np.int64) for pdf in batches]

@@ -38,4 +38,18 @@ OP10 = r"""WITH c AS (SELECT conv_id AS conv, turn, coalesce(role, 'user') AS ro
  y AS (SELECT l.chosen, l.rejected, coalesce(string_agg(s, '' ORDER BY i) FILTER (i > m), '') AS rejected_text, coalesce(string_agg((pos + lead)::BIGINT || ':' || len, ',' ORDER BY i) FILTER (i > m AND role = 'assistant'), '') AS rejected_spans FROM l JOIN o ON o.conv = l.rejected GROUP BY 1, 2)
  SELECT x.chosen, x.rejected, m::BIGINT AS prompt_turns, prompt, chosen_text, y.rejected_text, chosen_spans, y.rejected_spans FROM x LEFT JOIN y ON y.chosen = x.chosen AND y.rejected = x.rejected"""
 
-SQL = {"op1_pq_dedup": OP1, "op3_line_frequency": OP3, "op5_ngram_jaccard": OP5, "op10_preferences": OP10}
+
+
+def _op12(rounds: int = 3) -> str:
+    """Every distance of every assignment, in whole numbers; ties to the smaller number by the order of structs."""
+    with_ = ["""v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)""",
+     """c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), x) - 1 AS c, x AS y FROM (SELECT * FROM v ORDER BY sha256('1:' || vec_id), x LIMIT 16))"""]
+    for r in range(rounds + 1):
+        with_.append(f"a{r} AS MATERIALIZED (SELECT rid, any_value(vec_id) AS vec_id, any_value(x) AS x, min({{'d': list_sum(list_transform(list_zip(x, y), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT, 'c': c}}) AS best FROM v, c{r} GROUP BY rid)")
+        if r < rounds:
+            with_.append(f"s{r} AS (SELECT c, i, sum(z)::BIGINT AS s, count(*) AS n FROM (SELECT best.c AS c, unnest(x) AS z, unnest(range(64)) AS i FROM a{r}) GROUP BY 1, 2)")
+            with_.append(f"c{r + 1} AS MATERIALIZED (SELECT o.c, coalesce(m.y, o.y) AS y FROM c{r} o LEFT JOIN (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS y FROM s{r} GROUP BY 1) m ON m.c = o.c)")
+    return f"""WITH {", ".join(with_)} SELECT vec_id, best.c::INTEGER AS cluster, best.d AS distance, (sum(best.d) OVER (PARTITION BY best.c))::BIGINT AS cluster_inertia, (sum(best.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c{rounds}.y, ',')) AS centroid_sha256 FROM a{rounds} JOIN c{rounds} ON c{rounds}.c = best.c"""
+
+
+SQL = {"op1_pq_dedup": OP1, "op3_line_frequency": OP3, "op5_ngram_jaccard": OP5, "op10_preferences": OP10, "op12_elkan": _op12()}

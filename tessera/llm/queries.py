@@ -81,5 +81,11 @@ def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({"chosen_spans": spans("chosen_spans"), "rejected_spans": spans("rejected_spans")})
 
 
-QUERIES = {f.__name__: f for f in (op1_pq_dedup, op2_token_file, op3_line_frequency, op4_licenses, op5_ngram_jaccard, op6_packing, op7_cross_entropy, op8_toxicity, op9_bpe, op10_preferences)}
+def op12_elkan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .elkan import cluster
+
+    return cluster(table(spark, sf_dir, "embeddings")).drop("asked")
+
+
+QUERIES = {f.__name__: f for f in (op1_pq_dedup, op2_token_file, op3_line_frequency, op4_licenses, op5_ngram_jaccard, op6_packing, op7_cross_entropy, op8_toxicity, op9_bpe, op10_preferences, op12_elkan)}
 ORACLE_SQL: dict[str, str] = dict(oracle.SQL)
