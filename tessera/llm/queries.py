@@ -87,5 +87,12 @@ def op12_elkan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster(table(spark, sf_dir, "embeddings")).drop("asked")
 
 
-QUERIES = {f.__name__: f for f in (op1_pq_dedup, op2_token_file, op3_line_frequency, op4_licenses, op5_ngram_jaccard, op6_packing, op7_cross_entropy, op8_toxicity, op9_bpe, op10_preferences, op12_elkan)}
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the documents whose crc32 of the id as text, modulo 5, is not 0."""
+    from .language import identify
+
+    return identify(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_pq_dedup, op2_token_file, op3_line_frequency, op4_licenses, op5_ngram_jaccard, op6_packing, op7_cross_entropy, op8_toxicity, op9_bpe, op10_preferences, op12_elkan, op13_language)}
 ORACLE_SQL: dict[str, str] = dict(oracle.SQL)
