@@ -81,6 +81,12 @@ def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({"chosen_spans": spans("chosen_spans"), "rejected_spans": spans("rejected_spans")})
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .alignment import align
+
+    return align(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"), vocabulary_file("piece_bpe_32k.model"))
+
+
 def op12_elkan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .elkan import cluster
 
@@ -94,5 +100,5 @@ def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_pq_dedup, op2_token_file, op3_line_frequency, op4_licenses, op5_ngram_jaccard, op6_packing, op7_cross_entropy, op8_toxicity, op9_bpe, op10_preferences, op12_elkan, op13_language)}
+QUERIES = {f.__name__: f for f in (op1_pq_dedup, op2_token_file, op3_line_frequency, op4_licenses, op5_ngram_jaccard, op6_packing, op7_cross_entropy, op8_toxicity, op9_bpe, op10_preferences, op11_alignment, op12_elkan, op13_language)}
 ORACLE_SQL: dict[str, str] = dict(oracle.SQL)
