@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions.text import valid_email
+from tessera.operators import breaker as B
 from tessera.operators import state as U
 
 from .registry import query, table
@@ -113,11 +114,44 @@ def extraction_log(spark, d):
     return table(spark, d, "orders").select("o_orderkey", *cols)
 
 
-@query("STM-04 STM-05", "SELECT time_bucket(INTERVAL 300 SECOND, ts) AS start, count(*) AS failures, count(*) >= 3 AS tripped FROM events WHERE event_type = 'error' GROUP BY 1")
+@query("AGG-02", "SELECT time_bucket(INTERVAL 300 SECOND, ts) AS start, count(*) AS failures, count(*) >= 3 AS tripped FROM events WHERE event_type = 'error' GROUP BY 1")
 def failure_windows(spark, d):
     return U.failure_windows(table(spark, d, "events"), "ts", F.col("event_type") == "error")
 
 
+def _breaker_sql(key: str) -> str:
+    """Restarts by recursion over each key's failures: the next one is the first more than 300 s after the last."""
+    return f"""WITH RECURSIVE f AS (SELECT {key} AS key, event_id AS id, ts AS time FROM events WHERE event_type = 'error'),
+ r AS (SELECT key, min(time) AS began FROM f GROUP BY 1 UNION ALL SELECT r.key, (SELECT min(time) FROM f WHERE f.key = r.key AND f.time > r.began + INTERVAL 300 SECOND) AS began FROM r WHERE r.began IS NOT NULL),
+ x AS (SELECT f.*, r.began AS count_began FROM f ASOF JOIN (SELECT * FROM r WHERE began IS NOT NULL) r ON r.key = f.key AND f.time >= r.began)
+ SELECT *, failures >= 3 AS tripped FROM (SELECT key, id, time, row_number() OVER (PARTITION BY key, count_began ORDER BY time, id) AS failures, count_began FROM x)"""
+
+
+@query("STM-04", _breaker_sql("0"))
+def breaker_trips(spark, d):
+    """One breaker for all failures, as a batch run has."""
+    return B.breaker(table(spark, d, "events"), F.col("event_type") == "error", F.lit(0), "ts", "event_id")
+
+
+@query("STM-04", _breaker_sql("user_id % 10"))
+def breaker_by_group(spark, d):
+    return B.breaker(table(spark, d, "events"), F.col("event_type") == "error", F.col("user_id") % 10, "ts", "event_id")
+
+
+@query("STM-05", """WITH n AS (SELECT max(ts) AS now FROM events), g AS (SELECT user_id, count(*) FILTER (event_type = 'error' AND ts > now - INTERVAL 1 HOUR) AS errors_hour, count(*) FILTER (event_type = 'error' AND ts > now - INTERVAL 1 DAY) AS errors_day, count(*) FILTER (ts > now - INTERVAL 1 DAY) AS events_day FROM events, n GROUP BY 1)
+ SELECT *, least(errors_day * 2, 100) AS rate, errors_hour > 5 AS needs_attention FROM g""")
+def recent_errors(spark, d):
+    """As of the newest event."""
+    e = table(spark, d, "events")
+    now = e.agg(F.max("ts").cast("timestamp").alias("now"))  # one row
+    return B.recent_errors(e.join(F.broadcast(now)), F.col("event_type") == "error", "user_id", "ts", F.col("now"))
+
+
+@query("STM-05", "SELECT user_id, event_id, ts AS time, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 3599999999 MICROSECOND PRECEDING AND CURRENT ROW) AS errors_hour, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 86399999999 MICROSECOND PRECEDING AND CURRENT ROW) AS errors_day FROM events WHERE event_type = 'error'")
+def trailing_errors(spark, d):
+    return B.trailing_errors(table(spark, d, "events"), F.col("event_type") == "error", "user_id", "ts", "event_id")
+
+
 @query("AGG-32 MLV-11", """WITH a AS (SELECT l_returnflag AS name, sum(l_quantity) AS v FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1), b AS (SELECT l_returnflag AS name, sum(l_quantity) AS v FROM lineitem WHERE l_linestatus = 'F' AND l_returnflag <> 'N' GROUP BY 1), c AS (SELECT coalesce(a.name, b.name) AS name, a.v AS before, b.v AS after, (b.v - a.v) * 100.0::DOUBLE / a.v AS change_pct FROM a FULL JOIN b ON b.name = a.name)
  SELECT *, CASE WHEN change_pct > 5 THEN 'better' WHEN change_pct < -5 THEN 'worse' ELSE 'same' END AS verdict FROM c""")
 def compare_runs(spark, d):
