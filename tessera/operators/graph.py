@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,23 +34,30 @@ def degrees(edges: DataFrame) -> DataFrame:
     return g.select("node", "in_degree", "out_degree", "strength", ratio("in_degree", "others").alias("in_centrality"), ratio("out_degree", "others").alias("out_centrality"))
 
 
-def pagerank(edges: DataFrame, rounds: int = 30, damping: float = 0.85) -> DataFrame:
-    """Weighted PageRank after a fixed number of rounds; the mass of nodes without out-edges goes to all alike."""
+def pagerank(edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, most_rounds: int = 100, every: int = 10) -> DataFrame:
+    """Weighted PageRank; the mass of nodes without out-edges goes to all alike. Ends when ``every`` rounds move the ranks by less than
+    ``tolerance`` a node in all, or after ``most_rounds``.
+
+    Rounds leave out the mass that is lost in such nodes and the ranks are scaled to 1 in the end, which has the same limit; so a round is one
+    join and one sum, whatever the graph.
+    """
     nodes = cut(nodes_of(edges))
     n = nodes.count()
     if not n:
         return nodes.withColumn("pagerank", F.lit(0.0))
     out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
-    share = cut(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("p")))
-    dangling = nodes.join(out.select(F.col("src").alias("node")), "node", "left_anti").withColumn("d", F.lit(True))
-    ranks = nodes.join(dangling, "node", "left").select("node", F.coalesce("d", F.lit(False)).alias("d"), F.lit(1.0 / n).alias("r"))
-    for k in range(rounds):
-        moved = ranks.join(share, F.col("node") == F.col("src")).groupBy("dst").agg(F.sum(F.col("r") * F.col("p")).alias("got"))
-        lost = ranks.where("d").agg(F.coalesce(F.sum("r"), F.lit(0.0)).alias("lost"))  # one row
-        ranks = ranks.join(moved, F.col("node") == F.col("dst"), "left").join(F.broadcast(lost)).select("node", "d", (F.lit((1 - damping) / n) + damping * (F.coalesce("got", F.lit(0.0)) + F.col("lost") / n)).alias("r"))
-        if k % 5 == 4:
+    share = edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("p"))
+    share = cut(share.union(nodes.select("node", "node", F.lit(0.0))))  # every node gets something, if nothing
+    ranks = before = nodes.select("node", F.lit(1.0 / n).alias("r"))
+    for k in range(1, most_rounds + 1):
+        ranks = ranks.join(share, F.col("node") == F.col("src")).groupBy(F.col("dst").alias("node")).agg((F.lit((1 - damping) / n) + damping * F.sum(F.col("r") * F.col("p"))).alias("r"))
+        if k % every == 0:
             ranks = cut(ranks)
-    return ranks.select("node", F.col("r").alias("pagerank"))
+            if ranks.join(before.withColumnRenamed("r", "b"), "node").agg(F.sum(F.abs(F.col("r") - F.col("b")))).first()[0] < n * tolerance:
+                break
+            before = ranks
+    total = ranks.agg(F.sum("r").alias("total"))  # one row
+    return ranks.join(F.broadcast(total)).select("node", (F.col("r") / F.col("total")).alias("pagerank"))
 
 
 def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
@@ -169,170 +174,3 @@ def influencers(metrics: DataFrame, names: list[str], k: int) -> DataFrame:
     top = metrics.agg(*[F.max(n).alias(f"_{n}") for n in names])  # one row
     score = sum((ratio(n, f"_{n}") * BLEND[n] for n in names[1:]), ratio(names[0], f"_{names[0]}") * BLEND[names[0]])
     return metrics.join(F.broadcast(top)).select("node", F.round(score * 100.0, 2).alias("influence_score")).orderBy(F.desc("influence_score"), "node").limit(k)
-
-
-#: Columns of small_metrics.
-SMALL = ["betweenness", "eigenvector", "closeness", "bridge_ends", "community"]
-
-
-def centrality(edges: DataFrame, most_nodes: int = 500) -> DataFrame:
-    """(node, pagerank, in_degree, out_degree, betweenness, eigenvector, closeness) of every node, degrees over n - 1.
-
-    The last three do not split and are null in graphs of ``most_nodes`` nodes or more (counted first); all others
-    are computed at any size.
-    """
-    edges = cut(edges)
-    rows = degrees(edges).select("node", F.col("in_centrality").alias("in_degree"), F.col("out_centrality").alias("out_degree")).join(pagerank(edges), "node")
-    if nodes_of(edges).limit(most_nodes).count() < most_nodes:
-        return rows.join(small_metrics(edges, most_nodes).select("node", *SMALL[:3]), "node")
-    return rows.select("*", *[F.lit(None).cast("double").alias(n) for n in SMALL[:3]])
-
-
-def small_metrics(edges: DataFrame, most_nodes: int = 500) -> DataFrame:
-    """(node, betweenness, eigenvector, closeness, bridge_ends, community) of graphs of fewer than ``most_nodes`` nodes.
-
-    Betweenness counts weighted shortest paths (Brandes), closeness takes weighted distances to a node over those that
-    reach it, the eigenvector 100 power rounds, bridges are edges of the undirected graph whose loss parts it,
-    communities come from greedy modularity moves in node order. They do not split, so one task takes the graph, and larger
-    ones give no rows: use centrality, components and label_propagation there.
-    """
-    kind = dict(edges.dtypes)["src"]
-    schema = f"node {kind}, betweenness double, eigenvector double, closeness double, bridge_ends long, community {kind}"
-    if nodes_of(edges).limit(most_nodes).count() >= most_nodes:
-        return edges.sparkSession.createDataFrame([], schema)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        names = sorted(set(pdf["src"]) | set(pdf["dst"]))
-        at = {v: i for i, v in enumerate(names)}
-        e = [(at[a], at[b], float(w)) for a, b, w in zip(pdf["src"], pdf["dst"], pdf["weight"])]
-        n = len(names)
-        return pd.DataFrame({"node": names, "betweenness": betweenness(n, e), "eigenvector": eigenvector(n, e), "closeness": closeness(n, e), "bridge_ends": bridge_ends(n, e), "community": [names[c] for c in communities(n, e)]})
-
-    one = edges.select("src", "dst", F.col("weight").cast("double").alias("weight"), F.lit(0).alias("g"))
-    return one.groupBy("g").applyInPandas(run, schema)
-
-
-def closeness(n: int, edges: list) -> list[float]:
-    """(r - 1) / total distance of the r nodes that reach a node, itself included, scaled by (r - 1) / (n - 1)."""
-    import heapq
-
-    into: list[list] = [[] for _ in range(n)]
-    for a, b, w in edges:
-        into[b].append((a, w))
-    out = []
-    for s in range(n):
-        dist, heap = {}, [(0.0, s)]
-        while heap:
-            d, v = heapq.heappop(heap)
-            if v in dist:
-                continue
-            dist[v] = d
-            for u, w in into[v]:
-                if u not in dist:
-                    heapq.heappush(heap, (d + w, u))
-        total, r = sum(dist.values()), len(dist) - 1
-        out.append(r / total * r / (n - 1) if total > 0 else 0.0)
-    return out
-
-
-def betweenness(n: int, edges: list) -> list[float]:
-    import heapq
-
-    out: list[list] = [[] for _ in range(n)]
-    for a, b, w in edges:
-        out[a].append((b, w))
-    score = [0.0] * n
-    for s in range(n):
-        dist, paths, before, order = {s: 0.0}, {s: 1.0}, {s: []}, []
-        heap, done = [(0.0, s)], set()
-        while heap:
-            d, v = heapq.heappop(heap)
-            if v in done:
-                continue
-            done.add(v)
-            order.append(v)
-            for u, w in out[v]:
-                if u not in dist or d + w < dist[u] - 1e-12:
-                    dist[u], paths[u], before[u] = d + w, paths[v], [v]
-                    heapq.heappush(heap, (d + w, u))
-                elif abs(d + w - dist[u]) <= 1e-12 and u not in done:
-                    paths[u] += paths[v]
-                    before[u].append(v)
-        part = dict.fromkeys(order, 0.0)
-        for v in reversed(order):
-            for u in before[v]:
-                part[u] += paths[u] / paths[v] * (1 + part[v])
-            if v != s:
-                score[v] += part[v]
-    return [x / ((n - 1) * (n - 2)) if n > 2 else 0.0 for x in score]
-
-
-def eigenvector(n: int, edges: list) -> np.ndarray:
-    x = np.full(n, 1 / np.sqrt(n))
-    a, b, w = (np.array(v) for v in zip(*edges)) if edges else (np.zeros(0, int),) * 3
-    for _ in range(100):
-        y = x + np.bincount(b, w * x[a], n) if len(a) else x
-        x = y / np.sqrt((y * y).sum())
-    return x
-
-
-def bridge_ends(n: int, edges: list) -> list[int]:
-    near: list[set] = [set() for _ in range(n)]
-    for a, b, _ in edges:
-        if a != b:
-            near[a].add(b)
-            near[b].add(a)
-    seen, low, ends, clock = [-1] * n, [0] * n, [0] * n, 0
-    for root in range(n):
-        if seen[root] >= 0:
-            continue
-        stack = [(root, -1, iter(sorted(near[root])))]
-        seen[root] = low[root] = clock
-        clock += 1
-        while stack:
-            v, parent, it = stack[-1]
-            u = next(it, None)
-            if u is None:
-                stack.pop()
-                if parent >= 0:
-                    low[parent] = min(low[parent], low[v])
-                    if low[v] > seen[parent]:
-                        ends[v] += 1
-                        ends[parent] += 1
-            elif seen[u] < 0:
-                seen[u] = low[u] = clock
-                clock += 1
-                stack.append((u, v, iter(sorted(near[u]))))
-            elif u != parent:
-                low[v] = min(low[v], seen[u])
-    return ends
-
-
-def communities(n: int, edges: list) -> list[int]:
-    near: list[dict] = [{} for _ in range(n)]
-    for a, b, w in edges:
-        if a != b:
-            near[a][b] = near[a].get(b, 0.0) + w
-            near[b][a] = near[b].get(a, 0.0) + w
-    k = [sum(x.values()) for x in near]
-    total, own = sum(k), list(range(n))
-    weight = k[:]
-    for _ in range(20):
-        moved = False
-        for v in range(n):
-            if not near[v]:
-                continue
-            weight[own[v]] -= k[v]
-            gain: dict[int, float] = {own[v]: 0.0}
-            for u, w in near[v].items():
-                gain[own[u]] = gain.get(own[u], 0.0) + w
-            best = max(gain, key=lambda c: (gain[c] - k[v] * weight[c] / total, -c))
-            moved |= best != own[v]
-            own[v] = best
-            weight[best] += k[v]
-        if not moved:
-            break
-    first: dict[int, int] = {}
-    for v in range(n):
-        first.setdefault(own[v], v)
-    return [first[c] for c in own]
