@@ -23,20 +23,32 @@ NOTICES = {
     "cc-by-sa": "this work is licensed under a creative commons attribution sharealike international license",
     "cc-notice": "this work is licensed under a creative commons attribution international license",
 }
-#: One-line references to public licenses, and the labels the method adds.
+#: Short references to public licenses, and the labels the method adds. The first words of some are those of others and only
+#: the last ones tell them apart, so all of them must stand whole.
 REFERENCES = [
-    ("mit", "released under the mit license"),
-    ("mit", "licensed under the mit license"),
-    ("apache-2.0", "licensed under the apache license version 2 0"),
-    ("gpl-2", "licensed under the gnu general public license version 2"),
-    ("gpl-3", "licensed under the gnu general public license version 3"),
-    ("lgpl", "licensed under the gnu lesser general public license"),
-    ("bsd", "licensed under the bsd license"),
-    ("mpl-2.0", "licensed under the mozilla public license version 2 0"),
-    ("cc-by-4.0", "licensed under cc by 4 0"),
-    ("cc-by-sa-4.0", "licensed under cc by sa 4 0"),
-    ("cc-by-nc-4.0", "licensed under cc by nc 4 0"),
+    ("mit", "mit license"),
+    ("apache-2.0", "apache license version 2 0"),
+    ("apache-2.0", "apache license 2 0"),
+    ("gpl-2", "gnu general public license version 2"),
+    ("gpl-2", "gnu gpl v2"),
+    ("gpl-3", "gnu general public license version 3"),
+    ("gpl-3", "gnu gpl v3"),
+    ("lgpl", "gnu lesser general public license"),
+    ("agpl", "gnu affero general public license"),
+    ("bsd", "bsd license"),
+    ("bsd", "bsd 2 clause license"),
+    ("bsd", "bsd 3 clause license"),
+    ("isc", "isc license"),
+    ("mpl-2.0", "mozilla public license version 2 0"),
+    ("cc-by-4.0", "cc by 4 0"),
+    ("cc-by-4.0", "creative commons attribution 4 0 international"),
+    ("cc-by-sa-4.0", "cc by sa 4 0"),
+    ("cc-by-sa-4.0", "creative commons attribution sharealike 4 0 international"),
+    ("cc-by-nc-4.0", "cc by nc 4 0"),
+    ("cc-by-nc-4.0", "creative commons attribution noncommercial 4 0 international"),
 ]
+#: Templates of up to so many words must stand whole; parts of longer ones count.
+WHOLE_WORDS = 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -81,9 +93,11 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, k: int
     words' hashes; positions whose hash no template has are dropped in place, the others are joined by hash to the broadcast template
     positions and verified word by word, so an exploded row carries k words and a text takes time in proportion to its
     length. Hits vote for a diagonal (place in text less place in template); neighbouring diagonals at most ``slack`` apart
-    merge, so the hits of a span keep the template's order but for ``slack`` words; a merged span counts if verified hits cover
-    ``min_share`` of the template's grams. Templates shorter than k words are single grams and must stand whole, each place a
-    span. Null and empty texts: no words, no spans. Repeated rows and null ids are rows of their own; other columns are not
+    merge, so the hits of a span keep the template's order but for ``slack`` words. A merged span of a template of more than
+    WHOLE_WORDS words counts if verified hits cover ``min_share`` of its grams, and where such spans overlap only those with the
+    greatest share do: look-alike templates share runs of words. Shorter templates must stand whole, with all of their grams in a
+    place no longer than they are but for ``slack`` words, as one word may tell two licenses apart; those of fewer than k words are
+    single grams, each place a span. Null and empty texts: no words, no spans. Repeated rows and null ids are rows of their own; other columns are not
     read. An empty table gives an empty table.
     """
     spark = docs.sparkSession
@@ -117,9 +131,17 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, k: int
         .agg(F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
         .withColumn("share", F.try_divide("n", "grams"))
     )
-    real = F.col("template").isNotNull() & (F.col("share") >= min_share)
-    span = F.when(real, F.struct(F.col("first").cast("long").alias("first"), (F.col("last") + F.least("size", F.lit(k)) - 1).cast("long").alias("last"), "label", F.col("share").alias("share")))
-    return spans.groupBy("rid", "doc_id").agg(F.max("n_words").alias("n_words"), F.sort_array(F.collect_list(span)).alias("spans")).drop("rid")
+    size, end = F.col("size"), F.col("last") + F.least("size", F.lit(k))
+    whole = (F.col("share") >= 1) & (end - F.col("first") <= size + slack)
+    spans = spans.withColumn("real", F.col("template").isNotNull() & F.when(size <= WHOLE_WORDS, whole).otherwise(F.col("share") >= min_share))
+    # long spans that overlap stand in one place: its number grows where a span begins behind all before it
+    spans = spans.withColumn("long", F.col("real") & (size > WHOLE_WORDS)).withColumn("end", end)
+    before = F.max("end").over(Window.partitionBy("rid", "long").orderBy("first", "end", "template").rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("_new", F.coalesce((F.col("first") >= before).cast("int"), F.lit(0)))
+    spans = spans.withColumn("_place", F.sum("_new").over(Window.partitionBy("rid", "long").orderBy("first", "end", "template")))
+    most = F.max("share").over(Window.partitionBy("rid", "long", "_place"))
+    span = F.when(F.col("real") & (~F.col("long") | (F.col("share") >= F.col("_most"))), F.struct(F.col("first").cast("long").alias("first"), (F.col("last") + F.least("size", F.lit(k)) - 1).cast("long").alias("last"), "label", F.col("share").alias("share")))
+    return spans.withColumn("_most", most).groupBy("rid", "doc_id").agg(F.max("n_words").alias("n_words"), F.sort_array(F.collect_list(span)).alias("spans")).drop("rid")
 
 
 def digest(scanned: DataFrame) -> DataFrame:

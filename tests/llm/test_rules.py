@@ -106,21 +106,81 @@ def places(text):
 def scanned(text, k=4, slack=3):
     """Brute force: labels and score by comparing every place with every template."""
     w = [x for x in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({i: i + 32 for i in range(65, 91)})) if x]
-    spans = []
+    spans, long = [], []
     for label, t in licenses.known():
         t = t.split()
         n = min(k, len(t))
-        hits = [(p - a, a) for p in range(len(w) - n + 1) for a in range(len(t) - n + 1) if w[p : p + n] == t[a : a + n]]
+        hits = [(p - a, a, p) for p in range(len(w) - n + 1) for a in range(len(t) - n + 1) if w[p : p + n] == t[a : a + n]]
         bands, last = [], None
-        for d in sorted({d for d, _ in hits}):
+        for d in sorted({d for d, _, _ in hits}):
             if last is None or d - last > slack or len(t) < k:
-                bands.append(set())
-            bands[-1] |= {a for x, a in hits if x == d}
+                bands.append([])
+            bands[-1] += [(a, p) for x, a, p in hits if x == d]
             last = d
-        spans += [(label, len(b) / (len(t) - n + 1)) for b in bands if len(b) / (len(t) - n + 1) >= 0.5]
+        for b in bands:
+            share, first, end = len({a for a, _ in b}) / (len(t) - n + 1), min(p for _, p in b), max(p for _, p in b) + n
+            if len(t) > 16 and share >= 0.5:
+                long.append((first, end, label, share))
+            elif len(t) <= 16 and share == 1 and end - first <= len(t) + slack:
+                spans.append((label, share))
+    groups, far = [], -1
+    for x in sorted(long):
+        if x[0] >= far:
+            groups.append([])
+        groups[-1].append(x)
+        far = max(far, x[1])
+    for g in groups:
+        spans += [(label, share) for _, _, label, share in g if share == max(x[3] for x in g)]
     return ",".join(sorted({x for x, _ in spans})), max((0.5 if x in licenses.PHRASES else min(s, 1.0) for x, s in spans), default=0.0)
 
 
+#: Written by hand, from what the sentences say.
+SAID = {
+    "licensed under the GNU General Public License, version 3.": "gpl,gpl-3",
+    "licensed under the GNU General Public License, version 2.": "gpl,gpl-2",
+    "licensed under the GNU General Public License": "gpl",
+    "You may choose the GNU General Public License version 2 or the GNU General Public License version 3": "gpl,gpl-2,gpl-3",
+    "under the GNU Lesser General Public License, version 3": "gpl,lgpl",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike International License": "cc-by-sa",
+    "This work is licensed under a Creative Commons Attribution International License": "cc-notice",
+    "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa-4.0",
+    "licensed under a Creative Commons Attribution 4.0 International License": "cc-by-4.0",
+    "licensed under CC BY-NC 4.0": "cc-by,cc-by-nc-4.0",
+    "licensed under CC BY-SA 4.0": "cc-by,cc-by-sa-4.0",
+    "licensed under CC BY 4.0": "cc-by,cc-by-4.0",
+    "licensed under CC BY": "cc-by",
+    "he was licensed under the bsd scheme": "",
+    "released under the BSD 3-Clause License": "bsd",
+    "the driver was licensed under the road act, version 2": "",
+    "Licensed under the Apache License, Version 2.0": "apache-2.0",
+    "licensed under the Mozilla Public License": "",
+    "Released under the MIT License.": "mit",
+    "he studied at MIT; License plates were sold there": "mit",
+    "the general public was here": "",
+}
+
+
+def test_labels_say_what_the_text_says(spark):
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(SAID)], "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.digest(licenses.scan(rows)).collect()}
+    assert {t: got[k] for k, t in enumerate(SAID)} == SAID
+
+
+def test_look_alike_long_templates(spark):
+    """Of two long templates that share most of their words the one that the text has is named."""
+    words = [f"w{k}" for k in range(30)]
+    a, b = " ".join(words), " ".join([*words[:24], *[f"x{k}" for k in range(6)]])
+    rows = spark.createDataFrame([(1, a), (2, "so " + b + " end"), (3, a + " between them " + b), (4, " ".join(words[:20]))], "doc_id long, text string")
+    got = {r["doc_id"]: sorted(s["label"] for s in r["spans"]) for r in licenses.scan(rows, [("a", a), ("b", b)]).collect()}
+    assert got == {1: ["a"], 2: ["b"], 3: ["a", "b"], 4: ["a", "b"]}
+
+
+def test_gpl_rows_of_the_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lower(text) like '%general public license%'")
+    labels = [r["labels"].split(",") for r in licenses.digest(licenses.scan(docs)).collect()]
+    assert len(labels) == 9 and all("gpl" in x and "gpl-3" in x and "gpl-2" not in x for x in labels)
+
+
 def test_licenses(spark, awkward):
     mit = licenses.NOTICES["mit"]
     texts = [
