@@ -106,11 +106,11 @@ def _digest(row: dict, groups: int):
 
 
 def _parts(texts: DataFrame, seed: int, names: list[str] | None) -> DataFrame:
-    """Texts(d, t, hit) in parts, one a row: ids, hits and numbers of words of its documents, their words as numbers, and each
+    """Texts(d, t, hit, twins, targets) in parts, one a row: ids, hits, rows of the same text and numbers of words of its documents, their words as numbers, and each
     number's word and key."""
     shared = None if names is None else texts.sparkSession.sparkContext.broadcast(names)
 
-    def part(k: int, d: list, hit: list, texts: list, known):
+    def part(k: int, d: list, hit: list, twins: list, targets: list, texts: list, known):
         import pyarrow as pa
         import pyarrow.compute as pc
 
@@ -124,7 +124,7 @@ def _parts(texts: DataFrame, seed: int, names: list[str] | None) -> DataFrame:
             outside = ~pc.is_in(pa.array(words, pa.string()), value_set=known).to_numpy(zero_copy_only=False)
             keys[outside] = OTHER
             words = ["" if x else w for w, x in zip(words, outside)]
-        row = {"part": k, "n": len(at), "d": np.array(d, np.int64).tobytes(), "hit": np.array(hit, bool).tobytes(), "lens": np.diff(bounds).astype(np.int64).tobytes(), "ids": _pack(at, 4), "keys": keys.tobytes(), "words": "\n".join(words).encode()}
+        row = {"part": k, "n": len(at), "d": np.array(d, np.int64).tobytes(), "hit": np.array(hit, bool).tobytes(), "twins": np.array(twins, np.int64).tobytes(), "targets": np.array(targets, np.int64).tobytes(), "lens": np.diff(bounds).astype(np.int64).tobytes(), "ids": _pack(at, 4), "keys": keys.tobytes(), "words": "\n".join(words).encode()}
         return pa.RecordBatch.from_pylist([row], pa.schema([(c, pa.int64() if c in ("part", "n") else pa.binary()) for c in row]))
 
     def encode(batches):
@@ -132,21 +132,21 @@ def _parts(texts: DataFrame, seed: int, names: list[str] | None) -> DataFrame:
         from pyspark import TaskContext
 
         known = None if shared is None else pa.array(shared.value, pa.string())
-        k, d, hit, t, chars = TaskContext.get().partitionId() << 32, [], [], [], 0
+        k, held, chars = TaskContext.get().partitionId() << 32, [[], [], [], [], []], 0
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
             for lo, hi in text_chunks(columns[1]):
                 more = sum(len(x or "") for x in columns[1][lo:hi])
-                if d and chars + more > PART_CHARS:
-                    yield part(k, d, hit, t, known)
-                    k, d, hit, t, chars = k + 1, [], [], [], 0
+                if held[0] and chars + more > PART_CHARS:
+                    yield part(k, *held, known)
+                    k, held, chars = k + 1, [[], [], [], [], []], 0
                 chars += more
-                for held, c in zip((d, hit, t), (columns[0], columns[2], columns[1])):
-                    held += c[lo:hi]
-        if d:
-            yield part(k, d, hit, t, known)
+                for rows, c in zip(held, (columns[0], columns[2], columns[3], columns[4], columns[1])):
+                    rows += c[lo:hi]
+        if held[0]:
+            yield part(k, *held, known)
 
-    return texts.select("d", "t", "hit").mapInArrow(encode, "part long, n long, d binary, hit binary, lens binary, ids binary, keys binary, words binary")
+    return texts.select("d", "t", "hit", "twins", "targets").mapInArrow(encode, "part long, n long, d binary, hit binary, twins binary, targets binary, lens binary, ids binary, keys binary, words binary")
 
 
 def _counted(parts: DataFrame, groups: int) -> DataFrame:
@@ -213,8 +213,8 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary_size
     corpus. A pair's probability leans on its word's by ``lean`` counts:
     p(w | v) = (c(v, w) + lean * p(w)) / (c(v) + lean), with p(w) = (c(w) + 1/2) / (N + V / 2).
     Both models have the same V words, order and smoothing, so their difference is not moved by unknown words. No document
-    scores itself: its own words and pairs are taken off the counts of the models that counted it, so target documents are not
-    favoured for being known. A given ``vocabulary_size``
+    scores itself or a copy of itself: its words and pairs are taken off the counts of the models as often as its text was counted in
+    them, so neither target documents nor copies are favoured for being known. A given ``vocabulary_size``
     makes one word of all but the most frequent ones; without it no word is dropped.
     Lower differences are more like the target. No words (null, empty): 0 words and losses 0. An empty target leaves
     its model with the smoothing alone. Null ids are never in the target; repeated rows are scored each.
@@ -224,6 +224,11 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary_size
     texts = docs.select(id_in(id_col).alias("d"), F.col(text_col).cast("string").alias("t"))
     names = None if vocabulary_size is None else vocabulary(texts, vocabulary_size - 2)
     texts = texts.join(F.broadcast(ids) if ids.count() <= small else ids, "d", "left").select("d", "t", F.coalesce("hit", F.lit(False)).alias("hit"))
+    # rows of one text, itself included, and those of them in the target; texts that stand once need no row
+    texts = texts.withColumns({"h": F.xxhash64("t"), "g": F.xxhash64("t", F.lit(1))})
+    same = staged(texts.groupBy("h", "g").agg(F.count("*").alias("twins"), F.count(F.when(F.col("hit"), 1)).alias("targets")).where("twins > 1"), "twins")
+    own = {"twins": F.coalesce("twins", F.lit(1)).cast("long"), "targets": F.coalesce("targets", F.col("hit").cast("long"))}
+    texts = texts.join(F.broadcast(same) if same.count() <= small else same, ["h", "g"], "left").withColumns(own).drop("h", "g")
     for seed in range(8):
         parts = staged(_parts(texts, seed, names), "word-ids")
         groups = max(64, -(-(parts.agg(F.sum("n")).first()[0] or 0) // (2 * GROUP_ROWS)))  # a part has about half as many words and pairs as places
@@ -241,6 +246,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary_size
         row, rows = own.to_pylist()[0], sorted(counts.to_pylist(), key=lambda x: x["group"])
         lens, pair, left, right, l, r, group, order = _digest(row, groups)
         hit, out, totals = np.frombuffer(row["hit"], bool), {n: np.zeros(len(lens)) for n in "tb"}, []
+        times = {"t": np.frombuffer(row["targets"], np.int64), "b": np.frombuffer(row["twins"], np.int64)}
         for name, total in (("t", n_target), ("b", n_background)):
             n = np.empty(len(order), np.int64)
             n[order] = np.concatenate([_unpack(x[name], x["n"], 6) for x in rows])
@@ -259,8 +265,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary_size
             left_own = np.concatenate([[1], word_own[:-1]])[: len(mine)]
             left_own[(np.cumsum(size) - size)[size > 0]] = 1  # the beginning
             for name, total, both, word in totals:
-                counted = hit[first:last] if name == "t" else np.ones(len(size), bool)
-                self = counted[doc].astype(np.int64)
+                self = times[name][first:last][doc]  # how often this text was counted
                 p = (word[b] - self * word_own + 0.5) / (total - self * (size[doc] + 1) + 0.5 * n_words)
                 loss = -np.log((both[mine] - self * both_own + lean * p) / (word[a] - self * left_own + lean))
                 out[name][first:last] = np.bincount(doc, loss, minlength=len(size)) / np.maximum(size, 1)
@@ -268,6 +273,6 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary_size
         return pa.table({"doc_id": np.frombuffer(row["d"], np.int64), "n_words": lens, "in_target": pa.array(hit), "target_loss": out["t"], "background_loss": out["b"], "loss_difference": out["t"] - out["b"]})
 
     schema = "doc_id long, n_words long, in_target boolean, target_loss double, background_loss double, loss_difference double"
-    own = parts.select("part", "n", "d", "hit", "lens", "ids", "keys")
+    own = parts.select("part", "n", "d", "hit", "twins", "targets", "lens", "ids", "keys")
     scored = own.groupBy("part").cogroup(counts.select("part", "group", "n", "b", "t").groupBy("part")).applyInArrow(score, schema)
     return scored.withColumn("doc_id", id_out("doc_id"))
