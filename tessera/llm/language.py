@@ -183,8 +183,12 @@ def sample_windows(docs: DataFrame, per_label: int, per_text: int) -> tuple[np.n
     Of each label the ``per_label`` texts with the smallest hash, of each of them at most ``per_text`` windows, evenly over the whole
     text; Spark picks them, so the driver gets at most per_label * per_text * WINDOW bytes a label.
     """
-    by = Window.partitionBy("lang").orderBy(F.xxhash64("d", F.lit("language")), F.xxhash64("t"))
-    some = docs.where("lang is not null and length(t) > 0").withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= per_label)
+    known = docs.where("lang is not null and length(t) > 0").withColumn("_h", F.xxhash64("d", "t", F.lit("language")))
+    # a label's rows are first thinned by their hash to about twice what is asked for, so that the ranking gets no more than that
+    size = known.groupBy("lang").agg(F.count("*").alias("_size"))  # a row a label
+    near = F.pmod("_h", F.lit(1 << 40)) * F.col("_size") < F.lit(2 * per_label + 200) * F.lit(float(1 << 40))
+    by = Window.partitionBy("lang").orderBy(F.pmod("_h", F.lit(1 << 40)), "_h", "d")
+    some = known.join(F.broadcast(size), "lang").where(near).withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= per_label)
 
     def cut(batches):
         for pdf in batches:
