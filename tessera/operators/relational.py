@@ -126,6 +126,39 @@ def contained(a: Column, b: Column) -> Column:
     return F.contains(a, b) | F.contains(b, a)
 
 
+def _standing(texts: DataFrame, parts: DataFrame, q: int) -> DataFrame:
+    """(text, part) of texts(text) and parts(part) where the part stands in the text: a part's rarest run of q characters is looked up
+    among the runs of the texts, and what is found is compared; parts of fewer characters are looked up whole."""
+    runs = lambda c, n: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(0))), lambda i: F.substr(F.col(c), i, n))
+    own = lambda c, n: F.when(F.length(c) >= n, F.array_distinct(runs(c, n))).otherwise(F.array().cast("array<string>"))
+    found = []
+    at = texts.select("text", F.explode(own("text", F.lit(q))).alias("run"))
+    times = at.groupBy("run").agg(F.count("*").alias("n"))
+    long = parts.where(F.length("part") >= q).select("part", F.explode(own("part", F.lit(q))).alias("run")).join(times, "run", "left")
+    anchors = long.groupBy("part").agg(F.min_by("run", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "run")).alias("run"))
+    found.append(at.join(anchors, "run").where(F.contains("text", "part")).select("text", "part"))
+    for n in range(1, q):
+        short = texts.select("text", F.explode(own("text", F.lit(n))).alias("part"))
+        found.append(short.join(parts.where(F.length("part") == n), "part").select("text", "part"))
+    out = found[0]
+    for x in found[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def contained_pairs(a: DataFrame, b: DataFrame, name_a: str, name_b: str, q: int = 4) -> DataFrame:
+    """Rows of a and b of which one's name holds the other's, by equality of runs of ``q`` characters: no name meets all others.
+
+    Names are compared as they are; null and empty ones match nothing. Repeated rows match each. Columns must not clash.
+    """
+    x = a.where(F.length(name_a) > 0).select(F.col(name_a).alias("x")).distinct()
+    y = b.where(F.length(name_b) > 0).select(F.col(name_b).alias("y")).distinct()
+    there = _standing(x.select(F.col("x").alias("text")), y.select(F.col("y").alias("part")), q).select(F.col("text").alias("_x"), F.col("part").alias("_y"))
+    back = _standing(y.select(F.col("y").alias("text")), x.select(F.col("x").alias("part")), q).select(F.col("part").alias("_x"), F.col("text").alias("_y"))
+    pairs = there.unionByName(back).distinct()
+    return a.join(pairs, F.col(name_a) == F.col("_x")).join(b, F.col(name_b) == F.col("_y")).drop("_x", "_y")
+
+
 def multi_label_counts(df: DataFrame, labels: dict[str, Column], value: str) -> DataFrame:
     """Rows counted under every label they meet: rows, mean of value."""
     own = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in labels.items()]))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import state as U
+from tessera.sources import archives as A
 from tessera.sources import files as S
 from tessera.sources.staging import new_path
 
@@ -119,3 +120,38 @@ def keys(spark, d) -> DataFrame:
 def cache_invalidate(spark, d):
     left = S.invalidate(keys(spark, d), "cache_key", exact="uno.Brand#2.k4")
     return S.invalidate(S.invalidate(left, "cache_key", namespace="uno.Brand#7"), "cache_key", pattern="uno.Brand#1?.k[1-3]*")
+
+
+@query("SRC-04", "SELECT 'part-' || c_nationkey || '.tsv' AS member, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS line, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name FROM customer QUALIFY c_mktsegment <> 'BUILDING'")
+def tsv_zipped(spark, d):
+    """Customers as zipped files, one a nation, read again; rows without an organisation (here: of one segment) are dropped."""
+    c = table(spark, d, "customer").select("c_nationkey", "c_custkey", F.when(F.col("c_mktsegment") == "BUILDING", "").otherwise(F.col("c_mktsegment")).alias("org"), "c_name")
+    packed = A.zipped(c.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey"), "c_nationkey", ["c_name", "org", "c_custkey"])
+    return A.read_zipped(packed, ["c_custkey", "c_name"], required="org")
+
+
+@query("SNK-10", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def load_resumed(spark, d):
+    """Orders as four files, loaded by a stream that is broken off after its second batch and started again."""
+    o, path = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), [new_path(spark, n) for n in ("files", "loaded", "progress")]
+    o.repartition(4, "o_orderkey").write.parquet(path[0])
+    stream = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 1).parquet(path[0])
+
+    def broken(k: int) -> None:
+        if k == 1:
+            raise InterruptedError("the load is broken off here")
+
+    try:
+        A.load_resumably(stream, path[1], path[2], broken)
+    except Exception as e:  # the stream's own error holds the message
+        if "broken off here" not in str(e):
+            raise
+    A.load_resumably(stream, path[1], path[2])
+    return spark.read.schema(o.schema).parquet(path[1]).select(*o.columns)
+
+
+@query("SNK-11", "SELECT o_orderkey, o_orderstatus, count(*) AS n_lines, sum(l_quantity) AS quantity FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2")
+def bucketed_tables(spark, d):
+    """Orders and their lines as tables bucketed by the order: the join and the sums of an order plan no shuffle."""
+    rows = A.joined_tables(spark, table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), table(spark, d, "lineitem").select("l_orderkey", "l_quantity"), "o_orderkey", "l_orderkey")
+    return rows.groupBy("o_orderkey", "o_orderstatus").agg(F.count("*").alias("n_lines"), F.sum("l_quantity").alias("quantity"))

@@ -100,12 +100,17 @@ def parameter_snapshot(spark, d):
     return U.snapshot(table(spark, d, "part").select(F.concat(F.lit("uno."), "p_partkey").alias("k"), F.col("p_name").alias("v")), "k", "v")
 
 
-@query("SRC-05", "SELECT DISTINCT s.s_suppkey, p.p_partkey FROM supplier s JOIN part p ON p.p_partkey < 40 AND (contains(lower(s.s_name), lpad(CAST(p.p_partkey AS STRING), 3, '0')) OR contains(lpad(CAST(p.p_partkey AS STRING), 3, '0'), lower(s.s_name)))")
+@query("SRC-05", "WITH t AS (SELECT p_partkey, 'supplier#' || lpad(CAST(p_partkey AS STRING), CAST(5 + 2 * (p_partkey % 3) AS INTEGER), '0') AS t FROM part) SELECT DISTINCT s.s_suppkey, t.p_partkey FROM supplier s JOIN t ON contains(lower(s.s_name), t) OR contains(t, lower(s.s_name))")
 def tsv_sample_match(spark, d):
-    from tessera.operators.relational import contained
-
-    targets = table(spark, d, "part").where("p_partkey < 40").select("p_partkey", F.lpad(F.col("p_partkey").cast("string"), 3, "0").alias("t"))
-    return table(spark, d, "supplier").join(targets, contained(F.lower("s_name"), F.col("t"))).select("s_suppkey", "p_partkey").distinct()
+    """All names against all target names."""
+    from tessera.operators.relational import contained_pairs
+
+    k = F.col("p_partkey")
+    width = (k % 3 * 2 + 5).cast("int")
+    digits = F.concat(F.substr(F.lit("000000000"), F.lit(1), F.greatest(width - F.length(k.cast("string")), F.lit(0))), F.left(k.cast("string"), width))
+    targets = table(spark, d, "part").select("p_partkey", F.concat(F.lit("supplier#"), digits).alias("t"))
+    names = table(spark, d, "supplier").select("s_suppkey", F.lower("s_name").alias("s"))
+    return contained_pairs(names, targets, "s", "t", 12).select("s_suppkey", "p_partkey").distinct()
 
 
 @query("SRC-14", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'failed' WHEN o_custkey % 3 > 0 THEN 'success' ELSE 'no_data' END AS status, datediff('second', o_orderdate, o_orderdate + INTERVAL 90 SECOND) AS duration_seconds FROM orders")

@@ -89,20 +89,24 @@ def migrate_contacts(rows: DataFrame, targets: list[str]) -> DataFrame:
 def first_contained(messages: DataFrame, contacts: DataFrame, sender: str, email: str, order: str) -> DataFrame:
     """Messages with the first contact (by ``order``) whose e-mail stands in the sender's text; messages without one are absent.
 
-    An address with one @ stands in a text where a piece that ends before an @ of the text and one that begins after it are its two
-    parts. All such pieces between blanks are joined by equality, so no message meets a contact it does not name. Contacts whose
-    e-mail is null or has not one @ between two parts without blanks match nothing.
+    An address with one @ stands in a text where its domain begins what follows an @ of the text, and its name ends what stands before.
+    What follows an @, cut to each length that domains of contacts have, is joined to the domains; what stands before, cut to each
+    length that names of the domain found have, to the addresses. So the rows of an @ are bounded by the lengths of contacts, and the
+    time grows with the text. Contacts whose e-mail is null or has not one @ between two parts without blanks match nothing.
     """
+    named = contacts.where(F.col(email).rlike(r"^[^@\s]+@[^@\s]+$")).groupBy(F.col(email).alias("_key")).agg(F.min(order).alias(order))
+    named = named.withColumn("_domain", F.substring_index("_key", "@", -1))
+    domains = named.groupBy("_domain").agg(F.collect_set(F.length("_key") - F.length("_domain") - 1).alias("_names"))
+    lengths = domains.agg(F.collect_set(F.length("_domain")).alias("_lengths"))  # one row
     part = F.split(F.col("_run"), "@")
     runs = F.filter(F.split(F.col(sender), r"\s+"), lambda x: F.contains(x, F.lit("@")))
     rows = messages.withColumn("_run", F.explode(F.array_distinct(runs)))
-    rows = rows.withColumn("_at", F.explode(F.sequence(F.lit(1), F.size(part) - 1)))
-    left, right = F.element_at(part, F.col("_at")), F.element_at(part, F.col("_at") + 1)
-    rows = rows.select(*messages.columns, left.alias("_l"), right.alias("_r")).where("_l <> '' AND _r <> ''")
-    rows = rows.withColumn("_l", F.explode(F.transform(F.sequence(F.lit(1), F.length("_l")), lambda n: F.right("_l", n))))
-    rows = rows.withColumn("_r", F.explode(F.transform(F.sequence(F.lit(1), F.length("_r")), lambda n: F.left("_r", n))))
-    named = contacts.where(F.col(email).rlike(r"^[^@\s]+@[^@\s]+$")).groupBy(F.col(email).alias("_key")).agg(F.min(order).alias(order))
-    hits = rows.withColumn("_key", F.concat("_l", F.lit("@"), "_r")).join(named, "_key")
+    sides = F.transform(F.sequence(F.lit(1), F.size(part) - 1), lambda k: F.struct(F.element_at(part, k).alias("l"), F.element_at(part, k + 1).alias("r")))
+    rows = rows.withColumn("_at", F.explode(F.array_distinct(sides))).select(*messages.columns, F.col("_at.l").alias("_l"), F.col("_at.r").alias("_r"))
+    rows = rows.where("_l <> '' AND _r <> ''").join(F.broadcast(lengths))
+    rows = rows.withColumn("_n", F.explode(F.filter("_lengths", lambda n: n <= F.length("_r")))).withColumn("_domain", F.left("_r", F.col("_n"))).drop("_lengths", "_r", "_n")
+    rows = rows.join(domains, "_domain").withColumn("_n", F.explode(F.filter("_names", lambda n: n <= F.length("_l"))))
+    hits = rows.withColumn("_key", F.concat(F.right("_l", F.col("_n")), F.lit("@"), "_domain")).select(*messages.columns, "_key").join(named.select("_key", order), "_key")
     return hits.groupBy(*messages.columns).agg(F.min(order).alias(order))
 
 
