@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -194,17 +195,83 @@ def greedy_groups(rows: DataFrame, keys: list[str], text: str, score: str, most_
     return cores.groupBy(*keys).applyInPandas(run, schema)
 
 
-def kmeans_topics(vectors: DataFrame, key: str, vec: str, k: int = 8, seed: int = 42) -> DataFrame:
-    """(key, cluster, confidence): 1 less the distance to the centre over the greatest distance of all."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector, vector_to_array
+def _starts(rows: np.ndarray, k: int, n_init: int, seed: int) -> np.ndarray:
+    """(n_init, k, dims) first centres, each drawn with a chance that grows with the squared distance to those before."""
+    rng, out = np.random.default_rng(seed), []
+    for _ in range(n_init):
+        centres = [rows[rng.integers(len(rows))]]
+        near = ((rows - centres[0]) ** 2).sum(axis=1)
+        while len(centres) < k:
+            chance = near / near.sum() if near.sum() > 0 else None
+            centres.append(rows[rng.choice(len(rows), p=chance)])
+            near = np.minimum(near, ((rows - centres[-1]) ** 2).sum(axis=1))
+        out.append(centres)
+    return np.array(out)
 
-    rows = vectors.withColumn("features", array_to_vector(F.col(vec).cast("array<double>")))
-    model = KMeans(k=k, seed=seed, maxIter=20).fit(rows)
-    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
-    c = F.element_at(centres, F.col("prediction") + 1)
-    dist = F.sqrt(F.aggregate(F.zip_with(vector_to_array("features"), c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
-    out = model.transform(rows).select(key, F.col("prediction").alias("cluster"), dist.alias("d"))
+
+def kmeans_centres(vectors: DataFrame, vec: str, k: int = 8, seed: int = 42, n_init: int = 10, most_rounds: int = 50, sample: int = 5000) -> tuple[np.ndarray, float]:
+    """(centres, inertia) of the best of ``n_init`` runs, all in one pass over the data a round; only sums of clusters reach the driver.
+
+    First centres come from the ``sample`` vectors with the smallest hash; every round, and the inertia that decides, takes all vectors. A
+    run is done when no centre moves by more than 1e-9 of the spread. Null vectors, and those with null or non-finite components or another length
+    than the first of the sample, take no part. Fewer vectors than ``k`` repeat as centres.
+    """
+    e = F.col(vec)
+    fine = e.isNotNull() & F.forall(e, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False))) & (F.size(e) > 0)
+    rows = vectors.where(F.coalesce(fine, F.lit(False))).select(e.cast("array<double>").alias("x"))
+    some = [r["x"] for r in rows.orderBy(F.xxhash64("x"), "x").limit(sample).collect()]
+    if not some:
+        return np.zeros((0, 0)), 0.0
+    dims = len(some[0])
+    rows = rows.where(F.size("x") == dims)
+    first = np.array([x for x in some if len(x) == dims])
+    centres, spread = _starts(first, k, n_init, seed), max(float(first.var()), 1e-300)
+    best: tuple[float, np.ndarray] = (np.inf, centres[0])
+    going = np.arange(n_init)
+    for _ in range(most_rounds):
+        now = centres[going]
+
+        def sums(batches, now=now, going=going):
+            total, n, inertia = np.zeros_like(now), np.zeros(now.shape[:2]), np.zeros(len(now))
+            for pdf in batches:
+                x = np.stack(pdf["x"].to_numpy())
+                for i, c in enumerate(now):
+                    d = (x * x).sum(axis=1)[:, None] - 2 * x @ c.T + (c * c).sum(axis=1)
+                    a = d.argmin(axis=1)
+                    inertia[i] += np.maximum(d[np.arange(len(x)), a], 0).sum()
+                    np.add.at(total[i], a, x)
+                    n[i] += np.bincount(a, minlength=len(c))
+            yield pd.DataFrame([(int(run), j, total[i, j].tolist(), n[i, j], inertia[i] if j == 0 else 0.0) for i, run in enumerate(going) for j in range(now.shape[1])], columns=["run", "c", "s", "n", "inertia"])
+
+        parts = rows.mapInPandas(sums, "run int, c int, s array<double>, n double, inertia double")
+        each = parts.select("run", "c", "n", "inertia", F.posexplode("s").alias("i", "s")).groupBy("run", "c", "i").agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("inertia").alias("inertia"))
+        got = each.groupBy("run", "c").agg(F.sort_array(F.collect_list(F.struct("i", "s"))).alias("s"), F.max("n").alias("n"), F.max("inertia").alias("inertia")).collect()
+        new = centres.copy()
+        for r in got:
+            if r["n"]:
+                new[r["run"], r["c"]] = [y["s"] / r["n"] for y in r["s"]]
+            if r["c"] == 0 and r["inertia"] < best[0]:
+                best = (r["inertia"], centres[r["run"]].copy())
+        going = np.array([i for i in going if ((new[i] - centres[i]) ** 2).sum(axis=1).max() > 1e-9 * spread])
+        centres = new
+        if not len(going):
+            break
+    return best[1], float(best[0])
+
+
+def kmeans_topics(vectors: DataFrame, key: str, vec: str, k: int = 8, seed: int = 42, n_init: int = 10) -> DataFrame:
+    """(key, cluster, confidence): 1 less the distance to the nearest centre over the greatest distance of all, for the best of ``n_init`` runs.
+
+    Vectors that take no part in ``kmeans_centres`` have no row. Clusters are numbered by their centres in ascending order."""
+    centres, _ = kmeans_centres(vectors, vec, k, seed, n_init)
+    if not len(centres):
+        return vectors.select(key, F.lit(0).alias("cluster"), F.lit(0.0).alias("confidence")).limit(0)
+    e = F.col(vec).cast("array<double>")
+    apart = lambda c: F.aggregate(F.zip_with(e, F.array(*[F.lit(float(x)) for x in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    order = sorted(centres.tolist())
+    near = F.array_min(F.array(*[F.struct(apart(c).alias("d"), F.lit(j).alias("cluster")) for j, c in enumerate(order)]))
+    fine = F.coalesce((F.size(e) == len(order[0])) & F.forall(e, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))), F.lit(False))
+    out = cut(vectors.where(fine).select(key, near.alias("x")).select(key, "x.cluster", F.sqrt("x.d").alias("d")))
     top = out.agg(F.max("d").alias("m"))  # one row
     return out.join(F.broadcast(top)).select(key, "cluster", (1.0 - F.coalesce(F.try_divide("d", "m"), F.lit(0.0))).alias("confidence"))
 

@@ -60,34 +60,40 @@ def status_latest(spark, d):
     return latest_each(table(spark, d, "events").select("user_id", F.col("event_type").alias("state"), "ts", "event_id"), ["user_id"], ["ts", "event_id"]).select("user_id", "state")
 
 
-DEFAULTS = [("risk.threshold", "0.6"), ("risk.window", "30"), ("chunk.size", "2000"), ("chunk.overlap", "200")]
-STORED = [("risk.threshold", "0.8"), ("chunk.size", "1500"), ("other.key", "1")]
-vals = lambda rows: ", ".join("(" + ", ".join("NULL" if x is None else f"'{x}'" for x in r) + ")" for r in rows)
+#: Every part as a parameter: a dotted key, its default, and for large ones a stored value.
+PARAMS = """p AS (SELECT CASE WHEN p_size <= 15 THEN 'risk.' WHEN p_size <= 35 THEN 'chunk.' ELSE 'other.' END || 'p' || p_partkey AS param_key, CAST(p_size AS VARCHAR) AS value, CASE WHEN p_retailprice > 950 THEN CAST(p_size * 2 AS VARCHAR) END AS v FROM part)"""
 
 
-@query("UPS-07 JSN-06", f"WITH a(param_key, value) AS (VALUES {vals(DEFAULTS)}), b(param_key, v) AS (VALUES {vals(STORED)}) SELECT a.param_key, coalesce(v, value) AS value, CASE WHEN v IS NULL THEN 'default' ELSE 'stored' END AS source, a.param_key LIKE 'risk.%' AS in_risk, substring(a.param_key, 6) AS rest FROM a LEFT JOIN b ON b.param_key = a.param_key")
+def parameters(spark, d):
+    """(defaults, stored values) of the parameters that the parts make."""
+    k = F.concat(F.when(F.col("p_size") <= 15, "risk.").when(F.col("p_size") <= 35, "chunk.").otherwise("other."), F.lit("p"), "p_partkey").alias("param_key")
+    p = table(spark, d, "part")
+    return p.select(k, F.col("p_size").cast("string").alias("value")), p.where("p_retailprice > 950").select(k, (F.col("p_size") * 2).cast("string").alias("value"))
+
+
+@query("UPS-07 JSN-06", f"WITH {PARAMS} SELECT param_key, coalesce(v, value) AS value, CASE WHEN v IS NULL THEN 'default' ELSE 'stored' END AS source, param_key LIKE 'risk.%' AS in_risk, substring(param_key, 6) AS rest FROM p")
 def param_overlay(spark, d):
-    rows = U.overlay(spark.createDataFrame(DEFAULTS, "param_key string, value string"), spark.createDataFrame(STORED, "param_key string, value string"), "param_key", "value")
     inside, rest = U.in_namespace(F.col("param_key"), "risk")
-    return rows.select("param_key", "value", "source", inside.alias("in_risk"), rest.alias("rest"))
+    return U.overlay(*parameters(spark, d), "param_key", "value").select("param_key", "value", "source", inside.alias("in_risk"), rest.alias("rest"))
 
 
-PARAMS = [("a", "integer", "7", "1", "9"), ("b", "integer", "x", None, None), ("c", "float", "1.5", "2", None), ("d", "boolean", "Yes", None, None), ("e", "string", "blue", None, None), ("f", "integer", "70", "1", "9"), ("g", "float", None, None, None), ("h", "string", "green", None, None)]
+KINDS = "CASE p_size % 5 WHEN 0 THEN 'integer' WHEN 1 THEN 'float' WHEN 2 THEN 'boolean' ELSE 'string' END AS kind, CASE WHEN p_size > 45 THEN NULL WHEN p_size % 5 < 2 AND p_size > 40 THEN p_name WHEN p_size % 5 = 0 THEN CAST(p_partkey % 100 AS VARCHAR) WHEN p_size % 5 = 1 THEN CAST(p_retailprice AS VARCHAR) WHEN p_size % 5 = 2 THEN CASE WHEN p_size > 20 THEN 'Yes' ELSE 'off' END ELSE p_brand END AS v, CASE WHEN p_size % 5 < 2 THEN 10.0 END AS lo, CASE WHEN p_size % 5 < 2 THEN 920.0 END AS hi"
 
 
-@query("JSN-04 JSN-05", f"""WITH p(k, kind, v, lo, hi) AS (VALUES {vals(PARAMS)}) SELECT k, CASE WHEN kind = 'integer' THEN TRY_CAST(v AS BIGINT) END AS as_long, CASE WHEN kind IN ('float', 'integer') THEN TRY_CAST(v AS DOUBLE) END AS as_double, CASE WHEN kind = 'boolean' THEN lower(v) IN ('true', '1', 'yes') END AS as_bool, CASE WHEN kind = 'string' THEN v END AS as_text,
- CASE WHEN v IS NULL THEN 'missing' WHEN (kind IN ('integer', 'float') AND TRY_CAST(v AS DOUBLE) IS NULL) OR (kind = 'integer' AND TRY_CAST(v AS BIGINT) IS NULL) THEN 'type' WHEN TRY_CAST(v AS DOUBLE) < CAST(lo AS DOUBLE) THEN 'below minimum' WHEN TRY_CAST(v AS DOUBLE) > CAST(hi AS DOUBLE) THEN 'above maximum' WHEN kind = 'string' AND v NOT IN ('blue', 'red') THEN 'not allowed' ELSE 'ok' END AS verdict FROM p""")
+@query("JSN-04 JSN-05", f"""WITH p AS (SELECT p_partkey AS k, {KINDS} FROM part) SELECT k, CASE WHEN kind = 'integer' THEN TRY_CAST(v AS BIGINT) END AS as_long, CASE WHEN kind IN ('float', 'integer') THEN TRY_CAST(v AS DOUBLE) END AS as_double, CASE WHEN kind = 'boolean' THEN lower(v) IN ('true', '1', 'yes') END AS as_bool, CASE WHEN kind = 'string' THEN v END AS as_text,
+ CASE WHEN v IS NULL THEN 'missing' WHEN (kind IN ('integer', 'float') AND TRY_CAST(v AS DOUBLE) IS NULL) OR (kind = 'integer' AND TRY_CAST(v AS BIGINT) IS NULL) THEN 'type' WHEN TRY_CAST(v AS DOUBLE) < lo THEN 'below minimum' WHEN TRY_CAST(v AS DOUBLE) > hi THEN 'above maximum' WHEN kind = 'string' AND v NOT IN ('Brand#2', 'Brand#4') THEN 'not allowed' ELSE 'ok' END AS verdict FROM p""")
 def typed_params(spark, d):
-    p = spark.createDataFrame(PARAMS, "k string, kind string, v string, lo string, hi string")
+    """Parameters of four types from the parts; some miss, some do not parse, some are out of bounds or not allowed."""
+    p = table(spark, d, "part").selectExpr("p_partkey AS k", *[x.replace("VARCHAR", "STRING") for x in KINDS.split(", CASE ")[:1]], *["CASE " + x.replace("VARCHAR", "STRING") for x in KINDS.split(", CASE ")[1:]])
     kind, v = F.col("kind"), F.col("v")
-    allowed = F.when(kind == "string", F.array(F.lit("blue"), F.lit("red")))
+    allowed = F.when(kind == "string", F.array(F.lit("Brand#2"), F.lit("Brand#4")))
     t = U.typed(kind, v)
     return p.select("k", *[t[n].alias(n) for n in ("as_long", "as_double", "as_bool", "as_text")], U.validated(kind, v, F.col("lo").cast("double"), F.col("hi").cast("double"), allowed).alias("verdict"))
 
 
-@query("UPS-09", f"""WITH a(param_key, value) AS (VALUES {vals(DEFAULTS)}), b(param_key, v) AS (VALUES {vals(STORED)}) SELECT a.param_key, 'control' AS arm, value FROM a UNION ALL SELECT a.param_key, 'treatment', coalesce(v, value) FROM a LEFT JOIN b ON b.param_key = a.param_key""")
+@query("UPS-09", f"WITH {PARAMS} SELECT param_key, 'control' AS arm, value FROM p UNION ALL SELECT param_key, 'treatment', coalesce(v, value) FROM p")
 def experiment_arms(spark, d):
-    return U.feedback(spark.createDataFrame(DEFAULTS, "param_key string, value string"), spark.createDataFrame(STORED, "param_key string, value string"), "param_key", "value")
+    return U.feedback(*parameters(spark, d), "param_key", "value")
 
 
 @query("UPS-09", "SELECT p_type, p_partkey, 'v1.' || row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) AS version, row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) = count(*) OVER (PARTITION BY p_type) AS is_active FROM part")
