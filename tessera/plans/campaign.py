@@ -15,14 +15,14 @@ AS_OF = "1998-06-01"
 STEPS = [(s, day, a) for s, n in (("BUILDING", 3), ("MACHINERY", 5), ("FURNITURE", 2), ("HOUSEHOLD", 4), ("AUTOMOBILE", 1)) for day, a in [(k * 200 + 1, ("email", "connect", "message")[k % 3]) for k in range(n)] + [(401 + k, "email") for k in range(100)]]
 SV = ", ".join(f"('{s}', {day}, '{a}')" for s, day, a in STEPS)
 VIEW = f"""contacts AS (SELECT c_custkey AS contact, c_mktsegment AS sequence, CASE WHEN c_custkey % 11 > 0 THEN DATE '1997-01-01' + CAST(c_custkey % 500 AS INT) END AS start, c_custkey % 7 > 0 AS active, c_custkey % 5 = 0 AS replied FROM customer), steps(sequence, day, action) AS (VALUES {SV}),
- sent AS (SELECT DISTINCT o_custkey AS contact, (o_orderkey % 3 * 200 + 1)::INT AS day, CASE o_orderkey % 3 WHEN 0 THEN 'email' WHEN 1 THEN 'connect' ELSE 'message' END AS action FROM orders WHERE o_orderkey % 4 = 0)"""
+ sent AS (SELECT DISTINCT o_custkey AS contact, (o_orderkey % 3 * 200 + 1)::INT AS day, CASE o_orderkey % 3 WHEN 0 THEN 'email' WHEN 1 THEN 'connect' ELSE 'message' END AS action FROM orders)"""
 
 
 def frames(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
     k, o = F.col("c_custkey"), F.col("o_orderkey")
     contacts = table(spark, d, "customer").select(k.alias("contact"), F.col("c_mktsegment").alias("sequence"), F.when(k % 11 > 0, F.date_add(F.lit("1997-01-01").cast("date"), (k % 500).cast("int"))).alias("start"), (k % 7 > 0).alias("active"), (k % 5 == 0).alias("replied"))
     steps = spark.createDataFrame(STEPS, "sequence string, day int, action string")
-    sent = table(spark, d, "orders").where("o_orderkey % 4 = 0").select(F.col("o_custkey").alias("contact"), (o % 3 * 200 + 1).cast("int").alias("day"), F.when(o % 3 == 0, "email").when(o % 3 == 1, "connect").otherwise("message").alias("action")).distinct()
+    sent = table(spark, d, "orders").select(F.col("o_custkey").alias("contact"), (o % 3 * 200 + 1).cast("int").alias("day"), F.when(o % 3 == 0, "email").when(o % 3 == 1, "connect").otherwise("message").alias("action")).distinct()
     return contacts, steps, sent
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import cosine, normal_cdf
 from tessera.functions.text import clean_post, company_name, fill_template, money
-from tessera.operators import campaign, entity, filings, graph, market, relational, social, state
+from tessera.operators import campaign, entity, filings, graph, market, network, relational, social, state
 
 UTC = dt.timezone.utc
 
@@ -108,7 +108,7 @@ def test_graph_demo(spark):
     assert {(r["src"], r["dst"]): r["weight"] for r in e.collect()}[("inv1", "ceo")] == 9 and e.count() == 8
     s = graph.stats(e).first()
     assert (s["nodes"], s["edges"], s["components"], s["density"], s["average_degree"]) == (5, 8, 1, 0.4, 3.2)
-    ranks = {r["node"]: r["pagerank"] for r in graph.pagerank(e, rounds=60).collect()}
+    ranks = {r["node"]: r["pagerank"] for r in graph.pagerank(e, tolerance=1e-12).collect()}
     names = sorted(ranks)
     w = {(r["src"], r["dst"]): r["weight"] for r in e.collect()}
     x = dict.fromkeys(names, 1 / 5)
@@ -117,9 +117,9 @@ def test_graph_demo(spark):
         lost = sum(x[v] for v in names if not out[v])
         x = {v: 0.15 / 5 + 0.85 * (sum(x[a] * k / out[a] for (a, b), k in w.items() if b == v) + lost / 5) for v in names}
     assert ranks == pytest.approx(x) and sum(ranks.values()) == pytest.approx(1)
-    small = {r["node"]: r for r in graph.small_metrics(e).collect()}
-    assert small["fda"]["bridge_ends"] == 1 and small["inv2"]["bridge_ends"] == 1 and small["ceo"]["betweenness"] > 0
-    assert graph.small_metrics(e, most_nodes=5).count() == 0
+    ends = {r["node"]: r["bridge_ends"] for r in network.cut_nodes(e).collect()}
+    assert ends["fda"] == 1 and ends["inv2"] == 1
+    assert {r["node"]: r["betweenness"] for r in network.path_centrality(e).collect()}["ceo"] > 0
 
 
 def test_reach_and_components(spark):
