@@ -75,6 +75,11 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
+def _of_length(fitted: dict[int, Quantiser], dim: int, m: int, codes: int) -> Quantiser:
+    """The quantiser of a length; for one that the sample lacks, a single list whose codes rule nothing out."""
+    return fitted.get(dim) or Quantiser(np.zeros((1, dim)), 1, m, codes)
+
+
 def search_cell(q: Quantiser, which: int, index: dict, queries: dict, threshold: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """For each query the weight of the index rows linked with it (itself aside), and links that connect what all links connect."""
     radius = np.sqrt(max(0.0, 2 - 2 * threshold))
@@ -96,15 +101,16 @@ def search_cell(q: Quantiser, which: int, index: dict, queries: dict, threshold:
     return count, edges
 
 
-def near_copies(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str | None = "label", fit_rows: int = 20_000, rows_a_list: int = 4096, most_lists: int = 4096, chunk: int = 4096, query_chunk: int = 16_384, m: int = 16, codes: int = 64) -> DataFrame:
+def near_copies(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str | None = "label", fit_rows: int = 20_000, rows_a_list: int = 4096, least_lists: int = 8, most_lists: int = 4096, chunk: int = 4096, query_chunk: int = 16_384, m: int = 16, codes: int = 64) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept.
 
     Links: equal, non-null labels (all rows, without label_col) and cosine >= threshold in double precision. Exact:
     probes are all lists that can hold a neighbour, and table distances rule a pair out only beyond the error of
-    its codes. Vectors that are null, zero, of another length than the sample's most common one, or hold null or
-    non-finite components link with nothing, nor do rows without an id. Rows of equal vectors stand in one class and
-    count as vectors each. The quantiser is fitted on ``fit_rows`` rows by hash order; every row is indexed. A list's
-    rows and queries are dealt out in chunks, so no task holds more than ``chunk`` + ``query_chunk`` vectors.
+    its codes. Vectors that are null, zero, or hold null or non-finite components link with nothing, nor do rows without
+    an id, nor vectors of unequal length with each other. Rows of equal vectors stand in one class and count as vectors
+    each. Quantisers, one for each length, are fitted on ``fit_rows`` rows by hash order; every row is indexed. A length has a list for
+    ``rows_a_list`` rows, and ``least_lists`` where its sample has 64 rows for each; a length without a row in the sample has one list, whose rows are all
+    reranked. A list's rows and queries are dealt out in chunks, so no task holds more than ``chunk`` + ``query_chunk`` vectors.
     """
     spark = vectors.sparkSession
     label = F.col(label_col) if label_col else F.lit(0)
@@ -119,31 +125,34 @@ def near_copies(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_
     found = None
     if n:
         sample = good.orderBy(F.xxhash64("rep"), "rep", "k1").limit(fit_rows).select("e").toArrow().to_pandas()["e"]
-        dims = sample.map(len)
-        dim = int(dims.mode()[0])
-        q = Quantiser(_unit(np.stack(sample[dims == dim].to_list())), int(np.clip(n // rows_a_list, 1, most_lists)), m, codes)
-        shared = spark.sparkContext.broadcast(q)
+        fitted = {}
+        for dim, own in sample.groupby(sample.map(len)):
+            lists = max(n * len(own) // len(sample) // rows_a_list, min(least_lists, len(own) // 64), 1)
+            fitted[int(dim)] = Quantiser(_unit(np.stack(own.to_list())), min(lists, most_lists), m, codes)
+        shared = spark.sparkContext.broadcast(fitted)
         radius = np.sqrt(max(0.0, 2 - 2 * threshold))
 
         def index(batches):
-            q = shared.value
-            for pdf in batches:
-                u = _unit(np.stack(pdf["e"].to_list()))
-                at = q.nearest(u)
-                code, err = q.encode(u, at)
-                yield pd.DataFrame({"rep": pdf["rep"], "label": pdf["label"], "weight": pdf["weight"], "u": [x.tobytes() for x in u], "list": at, "codes": [x.tobytes() for x in code], "err": err, "probes": q.probes(u, radius)})
+            for every in batches:
+                for dim, pdf in every.groupby(every["e"].map(len)):
+                    q = _of_length(shared.value, int(dim), m, codes)
+                    u = _unit(np.stack(pdf["e"].to_list()))
+                    at = q.nearest(u)
+                    code, err = q.encode(u, at)
+                    yield pd.DataFrame({"rep": pdf["rep"].to_numpy(), "label": pdf["label"].to_numpy(), "weight": pdf["weight"].to_numpy(), "dim": dim, "u": [x.tobytes() for x in u], "list": at, "codes": [x.tobytes() for x in code], "err": err, "probes": q.probes(u, radius)})
 
         kind = dict(good.dtypes)["label"]
-        coded = staged(good.where(F.size("e") == dim).select("rep", "label", "weight", "e").mapInPandas(index, f"rep long, label {kind}, weight long, u binary, list int, codes binary, err double, probes array<int>"), "codes")
-        asked = coded.select("label", F.explode("probes").alias("list"), "rep", "u")
-        sizes = coded.groupBy("label", "list").agg(F.ceil(F.count("*") / chunk).cast("int").alias("a"))
-        sizes = sizes.join(asked.groupBy("label", "list").agg(F.ceil(F.count("*") / query_chunk).cast("int").alias("b")), ["label", "list"])
+        coded = staged(good.select("rep", "label", "weight", "e").mapInPandas(index, f"rep long, label {kind}, weight long, dim int, u binary, list int, codes binary, err double, probes array<int>"), "codes")
+        cell = ["label", "dim", "list"]
+        asked = coded.select("label", "dim", F.explode("probes").alias("list"), "rep", "u")
+        sizes = coded.groupBy(*cell).agg(F.ceil(F.count("*") / chunk).cast("int").alias("a"))
+        sizes = sizes.join(asked.groupBy(*cell).agg(F.ceil(F.count("*") / query_chunk).cast("int").alias("b")), cell)
         none = lambda t, c: F.lit(None).cast(t).alias(c)
-        held = coded.join(sizes, ["label", "list"]).select("label", "list", F.pmod(F.xxhash64("rep"), "a").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("j"), "rep", "u", "weight", "codes", "err")
-        asks = asked.join(sizes, ["label", "list"]).select("label", "list", F.explode(F.sequence(F.lit(0), F.col("a") - 1)).alias("i"), F.pmod(F.xxhash64("rep"), "b").cast("int").alias("j"), "rep", "u", none("long", "weight"), none("binary", "codes"), none("double", "err"))
+        held = coded.join(sizes, cell).select(*cell, F.pmod(F.xxhash64("rep"), "a").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("j"), "rep", "u", "weight", "codes", "err")
+        asks = asked.join(sizes, cell).select(*cell, F.explode(F.sequence(F.lit(0), F.col("a") - 1)).alias("i"), F.pmod(F.xxhash64("rep"), "b").cast("int").alias("j"), "rep", "u", none("long", "weight"), none("binary", "codes"), none("double", "err"))
 
         def search(pdf: pd.DataFrame) -> pd.DataFrame:
-            q, which = shared.value, int(pdf["list"].iloc[0])
+            q, which = _of_length(shared.value, int(pdf["dim"].iloc[0]), m, codes), int(pdf["list"].iloc[0])
             side = pdf["codes"].notna()
             a, b = pdf[side], pdf[~side]
             mat = lambda s, t, w: np.frombuffer(b"".join(s), t).reshape(len(s), w)
@@ -155,7 +164,7 @@ def near_copies(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_
             counts = pd.DataFrame({"rep": b["rep"].to_numpy()[some], "links": count[some], "other": b["rep"].to_numpy()[some]})
             return pd.concat([counts, pd.DataFrame({"rep": [x for x, _ in edges], "links": [0] * len(edges), "other": [y for _, y in edges]})]).astype("int64")
 
-        found = staged(held.unionByName(asks).groupBy("label", "list", "i", "j").applyInPandas(search, "rep long, links long, other long"), "found")
+        found = staged(held.unionByName(asks).groupBy(*cell, "i", "j").applyInPandas(search, "rep long, links long, other long"), "found")
     if found is None:
         found = spark.createDataFrame([], "rep long, links long, other long")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
