@@ -116,9 +116,59 @@ def test_cuts_are_optimal():
         assert cost == brute(places.tolist(), pen.tolist(), 64)
 
 
-@pytest.mark.parametrize("stream", [64, 1 << 18])
-def test_pack(spark, awkward, stream):
-    rows = packing.pack(awkward, BYTE, window=256, stream=stream).collect()
+def test_cuts_do_not_depend_on_parts():
+    """Places that come a few at a time give the cuts, and the cost, of all at once; settled ones are dropped."""
+    rng = np.random.default_rng(17)
+    for trial in range(60):
+        n = int(rng.integers(2, 3000))
+        gaps = np.full(n, 16) if trial % 6 == 0 else rng.integers(1, int(rng.choice([3, 20, 64])) + 1, n)
+        places = np.concatenate([[0], np.cumsum(gaps)])
+        pen = rng.choice([0.0, 2.0, 8.0], n + 1) if trial % 4 else np.zeros(n + 1)
+        want = places[packing.best_cuts(places, pen, 64)].tolist()
+        cutter, got, k, most = packing.Cutter(64), [0], 1, 0
+        while k <= n:
+            m = int(rng.integers(1, 200 if trial % 2 else 4))
+            cutter.add(places[k : k + m].tolist(), pen[k : k + m].tolist())
+            got += cutter.settled()
+            most, k = max(most, len(cutter.at)), k + m
+        got += cutter.settled(last=True)
+        assert got == want
+        assert most <= 64 * 20
+
+
+@pytest.mark.parametrize("sizes", [(1, 30), (5000, 700), (3_000_000, 2000)])
+def test_packing_equals_one_program(spark, awkward, sizes):
+    """Pieces and padding of a stream are those of one program over all its ids, for every size of chunk and batch."""
+    docs = awkward.unionByName(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), allowMissingColumns=True).coalesce(1)
+    tok, ends = tokenizers.Tokenizer.from_file(BYTE), packing._sentence_ends(BYTE)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(sizes[1]))
+    try:
+        rows = packing.pack(docs, BYTE, window=256, chunk_chars=sizes[0]).select("doc_id", "start", "length", "sequence_id", "offset").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    each = [tok.encode(r["text"] or "", add_special_tokens=False).ids + [1] for r in docs.select("text").collect()]
+    ids, lens = np.concatenate(each), np.cumsum([len(x) for x in each])
+    at, pen = packing.cut_places(ids, lens, ends, 256, 2.0, 8.0)
+    cuts = at[packing.best_cuts(at, pen, 256)]
+    bounds = np.union1d(cuts, lens)
+    assert [r["length"] for r in rows] == np.diff(bounds).tolist()
+    seq = np.searchsorted(cuts, bounds[:-1], side="right") - 1
+    assert [r["sequence_id"] for r in rows] == seq.tolist() and [r["offset"] for r in rows] == (bounds[:-1] - cuts[seq]).tolist()
+    # least total cost, found by the plain recursion
+    cost, price = {0: 0.0}, dict(zip(at.tolist(), pen.tolist()))
+    order = at.tolist()
+    lo = 0
+    for j, p in enumerate(order[1:], 1):
+        while p - order[lo] > 256:
+            lo += 1
+        cost[p] = price[p] + packing.A_SEQUENCE + min(cost[q] + (0 if (n := p - q) & (n - 1) == 0 and n >= 32 else 256 - n) for q in order[lo:j])
+    filled = np.diff(cuts)
+    total = sum(0 if n & (n - 1) == 0 and n >= 32 else 256 - n for n in filled.tolist()) + sum(price[c] for c in cuts[1:].tolist()) + len(filled) * packing.A_SEQUENCE
+    assert total == cost[order[-1]]
+
+
+def test_pack(spark, awkward):
+    rows = packing.pack(awkward, BYTE, window=256).collect()
     tok = tokenizers.Tokenizer.from_file(BYTE)
     seqs, docs = {}, {}
     for r in rows:
