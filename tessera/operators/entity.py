@@ -110,19 +110,8 @@ def _least_shared(m: Column, n: Column, least: float) -> Column:
     return F.ceil((m + n - 3 * u) / 2.0 - 1.0)
 
 
-def fuzzy_best(names: DataFrame, known: DataFrame, name: str, entity: str, group: str | None = None, least: float = 0.85) -> DataFrame:
-    """For every name the most similar known entity of its group, from ``least`` (above 0.8) on; ties to the smaller entity.
-
-    No qualifying pair is left out: names whose ratio reaches ``least`` share so many bigrams that the rarest ones of each, as
-    many as may miss and one more, have one in common. Pairs are joined by those, each at the first common one only, cut by
-    length and by shared bigrams, and then compared. Equal normal forms are compared once; null and empty names match none.
-    """
-    if least <= 0.8:
-        raise ValueError("fuzzy_best: least must be above 0.8, below which similar names need not share a bigram")
-    own = [F.col(group)] if group else []
-    gs = [group] if group else []
-    forms = lambda df: df.select(company_name(name).alias("_n"), *own).where("_n <> ''").distinct()
-    left, right = forms(names), forms(known)
+def _similar_pairs(left: DataFrame, right: DataFrame, gs: list[str], least: float) -> DataFrame:
+    """(_a, _b, *gs): all pairs of unequal names ``_n`` of both sides, equal in ``gs``, whose ratio can reach ``least`` (above 0.8)."""
     spelled = cut(left.unionByName(right).select("_n").distinct().select("_n", F.length("_n").alias("_m"), _bigrams(F.col("_n")).alias("_g")))
     rank = cut(spelled.select(F.explode("_g").alias("g")).groupBy("g").agg(F.count("*").alias("df")))
     # the least partner a name of m characters can have has m * least / (2 - least); fewest shared bigrams are asked for there
@@ -132,13 +121,29 @@ def fuzzy_best(names: DataFrame, known: DataFrame, name: str, entity: str, group
     ordered = cut(ordered.select("_n", "_m", F.transform("x", lambda v: v["g"]).alias("_g"), F.greatest(head, F.lit(1)).cast("int").alias("_h")))
 
     def side(df: DataFrame, mark: str) -> DataFrame:
-        x = df.join(ordered, "_n").select(*[F.col(c).alias(f"{c}{mark}") for c in ("_n", "_m", "_g")], F.slice("_g", F.lit(1), "_h").alias(f"_p{mark}"), *own)
+        x = df.join(ordered, "_n").select(*[F.col(c).alias(f"{c}{mark}") for c in ("_n", "_m", "_g")], F.slice("_g", F.lit(1), "_h").alias(f"_p{mark}"), *gs)
         return x.select("*", F.explode(f"_p{mark}").alias("_k"))
 
     m, n = F.col("_m1"), F.col("_m2")
     near = (F.element_at(F.array_intersect("_p1", "_p2"), 1) == F.col("_k")) & (2.0 * F.least(m, n) >= least * (m + n))
     pairs = side(left, "1").join(side(right, "2"), ["_k", *gs]).where(near).where(F.size(F.array_intersect("_g1", "_g2")) >= _least_shared(m, n, least))
-    pairs = pairs.where("_n1 <> _n2").select(F.col("_n1").alias("_a"), F.col("_n2").alias("_b"), *gs)
+    return pairs.where("_n1 <> _n2").select(F.col("_n1").alias("_a"), F.col("_n2").alias("_b"), *gs)
+
+
+def fuzzy_best(names: DataFrame, known: DataFrame, name: str, entity: str, group: str | None = None, least: float = 0.85) -> DataFrame:
+    """For every name the most similar known entity of its group, from ``least`` (above 0.8) on; ties to the smaller entity.
+
+    No qualifying pair is left out: names whose ratio reaches ``least`` share so many bigrams that the rarest ones of each, as
+    many as may miss and one more, have one in common. Pairs are joined by those, each at the first common one only, cut by
+    length and by shared bigrams, and then compared. Equal normal forms are compared once; null and empty names match none.
+    """
+    if least <= 0.8:
+        raise ValueError("fuzzy_best: least must be above 0.8, below which similar names need not share a bigram")
+    own = [F.col(group)] if group else []
+    gs = [group] if group else []
+    forms = lambda df: df.select(company_name(name).alias("_n"), *own).where("_n <> ''").distinct()
+    left, right = forms(names), forms(known)
+    pairs = _similar_pairs(left, right, gs, least)
     scored = pairs.withColumn("ratio", name_ratio("_a", "_b")).where(F.col("ratio") >= least)
     same = left.join(right, ["_n", *gs], "left_semi").select(F.col("_n").alias("_a"), F.col("_n").alias("_b"), *gs, F.lit(1.0).alias("ratio"))
     ids = known.select(company_name(name).alias("_b"), *own, F.col(entity)).groupBy("_b", *gs).agg(F.min(entity).alias(entity))
@@ -165,34 +170,124 @@ def same_entity(a: str, b: str, full: bool = True, least: float = 0.85) -> bool:
     if SequenceMatcher(None, a, b).ratio() >= least:
         return True
     short, long = sorted((a, b), key=len)
-    bare = lambda x: "".join(c for c in x.lower() if c.isascii() and c.isalnum())
     parts = long.split()
-    return bool(bare(short)) and ((len(parts) > 1 and bare(short) == "".join(p[0] for p in parts)) or bare(short) in bare(long))
-
-
-def greedy_groups(rows: DataFrame, keys: list[str], text: str, score: str, most_names: int = 5000) -> DataFrame:
-    """(keys, text, canonical, confidence): names of a group join the first longer one they resemble. What a name joins
-    depends on the names before it, so one Python loop a group (of a document) of distinct names; groups of more than
-    ``most_names`` of them, counted first, are refused."""
-    cores = rows.groupBy(*keys, F.col(text).alias("_t")).agg(F.max(score).alias("_s")).withColumn("_core", core_name("_t", SUFFIX_WORDS)).withColumn("_v", spelling("_core"))
-    if not rows.groupBy(*keys).agg(F.countDistinct(text).alias("n")).where(F.col("n") > most_names).isEmpty():
-        raise ValueError(f"greedy_groups: a group has more than {most_names} names; group by document")
-    kinds = dict(rows.dtypes)
-    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", text string, canonical string, confidence double"
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(_len=pdf["_t"].str.len()).sort_values(["_len", "_t"], ascending=[False, True])
-        t, c, v, s = (pdf[x].tolist() for x in ("_t", "_core", "_v", "_s"))
-        head, out = [], []
-        for i in range(len(t)):
-            j = next((h for h in head if same_entity(c[h], c[i]) or v[h] == v[i]), None)
-            if j is None:
-                head.append(i)
-            out.append(i if j is None else j)
-        top = pd.Series(s).groupby(out).max()
-        return pd.DataFrame({**{k: pdf[k].iloc[0] for k in keys}, "text": t, "canonical": [t[j] for j in out], "confidence": [top[j] for j in out]})
-
-    return cores.groupBy(*keys).applyInPandas(run, schema)
+    return bool(_bare(short)) and ((len(parts) > 1 and _bare(short) == "".join(p[0] for p in parts)) or _bare(short) in _bare(long))
+
+
+def _bare(x: str) -> str:
+    return "".join(c for c in x.lower() if c.isascii() and c.isalnum())
+
+
+def _name_forms(core: pd.Series) -> pd.DataFrame:
+    """Letters and digits alone, and the initials of names of more than one word."""
+    parts = [x.split() for x in core]
+    return pd.DataFrame({"bare": [_bare(x) for x in core], "initials": ["".join(w[0] for w in p) if len(p) > 1 else "" for p in parts]})
+
+
+def _resemble(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([same_entity(x, y) for x, y in zip(a, b)], dtype=bool)
+
+
+def _containing(needles: DataFrame, hays: DataFrame) -> DataFrame:
+    """(x, y): ids of all (g, id, s) with the s of the first, not empty, inside the s of the second, of the same g.
+
+    A needle is looked up by one of its runs of three characters, the one that fewest texts of its group hold; by itself, if it is shorter.
+    """
+    runs = lambda q: F.when(F.length("s") >= q, F.transform(F.sequence(F.lit(1), F.length("s") - (q - 1)), lambda i: F.substring(F.col("s"), i, F.lit(q)))).otherwise(F.array().cast("array<string>"))
+    held = hays.select("g", "id", "s", F.explode(F.array_distinct(F.concat(runs(1), runs(2), runs(3)))).alias("k"))
+    often = held.groupBy("g", "k").agg(F.count("*").alias("n"))
+    own = needles.where("s <> ''").select("g", "id", "s", F.explode(F.array_distinct(F.when(F.length("s") < 3, F.array("s")).otherwise(runs(3)))).alias("k"))
+    rare = own.join(often, ["g", "k"]).groupBy("g", "id", "s").agg(F.min_by("k", F.struct("n", "k")).alias("k"))
+    both = rare.select("g", "k", F.col("id").alias("x"), F.col("s").alias("_s")).join(held.select("g", "k", F.col("id").alias("y"), "s"), ["g", "k"])
+    return both.where((F.col("x") != F.col("y")) & F.contains("s", "_s")).select("x", "y")
+
+
+def _serial_followers(batches):
+    """Of all rows (c, a, b), edges a < b of a null c and members b of a clique c: the nodes that follow an earlier leader."""
+    rows = pd.concat([*batches, pd.DataFrame({"c": [], "a": [], "b": []})])
+    edge = rows["c"].isna()
+    before, cliques = {}, {}
+    for a, b in zip(rows["a"][edge].astype("int64").tolist(), rows["b"][edge].astype("int64").tolist()):
+        before.setdefault(b, []).append(a)
+        before.setdefault(a, [])
+    for c, b in zip(rows["c"][~edge].tolist(), rows["b"][~edge].astype("int64").tolist()):
+        cliques.setdefault(b, []).append(c)
+        before.setdefault(b, [])
+    leads, led, out = set(), set(), []
+    for k in sorted(before):
+        if any(a in leads for a in before[k]) or any(c in led for c in cliques.get(k, ())):
+            out.append(k)
+        else:
+            leads.add(k)
+            led.update(cliques.get(k, ()))
+    yield pd.DataFrame({"id": pd.Series(out, dtype="int64")})
+
+
+def first_leaders(nodes: DataFrame, edges: DataFrame, members: DataFrame, small: int = 200_000) -> DataFrame:
+    """The ids that lead when nodes are taken in ascending order and lead unless they are linked with an earlier leader.
+
+    Links are ``edges`` (a < b) and the pairs of nodes that stand in the same clique of ``members`` (c, id), which are not made. In a round all nodes lead that no
+    earlier open one is linked with, and what they are linked with is done; so rounds are as many as the longest chain of such waits. What is
+    left of at most ``small`` edges and members (counted) is ended by one task.
+    """
+    open_, e, m = cut(nodes.select("id")), cut(edges), cut(members)
+    leads = []
+    while (n := e.count() + m.count()) > small:
+        waits = e.select(F.col("b").alias("id")).unionByName(m.join(m.groupBy("c").agg(F.min("id").alias("_f")), "c").where("id > _f").select("id"))
+        new = cut(open_.join(waits, "id", "left_anti"))
+        leads.append(new)
+        near = e.join(new.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id"))
+        same = m.join(m.join(new, "id", "left_semi").select("c").distinct(), "c", "left_semi").select("id")
+        done = cut(new.unionByName(near).unionByName(same).distinct())
+        open_ = cut(open_.join(done, "id", "left_anti"))
+        for end in "ab":
+            e = e.join(done.withColumnRenamed("id", end), end, "left_anti")
+        e, m = cut(e.select("a", "b")), cut(m.join(done, "id", "left_anti"))
+    if n:
+        rest = e.select(F.lit(None).cast("long").alias("c"), "a", "b").unionByName(m.select("c", F.lit(None).cast("long").alias("a"), F.col("id").alias("b")))
+        open_ = open_.join(cut(rest.coalesce(1).mapInPandas(_serial_followers, "id long")), "id", "left_anti")
+    for new in leads:
+        open_ = open_.unionByName(new)
+    return cut(open_)
+
+
+def greedy_groups(rows: DataFrame, keys: list[str], text: str, score: str, small: int = 200_000) -> DataFrame:
+    """(keys, text, canonical, confidence): names of a group, longest first and then by spelling, join the first name before them that leads and that
+    they resemble (``same_entity``, or spelled alike), else lead. Confidence is the greatest of those that share a leader.
+
+    No group is one task: names that can resemble each other are found by joins (rare runs of characters for names in names, rare bigrams for similar ones, initials), and leaders
+    by rounds (``first_leaders``). Names with the same core are one; names spelled alike are a clique whose pairs are not made. Null names have no row, null keys are a
+    group, repeated names are one row.
+    """
+    names = rows.where(F.col(text).isNotNull()).groupBy(F.struct(*keys).alias("g"), F.col(text).cast("string").alias("_t")).agg(F.max(score).cast("double").alias("_s"))
+    names = cut(names.withColumn("_core", core_name("_t", SUFFIX_WORDS)))
+    nodes = names.groupBy("g", F.col("_core").alias("core")).agg(F.min(F.struct((-F.length("_t")).alias("n"), F.col("_t").alias("t"))).alias("o"))
+    nodes = nodes.withColumn("v", spelling("core")).withColumn("f", F.pandas_udf(_name_forms, "bare string, initials string")("core"))
+    # ids ascend in the order in which names are taken
+    nodes = cut(nodes.orderBy("o.n", "o.t").select(F.monotonically_increasing_id().alias("id"), "g", "core", "v", "f.*", F.col("o.t").alias("t")))
+    alike = nodes.groupBy("g", "v").agg(F.min("id").alias("c"), F.count("*").alias("n")).where("n > 1")
+    members = cut(nodes.join(alike, ["g", "v"]).select("c", "id"))
+
+    bare, raw = nodes.select("g", "id", F.col("bare").alias("s")), nodes.select("g", "id", F.col("core").alias("s"))
+    plain = nodes.where("bare = '' AND core <> ''").select("g", "id", F.col("core").alias("s"))
+    pairs = _containing(bare, bare).unionByName(_containing(plain, raw.join(plain.select("g").distinct(), "g", "left_semi")))
+    short = nodes.where("bare <> ''").select("g", F.col("bare").alias("k"), F.col("id").alias("x"))
+    pairs = pairs.unionByName(short.join(nodes.where("initials <> ''").select("g", F.col("initials").alias("k"), F.col("id").alias("y")), ["g", "k"]).where("x <> y").select("x", "y"))
+    forms = nodes.select("g", F.col("core").alias("_n"))
+    named = lambda n, i: nodes.select("g", F.col("core").alias(n), F.col("id").alias(i))
+    pairs = pairs.unionByName(_similar_pairs(forms, forms, ["g"], 0.85).join(named("_a", "x"), ["g", "_a"]).join(named("_b", "y"), ["g", "_b"]).select("x", "y"))
+    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    core = lambda i, n: nodes.select(F.col("id").alias(i), F.col("core").alias(n))
+    edges = cut(pairs.join(core("a", "_x"), "a").join(core("b", "_y"), "b").where(F.pandas_udf(_resemble, "boolean")("_x", "_y")).select("a", "b"))
+
+    leads = first_leaders(nodes, edges, members, small)
+    by_edge = edges.join(leads.withColumnRenamed("id", "a"), "a").select(F.col("b").alias("id"), F.col("a").alias("h"))
+    by_clique = members.join(members.join(leads, "id").select("c", F.col("id").alias("h")), "c").where("id > h").select("id", "h")
+    first = by_edge.unionByName(by_clique).groupBy("id").agg(F.min("h").alias("h"))
+    led = nodes.join(first, "id", "left").select("g", F.col("core").alias("_core"), F.coalesce("h", "id").alias("h"))
+    out = cut(names.join(led, ["g", "_core"]).select("g", "_t", "_s", "h"))
+    top = out.groupBy("h").agg(F.max("_s").alias("confidence")).join(nodes.select(F.col("id").alias("h"), F.col("t").alias("canonical")), "h")
+    return out.join(top, "h").select("g.*", F.col("_t").alias("text"), "canonical", "confidence")
 
 
 def _starts(rows: np.ndarray, k: int, n_init: int, seed: int) -> np.ndarray:

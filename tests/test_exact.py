@@ -54,11 +54,65 @@ def test_fuzzy_best_in_groups(spark):
     assert [(r["name"], r["kind"], r["entity"]) for r in entity.fuzzy_best(a, b, "name", "entity", "kind").collect()] == [("acme widgets", "x", 7)]
 
 
-def test_greedy_groups_refuses_large_groups(spark):
-    rows = spark.createDataFrame([("g", f"name {k}", 0.5) for k in range(12)], "g string, t string, s double")
-    assert entity.greedy_groups(rows, ["g"], "t", "s").count() == 12
-    with pytest.raises(ValueError):
-        entity.greedy_groups(rows, ["g"], "t", "s", most_names=11)
+def serial_groups(rows, cores):
+    """One loop over the names of a group: {(group, text): (canonical, confidence)}."""
+    out = {}
+    for g in {r[0] for r in rows}:
+        best = {}
+        for _, t, x in (r for r in rows if r[0] == g and r[1] is not None):
+            best[t] = x if best.get(t) is None else best[t] if x is None else max(x, best[t])
+        lead, to = [], {}
+        for t in sorted(best, key=lambda t: (-len(t), t)):
+            (core, v) = cores[t]
+            to[t] = next((h for h in lead if entity.same_entity(cores[h][0], core) or cores[h][1] == v), t)
+            if to[t] == t:
+                lead.append(t)
+        for t, h in to.items():
+            out[g, t] = (h, max((best[k] for k in to if to[k] == h and best[k] is not None), default=None))
+    return out
+
+
+@pytest.mark.parametrize("small", [0, 200_000])
+def test_greedy_groups_equal_the_loop(spark, small):
+    from tessera.functions.text import core_name, spelling
+
+    rng = random.Random(4)
+    words = ["acme", "global", "north", "partners", "bio", "sciences", "gen", "data", "a", "ab", "Müller", "日本", "s&p", "the", "first-rate", "über"]
+    tails = ["", " Inc.", " Corp", " Holdings", ", LLC", " Group", "!"]
+    rows = []
+    for k in range(700):
+        name = " ".join(rng.choice(words) for _ in range(rng.randint(1, 4)))
+        if rng.random() < 0.4:
+            at = rng.randrange(len(name))
+            name = name[:at] + rng.choice(["", "x", name[at].upper(), " ", "&"]) + name[at + rng.randint(0, 1) :]
+        if rng.random() < 0.1:
+            name = "".join(w[0] for w in name.split())
+        rows.append((rng.choice(["g", "g", "h", None]), name + rng.choice(tails), rng.choice([None, 0.25, 0.5, 0.75])))
+    rows += [("g", t, 0.5) for t in ("", " ", "!", "日", "日本", "é", "é é", "aa bb", "a-b", "A.B.", "x" * 300, "x" * 299 + "y")] + [("g", None, 1.0), ("one", "alone", None)] + rows[:20]
+    df = spark.createDataFrame(rows, "kind string, t string, s double").repartition(5)
+    own = spark.createDataFrame([(t,) for t in {r[1] for r in rows} if t is not None], "t string")
+    core = core_name("t", entity.SUFFIX_WORDS)
+    cores = {r["t"]: (r["c"], r["v"]) for r in own.select("t", core.alias("c")).withColumn("v", spelling("c")).collect()}
+    got = entity.greedy_groups(df, ["kind"], "t", "s", small=small).collect()
+    assert {(r["kind"], r["text"]): (r["canonical"], r["confidence"]) for r in got} == serial_groups(rows, cores)
+    assert len(got) == len({(g, t) for g, t, _ in rows if t is not None})
+    assert entity.greedy_groups(df.limit(0), ["kind"], "t", "s", small=small).count() == 0
+
+
+def test_first_leaders_of_chains_and_cliques(spark):
+    rng = random.Random(6)
+    n = 80
+    edges = {(a, a + 1) for a in range(0, 12)} | {tuple(sorted(rng.sample(range(n), 2))) for _ in range(90)}
+    members = [(1, k) for k in range(20, 40)] + [(2, k) for k in range(35, 50, 3)]
+    near = {k: {a for a, b in edges if b == k} | {j for c, j in members for d, i in members if c == d and i == k and j < k} for k in range(n)}
+    want = set()
+    for k in range(n):
+        if not near[k] & want:
+            want.add(k)
+    frame = lambda rows, schema: spark.createDataFrame(sorted(rows), schema)
+    for small in (0, 40, 10_000):
+        got = entity.first_leaders(frame([(k,) for k in range(n)], "id long"), frame(edges, "a long, b long"), frame(members, "c long, id long"), small)
+        assert sorted(r["id"] for r in got.collect()) == sorted(want)
 
 
 def vector_rows(n=400, dim=12, seed=5):
