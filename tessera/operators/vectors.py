@@ -87,29 +87,90 @@ def _centres(sample: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return c
 
 
-def first_within(vectors: DataFrame, key: str, vec: str, least: float = 0.8, fit_rows: int = 20_000, rows_a_list: int = 2048, chunk: int = 2048) -> DataFrame:
-    """(key, found): the smallest id among the other vectors with a cosine of ``least`` or more; vectors without one are absent.
+def _axes(sample: np.ndarray, least: float) -> np.ndarray:
+    """Leading principal axes of a sample, as many as make the bound of ``_reaching`` cheapest on 256 of its rows."""
+    axes = np.linalg.eigh(sample.T @ sample)[1][:, ::-1]
+    some = sample[np.linspace(0, len(sample) - 1, min(256, len(sample))).astype(int)]
+    dim, costs = sample.shape[1], {}
+    for p in sorted({-(-dim * x // 16) for x in range(1, 16)}):
+        costs[p] = p + 16 * dim * (_bound(some @ axes[:, :p], some @ axes[:, :p]) >= least).mean()  # single pairs cost more than a product
+    return np.ascontiguousarray(axes[:, : min(costs, key=costs.get)])
+
+
+def _bound(q: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Upper bounds of the cosines of unit vectors known by their leading coordinates: what is left has at most the product of its lengths."""
+    left = [np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(1))) for x in (q, p)]
+    return q @ p.T + np.outer(*left)
+
+
+def _reaching(a_ids, a, b_ids, b, axes: np.ndarray, least: float, smaller: bool, tile: int = 1024):
+    """(places in b, first ids of a, pairs met, pairs compared in full): the smallest other id of a (sorted) within ``least`` of each b.
+
+    Pairs whose bound stays below ``least`` are not compared; tiles in which more than one pair in 32 passes are compared as a matrix
+    product, so copies take no memory a pair.
+    """
+    p, q = a @ axes, b @ axes
+    at, first, met, full = [], [], 0, 0
+    for s in range(0, len(b), tile):
+        own = b_ids[s : s + tile]
+        end = int(np.searchsorted(a_ids, own.max())) if smaller else len(a_ids)
+        for t in range(0, end, tile):
+            ids = a_ids[t : min(t + tile, end)]
+            maybe = _bound(q[s : s + tile], p[t : t + len(ids)]) >= least - 1e-9
+            maybe &= (ids[None, :] < own[:, None]) if smaller else (ids[None, :] != own[:, None])
+            met += maybe.size
+            i, j = np.nonzero(maybe)
+            if len(i) * 32 > maybe.size:
+                full += maybe.size
+                i, j = np.nonzero(maybe & (b[s : s + tile] @ a[t : t + len(ids)].T >= least))
+            else:
+                full += len(i)
+                fine = np.einsum("ij,ij->i", b[s + i], a[t + j]) >= least
+                i, j = i[fine], j[fine]
+            i, where = np.unique(i, return_index=True)  # pairs are in order of b, then of ids
+            at.append(s + i)
+            first.append(ids[j[where]])
+    return (np.concatenate(at) if at else np.zeros(0, int)), (np.concatenate(first) if first else a_ids[:0]), met, full
+
+
+def first_within(vectors: DataFrame, key: str, vec: str, least: float = 0.8, fit_rows: int = 20_000, rows_a_list: int = 2048, chunk: int = 2048, smaller: bool = False) -> DataFrame:
+    """(key, found): the smallest id among the other vectors with a cosine of ``least`` or more; vectors without one are absent. With
+    ``smaller`` only ids smaller than the vector's own are looked at.
 
     Exact. Vectors stand in lists round centres that are fitted on at most ``fit_rows`` of them; a vector asks every list whose
-    border with its own nearest one lies within the distance that ``least`` allows. Lists are dealt out in chunks, so no task
-    holds more than a few times ``chunk`` vectors, and only the least id of each vector and chunk is emitted.
+    border with its own nearest one lies within the distance that ``least`` allows. Of a list only those vectors are compared in
+    full whose leading coordinates, on principal axes of the same sample, leave room for ``least``. Lists are dealt out in chunks, so
+    no task holds more than a few times ``chunk`` vectors, and only the least id of each vector and chunk is emitted.
     """
+    found = _search_lists(vectors, key, vec, least, fit_rows, rows_a_list, chunk, smaller).where(F.col("found").isNotNull())
+    return found.groupBy(key).agg(F.min("found").alias("found"))
+
+
+def pairs_compared(vectors: DataFrame, key: str, vec: str, least: float = 0.8, fit_rows: int = 20_000, rows_a_list: int = 2048, chunk: int = 2048, smaller: bool = False) -> DataFrame:
+    """One row: the pairs that ``first_within`` meets in its lists, and those it compares in all coordinates."""
+    work = _search_lists(vectors, key, vec, least, fit_rows, rows_a_list, chunk, smaller)
+    return work.agg(F.coalesce(F.sum("met"), F.lit(0)).alias("met"), F.coalesce(F.sum("compared"), F.lit(0)).alias("compared"))
+
+
+def _search_lists(vectors: DataFrame, key: str, vec: str, least: float, fit_rows: int, rows_a_list: int, chunk: int, smaller: bool) -> DataFrame:
+    """(key, found, met, compared): a row a vector and chunk with a find, and one a chunk with its pairs."""
     spark = vectors.sparkSession
     kind = dict(vectors.dtypes)[key]
     rows = cut(_unit_rows(vectors, key, vec).withColumn("dim", F.size("u")))
     sizes = {r["dim"]: r["n"] for r in rows.groupBy("dim").agg(F.count("*").alias("n")).collect()}  # a row a vector length
-    centres = {}
+    centres, axes = {}, {}
     for dim, n in sizes.items():
         sample = rows.where(F.col("dim") == dim).orderBy(F.xxhash64("id"), "id").limit(fit_rows).select("u").toArrow().to_pandas()["u"]
         sample = np.stack(sample.to_list())
         centres[dim] = _centres(sample, int(np.clip(n // rows_a_list, 1, min(1024, len(sample)))))
-    shared = spark.sparkContext.broadcast(centres)
+        axes[dim] = _axes(sample, least)
+    shared = spark.sparkContext.broadcast((centres, axes))
     radius = float(np.sqrt(max(0.0, 2.0 - 2.0 * least)))
 
     def lists(batches):
         for pdf in batches:
             for dim, own in pdf.groupby("dim"):
-                c, u = shared.value[dim], np.stack(own["u"].to_list())
+                c, u = shared.value[0][dim], np.stack(own["u"].to_list())
                 d = (u * u).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2 * u @ c.T
                 first = d.argmin(1)
                 apart = np.sqrt(((c[first][:, None, :] - c[None, :, :]) ** 2).sum(2)) if len(c) < 64 else np.sqrt(np.maximum(((c * c).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2 * c @ c.T)[first], 0))
@@ -124,25 +185,25 @@ def first_within(vectors: DataFrame, key: str, vec: str, least: float = 0.8, fit
     asks = asked.join(F.broadcast(n), ["dim", "list"]).select("dim", "list", F.explode(F.sequence(F.lit(0), F.col("a") - 1)).alias("i"), F.pmod(F.xxhash64("id"), "b").cast("int").alias("j"), "id", "u", F.lit(False).alias("stored"))
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = pdf[pdf["stored"]].sort_values("id"), pdf[~pdf["stored"]]
+        a, b = pdf[pdf["stored"]].sort_values("id"), pdf[~pdf["stored"]].sort_values("id")
+        none = pd.DataFrame({key: b["id"][:0], "found": b["id"][:0], "met": [], "compared": []})
         if a.empty or b.empty:
-            return pd.DataFrame({key: b["id"][:0], "found": b["id"][:0]})
-        hit = _matrix(b["u"].to_list()) @ _matrix(a["u"].to_list()).T >= least
-        hit &= b["id"].to_numpy()[:, None] != a["id"].to_numpy()[None, :]
-        some = np.flatnonzero(hit.any(1))
-        return pd.DataFrame({key: b["id"].to_numpy()[some], "found": a["id"].to_numpy()[hit[some].argmax(1)]})
+            return none
+        ids = b["id"].to_numpy()
+        at, first, met, full = _reaching(a["id"].to_numpy(), _matrix(a["u"].to_list()), ids, _matrix(b["u"].to_list()), shared.value[1][pdf["dim"].iloc[0]], least, smaller)
+        out = pd.DataFrame({key: ids[at], "found": first, "met": 0, "compared": 0})
+        return pd.concat([out.astype({key: object, "found": object}), pd.DataFrame({key: [None], "found": [None], "met": [met], "compared": [full]})])
 
-    found = index.unionByName(asks).groupBy("dim", "list", "i", "j").applyInPandas(search, f"{key} {kind}, found {kind}")
-    return found.groupBy(key).agg(F.min("found").alias("found"))
+    return index.unionByName(asks).groupBy("dim", "list", "i", "j").applyInPandas(search, f"{key} {kind}, found {kind}, met long, compared long")
 
 
 def reuse(vectors: DataFrame, key: str, vec: str, least: float = 0.8) -> DataFrame:
     """Keyword of each vector: the smallest id within ``least`` of it that is smaller than its own, else its own. Every vector is a
     candidate; vectors without a direction keep their own."""
-    near = first_within(vectors, key, vec, least)
+    near = first_within(vectors, key, vec, least, smaller=True)
     rows = vectors.select(key).join(near, key, "left")
     old = F.coalesce(F.col("found") < F.col(key), F.lit(False))
     return rows.select(key, F.when(old, F.col("found")).otherwise(F.col(key)).alias("keyword"), old.alias("reused"))
 
 
-__all__ = ["cosine_top", "first_within", "reuse"]
+__all__ = ["cosine_top", "first_within", "pairs_compared", "reuse"]

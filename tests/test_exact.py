@@ -154,11 +154,24 @@ def test_reuse_asks_every_vector(spark):
             if s >= 0.8:
                 want[a] = min(b, want.get(a, b))
         assert got == want and len(want) > 100
+        got = {r["id"]: r["found"] for r in vectors.first_within(df, "id", "v", 0.8, rows_a_list=size, chunk=size, smaller=True).collect()}
+        assert got == {k: x for k, x in want.items() if x < k}
     out = {r["id"]: (r["keyword"], r["reused"]) for r in vectors.reuse(df, "id", "v").collect()}
     assert out == {k: (want[k], True) if want.get(k, k) < k else (k, False) for k, _ in rows}
     assert vectors.reuse(df.limit(0), "id", "v").count() == 0
 
 
+def test_residual_bounds_spare_pairs(spark):
+    """Vectors that lie apart are seldom compared in all coordinates; a crowd of copies is, and loses nothing."""
+    rng = np.random.default_rng(23)
+    apart = [(k, v.tolist()) for k, v in enumerate(rng.normal(size=(600, 64)))]
+    work = vectors.pairs_compared(spark.createDataFrame(apart, "id long, v array<double>"), "id", "v").first()
+    assert work["met"] == 600 * 600 and work["compared"] < work["met"] // 50
+    crowd = spark.createDataFrame([(k, apart[k % 3][1]) for k in range(3000)], "id long, v array<double>")
+    got = {r["id"]: r["found"] for r in vectors.first_within(crowd, "id", "v", smaller=True).collect()}
+    assert got == {k: k % 3 for k in range(3, 3000)}
+
+
 def test_hubs_and_labels(spark):
     edges = [(1, 2, 1), (1, 3, 1), (2, 4, 1), (3, 4, 1), (4, 9, 1), *[(k, 4, 1) for k in range(20, 26)], (30, 31, 9), (31, 32, 9), (32, 30, 9)]
     df = spark.createDataFrame(edges, "src long, dst long, weight long")
