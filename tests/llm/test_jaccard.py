@@ -60,6 +60,19 @@ def test_equals_brute_force(spark, chunk, bits):
     assert len({v[1] for v in want.values()}) < len(want) - 20
 
 
+def test_long_texts(spark):
+    """Texts of 10 MB link by all their shingles: a copy, one with a fortieth of its words changed, and one with a tenth."""
+    words = [f"w{k * k % 300_007}" for k in range(1_500_000)]
+    changed = lambda n: " ".join(words[: -len(words) // n] + [f"v{k}" for k in range(len(words) // n)])
+    rows = [(1, " ".join(words)), (2, " ".join(words)), (3, changed(40)), (4, changed(10)), (5, "short one")]
+    assert min(len(t) for _, t in rows[:4]) > 10_000_000
+    sets = {d: set(zip(*(t.split()[k:] for k in range(4)))) or {tuple(t.split())} for d, t in rows}
+    want = {d: min(x for x in sets if 100 * len(sets[x] & sets[d]) >= 85 * len(sets[x] | sets[d])) for d in sets}
+    got = jaccard.ngram_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == {d: (len(sets[d]), want[d]) for d in sets}
+    assert want == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5}
+
+
 def test_trie_forest():
     rng = np.random.default_rng(2)
     for _ in range(40):

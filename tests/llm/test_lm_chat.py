@@ -112,6 +112,20 @@ def test_preferences_equal_brute_force(spark):
     assert preferences.preference_rows(preferences.by_opening(preferences.gather(df.limit(0)))).count() == 0
 
 
+def test_preferences_of_long_and_repeated_turns(spark):
+    """A turn of 10 MB is kept whole in prompts and completions; a repeated row is a turn of its own."""
+    long = "many words " * 1_000_000
+    turns = {1: [("user", "q"), ("assistant", long)], 2: [("user", "q"), ("assistant", "short")], 3: [("user", "q"), ("assistant", long), ("user", "again"), ("assistant", "yes")], 4: [("user", long)], 5: [("user", "twice"), ("user", "twice"), ("assistant", "once")]}
+    rows = [(c, min(k, 1) if c == 5 else k, r, t) for c, own in turns.items() for k, (r, t) in enumerate(own)]
+    rows[-3:] = [(5, 0, "user", "twice"), (5, 0, "user", "twice"), (5, 1, "assistant", "once")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r["chosen"], r["rejected"]): r for r in preferences.preference_rows(preferences.by_opening(preferences.gather(df))).collect()}
+    assert {k: r["prompt_turns"] for k, r in got.items()} == {(3, 1): 2, (3, 2): 1, (4, None): 1, (5, None): 2}
+    assert got[3, 1]["prompt"] == show(("user", "q")) + show(("assistant", long)) and got[3, 1]["rejected_text"] == ""
+    assert got[3, 2]["chosen_text"] == "".join(map(show, turns[3][1:])) and got[3, 2]["chosen_spans"][0]["length"] == len(long) + 7
+    assert got[4, None]["prompt"] == show(("user", long)) and got[5, None]["prompt"] == show(("user", "twice")) * 2
+
+
 def test_losses_of_all_words_equal_brute_force(spark):
     """More words and pairs than fixed tables held: every one is counted by itself, in both models and over parts."""
     rng = np.random.default_rng(3)

@@ -41,6 +41,63 @@ def test_pieces_equal_library(name, cut):
         at += n
 
 
+@pytest.mark.parametrize("name,cut", [(WORD, "space_cuts"), (BYTE, "blank_cuts")])
+def test_pieces_equal_library_on_odd_texts(name, cut):
+    """Random texts of marks, added tokens, odd white space, combining and control characters."""
+    from tessera.llm import pieces
+
+    rng = np.random.default_rng(29)
+    bits = [" ", "  ", "\n", "\n\n", "\t", "\r\n", "\u00a0", "\u2003", "\u200b", "\u0301", "\x00", "\x85", "\ufeff", ".", ",", "'", "'s", "'LL", "(", ")", "?!", "\u2019t", "<|endoftext|>", "<|startoftext|>", "<|", "_", "12", "3", "\u0663", "\u00bd", "a", "Word", "the", "\u00c4r", "\u0130", "\u03a3\u03b1\u03c2", "\u65e5\u672c", "\U0001f600", "e\u0301"]
+    texts = ["".join(bits[i] for i in rng.integers(0, len(bits), rng.integers(1, 25))) for _ in range(3000)]
+    ids, lens = pieces.library_store(name).ids_of(getattr(pieces, cut)(texts))
+    tok, at = tokenizers.Tokenizer.from_file(name), 0
+    for t, n in zip(texts, lens):
+        assert ids[at : at + n].tolist() == tok.encode(t, add_special_tokens=False).ids, ascii(t)
+        at += n
+    assert at == len(ids)
+
+
+@pytest.fixture(scope="module")
+def long(spark):
+    """A text of 10 MB between short ones, with its copy."""
+    text = " ".join(f"w{k * k % 50_021}" + (".", "")[k % 7 > 0] for k in range(1_650_000))
+    assert len(text) > 10_000_000
+    rows = [(1, "before it."), (2, text), (3, None), (4, text), (5, "after it.")]
+    return text, rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(2, "doc_id")
+
+
+def test_long_text_in_token_file_and_back(spark, long):
+    import hashlib
+
+    text, rows, df = long
+    tok = tokenizers.Tokenizer.from_file(WORD)
+    own = {t: tok.encode(t or "", add_special_tokens=False).ids for t in {t for _, t in rows}}
+    at = 0
+    got = {r["doc_id"]: r for r in huffman.with_crc(huffman.token_file(df, WORD)).collect()}
+    for d, t in rows:
+        ids = np.array(own[t] + [2], "<u4")
+        assert (got[d]["start"], got[d]["n_tokens"], got[d]["ids_crc32"]) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+    back = {r["doc_id"]: r for r in bpe.encode_decode(df, WORD).collect()}
+    for d, t in rows:
+        assert back[d]["ids_sha256"] == hashlib.sha256(np.array(own[t], "<u4").tobytes()).hexdigest()
+        assert back[d]["decoded_sha256"] == hashlib.sha256(tok.decode(own[t], skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_long_text_packed(spark, long):
+    text, rows, df = long
+    tok = tokenizers.Tokenizer.from_file(BYTE)
+    own = {t: np.array(tok.encode(t or "", add_special_tokens=False).ids + [1], "<u4") for t in {t for _, t in rows}}
+    filled, at = {}, dict.fromkeys([d for d, _ in rows], 0)
+    for r in sorted(packing.pack(df, BYTE).collect(), key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == filled.get(r["sequence_id"], 0) and r["start"] == at[r["doc_id"]]
+        filled[r["sequence_id"]] = r["offset"] + r["length"]
+        piece = own[dict(rows)[r["doc_id"]]][r["start"] : r["start"] + r["length"]]
+        assert r["ids"] == piece.tobytes()
+        at[r["doc_id"]] += r["length"]
+    assert at == {d: len(own[t]) for d, t in rows} and max(filled.values()) <= 2048
+
+
 def test_code_is_optimal_and_limited():
     rng = np.random.default_rng(5)
     for n, limit in ((1, 4), (2, 4), (13, 5), (300, 16), (1000, 10)):
