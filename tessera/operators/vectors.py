@@ -133,7 +133,7 @@ def _reaching(a_ids, a, b_ids, b, axes: np.ndarray, least: float, smaller: bool,
     return (np.concatenate(at) if at else np.zeros(0, int)), (np.concatenate(first) if first else a_ids[:0]), met, full
 
 
-def first_within(vectors: DataFrame, key: str, vec: str, least: float = 0.8, fit_rows: int = 20_000, rows_a_list: int = 2048, chunk: int = 2048, smaller: bool = False) -> DataFrame:
+def first_within(vectors: DataFrame, key: str, vec: str, least: float = 0.8, fit_rows: int = 20_000, rows_a_list: int = 8192, chunk: int = 4096, smaller: bool = False) -> DataFrame:
     """(key, found): the smallest id among the other vectors with a cosine of ``least`` or more; vectors without one are absent. With
     ``smaller`` only ids smaller than the vector's own are looked at.
 
@@ -146,7 +146,7 @@ def first_within(vectors: DataFrame, key: str, vec: str, least: float = 0.8, fit
     return found.groupBy(key).agg(F.min("found").alias("found"))
 
 
-def pairs_compared(vectors: DataFrame, key: str, vec: str, least: float = 0.8, fit_rows: int = 20_000, rows_a_list: int = 2048, chunk: int = 2048, smaller: bool = False) -> DataFrame:
+def pairs_compared(vectors: DataFrame, key: str, vec: str, least: float = 0.8, fit_rows: int = 20_000, rows_a_list: int = 8192, chunk: int = 4096, smaller: bool = False) -> DataFrame:
     """One row: the pairs that ``first_within`` meets in its lists, and those it compares in all coordinates."""
     work = _search_lists(vectors, key, vec, least, fit_rows, rows_a_list, chunk, smaller)
     return work.agg(F.coalesce(F.sum("met"), F.lit(0)).alias("met"), F.coalesce(F.sum("compared"), F.lit(0)).alias("compared"))
