@@ -181,10 +181,12 @@ def sentiment_summary(rows: DataFrame, keys: list[str] | None = None) -> DataFra
 
 
 def threads(rows: DataFrame, key: str, place: str) -> DataFrame:
-    """Per thread of (score, sentiment) rows: mean, deviation, trend of the slope, dominant label and how consistent it is."""
+    """Per thread of (score, sentiment) rows: mean, deviation, trend of the slope, dominant label and how consistent it is.
+
+    A slope of just 0.1 falls on either side by its last digit, so it is taken as SQL takes it: rows in order, one moment over the other."""
     w = Window.partitionBy(key).orderBy(place)
     numbered = rows.withColumn("i", (F.row_number().over(w) - 1).cast("double"))
-    g = numbered.groupBy(key).agg(F.count("*").alias("n"), F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"), F.regr_slope("score", "i").alias("slope"))
+    g = numbered.groupBy(key).agg(F.count("*").alias("n"), F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"), F.try_divide(F.covar_pop("i", "score"), F.var_pop("i")).alias("slope"))
     most = rows.groupBy(key, "sentiment").agg(F.count("*").alias("c")).groupBy(key).agg(F.max_by("sentiment", F.struct("c", "sentiment")).alias("dominant"), F.max("c").alias("c"))
     trend = F.when(F.col("n") < 2, "stable").when(F.col("slope") > 0.1, "improving").when(F.col("slope") < -0.1, "declining").otherwise("stable")
     return g.join(most, key).select(key, "n", F.round("mean", 6).alias("thread_score"), F.round("std", 6).alias("thread_std"), trend.alias("trend"), "dominant", F.when(F.col("n") < 2, 1.0).otherwise(F.col("c") / F.col("n")).alias("consistency"))
