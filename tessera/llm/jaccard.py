@@ -2,8 +2,8 @@
 
 1. Documents with equal n-gram sets form one class; only its representative goes on.
 2. A set's prefix is its first |s| - ceil(t |s|) + 1 n-grams in a global order, rare ones first; two sets that reach
-   the threshold share an n-gram of their prefixes. Representatives that share one, directly or through others, form
-   a block; so every link lies within a block.
+   the threshold share an n-gram of their prefixes, and the more the nearer their sizes are. Representatives that share
+   enough, directly or through others, form a block; so every link lies within a block.
 3. Each block (in pairs of bounded chunks, if it is large) is joined in a trie of its sets: a probing set goes down
    the tree, partial overlaps are counted once for all sets below a node, and subtrees that the remaining lengths rule
    out, or whose sets are already connected with the probing one, are not entered.
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import NULL_ID, components, id_in, pick, small_batches, staged
@@ -282,6 +282,35 @@ def _low_prefixes(reps: DataFrame, num: int, den: int, common=None) -> DataFrame
     return reps.select("rid", "n_shingles", "low").mapInPandas(run, "rid long, token long")
 
 
+def _candidates(prefixes: DataFrame, size: DataFrame, num: int, den: int, few: int = 8) -> DataFrame:
+    """Edges (a, b) that connect all sets that may link, from prefixes (rid, token) and sizes (rid, size, one: of one text or of equally large ones).
+
+    Of an n-gram in ``few`` prefixes at most each pair is looked at, and how many n-grams their prefixes share: two linking sets have o common
+    n-grams at least, so the prefix of p n-grams that ends first in the global order shares all but |s| - o of them with the other prefix.
+    Chance n-grams, of which a larger corpus has more, then connect nothing. An n-gram in more prefixes connects those that have it in the
+    order of their sizes, where one is not too small for the next.
+    """
+    heads = prefixes.groupBy("token").agg(F.min("rid").alias("head"), F.count("*").alias("n")).where("n > 1")
+    shared = staged(prefixes.join(heads, "token").select("token", "rid", "head", "n"), "shared")
+    held = F.sort_array(F.collect_set("rid"))
+    pairs = F.flatten(F.transform(held, lambda x: F.transform(F.filter(held, lambda y: y > x), lambda y: F.struct(x.alias("a"), y.alias("b")))))
+    pairs = shared.where(F.col("n") <= few).groupBy("token").agg(pairs.alias("p")).select(F.explode("p").alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("n"))
+    pairs = pairs.join(size.select(F.col("rid").alias("a"), F.col("size").alias("s"), F.col("one").alias("s_one")), "a").join(size.select(F.col("rid").alias("b"), F.col("size").alias("t"), F.col("one").alias("t_one")), "b")
+    up = lambda x, y: F.floor((x + y - 1) / y).cast("long")
+    prefix = lambda x: x - up(F.lit(num) * x, F.lit(den)) + 1
+    s, t = F.col("s"), F.col("t")
+    common = up(F.lit(num) * (s + t), F.lit(num + den))
+    least = F.greatest(F.lit(1), F.least(prefix(s) - (s - common), prefix(t) - (t - common)))
+    maybe = (F.least(s, t) * den >= F.greatest(s, t) * num) & (F.col("n") >= least)
+    near = pairs.where(maybe | ~F.col("s_one") | ~F.col("t_one")).select("a", "b")
+    many = shared.where(F.col("n") > few).join(size, "rid")
+    by_size = Window.partitionBy("token").orderBy("size", "rid")
+    many = many.withColumns({"before": F.lag("rid").over(by_size), "less": F.lag("size").over(by_size), "plain": F.min("one").over(Window.partitionBy("token"))})
+    chain = many.where(F.col("plain") & (F.col("less") * den >= F.col("size") * num)).select(F.col("before").alias("a"), F.col("rid").alias("b"))
+    star = many.where(~F.col("plain")).select(F.col("rid").alias("a"), F.col("head").alias("b"))
+    return near.unionByName(chain).unionByName(star).where("a <> b").distinct()
+
+
 def ngram_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = 250_000, table_bits: int = 27, small: int = 1_000_000) -> DataFrame:
     """(doc_id, n_shingles, component_id): smallest doc_id reachable by links, itself included; exact.
 
@@ -312,11 +341,10 @@ def ngram_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id
     rest = pick(texts, partly.where("token is null").select("rid"), ["rid"], "left_semi", small)
     prefixes = partly.where("token is not null").unionByName(staged(_passes(rest, n, num, den, "prefixes", common), "more-prefixes"))
     common.unpersist()  # both uses are written
-    heads = prefixes.groupBy("token").agg(F.min("rid").alias("head"), F.count("*").alias("n")).where("n > 1")
-    stars = prefixes.join(heads, "token").where("rid <> head").select(F.col("rid").alias("a"), F.col("head").alias("b")).distinct()
+    size = real.groupBy(F.col("doc_id").alias("rid")).agg(F.max("n_shingles").alias("size"), (F.min("n_shingles") == F.max("n_shingles")).alias("one"))
+    stars = _candidates(prefixes, size, num, den)
     blocks = staged(components(stars, "blocks").select(F.col("node").alias("rid"), F.col("component").alias("block")), "members")
 
-    size = real.groupBy(F.col("doc_id").alias("rid")).agg(F.max("n_shingles").alias("size"))
     weights = blocks.join(size, "rid").groupBy("block").agg(F.sum("size").alias("weight"))
     chunks = F.greatest(F.lit(1), F.ceil(F.col("weight") / chunk_tokens)).cast("int")
     placed = staged(blocks.join(weights, "block").select("rid", "block", "weight", chunks.alias("chunks"), F.pmod(F.xxhash64("rid"), chunks).cast("int").alias("c")), "placed")

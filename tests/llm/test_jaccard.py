@@ -1,3 +1,4 @@
+import random
 import re
 
 import numpy as np
@@ -124,3 +125,22 @@ def test_components(spark, small):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), "t", small=small).collect()}
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: c for x, c in low.items() if x in linked}
+
+
+def test_chance_ngrams_connect_nothing(spark, monkeypatch):
+    """N-grams repeated by chance, more than the bit tables hold, make no block of unlike texts; near copies stay linked."""
+    rng = random.Random(11)
+    docs = [[f"w{rng.randrange(12)}" for _ in range(rng.choice([60, 90, 120]))] for _ in range(240)]
+    docs += [[*d[:50], "odd", *d[51:]] for d in docs[:20]] + [d[:-3] for d in docs[20:30]]
+    grams = [{tuple(d[k : k + 4]) for k in range(len(d) - 3)} for d in docs]
+    want = list(range(len(docs)))
+    for b in range(len(docs)):
+        for a in range(b):
+            if want[a] != want[b] and 100 * len(grams[a] & grams[b]) >= 85 * len(grams[a] | grams[b]):
+                want = [want[a] if x == want[b] else x for x in want]
+    seen = {}
+    monkeypatch.setattr(jaccard, "components", lambda edges, name: seen.setdefault(name, components(edges, name)))
+    df = spark.createDataFrame([(k, " ".join(d)) for k, d in enumerate(docs)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.ngram_classes(df, n=4, num=85, den=100, table_bits=14).collect()}
+    assert [got[k] for k in range(len(docs))] == want and len(set(want)) == 240
+    assert seen["blocks"].groupBy("component").count().agg({"count": "max"}).first()[0] < 20
