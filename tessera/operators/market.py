@@ -15,8 +15,11 @@ from tessera.functions.numeric import normal_cdf, ratio
 from tessera.sources.staging import cut
 
 
-def bars(trades: DataFrame, symbol: str, time: str, price: str, volume: str, order: list[str]) -> DataFrame:
-    """(symbol, day, open, high, low, close, volume) of trades; first and last by ``order``."""
+def bars(trades: DataFrame, symbol: str, time: str, price: str, volume: str, order: list[str], dealt: bool = False) -> DataFrame:
+    """(symbol, day, open, high, low, close, volume) of trades; first and last by ``order``. ``dealt`` deals the trades by symbol, which is
+    the only shuffle then, windows by symbol included: narrower than sums of days where a day has few trades."""
+    if dealt:
+        trades = trades.select(*dict.fromkeys([symbol, time, price, volume, *order])).repartition(symbol)
     by = F.struct(*order)
     return trades.groupBy(F.col(symbol).alias("symbol"), F.to_date(time).alias("day")).agg(
         F.min_by(price, by).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"), F.max_by(price, by).alias("close"), F.sum(F.col(volume).cast("long")).alias("volume"),
@@ -89,12 +92,12 @@ def volume_ratio(b: DataFrame, n: int = 20) -> DataFrame:
     return rows.select("symbol", "day", "volume_sma", ratio("volume", "volume_sma").alias("volume_ratio"))
 
 
-def folds(b: DataFrame) -> DataFrame:
+def folds(b: DataFrame, last: int | None = None) -> DataFrame:
     """Adds ema_12, ema_26, rsi_14, macd, macd_signal, macd_histogram and atr_14: recurrences in the order of days.
 
     Seeds are means of the first n values. The two lines of macd start together at row 26 (each from the mean of its
     last rows), its signal eight rows later; the three are null before. One numpy loop a symbol, behind the shuffle by
-    symbol that the windows before it need anyway.
+    symbol that the windows before it need anyway. With ``last`` only so many last rows of a symbol are given back.
     """
     tr = F.greatest(cents("high") - cents("low"), F.abs(cents("high") - cents("prev")), F.abs(cents("low") - cents("prev")))
     rows = numbered(b).withColumn("tr", tr)
@@ -131,17 +134,20 @@ def folds(b: DataFrame) -> DataFrame:
                 out[2, i] = 100.0 * (gain / (gain + loss)) if gain + loss else 0.0
                 out[6, i] = atr / 100.0
         names = ["ema_12", "ema_26", "rsi_14", "macd", "macd_signal", "macd_histogram", "atr_14"]
-        return pd.DataFrame({"symbol": pdf["symbol"], "day": pdf["day"], **{k: v for k, v in zip(names, out)}})
+        return pd.DataFrame({"symbol": pdf["symbol"], "day": pdf["day"], **{k: v for k, v in zip(names, out)}})[-(last or n) :]
 
     made = rows.select("symbol", "day", "rn", "close", "c", "tr").groupBy("symbol").applyInPandas(run, schema)
     return made.select("symbol", "day", *[F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c) for c in made.columns[2:]])
 
 
-def indicators(b: DataFrame) -> DataFrame:
-    """Bars with every indicator, close and all: what patterns, events and signals read."""
+def indicators(b: DataFrame, last: int | None = None) -> DataFrame:
+    """Bars with every indicator, close and all: what patterns, events and signals read. With ``last`` only so many last rows of a
+    symbol, made of all its rows, go on to be joined; LOOK_BACK are enough for ``last_rows``."""
     rows = numbered(pivots(b)).withColumns({"sma_20": sma(20), "sma_50": sma(50), "sma_200": sma(200), "std": rolling_std(20), "volume_sma": sma(20, "volume", 1.0)})
     rows = rows.withColumns({"upper": F.col("sma_20") + F.col("std") * 2.0, "lower": F.col("sma_20") - F.col("std") * 2.0, "width": F.col("std") * 4.0, "volume_ratio": ratio("volume", "volume_sma")})
-    return rows.join(folds(b), ["symbol", "day"])
+    if last:
+        rows = rows.withColumn("n", F.count("*").over(Window.partitionBy("symbol"))).where(F.col("rn") > F.col("n") - last).drop("n")
+    return rows.join(folds(b, last), ["symbol", "day"])
 
 
 def _back(x: str, n: int) -> Column:
@@ -150,13 +156,17 @@ def _back(x: str, n: int) -> Column:
 
 def latest(rows: DataFrame) -> DataFrame:
     """The last row of each symbol."""
-    return rows.withColumn("n", F.count("*").over(Window.partitionBy("symbol"))).where("rn = n").drop("n")
+    return rows.withColumn("n", F.max("rn").over(Window.partitionBy("symbol"))).where("rn = n").drop("n")
 
 
 def risk_reward(entry: Column, target: Column, stop: Column) -> Column:
     return ratio(F.abs(target - entry), F.abs(entry - stop))
 
 
+#: Rows of a symbol that its last row looks back to, itself included.
+LOOK_BACK = 20
+
+
 def last_rows(ind: DataFrame) -> DataFrame:
     """Each symbol's last row with what patterns and events look back to: all window functions in one pass."""
     back = {"close_6": _back("close", 6), "rsi_6": _back("rsi_14", 6), "p50": _back("sma_50", 1), "p200": _back("sma_200", 1), "recent": F.collect_list("atr_14").over(_w(20))}

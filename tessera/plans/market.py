@@ -51,8 +51,8 @@ IND = FOLDS + f""", a AS (SELECT *, (high + low + close) / 3.0{D} AS pv, {sma(20
 PLAIN = f"WITH {BARS}, {N} "
 
 
-def bars_of(spark, d) -> DataFrame:
-    return M.bars(table(spark, d, "lineitem"), "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", ORDER)
+def bars_of(spark, d, dealt: bool = False) -> DataFrame:
+    return M.bars(table(spark, d, "lineitem"), "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", ORDER, dealt)
 
 
 @query("SRC-01 WIN-13", f"WITH {BARS} SELECT * FROM bars")
@@ -140,7 +140,7 @@ def option_flow(spark, d) -> DataFrame:
  FROM tech t LEFT JOIN p ON p.symbol = t.symbol LEFT JOIN e ON e.symbol = t.symbol LEFT JOIN flow ON flow.symbol = t.symbol)
  SELECT symbol, round(bull, 4) AS bullish_score, round(bear, 4) AS bearish_score, round(abs(bull - bear), 4) AS confidence_score, CASE WHEN bull - bear > 40 THEN 'strong_buy' WHEN bull - bear > 20 THEN 'buy' WHEN bull - bear < -40 THEN 'strong_sell' WHEN bull - bear < -20 THEN 'sell' ELSE 'hold' END AS direction FROM sc""")
 def composite_signal(spark, d):
-    return M.composite(M.indicators(bars_of(spark, d)), option_flow(spark, d))
+    return M.composite(M.indicators(bars_of(spark, d, dealt=True), M.LOOK_BACK), option_flow(spark, d))
 
 
 @query("MTH-06", PLAIN + f"SELECT symbol, day, (close - prev) * 100.0{D} / prev AS change_pct, (high + low + close) / 3.0{D} * volume AS money_flow FROM n")
