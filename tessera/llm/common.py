@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -82,6 +84,16 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def settle(spark: SparkSession) -> None:
+    """Frees the disk of shuffles whose results are staged: Spark deletes them once the driver finds that no plan refers to them. Python
+    lets go of its plans in the background, so it looks twice."""
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.7)
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.7)
+
+
 def _union_find(batches):
     """(node, component) of all edges (u, v) of one partition."""
     parts = [pdf[["u", "v"]].to_numpy(np.int64) for pdf in batches]

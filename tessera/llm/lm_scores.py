@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_in, id_out, small_batches, staged
+from .common import id_in, id_out, settle, small_batches, staged
 from .pieces import text_chunks
 
 #: Keys that stand for a document's beginning, for all words outside a limited vocabulary, and for no left word (counts of single words).
@@ -233,6 +233,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary_size
         parts = staged(_parts(texts, seed, names), "word-ids")
         groups = max(64, -(-(parts.agg(F.sum("n")).first()[0] or 0) // (2 * GROUP_ROWS)))  # a part has about half as many words and pairs as places
         counts = staged(_counted(parts, groups), "word-counts")
+        settle(docs.sparkSession)  # the pairs sent to be counted are the largest part of the disk
         n_words, n_background, n_target, clashes = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "all_b", "all_t", "clashes")]).first()
         if not clashes:
             break
