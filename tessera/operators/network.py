@@ -38,67 +38,132 @@ def eigenvector(edges: DataFrame, most_rounds: int = 100, tolerance: float = 1e-
     return state.select("node", F.col("x").alias("eigenvector"))
 
 
-def _from_sources(src: np.ndarray, dst: np.ndarray, w: np.ndarray, n: int, sources: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of some sources, all at once: what their shortest paths add to each node's betweenness, their total distance to each node, and how
-    many reach it. Edges are sorted by dst. Paths are counted by their number of edges, so each round takes one more."""
-    heads, first = np.unique(dst, return_index=True)
-    back = np.argsort(src, kind="stable")
-    tails, first_back = np.unique(src[back], return_index=True)
-    every = np.arange(len(sources))
-    dist = np.full((len(sources), n), np.inf)
-    dist[every, sources] = 0
-    while True:
-        near = np.minimum(dist[:, heads], np.minimum.reduceat(dist[:, src] + w, first, axis=1))
-        if (near == dist[:, heads]).all():
-            break
-        dist[:, heads] = near
-    on = (dist[:, src] + w <= dist[:, dst] * (1 + 1e-12)) & np.isfinite(dist[:, src])
-    step = np.zeros_like(dist)
-    step[every, sources] = 1
-    paths = step.copy()
-    while True:
-        new = np.zeros_like(dist)
-        new[:, heads] = np.add.reduceat(step[:, src] * on, first, axis=1)
-        if not new.any():
-            break
-        step = new
-        paths += new
-    step = np.divide(1, paths, out=np.zeros_like(paths), where=paths > 0)
-    share = np.zeros_like(dist)
+def _blocks_of_rows(src: np.ndarray, w: np.ndarray, first: np.ndarray, degree: np.ndarray, rows: int = 4096) -> list[tuple]:
+    """(from, to, sources, weights): nodes from..to have one edge in each from these sources, or one node has all of them. Nodes are in order of
+    falling degree in, so the k-th edges of ``rows`` nodes that follow each other are those of the leading ones."""
+    out = []
+    for a in range(0, len(degree), rows):
+        own = degree[a : a + rows]
+        for k in range(own[0]):
+            b = a + int(np.searchsorted(-own, -k))
+            if b - a < 16:  # what hubs have left
+                for r in range(a, b):
+                    for at in np.split(np.arange(first[r] + k, first[r] + degree[r]), range(rows, degree[r] - k, rows)):
+                        out.append((r, r + 1, src[at], w[at][:, None]))
+                break
+            at = first[a:b] + k
+            out.append((a, b, src[at], w[at][:, None]))
+    return out
+
+
+def _distances(blocks: list[tuple], n: int, sources: np.ndarray, far) -> np.ndarray | None:
+    """Shortest distances to each node (rows) from each source (columns) in the type of ``far``, which stands for no path; None if
+    one does not fit below it."""
+    dist = np.full((n, len(sources)), far)
+    dist[sources, np.arange(len(sources))] = 0
+    hold = np.empty((max(len(src) for _, _, src, _ in blocks), len(sources)), dist.dtype)
+
+    def nearer(a, b, src, w):
+        near = np.take(dist, src, axis=0, out=hold[: len(src)], mode="clip")
+        near += w
+        return near if len(src) == b - a else near.min(axis=0)
+
     while True:
-        new = np.zeros_like(dist)
-        new[:, tails] = np.add.reduceat((step[:, dst] * on)[:, back], first_back, axis=1)
-        if not new.any():
+        before = dist.copy()
+        for block in blocks:
+            own = dist[block[0] : block[1]]
+            np.minimum(own, nearer(*block), out=own)
+        if (before == dist).all():
             break
-        step = new
-        share += new
+    if np.isfinite(far) and (dist == far).any():
+        for a, b, src, w in blocks:
+            if ((np.take(dist, src, axis=0) < far) & (dist[a:b] == far)).any():
+                return None
+    return dist
+
+
+def _steps(dist: np.ndarray, src: np.ndarray, dst: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, list]:
+    """Edges of one source's shortest paths, sorted into steps (from, to) no edge of which starts where another of the same step ends."""
+    ends = dist[dst]
+    if len(ends) and ends.max() / least <= 4096:  # each edge adds the least weight at least
+        width = int(least) if dist.dtype.kind == "u" else least * (1 - 1e-6)
+        step = ends // width if dist.dtype.kind == "u" else (ends // width).astype(np.uint16)
+    else:  # the most edges that lead there
+        most = np.zeros(len(dist), np.int64)
+        while True:
+            before = most.copy()
+            np.maximum.at(most, dst, most[src] + 1)
+            if (before == most).all():
+                break
+        step = most[dst]
+    order = np.argsort(step, kind="stable")
+    cuts = [0, *(np.flatnonzero(np.diff(step[order])) + 1).tolist(), len(order)]
+    return src[order], dst[order], list(zip(cuts, cuts[1:]))
+
+
+def _through(dist: np.ndarray, source: int, src: np.ndarray, dst: np.ndarray, w: np.ndarray, degree: np.ndarray, least: float) -> np.ndarray:
+    """What one source's shortest paths add to each node's betweenness. Each edge on such a path is taken once up and once down."""
+    near, ends = np.take(dist, src, mode="clip"), np.repeat(dist, degree)
+    if dist.dtype.kind == "u":
+        on = np.flatnonzero(near + w == ends)
+    else:
+        on = np.flatnonzero((near + w <= ends * (1 + 1e-12)) & (near < ends))
+    src, dst, steps = _steps(dist, src[on], dst[on], least)
+    paths, share = np.zeros(len(dist)), np.zeros(len(dist))
+    paths[source] = 1
+    for a, b in steps:
+        np.add.at(paths, dst[a:b], paths[src[a:b]])
+    part = np.divide(1, paths, out=np.zeros_like(paths), where=paths > 0)
+    for a, b in reversed(steps):
+        np.add.at(share, src[a:b], share[dst[a:b]] + part[dst[a:b]])
     through = paths * share
-    through[every, sources] = 0
-    reached = np.isfinite(dist)
-    return through.sum(axis=0), np.where(reached, dist, 0).sum(axis=0), reached.sum(axis=0) - np.bincount(sources, minlength=n)
+    through[source] = 0
+    return through
+
+
+def _kinds(w: np.ndarray) -> list:
+    """Types that hold distances exactly, the narrowest first, each as its value for no path: sums with a weight stay in the type."""
+    whole = len(w) and (w == np.floor(w)).all()
+    return [k(np.iinfo(k).max - w.max()) for k in (np.uint8, np.uint16) if whole and 2 * w.max() < np.iinfo(k).max] + [np.float64(np.inf)]
 
 
 def _in_arrays(edges: DataFrame, nodes: DataFrame, cells: int) -> DataFrame:
     """Every task holds the edges as arrays and takes its share of the sources, some at a time."""
-    names = sorted(r["node"] for r in nodes.collect())
-    e, at = edges.toPandas(), pd.Index(names)
-    dst = at.get_indexer(e["dst"])
-    order = np.argsort(dst, kind="stable")
-    arrays = edges.sparkSession.sparkContext.broadcast((at.get_indexer(e["src"])[order], dst[order], e["weight"].to_numpy(float)[order]))
-    n, some = len(names), max(1, cells // max(1, len(order)))
+    names = pd.Index(sorted(r["node"] for r in nodes.collect()))
+    e, n = edges.toPandas(), len(names)
+    dst = names.get_indexer(e["dst"])
+    names = names[np.argsort(-np.bincount(dst, minlength=n), kind="stable")]  # the most edges in come first
+    src, dst = names.get_indexer(e["src"]), names.get_indexer(e["dst"])
+    order = np.lexsort((src, dst))
+    arrays = edges.sparkSession.sparkContext.broadcast((src[order], dst[order], e["weight"].to_numpy(float)[order]))
 
     def run(batches):
-        total, src_dst_w = [np.zeros(n), np.zeros(n), np.zeros(n)], arrays.value
+        src, dst, w = arrays.value
+        degree = np.bincount(dst, minlength=n)
+        kinds, far, through, distance, reached = _kinds(w), None, np.zeros(n), np.zeros(n), np.zeros(n)
         for pdf in batches:
             ids = pdf["id"].to_numpy()
-            for k in range(0, len(ids), some):
-                for t, x in zip(total, _from_sources(*src_dst_w, n, ids[k : k + some])):
-                    t += x
-        yield pd.DataFrame({"id": np.arange(n), "through": total[0], "distance": total[1], "reached": total[2]})
+            while len(ids):
+                if far is None:
+                    far = kinds.pop(0)
+                    own = w.astype(far.dtype)
+                    blocks = _blocks_of_rows(src, own, np.cumsum(degree) - degree, degree)
+                some = ids[: max(1, cells // (n * far.dtype.itemsize))]
+                dist = _distances(blocks, n, some, far)
+                if dist is None:  # too far for this type: the same sources in the next one
+                    far = None
+                    continue
+                there = dist < far
+                distance += np.where(there, dist, 0).sum(axis=1, dtype=float)
+                reached += there.sum(axis=1) - np.bincount(some, minlength=n)
+                for source, row in zip(some, np.ascontiguousarray(dist.T)):
+                    through += _through(row, source, src, dst, own, degree, w.min())
+                ids = ids[len(some) :]
+        yield pd.DataFrame({"id": np.arange(n), "through": through, "distance": distance, "reached": reached})
 
     spark = edges.sparkSession
     sums = spark.range(n).mapInPandas(run, "id long, through double, distance double, reached double").groupBy("id").agg(*[F.sum(c).alias(c) for c in ("through", "distance", "reached")])
-    return sums.join(spark.createDataFrame(pd.DataFrame({"id": np.arange(n), "node": names}), f"id long, node {dict(edges.dtypes)['src']}"), "id").drop("id")
+    return cut(sums).join(spark.createDataFrame(pd.DataFrame({"id": np.arange(n), "node": names}), f"id long, node {dict(edges.dtypes)['src']}"), "id").drop("id")
 
 
 def _by_joins(edges: DataFrame, nodes: DataFrame, sources: int) -> DataFrame:
@@ -135,13 +200,14 @@ def _by_joins(edges: DataFrame, nodes: DataFrame, sources: int) -> DataFrame:
     return nodes.join(sums, "node", "left").fillna(0.0, ["through", "distance", "reached"])
 
 
-def path_centrality(edges: DataFrame, held_edges: int = 2_000_000, cells: int = 2_000_000, sources: int = 256) -> DataFrame:
+def path_centrality(edges: DataFrame, held_edges: int = 2_000_000, cells: int = 6_000_000, sources: int = 256) -> DataFrame:
     """(node, betweenness, closeness) over all weighted shortest paths between all nodes, of graphs of any size.
 
     Betweenness: the share of shortest paths between two others that pass a node, summed, over (n - 1)(n - 2). Closeness: of the r nodes
     that reach a node, r / their total distance, times r / (n - 1). Weights are lengths; edges whose length is not above 0 are left out.
     All sources count, so the work is nodes times edges. Up to ``held_edges`` edges (counted first, 24 bytes each) go to every task, which
-    takes a share of the sources; more are joined, for ``sources`` sources at a time, and no task holds them.
+    takes a share of the sources, as many at a time as ``cells`` bytes hold distances of; whole lengths take a byte or two a distance where
+    that holds them. More edges are joined, for ``sources`` sources at a time, and no task holds them.
     """
     edges = cut(edges.where("weight > 0 and src <> dst").groupBy("src", "dst").agg(F.min(F.col("weight").cast("double")).alias("weight")))
     nodes = cut(nodes_of(edges))

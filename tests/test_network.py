@@ -1,7 +1,9 @@
 """Graph metrics against all paths, removals and serial moves."""
 
+import heapq
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -64,6 +66,59 @@ def test_both_ways_agree_above_any_limit(spark):
     assert set(a) == set(b) and all(a[v] == pytest.approx(b[v]) for v in a) and max(x for x, _ in a.values()) > 0
 
 
+def brandes(edges):
+    """Betweenness sums and closeness by one search a source, in plain Python."""
+    nodes = sorted({x for e in edges for x in e[:2]})
+    out = {v: [] for v in nodes}
+    for a, b, w in edges:
+        out[a].append((b, w))
+    through, far, reached = dict.fromkeys(nodes, 0.0), dict.fromkeys(nodes, 0.0), dict.fromkeys(nodes, 0)
+    for s in nodes:
+        dist, paths, before, order, heap = {s: 0.0}, {s: 1.0}, {s: []}, [], [(0.0, s)]
+        done = set()
+        while heap:
+            d, v = heapq.heappop(heap)
+            if v in done:
+                continue
+            done.add(v)
+            order.append(v)
+            for u, w in out[v]:
+                if d + w < dist.get(u, np.inf):
+                    dist[u], paths[u], before[u] = d + w, paths[v], [v]
+                    heapq.heappush(heap, (d + w, u))
+                elif d + w == dist[u]:
+                    paths[u] += paths[v]
+                    before[u].append(v)
+        share = dict.fromkeys(nodes, 0.0)
+        for v in reversed(order):
+            for u in before[v]:
+                share[u] += paths[u] / paths[v] * (1 + share[v])
+            if v != s:
+                through[v] += share[v]
+                far[v] += dist[v]
+                reached[v] += 1
+    n = len(nodes)
+    return {v: (through[v] / ((n - 1) * (n - 2)), reached[v] ** 2 / far[v] / (n - 1) if far[v] else 0.0) for v in nodes}
+
+
+@pytest.mark.parametrize("weight", [lambda k: k % 9 + 1, lambda k: k % 90 + 30, lambda k: k % 9 * 4000 + 9000, lambda k: (k % 9 + 1) / 8, lambda k: 4.0 ** (k % 12 - 6)])
+def test_distances_of_every_width(spark, weight):
+    """Whole lengths that fit one or two bytes or neither, fractions, and lengths far apart; two hubs with many edges in."""
+    edges = [(a, b, float(weight(k))) for k, (a, b, _) in enumerate([*random_edges(150, 400, 8), *[(a, b, 0) for a in range(2, 150, 2) for b in (150, 151)], (150, 0, 0)])]
+    got = {r["node"]: (r["betweenness"], r["closeness"]) for r in network.path_centrality(spark.createDataFrame(edges, "src long, dst long, weight double"), cells=5000).collect()}
+    want = brandes(edges)
+    assert set(got) == set(want) and all(got[v] == pytest.approx(want[v]) for v in want)
+
+
+def test_paths_of_thousands_of_nodes_end_soon(spark):
+    """A source takes each edge of its shortest paths once up and once down, not in every round: some 10 s, where rounds took minutes."""
+    n = 6000
+    df = spark.range(n * 10).selectExpr("id % 6000 AS src", "(id % 6000 * 7 + id div 6000) % 6000 AS dst", "CAST(pmod(hash(id), 20) + 3 AS double) AS weight").where("src <> dst")
+    start = time.monotonic()
+    rows = network.path_centrality(df).collect()
+    assert len(rows) == n and min(r["closeness"] for r in rows) > 0 and time.monotonic() - start < 60
+
+
 def test_power_rounds(spark):
     edges = random_edges(40, 200, 9)
     df = spark.createDataFrame(edges, "src long, dst long, weight double")
