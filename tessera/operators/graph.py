@@ -171,6 +171,7 @@ def entity_stats(edges: DataFrame) -> DataFrame:
 
 def influencers(metrics: DataFrame, names: list[str], k: int) -> DataFrame:
     """Score of metrics, each as part of its maximum, by the shares of BLEND; metrics that are absent or null add nothing."""
+    metrics = cut(metrics)  # read twice, made once
     top = metrics.agg(*[F.max(n).alias(f"_{n}") for n in names])  # one row
     score = sum((ratio(n, f"_{n}") * BLEND[n] for n in names[1:]), ratio(names[0], f"_{names[0]}") * BLEND[names[0]])
     return metrics.join(F.broadcast(top)).select("node", F.round(score * 100.0, 2).alias("influence_score")).orderBy(F.desc("influence_score"), "node").limit(k)

@@ -119,6 +119,20 @@ def test_paths_of_thousands_of_nodes_end_soon(spark):
     assert len(rows) == n and min(r["closeness"] for r in rows) > 0 and time.monotonic() - start < 60
 
 
+def test_influencers_make_their_metrics_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            made.add(len(pdf))
+            yield pdf
+
+    metrics = spark.range(1, 31).selectExpr("id AS node", *[f"id / 30 AS {n}" for n in graph.BLEND])
+    rows = graph.influencers(metrics.mapInPandas(count, metrics.schema), list(graph.BLEND), 20).collect()
+    assert [(r["node"], r["influence_score"]) for r in rows] == [(k, round(k / 30 * 100, 2)) for k in range(30, 10, -1)]
+    assert made.value == 30
+
+
 def test_power_rounds(spark):
     edges = random_edges(40, 200, 9)
     df = spark.createDataFrame(edges, "src long, dst long, weight double")
