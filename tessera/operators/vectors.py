@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from tessera.sources.staging import cut
 
 
+#: Options to write rows of some MB: groups of 32 MB, whose size is looked at after every row.
+WIDE_ROWS = {"parquet.block.size": str(32 << 20), "parquet.page.size.row.check.min": "1"}
+
+
 def _unit_rows(df: DataFrame, key: str, vec: str) -> DataFrame:
     """(id, u): vectors of length 1 in doubles; null and zero ones and those with null or non-finite components are left out."""
     v = F.col(vec).cast("array<double>")
@@ -93,14 +97,16 @@ def _axes(sample: np.ndarray, least: float) -> np.ndarray:
     some = sample[np.linspace(0, len(sample) - 1, min(256, len(sample))).astype(int)]
     dim, costs = sample.shape[1], {}
     for p in sorted({-(-dim * x // 16) for x in range(1, 16)}):
-        costs[p] = p + 16 * dim * (_bound(some @ axes[:, :p], some @ axes[:, :p]) >= least).mean()  # single pairs cost more than a product
+        lead = _leading(some, axes[:, :p])
+        costs[p] = p + 16 * dim * (lead @ lead.T >= least).mean()  # single pairs cost more than a product
     return np.ascontiguousarray(axes[:, : min(costs, key=costs.get)])
 
 
-def _bound(q: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Upper bounds of the cosines of unit vectors known by their leading coordinates: what is left has at most the product of its lengths."""
-    left = [np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(1))) for x in (q, p)]
-    return q @ p.T + np.outer(*left)
+def _leading(u: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Leading coordinates of unit vectors and the length of what is left: products of such rows are upper bounds of cosines, as what is left
+    has at most the product of its lengths. In single precision, which errs by less than 1e-5."""
+    x = u @ axes
+    return np.column_stack([x, np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(1)))]).astype(np.float32)
 
 
 def _reaching(a_ids, a, b_ids, b, axes: np.ndarray, least: float, smaller: bool, tile: int = 1024):
@@ -109,21 +115,23 @@ def _reaching(a_ids, a, b_ids, b, axes: np.ndarray, least: float, smaller: bool,
     Pairs whose bound stays below ``least`` are not compared; tiles in which more than one pair in 32 passes are compared as a matrix
     product, so copies take no memory a pair.
     """
-    p, q = a @ axes, b @ axes
+    p, q = _leading(a, axes), _leading(b, axes)
     at, first, met, full = [], [], 0, 0
     for s in range(0, len(b), tile):
         own = b_ids[s : s + tile]
         end = int(np.searchsorted(a_ids, own.max())) if smaller else len(a_ids)
         for t in range(0, end, tile):
             ids = a_ids[t : min(t + tile, end)]
-            maybe = _bound(q[s : s + tile], p[t : t + len(ids)]) >= least - 1e-9
-            maybe &= (ids[None, :] < own[:, None]) if smaller else (ids[None, :] != own[:, None])
+            maybe = q[s : s + tile] @ p[t : t + len(ids)].T >= np.float32(least - 1e-5)
             met += maybe.size
-            i, j = np.nonzero(maybe)
-            if len(i) * 32 > maybe.size:
+            if np.count_nonzero(maybe) * 32 > maybe.size:
                 full += maybe.size
+                maybe &= (ids[None, :] < own[:, None]) if smaller else (ids[None, :] != own[:, None])
                 i, j = np.nonzero(maybe & (b[s : s + tile] @ a[t : t + len(ids)].T >= least))
             else:
+                i, j = np.divmod(np.flatnonzero(maybe), len(ids))
+                other = (ids[j] < own[i]) if smaller else (ids[j] != own[i])
+                i, j = i[other], j[other]
                 full += len(i)
                 fine = np.einsum("ij,ij->i", b[s + i], a[t + j]) >= least
                 i, j = i[fine], j[fine]
@@ -139,8 +147,9 @@ def first_within(vectors: DataFrame, key: str, vec: str, least: float = 0.8, fit
 
     Exact. Vectors stand in lists round centres that are fitted on at most ``fit_rows`` of them; a vector asks every list whose
     border with its own nearest one lies within the distance that ``least`` allows. Of a list only those vectors are compared in
-    full whose leading coordinates, on principal axes of the same sample, leave room for ``least``. Lists are dealt out in chunks, so
-    no task holds more than a few times ``chunk`` vectors, and only the least id of each vector and chunk is emitted.
+    full whose leading coordinates, on principal axes of the same sample, leave room for ``least``. Lists stand in blocks of some ``chunk``
+    vectors, a row each, that are written once; tasks read pairs of their parts, so no vector is shuffled to the lists it asks, and only the
+    least id of each vector and block is emitted.
     """
     found = _search_lists(vectors, key, vec, least, fit_rows, rows_a_list, chunk, smaller).where(F.col("found").isNotNull())
     return found.groupBy(key).agg(F.min("found").alias("found"))
@@ -171,30 +180,44 @@ def _search_lists(vectors: DataFrame, key: str, vec: str, least: float, fit_rows
         for pdf in batches:
             for dim, own in pdf.groupby("dim"):
                 c, u = shared.value[0][dim], np.stack(own["u"].to_list())
-                d = (u * u).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2 * u @ c.T
-                first = d.argmin(1)
-                apart = np.sqrt(((c[first][:, None, :] - c[None, :, :]) ** 2).sum(2)) if len(c) < 64 else np.sqrt(np.maximum(((c * c).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2 * c @ c.T)[first], 0))
-                near = (d - d[np.arange(len(u)), first][:, None]) / np.maximum(2 * apart, 1e-12) <= radius + 1e-6
-                near[np.arange(len(u)), first] = True
-                yield pd.DataFrame({"id": own["id"], "dim": own["dim"], "u": [x.tobytes() for x in u], "list": first, "asks": [np.flatnonzero(x) for x in near]})
-
-    held = cut(rows.mapInPandas(lists, f"id {kind}, dim int, u binary, list int, asks array<int>"))
-    asked = held.select("dim", F.explode("asks").alias("list"), "id", "u")
-    n = held.groupBy("dim", "list").agg(F.ceil(F.count("*") / chunk).cast("int").alias("a")).join(asked.groupBy("dim", "list").agg(F.ceil(F.count("*") / (4 * chunk)).cast("int").alias("b")), ["dim", "list"])
-    index = held.join(F.broadcast(n), ["dim", "list"]).select("dim", "list", F.pmod(F.xxhash64("id"), "a").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("j"), "id", "u", F.lit(True).alias("stored"))
-    asks = asked.join(F.broadcast(n), ["dim", "list"]).select("dim", "list", F.explode(F.sequence(F.lit(0), F.col("a") - 1)).alias("i"), F.pmod(F.xxhash64("id"), "b").cast("int").alias("j"), "id", "u", F.lit(False).alias("stored"))
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = pdf[pdf["stored"]].sort_values("id"), pdf[~pdf["stored"]].sort_values("id")
-        none = pd.DataFrame({key: b["id"][:0], "found": b["id"][:0], "met": [], "compared": []})
-        if a.empty or b.empty:
-            return none
-        ids = b["id"].to_numpy()
-        at, first, met, full = _reaching(a["id"].to_numpy(), _matrix(a["u"].to_list()), ids, _matrix(b["u"].to_list()), shared.value[1][pdf["dim"].iloc[0]], least, smaller)
-        out = pd.DataFrame({key: ids[at], "found": first, "met": 0, "compared": 0})
-        return pd.concat([out.astype({key: object, "found": object}), pd.DataFrame({key: [None], "found": [None], "met": [met], "compared": [full]})])
-
-    return index.unionByName(asks).groupBy("dim", "list", "i", "j").applyInPandas(search, f"{key} {kind}, found {kind}, met long, compared long")
+                yield pd.DataFrame({"id": own["id"], "dim": own["dim"], "u": [x.tobytes() for x in u], "list": ((c * c).sum(1)[None, :] - 2 * u @ c.T).argmin(1)})
+
+    held = cut(rows.mapInPandas(lists, f"id {kind}, dim int, u binary, list int"))
+    n = held.groupBy("dim", "list").agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts"))
+    dealt = held.join(F.broadcast(n), ["dim", "list"]).select("dim", "list", F.pmod(F.xxhash64("id"), "parts").alias("part"), "id", "u")
+
+    def asking(u, c, own, others):
+        """Which vectors of list ``own`` ask which of the other lists: those whose border with it lies within the radius."""
+        apart = np.sqrt(((c[own] - c[others]) ** 2).sum(1))
+        away = ((c[others] ** 2).sum(1) - 2 * u @ c[others].T) - ((c[own] ** 2).sum() - 2 * u @ c[own])[:, None]
+        return (away / np.maximum(2 * apart, 1e-12) <= radius + 1e-6) | (np.asarray(others) == own)
+
+    def block(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")
+        dim, own = int(pdf["dim"].iloc[0]), int(pdf["list"].iloc[0])
+        c = shared.value[0][dim]
+        asks = asking(_matrix(pdf["u"].to_list()), c, own, np.arange(len(c))).any(axis=0)
+        return pd.DataFrame([{"dim": dim, "list": own, "ids": pdf["id"].to_list(), "asks": np.flatnonzero(asks), "u": b"".join(pdf["u"])}])
+
+    blocks = cut(dealt.groupBy("dim", "list", "part").applyInPandas(block, f"dim int, list int, ids array<{kind}>, asks array<int>, u binary"), **WIDE_ROWS)
+    a = blocks.select(*[F.col(x).alias(f"a_{x}") for x in ("dim", "list", "ids", "u")])
+    b = blocks.select("dim", "list", "ids", "asks", "u")
+    meet = (F.col("a_dim") == F.col("dim")) & F.array_contains("asks", F.col("a_list"))
+    if smaller:
+        meet &= F.col("a_ids")[0] < F.element_at("ids", -1)
+    pairs = b.join(a.hint("shuffle_replicate_nl"), meet).select("dim", "list", "ids", "u", "a_list", "a_ids", "a_u")
+
+    def search(batches):
+        for pdf in batches:
+            for dim, own, b_ids, b_u, a_list, a_ids, a_u in pdf.itertuples(index=False):
+                c, b_all = shared.value[0][dim], np.frombuffer(b_u).reshape(-1, dim)
+                asks = asking(b_all, c, own, [a_list])[:, 0]
+                ids = np.asarray(b_ids)[asks]
+                at, first, met, full = _reaching(np.asarray(a_ids), np.frombuffer(a_u).reshape(-1, dim), ids, b_all[asks], shared.value[1][dim], least, smaller)
+                out = pd.DataFrame({key: ids[at], "found": first, "met": 0, "compared": 0})
+                yield pd.concat([out.astype({key: object, "found": object}), pd.DataFrame({key: [None], "found": [None], "met": [met], "compared": [full]})])
+
+    return pairs.mapInPandas(search, f"{key} {kind}, found {kind}, met long, compared long")
 
 
 def reuse(vectors: DataFrame, key: str, vec: str, least: float = 0.8) -> DataFrame:

@@ -25,9 +25,9 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tessera-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, **options) -> DataFrame:
     """df written once to the shared folder and read back: lineage ends there, and so does what the planner carries from round to
-    round of a loop (a checkpointed plan keeps its constraints, which multiply)."""
+    round of a loop (a checkpointed plan keeps its constraints, which multiply). ``options`` are those of the writer."""
     path = new_path(df.sparkSession, "cut")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -161,6 +161,21 @@ def test_reuse_asks_every_vector(spark):
     assert vectors.reuse(df.limit(0), "id", "v").count() == 0
 
 
+def test_no_vector_is_shuffled_to_the_lists_it_asks(spark):
+    """Without clusters every list is asked; vectors are read in blocks, so disk grows with the vectors, not with the lists. Keys of any kind."""
+    v = np.random.default_rng(4).normal(size=(300, 6))
+    rows = [(f"{k:04}", x.tolist()) for k, x in enumerate(v)]
+    df = spark.createDataFrame(rows, "id string, v array<double>")
+    found = vectors.first_within(df, "id", "v", rows_a_list=16, chunk=16, smaller=True)
+    above, below = found._jdf.queryExecution().executedPlan().toString().split("MapInPandas", 1)
+    assert "Exchange" in above and "Exchange" not in below
+    want = {}
+    for (a, b), s in cosines(rows).items():
+        if s >= 0.8 and b < a:
+            want[a] = min(b, want.get(a, b))
+    assert {r["id"]: r["found"] for r in found.collect()} == want and want
+
+
 def test_residual_bounds_spare_pairs(spark):
     """Vectors that lie apart are seldom compared in all coordinates; a crowd of copies is, and loses nothing."""
     rng = np.random.default_rng(23)
